@@ -28,6 +28,9 @@ def register(name: str, sql: str | None = None):
 
 def with_ctes(body: str, processed: bool = True) -> str:
     ctes = POSTINGS_SQL + ("," + PROCESSED_SQL if processed else "")
+    b = body.lstrip()
+    if b[:5].upper() == "WITH ":
+        return f"WITH {ctes},\n{b[5:]}"
     return f"WITH {ctes}\n{body}"
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 from . import catalog
 from . import q_clean  # noqa: F401
 from . import q_stats  # noqa: F401
+from . import q_tests  # noqa: F401
 
 
 def queries():
