@@ -5,6 +5,7 @@ from . import catalog
 from . import q_clean  # noqa: F401
 from . import q_stats  # noqa: F401
 from . import q_tests  # noqa: F401
+from . import q_more  # noqa: F401
 
 
 def queries():
