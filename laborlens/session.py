@@ -27,6 +27,9 @@ def build_session(master: str | None = None, partitions: int | None = None,
     }
     if partitions:
         conf["spark.sql.shuffle.partitions"] = str(partitions)
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor
+        conf["spark.driver.memory"] = os.environ.get("LABORLENS_DRIVER_MEMORY", "16g")
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
