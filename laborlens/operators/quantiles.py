@@ -6,7 +6,8 @@ break when one group holds a third of the rows.  Here a group is spread over
 many range partitions instead:
 
 1. ``repartitionByRange(keys, value)`` + ``sortWithinPartitions`` spreads
-   even a single hot group over many tasks, in global order.
+   even a single hot group over many tasks, in global order; the result is
+   checkpointed so every later use sees the same partition cut.
 2. Inside a partition ``monotonically_increasing_id`` counts rows, so a row's
    position inside its (group, partition) block is ``id - min(id)``.
 3. Block sizes (at most partitions + groups rows) give each block's offset
@@ -23,7 +24,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shuffle_partitions
+from ..session import checkpoint_root, shuffle_partitions
 
 
 def _blocks_offsets(blocks: DataFrame, keys: Sequence[str], size_col: str) -> DataFrame:
@@ -38,7 +39,14 @@ def sorted_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], part
     """Range-partitioned, sorted rows with partition id ``_p`` and row id ``_i``."""
     n = partitions or shuffle_partitions(df.sparkSession)
     s = df.repartitionByRange(n, *keys, *order).sortWithinPartitions(*keys, *order)
-    return s.withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id())
+    s = s.withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id())
+    # Range bounds are sampled with a seed tied to the RDD id, so two
+    # executions of this plan can cut partitions differently.  The rows and
+    # the per-block statistics must see the same cut: a reliable checkpoint
+    # in the shared checkpoint folder fixes it once (and survives executor
+    # loss, unlike a cache).
+    checkpoint_root(df.sparkSession)
+    return s.checkpoint(eager=True)
 
 
 def rank_within(df: DataFrame, keys: Sequence[str], value: str, partitions: int | None = None) -> DataFrame:
@@ -62,10 +70,10 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], weight
     in ``order`` within ``keys``.  The per-row part is a window per
     (group, range partition); block totals are carried by the offsets."""
     keys = list(keys)
-    s = sorted_blocks(df, keys, order, partitions)
+    s0 = sorted_blocks(df, keys, order, partitions)
     w = Window.partitionBy(*keys, "_p").orderBy("_i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    s = s.withColumn("_local", F.sum(weight).over(w))
-    blocks = s.groupBy(*keys, "_p").agg(F.sum(weight).alias("_c"))
+    s = s0.withColumn("_local", F.sum(weight).over(w))
+    blocks = s0.groupBy(*keys, "_p").agg(F.sum(weight).alias("_c"))
     blocks = _blocks_offsets(blocks, keys, "_c").drop("_c", "_n")
     return (s.join(blocks, [*keys, "_p"])
             .withColumn("_cum", F.col("_off") + F.col("_local"))

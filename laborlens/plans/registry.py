@@ -7,6 +7,7 @@ from . import q_stats  # noqa: F401
 from . import q_tests  # noqa: F401
 from . import q_more  # noqa: F401
 from . import q_models  # noqa: F401
+from . import q_advisor  # noqa: F401
 
 
 def queries():
