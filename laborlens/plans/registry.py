@@ -8,6 +8,7 @@ from . import q_tests  # noqa: F401
 from . import q_more  # noqa: F401
 from . import q_models  # noqa: F401
 from . import q_advisor  # noqa: F401
+from . import q_io  # noqa: F401
 
 
 def queries():
