@@ -31,18 +31,46 @@ def term_pattern(term: str, boundary: str = "token") -> str:
     return rf"(?<![{WORD_CLASS}]){body}(?![{WORD_CLASS}])"
 
 
-def tag_terms(text, vocab: Sequence[str] = K.TECH_TERMS, boundary: str = "token") -> Column:
+def is_single_word(term: str) -> bool:
+    """Only word characters (letters, digits, '_')."""
+    return all(ch.isalnum() or ch == "_" for ch in term)
+
+
+def word_hits(text, vocab: Sequence[str] = K.TECH_TERMS, lowered: bool = False) -> Column:
+    """Distinct lower-cased single-word vocabulary terms that occur as a
+    whole word of ``text``: one split into maximal word runs, then a hash
+    intersection with the term list."""
+    t = F.col(text) if isinstance(text, str) else text
+    t = t if lowered else F.lower(t)
+    singles = sorted({v.lower() for v in vocab if is_single_word(v.lower())})
+    words = F.split(t, f"[^{WORD_CLASS}]+")
+    return F.array_intersect(words, str_array(singles))
+
+
+def tag_terms(text, vocab: Sequence[str] = K.TECH_TERMS, boundary: str = "token", hits=None,
+              lowered: bool = False) -> Column:
     """Terms of ``vocab`` found in ``text`` (independent matches, so
     ``Spring`` and ``Spring Boot`` both hit), in vocabulary order; null text ->
-    empty array.  A plain substring test guards each regex so the regex runs
-    only on texts that contain the term at all."""
-    t = F.lower(F.col(text) if isinstance(text, str) else text)
-    hits = []
+    empty array.
+
+    ``token`` boundary: a term of word characters only matches exactly when
+    it equals one of the text's maximal word runs, so those terms are looked
+    up in ``hits`` (see :func:`word_hits`; one split per text).  Terms with
+    other characters (``c++``, ``vue.js``, ``spring boot``) use the regex,
+    guarded by a plain substring test so it runs only where the term occurs."""
+    t = F.col(text) if isinstance(text, str) else text
+    t = t if lowered else F.lower(t)
+    if boundary == "token" and hits is None:
+        hits = word_hits(t, vocab, lowered=True)
+    found = []
     for term in vocab:
         low = term.lower()
-        hit = F.when(t.contains(low) & t.rlike(term_pattern(term, boundary)), F.lit(term))
-        hits.append(hit)
-    arr = F.filter(F.array(*hits), lambda x: x.isNotNull()) if hits else F.array().cast("array<string>")
+        if boundary == "token" and is_single_word(low):
+            hit = F.when(F.array_contains(hits, F.lit(low)), F.lit(term))
+        else:
+            hit = F.when(t.contains(low) & t.rlike(term_pattern(term, boundary)), F.lit(term))
+        found.append(hit)
+    arr = F.filter(F.array(*found), lambda x: x.isNotNull()) if found else F.array().cast("array<string>")
     return F.when(t.isNull(), F.array().cast("array<string>")).otherwise(arr)
 
 

@@ -32,7 +32,12 @@ def encode_experience(df: DataFrame, mapping=K.EXPERIENCE_LEVELS, col: str = "ex
 
 def tag_texts(df: DataFrame, text: str, out: str = "skills_extracted", vocab=K.TECH_TERMS,
               boundary: str = "token") -> DataFrame:
-    return df.withColumn(out, T.tag_terms(text, vocab, boundary))
+    """Tag whole texts; the word split is materialised once per row."""
+    if boundary != "token":
+        return df.withColumn(out, T.tag_terms(text, vocab, boundary))
+    d = df.withColumn("_low", F.lower(F.col(text))).withColumn("_word_hits", T.word_hits("_low", vocab, lowered=True))
+    return d.withColumn(out, T.tag_terms("_low", vocab, boundary, hits=F.col("_word_hits"), lowered=True)) \
+        .drop("_word_hits", "_low")
 
 
 def extract_skills(df: DataFrame, text: str | None = "description", tags: DataFrame | None = None,
