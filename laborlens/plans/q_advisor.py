@@ -14,10 +14,11 @@ from ..operators import advisor as AD
 from ..operators import aggregates as A
 from ..operators import gap as G
 from ..operators import models as M
+from ..operators import skills as SK
 from ..operators.quantiles import percentile_of_score
 from ..sources.tables import read_table
 from .catalog import register, rnd, with_ctes
-from .q_models import _model, _top, feature_frame
+from .q_models import _model, feature_frame
 from .q_more import _PREM_ALL_SQL, premiums_raw
 from .q_stats import Y, long_and_rows, proc
 
@@ -43,7 +44,7 @@ dem AS (SELECT skill AS slug, 100.0 * count(DISTINCT vacancy_id) / (SELECT count
 
 def _prof(spark, d):
     long, p = long_and_rows(spark, d)
-    return AD.with_valid_skills(AD.profiles_from_postings(p), _top(spark, d))
+    return AD.with_valid_skills(AD.profiles_from_postings(p), SK.top_items(long, K.TOP_N_SKILLS))
 
 
 def _demand(spark, d):
@@ -61,11 +62,12 @@ def b04(spark, d):
 
 
 @register("a19_total_premium", with_ctes(
-    _PROF_SQL + "SELECT user_id, CAST(count(prem.skill) AS BIGINT) AS n_with_premium, round(coalesce(sum(premium), 0), 2) AS total_premium "
+    _PROF_SQL + "SELECT user_id, CAST(count(prem.skill) AS BIGINT) AS n_with_premium, round_even(coalesce(sum(premium), 0), 0) AS total_premium "
     "FROM prof LEFT JOIN prem ON list_contains(prof.skills, prem.skill) GROUP BY user_id"))
 def a19(spark, d):
     r = AD.total_premium(_prof(spark, d), premiums_raw(spark, d))
-    return r.select("user_id", "n_with_premium", rnd("total_premium").alias("total_premium"))
+    # whole KZT, as the study reports the total
+    return r.select("user_id", "n_with_premium", F.bround("total_premium", 0).alias("total_premium"))
 
 
 _P1, _P2 = K.CAREER_PATHS[0][1], K.CAREER_PATHS[1][1]

@@ -8,7 +8,8 @@ from ..functions import scalar as S
 from ..operators import aggregates as A
 from ..operators import skills as SK
 from . import preprocess as PP
-from .catalog import big, register, rnd, with_ctes
+from ..session import checkpoint_root
+from .catalog import big, build_cache, register, rnd, with_ctes
 
 Y = "salary_monthly_kzt"
 SAL = "(SELECT * FROM processed WHERE salary_monthly_kzt IS NOT NULL)"
@@ -110,7 +111,21 @@ def a07(spark, d):
 
 
 def long_and_rows(spark, d):
-    p = proc(spark, d)
+    """(long skill table, processed postings).  Inside a query build the
+    processed postings are materialised once with a reliable checkpoint (in
+    ``spark.checkpoint.dir``) and shared by every branch of that query
+    (rows, skill table, demand, premiums), instead of re-deriving the
+    cleaning chain per branch."""
+    cache = build_cache()
+    key = ("processed", spark.sparkContext.applicationId, d)
+    if cache is not None and key in cache:
+        p = cache[key]
+    else:
+        p = proc(spark, d)
+        if cache is not None:
+            checkpoint_root(spark)
+            p = p.checkpoint(eager=True)
+            cache[key] = p
     return PP.skill_long(p), p
 
 
