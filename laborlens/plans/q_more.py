@@ -326,3 +326,57 @@ def m18(spark, d):
     fi = R.frequent_itemsets(type_baskets(spark, d), "items", K.MIN_SUPPORT)
     s = R.rules_summary(R.association_rules(fi, K.MIN_CONFIDENCE))
     return s.select("n_rules", rnd("max_lift", 6).alias("max_lift"))
+
+
+# ------------------------------------------------ C11 / C22 / C27 / A20
+
+_TOP50_LIST_SQL = ("(SELECT list(skill ORDER BY n DESC, skill) AS t50 FROM (SELECT skill, count(DISTINCT vacancy_id) AS n "
+                   "FROM posting_skill GROUP BY skill ORDER BY n DESC, skill LIMIT 50))")
+
+
+@register("c11_multi_hot_top_n", with_ctes(
+    "SELECT vacancy_id, array_to_string(list_transform(t50, lambda x: CASE WHEN list_contains(skill_slugs, x) THEN '1' ELSE '0' END), '') "
+    f"AS hot FROM processed CROSS JOIN {_TOP50_LIST_SQL}"))
+def c11(spark, d):
+    """0/1 string over the top-50 skills in rank order, per posting."""
+    long, p = long_and_rows(spark, d)
+    return SK.multi_hot(p, long, SK.top_items(long, K.TOP_N_SKILLS), K.TOP_N_SKILLS)
+
+
+@register("c22_fill_indicators", with_ctes(
+    "SELECT vacancy_id, CAST(coalesce(k, 0) AS BIGINT) AS n_top_skills, coalesce(k, 0) > 0 AS has_top_skill FROM processed "
+    "LEFT JOIN (SELECT vacancy_id, count(*) AS k FROM posting_skill WHERE skill IN (SELECT unnest(t50) FROM "
+    f"{_TOP50_LIST_SQL}) GROUP BY vacancy_id) USING (vacancy_id)"))
+def c22(spark, d):
+    """Indicator counts joined back to every posting; missing -> 0, then
+    the 0/1 flag cast to boolean."""
+    long, p = long_and_rows(spark, d)
+    k = long.join(F.broadcast(SK.top_items(long, K.TOP_N_SKILLS).select("skill")), "skill") \
+        .groupBy("vacancy_id").agg(F.count(F.lit(1)).alias("k"))
+    j = p.select("vacancy_id").join(k, "vacancy_id", "left")
+    filled = S.fill_indicator("k")
+    return j.select("vacancy_id", filled.cast("bigint").alias("n_top_skills"),
+                    F.least(filled, F.lit(1)).cast("boolean").alias("has_top_skill"))
+
+
+_SALARY_COLS = ["salary_from", "salary_to", "salary_currency", "salary_raw_kzt", "salary_monthly_kzt"]
+
+
+@register("c27_columns_with_prefix", with_ctes("SELECT vacancy_id, " + ", ".join(_SALARY_COLS) + " FROM processed"))
+def c27(spark, d):
+    """Columns chosen by name prefix at plan time (here ``salary_``)."""
+    p = proc(spark, d)
+    return p.select("vacancy_id", *[c for c in p.columns if c.startswith("salary_")])
+
+
+@register("a20_regional_summary")
+def a20(spark, d):
+    """Largest gap between city means; number of significant pairs
+    (Bonferroni, JVM t tails)."""
+    from ..operators import aggregates as A
+    from ..operators import inference as I
+
+    p = proc(spark, d).where(F.col("area_normalized").isin(K.MAJOR_CITIES))
+    stats = A.group_stats(p, "area_normalized", Y, ("count", "mean"), sort=False)
+    pairs = I.pairwise_ttests(p, "area_normalized", Y, K.MAJOR_CITIES)
+    return A.regional_summary(stats, pairs)
