@@ -24,6 +24,8 @@ def build_session(master: str | None = None, partitions: int | None = None,
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # checkpointed blocks / feature frames are removed once unreferenced
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if partitions:
         conf["spark.sql.shuffle.partitions"] = str(partitions)
