@@ -31,7 +31,7 @@ def build_session(master: str | None = None, partitions: int | None = None,
         conf["spark.sql.shuffle.partitions"] = str(partitions)
     if master and master.startswith("local"):
         # local mode: the driver JVM is the only executor
-        conf["spark.driver.memory"] = os.environ.get("LABORLENS_DRIVER_MEMORY", "16g")
+        conf["spark.driver.memory"] = os.environ.get("LABORLENS_DRIVER_MEMORY", "7g")
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -40,16 +40,17 @@ def build_session(master: str | None = None, partitions: int | None = None,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.  Only when the
-    cluster names none (local tests) is a folder of our own set."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    """The folder that ``spark.checkpoint.dir`` names, which the driver and
+    all executors share.  In local mode, where one machine holds everything,
+    a folder of our own serves if none is named; elsewhere that is an error."""
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="laborlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
@@ -67,4 +68,4 @@ def local_path(p: str) -> str:
     return p[len("file:"):] if p.startswith("file:") else p
 
 
-__all__ = ["build_session", "checkpoint_root", "scratch_path", "shuffle_partitions", "local_path", "os"]
+__all__ = ["build_session", "checkpoint_root", "scratch_path", "shuffle_partitions", "local_path"]
