@@ -6,12 +6,43 @@ last return the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from laborlens.llm import bpe_tree
+from laborlens.llm import bpe_tree, decontaminate, language_id, simhash, suffix_dedup
 from laborlens.llm.common import written
 from laborlens.sources.tables import read_table
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep documents whose language can be told: a text with no letter, a
+    null one among them, is rejected."""
+    model = language_id.learn(docs.where(~language_id.held_out()))
+    found = language_id.identify(docs, model, keep=docs.columns, text_col="text")
+    return found.where(F.col("lang_pred") != language_id.UNDETERMINED).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep of each group the document with the smallest id (one of them, if
+    rows repeat that id)."""
+    found = simhash.near_duplicates(docs, shingle=3, max_bits=2)
+    first = found.where("doc_id <=> component_id").select("doc_id").distinct()
+    return docs.join(first, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Remove text that also starts earlier; every document stays, shorter."""
+    cut = suffix_dedup.remove_repeats(docs, length=100, keep=[c for c in docs.columns if c not in ("doc_id", "text", "n_chars")], with_text=True)
+    return cut.select(*[F.col("kept_text").alias(c) if c == "text" else F.length("kept_text").cast("bigint").alias(c) if c == "n_chars"
+                        else F.col(c) for c in docs.columns])
+
+
+def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold a window of a benchmark item."""
+    judged = decontaminate.contamination(docs, read_table(spark, sf_dir, "benchmark"))
+    bad = judged.where("contaminated").select("doc_id").distinct()
+    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every remaining text, with digests of the ids and of
     what they decode to."""
@@ -19,6 +50,10 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language_id", identify_language),
+    ("simhash_near_dedup", drop_near_duplicates),
+    ("suffix_array_dedup", cut_repeats),
+    ("benchmark_decontamination", decontaminate_benchmark),
     ("bpe_encoding", encode),
 ]
 

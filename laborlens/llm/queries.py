@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import bit_planes, bpe_tree, token_counts
+from . import bit_planes, bpe_tree, chat_format, decontaminate, language_id, simhash, suffix_dedup, token_counts, vectors, warc
+from .common import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,11 +32,64 @@ def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bit_planes.read_ids(spark, folder)
 
 
+@query
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+
+
+#: The conversation that the contract adds: both turns say the same.
+ADDED = r"\### Assistant: </turn> ok"
+
+
+@query
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame([(-7, 0, "user", ADDED), (-7, 1, "assistant", ADDED)], rows.schema)
+    turns = chat_format.canonical_typed(rows.unionByName(added), "conv_id", ["turn", "role", "text"])
+    turns = turns.select("conv_id", F.explode("turns").alias("t")).select("conv_id", "t.*")
+    output = written(chat_format.format_turns(turns, "conv_id"), "formatted")
+    return chat_format.digests(chat_format.parse(output, "conv_id"), "conv_id")
+
+
+@query
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_tree.encode_decode(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.link_vectors(read_table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
+def language_model(docs: DataFrame) -> language_id.Model:
+    """Fitted on documents that aren't held out and whose language is known."""
+    return language_id.learn(docs.where(~language_id.held_out()))
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = language_id.identify(docs, language_model(docs))
+    return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), length=100)
+
+
+@query
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.fresh_folder(spark)
+    warc.write_archives(read_table(spark, sf_dir, "pages"), folder)
+    return warc.records(warc.read_archives(spark, folder, with_data=False))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
