@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path, shuffle_partitions
-from .common import SegmentCache, by_bytes, importable, token_file, whole_text
+from .common import MARKS, Known, Pretokens, by_bytes, importable, plain, token_file, whole_text
 
 MAGIC = b"LLBP0001"
 MANIFEST = "shard int, file string, n_docs bigint, n_ids bigint"
@@ -168,6 +168,8 @@ class WordIds:
 
     Its pre-tokenizer drops white space and never joins across it, and added
     tokens hold none, so the words of a text are encoded on their own.
+    Words of Latin letters, marks after them or not, have their pre-tokens encoded by the
+    library's model, which is faster, all others by the whole library.
     Python counts four control characters as white space that the library
     does not; texts that hold one are encoded whole.
     """
@@ -178,15 +180,19 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.cache = SegmentCache(self._encode)
+        self.pretokens = Pretokens(self.tokenizer)
+        self.words = Known(self._word)
 
-    def _encode(self, segments: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(segments, add_special_tokens=False)]
+    def _word(self, word: str) -> bytes:
+        letters = word.rstrip(MARKS)
+        if plain(letters):  # Latin letters are only lower-cased; a run of marks is one pre-token
+            ids = self.pretokens[letters.lower()]
+            return ids if letters == word else ids + self.pretokens[word[len(letters):]]
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        words = [[t] if any(c in t for c in "\x1c\x1d\x1e\x1f") else t.split() for t in texts]
-        known = self.cache.lookup([w for ws in words for w in ws])
-        return [b"".join(map(known.__getitem__, ws)) for ws in words]
+        get = self.words.__getitem__
+        return [b"".join(map(get, [t] if any(c in t for c in "\x1c\x1d\x1e\x1f") else t.split())) for t in texts]
 
 
 @lru_cache(maxsize=4)

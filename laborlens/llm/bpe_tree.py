@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding of whole texts.
 
-Texts are cut at boundaries the pre-tokenizer always makes, and distinct
-units are encoded once per batch.  A long pre-token, which the merges see as
+Texts are cut at boundaries the pre-tokenizer always makes, and units that
+come again are looked up.  A long pre-token, which the merges see as
 one string, is encoded by tree concatenation: halves down to leaves are
 encoded on their own and joined by re-encoding a growing window around each
 join until its outer tokens on both sides agree with those already there.
@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SegmentCache, by_bytes, importable, token_file, whole_text
+from .common import MARKS, PRINTED, Known, Pretokens, by_bytes, importable, plain, token_file, whole_text
 
 # fixed values: white space in Unicode, and characters that regular-expression
 # libraries do not agree on; texts with one of the latter are one unit
@@ -74,14 +74,11 @@ class ByteBpe:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.leaf, self.cache = leaf, SegmentCache(self._encode)
+        self.leaf, self.pretokens, self.units = leaf, Pretokens(self.tokenizer), Known(self._unit)
         added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.added = added
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
-        # fixed values: the byte-level alphabet, a printable character for each byte
-        keep = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        moved = [b for b in range(256) if b not in keep]
-        byte = {chr(b): b for b in keep} | {chr(256 + i): b for i, b in enumerate(moved)}
+        byte = {c: b for b, c in PRINTED.items()}
         special = set(added.values())
         self.bytes = [b""] * self.tokenizer.get_vocab_size(with_added_tokens=True)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
@@ -102,18 +99,25 @@ class ByteBpe:
                     out.extend(i for i, _ in encode_tree(token, self._model, self.leaf))
         return out
 
-    def _encode(self, units: list[str]) -> list[bytes]:
-        short = [u for u in units if len(u) <= self.leaf]
-        ids = iter(self.tokenizer.encode_batch(short, add_special_tokens=False))
-        return [(array("I", next(ids).ids) if len(u) <= self.leaf else self._long(u)).tobytes() for u in units]
+    def _unit(self, unit: str) -> bytes:
+        if len(unit) > self.leaf:
+            return self._long(unit).tobytes()
+        lead = unit[:1] if unit[0] in " \n" else ""
+        body = unit[len(lead):]
+        letters = body.rstrip(MARKS)
+        if plain(letters):
+            # a space belongs to the letters after it, a newline stands alone, and so does a run of marks
+            ids = self.pretokens[" " + letters] if lead == " " else self.pretokens[letters]
+            if lead == "\n":
+                ids = self.pretokens["\n"] + ids
+            return ids if letters == body else ids + self.pretokens[body[len(letters):]]
+        return array("I", self.tokenizer.encode(unit, add_special_tokens=False).ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[array]:
-        units = [[t] if any(c in t for c in UNSURE) else UNIT.findall(t) for t in texts]
-        known = self.cache.lookup([u for us in units for u in us])
-        out = []
-        for us in units:
+        out, get = [], self.units.__getitem__
+        for t in texts:
             out.append(ids := array("I"))
-            ids.frombytes(b"".join(map(known.__getitem__, us)))
+            ids.frombytes(b"".join(map(get, [t] if any(c in t for c in UNSURE) else UNIT.findall(t))))
         return out
 
     def decode(self, ids: array) -> str:

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -83,3 +84,49 @@ class SegmentCache:
         short = {k: v for k, v in found.items() if len(k) <= self.longest}
         self.known.update(short)
         return self.known if len(short) == len(found) else {**self.known, **found}
+
+
+# fixed values: the byte-level alphabet of public tokenizers, a printable character for each byte
+PRINTED = {b: chr(b) for b in [*range(33, 127), *range(161, 173), *range(174, 256)]}
+PRINTED |= {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in PRINTED)}
+
+
+#: ASCII marks but the apostrophe (contractions) and < (added tokens).
+MARKS = "!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
+
+
+def plain(letters: str) -> bool:
+    """Whether these are Latin letters whose lower case is a letter each: the
+    patterns of byte-level tokenizers never part them."""
+    return letters.isalpha() and (letters.isascii() or max(letters) < "\u0130")
+
+
+class Known(dict):
+    """A dict that makes missing values; it is emptied at ``entries`` of them
+    and keeps no key of over ``longest`` characters, so it stays bounded.
+    Kept per Python worker, it spans tasks."""
+
+    def __init__(self, make, entries: int = 200_000, longest: int = 64):
+        super().__init__()
+        self.make, self.entries, self.longest = make, entries, longest
+
+    def __missing__(self, key: str):
+        value = self.make(key)
+        if len(self) >= self.entries:
+            self.clear()
+        if len(key) <= self.longest:
+            self[key] = value
+        return value
+
+
+class Pretokens(Known):
+    """Ids, as little-endian bytes, of what the merges of a byte-level
+    tokenizer see as one string; from the library's own model."""
+
+    def __init__(self, tokenizer, **bounds):
+        tokenize = tokenizer.model.tokenize
+
+        def make(text: str) -> bytes:
+            return array("I", [t.id for t in tokenize(text.encode().decode("latin-1").translate(PRINTED))]).tobytes()
+
+        super().__init__(make, **bounds)
