@@ -6,6 +6,9 @@ these as defaults and accept any other table of the same shape.
 
 # --- FIXED VALUES (must match the study) -----------------------------------
 
+# The currency that amounts are converted to.
+BASE_CURRENCY = "KZT"
+
 # Currency conversion to KZT, checked in this order against the upper-cased
 # currency code by substring; anything else is left unconverted.
 CURRENCY_RULES = [
@@ -125,6 +128,9 @@ EFFORT_HOURS = {"redis": "20", "mongodb": "30", "elasticsearch": "40"}
 EFFORT_GROUP = (["docker", "kubernetes", "ci/cd"], "40-60")
 EFFORT_DEFAULT = "30-50"
 
+# Rows that a sample for a test holds at most.
+SAMPLE_ROWS = 5000
+
 # Model settings of the valuation study.
 RIDGE_ALPHA = 1.0
 LASSO_ALPHA = 1.0
@@ -141,5 +147,6 @@ TOP_N_SKILLS = 50
 IQR_K = 1.5
 MIN_SUPPORT = 0.05
 MIN_CONFIDENCE = 0.5
+KMEANS_STARTS = 10
 KMEANS_K = 2
 KMEANS_SWEEP = list(range(2, 11))

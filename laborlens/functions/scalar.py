@@ -21,18 +21,21 @@ def range_midpoint(lo, hi) -> Column:
     return F.when(lo.isNotNull() & hi.isNotNull(), (lo + hi) / 2).otherwise(F.coalesce(lo, hi))
 
 
-def to_base_currency(amount, currency, rules=K.CURRENCY_RULES, unknown: str = "keep") -> Column:
+def to_base_currency(amount, currency, rules=K.CURRENCY_RULES, unknown: str = "keep",
+                     base: str = K.BASE_CURRENCY) -> Column:
     """Ordered substring rules on the upper-cased code; the first rule that
-    matches gives the rate.  ``unknown='keep'`` leaves other codes unconverted,
-    ``'null'`` nulls them."""
+    matches gives the rate.  A missing code and the base currency itself count
+    at rate 1.  ``unknown='keep'`` leaves other codes unconverted, ``'null'``
+    nulls them."""
     amount = _c(amount)
     code = F.upper(F.coalesce(_c(currency).cast("string"), F.lit("NAN")))
     expr = None
     for subs, rate in rules:
         cond = reduce(lambda a, b: a | b, [code.contains(s) for s in subs])
         expr = F.when(cond, amount * F.lit(float(rate))) if expr is None else expr.when(cond, amount * F.lit(float(rate)))
-    fallback = amount if unknown == "keep" else F.lit(None).cast("double")
-    return expr.otherwise(fallback)
+    if unknown == "null":
+        expr = expr.when(code.contains(base) | (code == "NAN"), amount)
+    return expr.otherwise(amount if unknown == "keep" else F.lit(None).cast("double"))
 
 
 def normalize_category(col, rules=K.CITY_RULES, default: str = K.CITY_DEFAULT) -> Column:

@@ -1,11 +1,10 @@
 """Batch career advisor (B-series): one row per profile, any number of
 profiles.
 
-Small model-side tables (coefficients, premiums, demand) are folded into a
-one-row table of maps / ranked arrays, bounded by the number of features,
-and crossed with the profiles; every profile is then scored with array
-higher-order functions in its own row: no shuffle by user, no
-profile x skill pair table.
+Coefficients, premiums and demand of the models' feature skills (at most 50,
+which is asserted) are folded into a one-row table and crossed with the
+profiles; every profile is then scored with array higher-order functions in
+its own row: no shuffle by user, no profile x skill pair table.
 """
 from __future__ import annotations
 
@@ -33,13 +32,6 @@ def with_valid_skills(profiles: DataFrame, feature_skills: DataFrame, item: str
                     T.not_in_vocab(parsed, F.col("_vocab")).alias("unrecognised")).drop("_vocab")
 
 
-def _ranked_list(premiums: DataFrame) -> DataFrame:
-    """One row: skills by premium desc (ties skill asc) and a skill->premium map."""
-    s = premiums.agg(F.sort_array(F.collect_list(F.struct((-F.col("premium")).alias("k"), F.col("skill")))).alias("_s"),
-                     F.map_from_entries(F.collect_list(F.struct("skill", "premium"))).alias("_pm"))
-    return s.select(F.transform("_s", lambda x: x["skill"]).alias("_ranked"), "_pm")
-
-
 def curriculum_status(skill) -> F.Column:
     """Taught / gap / other by the lower-cased, '_'-joined skill."""
     s = F.replace(F.lower(skill if not isinstance(skill, str) else F.col(skill)), F.lit(" "), F.lit("_"))
@@ -47,77 +39,91 @@ def curriculum_status(skill) -> F.Column:
             .when(s.isin(K.CRITICAL_GAPS), F.lit("gap")).otherwise(F.lit("other")))
 
 
-def skill_breakdown(prof: DataFrame, premiums: DataFrame) -> DataFrame:
+def market_list(premiums: DataFrame, demand: DataFrame | None = None, most: int = K.TOP_N_SKILLS) -> DataFrame:
+    """One row: the feature skills by premium (highest first, ties by name)
+    as an array of structs with premium, market frequency (0 when unknown),
+    tier and curriculum status, made once for all profiles.  ``premiums``
+    must hold the models' feature skills only; more than ``most`` is an
+    error, so the row that is broadcast is bounded."""
+    p = premiums.select("skill", "premium")
+    if demand is not None:
+        p = p.join(demand.select(F.col("slug").alias("skill"), "market_pct"), "skill", "left")
+    freq = F.coalesce("market_pct", F.lit(0.0)) if demand is not None else F.lit(0.0)
+    x = F.struct((-F.col("premium")).alias("order"), "skill", "premium", freq.alias("frequency"),
+                 S.band("premium", *K.PREMIUM_BANDS).alias("tier"), curriculum_status(F.col("skill")).alias("status"))
+    one = p.agg(F.sort_array(F.collect_list(x)).alias("_market"), F.count(F.lit(1)).alias("_k"))
+    return one.select(F.when(F.col("_k") <= most, F.col("_market")).otherwise(
+        F.raise_error(F.lit(f"more than {most} feature skills")).cast(one.schema["_market"].dataType)).alias("_market"))
+
+
+def _held(x):
+    return F.array_contains("skills", x["skill"])
+
+
+def skill_breakdown(prof: DataFrame, market: DataFrame) -> DataFrame:
     """B4 (+J1, A19): the profile's skills that have a premium, with premium
     and curriculum status; one row per (user, skill)."""
-    r = _ranked_list(premiums)
-    j = prof.crossJoin(F.broadcast(r))
-    held = F.filter("_ranked", lambda s: F.array_contains("skills", s))
-    e = j.select("user_id", F.posexplode(held).alias("pos", "skill"), "_pm")
-    return e.select("user_id", "skill", F.element_at("_pm", F.col("skill")).alias("premium"),
-                    curriculum_status(F.col("skill")).alias("status"), (F.col("pos") + 1).alias("rank"))
+    j = prof.select("user_id", "skills").crossJoin(F.broadcast(market))
+    e = j.select("user_id", F.posexplode(F.filter("_market", _held)).alias("pos", "m"))
+    return e.select("user_id", "m.skill", "m.premium", "m.status", (F.col("pos") + 1).alias("rank"))
 
 
-def total_premium(prof: DataFrame, premiums: DataFrame) -> DataFrame:
+def total_premium(prof: DataFrame, market: DataFrame) -> DataFrame:
     """Sum of premiums of the skills held, per profile (in-row)."""
-    r = _ranked_list(premiums)
-    j = prof.crossJoin(F.broadcast(r))
-    vals = F.transform(F.filter("skills", lambda s: F.map_contains_key("_pm", s)), lambda s: F.element_at("_pm", s))
-    return j.select("user_id", F.size(vals).cast("bigint").alias("n_with_premium"),
-                    F.aggregate(vals, F.lit(0.0), lambda a, b: a + b).alias("total_premium"))
+    j = prof.select("user_id", "skills").crossJoin(F.broadcast(market))
+    held = F.filter("_market", _held)
+    return j.select("user_id", F.size(held).cast("bigint").alias("n_with_premium"),
+                    F.aggregate(held, F.lit(0.0), lambda a, x: a + x["premium"]).alias("total_premium"))
 
 
 def career_path(prof: DataFrame, paths=K.CAREER_PATHS, default: str = K.CAREER_PATH_DEFAULT) -> DataFrame:
-    """Share of each path's list held; the first path wins only when
-    strictly greater, else the default; with have / to-master lists (B7)."""
-    (n1, l1), (n2, l2) = paths
-    a1, a2 = T.str_array(l1), T.str_array(l2)
-    c1 = F.size(F.filter(F.col("skills"), lambda s: F.array_contains(a1, s))) / len(l1) * 100.0
-    c2 = F.size(F.filter(F.col("skills"), lambda s: F.array_contains(a2, s))) / len(l2) * 100.0
-    pick1 = c1 > c2
-    lst = F.when(pick1, a1).otherwise(a2)
-    return prof.select(
-        "user_id", F.when(pick1, F.lit(n1)).otherwise(F.lit(default)).alias("path"),
-        F.when(pick1, c1).otherwise(c2).alias("match_pct"),
-        F.array_join(F.filter(F.col("skills"), lambda s: F.array_contains(lst, s)), "|").alias("have"),
-        F.array_join(F.filter(lst, lambda s: ~F.array_contains("skills", s)), "|").alias("to_master"))
-
-
-def recommend_skills(prof: DataFrame, premiums: DataFrame, demand: DataFrame, k: int = 15) -> DataFrame:
+    """Share of each path's list held, for any number of paths; a path
+    wins only when its share is strictly greater than every other's, else
+    the default; with have / to-master lists (B7)."""
+    names = [n for n, _ in paths]
+    base = names.index(default)
+    each = F.array(*[F.struct((F.size(F.array_intersect("skills", T.str_array(ls))) / len(ls) * 100.0).alias("share"),
+                              F.lit(n).alias("path"), T.str_array(ls).alias("needs")) for n, ls in paths])
+    p = prof.select("user_id", "skills", each.alias("_p"))
+    best = F.array_max(F.transform("_p", lambda x: x["share"]))
+    top = F.filter("_p", lambda x: x["share"] == best)
+    p = p.withColumn("_w", F.when(F.size(top) == 1, top[0]).otherwise(F.col("_p")[base]))
+    return p.select(
+        "user_id", F.col("_w.path").alias("path"), F.col("_w.share").alias("match_pct"),
+        F.array_join(F.filter("skills", lambda s: F.array_contains("_w.needs", s)), "|").alias("have"),
+        F.array_join(F.filter("_w.needs", lambda s: ~F.array_contains("skills", s)), "|").alias("to_master"))
+
+
+def recommend_skills(prof: DataFrame, market: DataFrame, k: int = 15) -> DataFrame:
     """B8 (+J2, J3, C17): the k highest-premium skills the profile lacks,
-    with market frequency (0 when unknown), tier and curriculum status."""
-    r = _ranked_list(premiums)
-    dm = demand.agg(F.map_from_entries(F.collect_list(F.struct("slug", "market_pct"))).alias("_dm"))
-    j = prof.crossJoin(F.broadcast(r)).crossJoin(F.broadcast(dm))
-    lacking = F.slice(F.filter("_ranked", lambda s: ~F.array_contains("skills", s)), 1, k)
-    e = j.select("user_id", F.posexplode(lacking).alias("pos", "skill"), "_pm", "_dm")
-    prem = F.element_at("_pm", F.col("skill"))
-    return e.select("user_id", (F.col("pos") + 1).alias("rank"), "skill", prem.alias("premium"),
-                    F.coalesce(F.element_at("_dm", F.col("skill")), F.lit(0.0)).alias("frequency"),
-                    S.band(prem, *K.PREMIUM_BANDS).alias("tier"), curriculum_status(F.col("skill")).alias("status"))
-
-
-def critical_gaps(prof: DataFrame, premiums: DataFrame, demand: DataFrame) -> DataFrame:
+    with market frequency, tier and curriculum status."""
+    j = prof.select("user_id", "skills").crossJoin(F.broadcast(market))
+    lacking = F.slice(F.filter("_market", lambda x: ~_held(x)), 1, k)
+    e = j.select("user_id", F.posexplode(lacking).alias("pos", "m"))
+    return e.select("user_id", (F.col("pos") + 1).alias("rank"), "m.skill", "m.premium", "m.frequency", "m.tier", "m.status")
+
+
+def critical_gaps(prof: DataFrame, market: DataFrame) -> DataFrame:
     """Critical-gap skills the profile lacks that have a premium, with
     premium and demand (no premium -> not listed)."""
-    r = _ranked_list(premiums)
-    dm = demand.agg(F.map_from_entries(F.collect_list(F.struct("slug", "market_pct"))).alias("_dm"))
-    j = prof.crossJoin(F.broadcast(r)).crossJoin(F.broadcast(dm))
-    gaps = F.filter(T.str_array(K.CRITICAL_GAPS), lambda s: ~F.array_contains("skills", s) & F.map_contains_key("_pm", s))
-    e = j.select("user_id", F.explode(gaps).alias("skill"), "_pm", "_dm")
-    return e.select("user_id", "skill", F.element_at("_pm", F.col("skill")).alias("premium"),
-                    F.coalesce(F.element_at("_dm", F.col("skill")), F.lit(0.0)).alias("frequency"))
-
-
-def curriculum_todo(prof: DataFrame, premiums: DataFrame, max_n: int = 10) -> DataFrame:
-    """Taught skills not mastered that have a premium; listed only when
-    there are at most ``max_n`` of them."""
-    r = _ranked_list(premiums)
-    j = prof.crossJoin(F.broadcast(r))
-    todo = F.filter(T.str_array(K.ADVISOR_TAUGHT), lambda s: ~F.array_contains("skills", s) & F.map_contains_key("_pm", s))
-    t = j.select("user_id", todo.alias("_todo"), "_pm").where((F.size("_todo") > 0) & (F.size("_todo") <= max_n))
-    e = t.select("user_id", F.posexplode("_todo").alias("pos", "skill"), "_pm")
-    return e.select("user_id", (F.col("pos") + 1).alias("rank"), "skill", F.element_at("_pm", F.col("skill")).alias("premium"))
+    j = prof.select("user_id", "skills").crossJoin(F.broadcast(market))
+    gaps = F.filter("_market", lambda x: x["skill"].isin(K.CRITICAL_GAPS) & ~_held(x))
+    return j.select("user_id", F.explode(gaps).alias("m")).select("user_id", "m.skill", "m.premium", "m.frequency")
+
+
+def curriculum_todo(prof: DataFrame, market: DataFrame, max_n: int = 10) -> DataFrame:
+    """Taught skills not mastered that have a premium, in curriculum
+    order, with their number; ``shown`` is false where the study leaves the
+    list out because it has more than ``max_n``."""
+    j = prof.select("user_id", "skills").crossJoin(F.broadcast(market))
+    order = T.str_array(K.ADVISOR_TAUGHT)
+    todo = F.filter("_market", lambda x: F.array_contains(order, x["skill"]) & ~_held(x))
+    todo = F.array_sort(F.transform(todo, lambda x: F.struct(F.array_position(order, x["skill"]).alias("at"), x["skill"].alias("skill"),
+                                                             x["premium"].alias("premium"))))
+    e = j.select("user_id", todo.alias("_todo")).select("user_id", F.size("_todo").cast("bigint").alias("n_todo"),
+                                                        F.posexplode("_todo").alias("pos", "m"))
+    return e.select("user_id", (F.col("pos") + 1).alias("rank"), "m.skill", "m.premium", "n_todo",
+                    (F.col("n_todo") <= max_n).alias("shown"))
 
 
 def action_plan(recs: DataFrame, n: int = 3) -> DataFrame:

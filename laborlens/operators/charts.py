@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import tails
-from .quantiles import quantiles, rank_within
+from .quantiles import positions, quantiles
 
 
 def histogram(df: DataFrame, y: str, bins: int = 50) -> DataFrame:
@@ -40,9 +40,9 @@ def box_stats(df: DataFrame, by: str, y: str, k: float = 1.5, approx: bool = Fal
 def qq_points(df: DataFrame, y: str) -> DataFrame:
     """V3: ordered values against normal quantiles at Filliben's plotting
     positions (the probability-plot convention), plus the least-squares fit
-    of value on quantile.  Ranks come from the range-partitioned ranking."""
-    r = rank_within(df.select(y), [], y)
-    i = (F.col("_rank") + 1).cast("double")
+    of value on quantile.  Positions come from the counted distinct values."""
+    r = positions(df, y)
+    i = F.col("position").cast("double")
     n = F.col("_n").cast("double")
     last = F.pow(F.lit(0.5), F.lit(1.0) / n)
     m = (F.when(i == n, last).when(i == 1, F.lit(1.0) - last)
@@ -55,22 +55,26 @@ def qq_points(df: DataFrame, y: str) -> DataFrame:
 
 def density_curve(df: DataFrame, by: str, y: str, grid: int = 50) -> DataFrame:
     """V4: Gaussian kernel density per group on ``grid`` points between the
-    group's min and max, bandwidth by Scott's rule (sd * n^(-1/5)).  Each
-    row contributes to the fixed grid (a bounded explode), then one grouped
-    sum with partial aggregation."""
+    group's min and max, bandwidth by Scott's rule (sd * n^(-1/5)).  One
+    aggregate holds a kernel sum per grid point; its single row per group is
+    unpivoted, rows are not multiplied."""
     d = df.where(F.col(by).isNotNull() & F.col(y).isNotNull()).select(by, y)
     s = d.groupBy(by).agg(F.count(F.lit(1)).alias("_n"), F.stddev_samp(y).alias("_sd"),
                           F.min(y).alias("_lo"), F.max(y).alias("_hi"))
     s = s.withColumn("_h", F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2)))
     j = d.join(s.where(F.col("_h") > 0), by)
-    j = j.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
-    x = F.col("_lo") + F.col("g") * (F.col("_hi") - F.col("_lo")) / (grid - 1)
-    z = (x - F.col(y)) / F.col("_h")
-    k = F.exp(-0.5 * z * z)
-    agg = j.groupBy(by, "g", "_n", "_h", "_lo", "_hi").agg(F.sum(k).alias("_k"))
-    x2 = F.col("_lo") + F.col("g") * (F.col("_hi") - F.col("_lo")) / (grid - 1)
-    return agg.select(by, "g", x2.alias("x"),
-                      (F.col("_k") / (F.col("_n") * F.col("_h") * math.sqrt(2 * math.pi))).alias("density"))
+
+    def x(g: int):
+        return F.col("_lo") + g * (F.col("_hi") - F.col("_lo")) / (grid - 1)
+
+    def kernel(g: int):
+        z = (x(g) - F.col(y)) / F.col("_h")
+        return F.exp(-0.5 * z * z)
+
+    agg = j.groupBy(by, "_n", "_h", "_lo", "_hi").agg(*[F.sum(kernel(g)).alias(f"_k{g}") for g in range(grid)])
+    points = F.array(*[F.struct(F.lit(g).alias("g"), x(g).alias("x"), F.col(f"_k{g}").alias("k")) for g in range(grid)])
+    return agg.select(by, "_n", "_h", F.explode(points).alias("p")).select(
+        by, "p.g", "p.x", (F.col("p.k") / (F.col("_n") * F.col("_h") * math.sqrt(2 * math.pi))).alias("density"))
 
 
 def mean_sd_series(stats: DataFrame, by: str) -> DataFrame:

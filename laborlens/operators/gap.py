@@ -22,8 +22,9 @@ def flag_taught(df: DataFrame, col: str, taught) -> DataFrame:
 
 
 def skill_demand(long: DataFrame, n_rows: DataFrame) -> DataFrame:
-    """Percent of rows having each skill slug."""
-    g = long.groupBy("skill").agg(F.countDistinct("vacancy_id").alias("n"))
+    """Percent of rows having each skill slug (``long``: a row per posting
+    and distinct slug)."""
+    g = long.groupBy("skill").agg(F.count(F.lit(1)).alias("n"))
     return g.crossJoin(F.broadcast(n_rows)).select(F.col("skill").alias("slug"), S.pct("n", "_n").alias("market_pct"))
 
 

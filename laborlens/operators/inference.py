@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import tails
-from .quantiles import quantiles
+from .quantiles import quantiles, value_counts
 
 
 def group_moments(df: DataFrame, by: str, y: str) -> DataFrame:
@@ -30,7 +30,8 @@ def anova_from_moments(m: DataFrame) -> DataFrame:
               F.first("n_total").alias("n_total"), F.first("k_groups").alias("k_groups"))
     df1 = F.col("k_groups") - 1
     df2 = F.col("n_total") - F.col("k_groups")
-    f = F.try_divide(F.col("ssb") / df1, F.col("ssw") / df2)
+    # one group, or one row per group, has no F: null, not an error
+    f = F.try_divide(F.try_divide(F.col("ssb"), df1), F.try_divide(F.col("ssw"), df2))
     return s.select(f.alias("f_stat"), df1.cast("bigint").alias("df_between"), df2.cast("bigint").alias("df_within"),
                     tails.f_sf(f, df1, df2).alias("p_value"))
 
@@ -52,7 +53,7 @@ def levene(df: DataFrame, by: str, y: str, approx: bool = False) -> DataFrame:
 
 def pooled_t(n1, m1, v1, n2, m2, v2) -> tuple[Column, Column]:
     df = n1 + n2 - 2
-    sp2 = ((n1 - 1) * v1 + (n2 - 1) * v2) / df
+    sp2 = F.try_divide((n1 - 1) * v1 + (n2 - 1) * v2, df)
     t = F.try_divide(m1 - m2, F.sqrt(sp2 * (F.lit(1.0) / n1 + F.lit(1.0) / n2)))
     return t, df
 
@@ -60,7 +61,7 @@ def pooled_t(n1, m1, v1, n2, m2, v2) -> tuple[Column, Column]:
 def welch_t(n1, m1, v1, n2, m2, v2) -> tuple[Column, Column]:
     a, b = v1 / n1, v2 / n2
     t = F.try_divide(m1 - m2, F.sqrt(a + b))
-    df = F.try_divide((a + b) ** 2, a * a / (n1 - 1) + b * b / (n2 - 1))
+    df = F.try_divide((a + b) ** 2, F.try_divide(a * a, n1 - 1) + F.try_divide(b * b, n2 - 1))
     return t, df
 
 
@@ -131,40 +132,35 @@ def jarque_bera(df: DataFrame, y: str) -> DataFrame:
                     (tails.chi2_sf_2df(jb) > 0.05).alias("normal"))
 
 
-def correlation_pairs(vec: DataFrame, arr: str, k: int, names: DataFrame, nullable: Sequence[int] = (0,)) -> DataFrame:
+def correlation_pairs(vec: DataFrame, arr: str, k: int, names: DataFrame) -> DataFrame:
     """Pairwise-complete Pearson r for every pair (i < j) of the ``k``
-    positions of a numeric array column.  Positions in ``nullable`` may be
-    null; all others never are.  Each correlation matrix is MLlib's
-    ``Correlation`` (a tree-aggregated Gram matrix): one pass over the
-    complete positions on all rows, plus one pass per nullable position on
-    the rows where it is present.  Only the k x k matrices (a summary) reach
-    the driver.  ``names`` (pos, name) labels positions (1-based)."""
-    from pyspark.ml.functions import array_to_vector
-    from pyspark.ml.stat import Correlation
-
-    spark = vec.sparkSession
-    nullable = sorted(set(nullable))
-    complete = [i for i in range(k) if i not in nullable]
-
-    def corr_of(rows: DataFrame, idx: list[int]):
-        v = rows.select(array_to_vector(F.array(*[F.col(arr)[i].cast("double") for i in idx])).alias("_v"))
-        return Correlation.corr(v, "_v").first()[0].toArray()
-
-    vec = vec.select(arr).persist()
-    out = []
-    m = corr_of(vec, complete)
-    for a_, i in enumerate(complete):
-        for b_, j in enumerate(complete):
-            if i < j:
-                out.append((i + 1, j + 1, float(m[a_][b_])))
-    for i in nullable:
-        idx = [i] + [j for j in range(k) if j != i and j not in nullable]
-        m = corr_of(vec.where(F.col(arr)[i].isNotNull()), idx)
-        for b_, j in enumerate(idx[1:], start=1):
-            out.append((min(i, j) + 1, max(i, j) + 1, float(m[0][b_])))
-    vec.unpersist()
-    long = spark.createDataFrame(out, "p1 int, p2 int, r double").withColumn(
-        "r", F.when(~F.isnan("r"), F.col("r")))
+    positions of a numeric array column, any of which may be null.  One
+    aggregate holds a correlation per pair (its buffers combine before the
+    shuffle); only that row is unpivoted.  A pair with a constant side, or
+    with fewer than two complete rows, has r null.  ``names`` (pos, name)
+    labels positions (1-based)."""
+    pairs = [(i, j) for i in range(k) for j in range(i + 1, k)]
+    if not pairs:
+        return vec.sparkSession.createDataFrame([], "var_1 string, var_2 string, r double")
+    cols = vec.select(*[F.col(arr)[i].cast("double").alias(f"v{i}") for i in range(k)])
+    row = cols.agg(*[safe_corr(F.col(f"v{i}"), F.col(f"v{j}")).alias(f"r{i}_{j}") for i, j in pairs])
+    long = row.select(F.explode(F.array(*[F.struct(F.lit(i + 1).alias("p1"), F.lit(j + 1).alias("p2"), F.col(f"r{i}_{j}").alias("r"))
+                                          for i, j in pairs])).alias("s")).select("s.*")
     n1 = names.select(F.col("pos").alias("p1"), F.col("name").alias("var_1"))
     n2 = names.select(F.col("pos").alias("p2"), F.col("name").alias("var_2"))
-    return long.join(F.broadcast(n1), "p1").join(F.broadcast(n2), "p2").select("var_1", "var_2", "r")
+    return long.join(n1, "p1").join(n2, "p2").select("var_1", "var_2", "r")
+
+
+def kolmogorov_smirnov(df: DataFrame, y: str) -> DataFrame:
+    """T1, second half: the largest distance between the distribution of
+    ``y`` and the normal one with its mean and (sample) sd, over the whole
+    column; p by the asymptotic Kolmogorov series.  Distinct values are
+    counted and ranked, rows are not sorted.  Null on fewer than two rows or
+    a constant column."""
+    v = value_counts(df, [], y)
+    m = df.agg(F.avg(y).alias("_mean"), F.stddev_samp(y).alias("_sd"))
+    z = F.try_divide(F.col(y) - F.col("_mean"), F.col("_sd"))
+    cdf = tails.norm_cdf(z)
+    gap = F.greatest(F.col("_cum") / F.col("_n") - cdf, cdf - (F.col("_cum") - F.col("_c")) / F.col("_n"))
+    s = v.crossJoin(F.broadcast(m)).select(gap.alias("_gap"), "_n").agg(F.max("_gap").alias("ks_stat"), F.max("_n").alias("n"))
+    return s.select("n", "ks_stat", tails.kolmogorov_sf(F.col("ks_stat") * F.sqrt("n")).alias("p_value"))

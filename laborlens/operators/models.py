@@ -1,9 +1,9 @@
 """Valuation models, imputation, clustering and projection.
 
 Features are assembled without wide columns: the top-N skills of each
-posting become a 0/1 array (long table joined to the ranked top list), then
-``array_to_vector``; area is one-hot with the alphabetically first level
-dropped.  Models are MLlib estimators; metrics are SQL aggregates.
+posting are a 0/1 array made in its own row, then ``array_to_vector``; area
+is one-hot with the alphabetically first level dropped.  Models are MLlib
+estimators; metrics are SQL aggregates.
 """
 from __future__ import annotations
 
@@ -18,43 +18,32 @@ from .. import constants as K
 def hash_split(df: DataFrame, key: str, train_fraction: float = K.TRAIN_FRACTION, seed: int = K.SPLIT_SEED) -> DataFrame:
     """M1: ``is_train`` from a seeded hash of the key: the same split under
     any partitioning or re-execution (unlike ``randomSplit``)."""
-    return df.withColumn("is_train", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(100)) < int(round(train_fraction * 100)))
-
-
-def skill_vector(rows: DataFrame, long: DataFrame, top: DataFrame, key: str = "vacancy_id",
-                 item: str = "skill", out: str = "skills_arr") -> DataFrame:
-    """0/1 array over the ranked top items, per row (rows without items get
-    all zeros)."""
-    names = top.agg(F.sort_array(F.collect_list(F.struct("rank", item))).alias("_top"))
-    have = long.join(top.select(item), item).groupBy(key).agg(F.collect_set(item).alias("_have"))
-    j = rows.join(have, key, "left").crossJoin(F.broadcast(names))
-    arr = F.transform("_top", lambda t: F.when(F.array_contains(F.coalesce("_have", F.array().cast("array<string>")), t[item]),
-                                               F.lit(1.0)).otherwise(F.lit(0.0)))
-    return j.withColumn(out, arr).drop("_have", "_top")
-
-
-def encode_onehot(df: DataFrame, col: str, out: str = "area_vec"):
-    """One-hot with the alphabetically first level dropped; returns the
-    fitted pipeline and the transformed frame.  Unseen levels at scoring
-    time must be mapped to the base level (all zeros) before transform."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer
-
-    pipe = Pipeline(stages=[
-        StringIndexer(inputCol=col, outputCol=f"_{col}_idx", stringOrderType="alphabetDesc"),
-        OneHotEncoder(inputCols=[f"_{col}_idx"], outputCols=[out], dropLast=True),
-    ])
-    model = pipe.fit(df)
-    return model, model.transform(df).drop(f"_{col}_idx")
-
-
-def assemble(df: DataFrame, arr: str, extra: Sequence[str], out: str = "features") -> DataFrame:
-    from pyspark.ml.feature import VectorAssembler
+    digits = F.substring(F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))), 1, 8)
+    return df.withColumn("is_train", F.conv(digits, 16, 10).cast("bigint") % 100 < int(round(train_fraction * 100)))
+
+
+def levels_of(df: DataFrame, col: str, most: int = 1000) -> list[str]:
+    """The distinct values of a category column, last in the alphabet first;
+    more than ``most`` is an error, as they become columns of a model."""
+    got = [r[0] for r in df.where(F.col(col).isNotNull()).select(col).distinct().limit(most + 1).collect()]
+    if len(got) > most:
+        raise ValueError(f"{col} has more than {most} levels")
+    return sorted(got, reverse=True)
+
+
+def encode_onehot(df: DataFrame, col: str, levels: Sequence[str], out: str = "area_vec") -> DataFrame:
+    """A 0/1 array over ``levels`` without the last, the base level.
+    The base level, a null and any level not seen when the levels were taken
+    are all zeros."""
+    return df.withColumn(out, F.array(*[F.coalesce((F.col(col) == v).cast("double"), F.lit(0.0)) for v in levels[:-1]])
+                         .cast("array<double>"))
+
+
+def assemble(df: DataFrame, arrays: Sequence, out: str = "features") -> DataFrame:
+    """The feature vector: numeric arrays, one after another."""
     from pyspark.ml.functions import array_to_vector
 
-    d = df.withColumn("_skills_vec", array_to_vector(F.col(arr)))
-    va = VectorAssembler(inputCols=["_skills_vec", *extra], outputCol=out)
-    return va.transform(d).drop("_skills_vec")
+    return df.withColumn(out, array_to_vector(F.concat(*arrays)))
 
 
 def label_scale(train: DataFrame, label: str, ddof: int = 0):
@@ -115,6 +104,13 @@ def regression_metrics(pred: DataFrame, y: str, yhat: str = "prediction") -> Dat
     return s.select("rmse", "mae", (F.lit(1.0) - F.try_divide(F.col("_sse"), F.col("_v") * F.col("_n"))).alias("r2"))
 
 
+def attach_predictions(rows: DataFrame, predictions: DataFrame, y: str, key: str = "vacancy_id") -> DataFrame:
+    """The observed value where there is one, else the prediction; rows
+    without either stay, with null."""
+    j = rows.select(key, y).join(predictions.select(key, "prediction"), key, "left")
+    return j.select(key, F.coalesce(y, "prediction").alias("salary_imputed"), F.col(y).isNull().alias("is_imputed"))
+
+
 def contiguous_folds(df: DataFrame, key: str, k: int = K.CV_FOLDS) -> DataFrame:
     """Fold id 0..k-1 by key order, contiguous like an unshuffled K-fold
     (the first n % k folds one row larger).  Ranks come from the
@@ -130,18 +126,20 @@ def contiguous_folds(df: DataFrame, key: str, k: int = K.CV_FOLDS) -> DataFrame:
     return r.withColumn("fold", fold.cast("int")).drop("_rank", "_n")
 
 
-def cross_validate(df: DataFrame, label: str, fit, k: int = K.CV_FOLDS, key: str = "vacancy_id") -> DataFrame:
-    """M7: R^2 per fold (train on the other folds), mean and population sd."""
+def cross_validate(df: DataFrame, label: str, fits: dict, k: int = K.CV_FOLDS, key: str = "vacancy_id") -> DataFrame:
+    """M7: per model (``fits``: name -> function) the R^2 of each fold,
+    trained on the other folds: their mean, population sd and number.  The
+    folds are cut once for all models."""
     folded = contiguous_folds(df, key, k).persist()
     rows = []
-    for f in range(k):
-        model = fit(folded.where(F.col("fold") != f), label)
-        m = regression_metrics(model.transform(folded.where(F.col("fold") == f)), label).first()
-        rows.append((f, float(m["r2"]) if m["r2"] is not None else None))
+    for name, fit in fits.items():
+        for f in range(k):
+            model = fit(folded.where(F.col("fold") != f), label)
+            m = regression_metrics(model.transform(folded.where(F.col("fold") == f)), label).first()
+            rows.append((name, f, float(m["r2"]) if m["r2"] is not None else None))
     folded.unpersist()
-    spark = df.sparkSession
-    r = spark.createDataFrame(rows, "fold int, r2 double")
-    return r.agg(F.avg("r2").alias("cv_mean"), F.stddev_pop("r2").alias("cv_std"), F.count("r2").alias("folds"))
+    r = df.sparkSession.createDataFrame(rows, "model string, fold int, r2 double")
+    return r.groupBy("model").agg(F.avg("r2").alias("cv_mean"), F.stddev_pop("r2").alias("cv_std"), F.count("r2").alias("folds"))
 
 
 def coefficients(model, names: DataFrame, spark) -> DataFrame:
@@ -158,7 +156,8 @@ def importances(model, names: DataFrame, spark) -> DataFrame:
     return names.join(spark.createDataFrame(imp, "pos int, importance double"), "pos")
 
 
-def kmeans_fit(df: DataFrame, k: int, features: str = "features", seed: int = K.SPLIT_SEED, n_init: int = 1):
+def kmeans_fit(df: DataFrame, k: int, features: str = "features", seed: int = K.SPLIT_SEED,
+               n_init: int = K.KMEANS_STARTS):
     """Best of ``n_init`` seeded k-means runs by training cost."""
     from pyspark.ml.clustering import KMeans
 

@@ -2,20 +2,15 @@
 
 ``percentile``/``median`` aggregates keep every distinct value of a group in
 one buffer, and a window ordered over a whole group runs in one task; both
-break when one group holds a third of the rows.  Here a group is spread over
-many range partitions instead:
-
-1. ``repartitionByRange(keys, value)`` + ``sortWithinPartitions`` spreads
-   even a single hot group over many tasks, in global order; the result is
-   checkpointed so every later use sees the same partition cut.
-2. Inside a partition ``monotonically_increasing_id`` counts rows, so a row's
-   position inside its (group, partition) block is ``id - min(id)``.
-3. Block sizes (at most partitions + groups rows) give each block's offset
-   by a running sum over that small table.
-
-Rank = offset + local position.  Quantiles then pick two ranks per group and
-interpolate linearly (the ``quantile_cont`` definition).  ``approx=True``
-switches to ``percentile_approx`` with bounded memory.
+break when one group holds a third of the rows.  Here rows are first counted
+per (group, value), which combines before the shuffle and dissolves ties, so
+a value in 90 % of the rows is one row afterwards.  The distinct values are
+then range-partitioned on (group, value): no two of them are equal, so any
+group is spread evenly over many tasks.  Per (group, partition) the counts
+are summed; a running sum over that small table gives each block's offset,
+and the position of every value follows.  Quantiles pick two positions per
+group and interpolate linearly (the ``quantile_cont`` definition).
+``approx=True`` switches to ``percentile_approx`` with bounded memory.
 """
 from __future__ import annotations
 
@@ -36,45 +31,59 @@ def _blocks_offsets(blocks: DataFrame, keys: Sequence[str], size_col: str) -> Da
 
 
 def sorted_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], partitions: int | None = None) -> DataFrame:
-    """Range-partitioned, sorted rows with partition id ``_p`` and row id ``_i``."""
+    """Range-partitioned, sorted rows with partition id ``_p`` and row id
+    ``_i``.  ``order`` should tell rows of a group apart: equal rows can't
+    be split over partitions."""
     n = partitions or shuffle_partitions(df.sparkSession)
     s = df.repartitionByRange(n, *keys, *order).sortWithinPartitions(*keys, *order)
     s = s.withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id())
     # Range bounds are sampled with a seed tied to the RDD id, so two
     # executions of this plan can cut partitions differently.  The rows and
-    # the per-block statistics must see the same cut: a reliable checkpoint
-    # in the shared checkpoint folder fixes it once (and survives executor
-    # loss, unlike a cache).
+    # the per-block sums must see the same cut: a reliable checkpoint in the
+    # shared folder fixes it once (and survives executor loss).
     checkpoint_root(df.sparkSession)
     return s.checkpoint(eager=True)
 
 
+def value_counts(df: DataFrame, keys: Sequence[str], value: str, partitions: int | None = None) -> DataFrame:
+    """A row per group and distinct non-null value: ``_c`` rows have it,
+    ``_cum`` rows have it or a smaller one, ``_n`` rows are in the group."""
+    keys = list(keys)
+    d = df.select(*keys, value).where(F.col(value).isNotNull())
+    for k in keys:
+        d = d.where(F.col(k).isNotNull())
+    return running_sum(d.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c")), keys, [value], "_c", partitions)
+
+
 def rank_within(df: DataFrame, keys: Sequence[str], value: str, partitions: int | None = None) -> DataFrame:
     """Rows with non-null keys and ``value``, plus ``_rank`` (0-based position
-    in ascending ``value`` order inside the group) and ``_n`` (group size)."""
+    in ascending ``value`` order inside the group) and ``_n`` (group size).
+    Ties are told apart by a hash of the row, so they spread over tasks."""
     keys = list(keys)
-    cond = F.col(value).isNotNull()
+    d = df.where(F.col(value).isNotNull())
     for k in keys:
-        cond = cond & F.col(k).isNotNull()
-    s = sorted_blocks(df.where(cond), keys, [value], partitions)
+        d = d.where(F.col(k).isNotNull())
+    s = sorted_blocks(d.withColumn("_t", F.xxhash64(*df.columns, F.monotonically_increasing_id())), keys, [value, "_t"], partitions)
     blocks = s.groupBy(*keys, "_p").agg(F.count(F.lit(1)).alias("_c"), F.min("_i").alias("_m"))
     blocks = _blocks_offsets(blocks, keys, "_c").drop("_c")
     return (s.join(blocks, [*keys, "_p"])
             .withColumn("_rank", F.col("_off") + F.col("_i") - F.col("_m"))
-            .drop("_p", "_i", "_m", "_off"))
+            .drop("_p", "_i", "_m", "_off", "_t"))
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], weight: str,
                 partitions: int | None = None) -> DataFrame:
-    """Adds ``_cum``: sum of ``weight`` over rows up to and including this one
-    in ``order`` within ``keys``.  The per-row part is a window per
-    (group, range partition); block totals are carried by the offsets."""
+    """Adds ``_cum``, the sum of ``weight`` over rows up to and including this
+    one in ``order`` within ``keys``, and ``_n``, the sum over the group.  The
+    per-row part is a window per (group, range partition); block totals are
+    carried by the offsets.  Rows that are equal in ``keys`` and ``order``
+    stay in one partition, so count them first."""
     keys = list(keys)
     s0 = sorted_blocks(df, keys, order, partitions)
     w = Window.partitionBy(*keys, "_p").orderBy("_i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     s = s0.withColumn("_local", F.sum(weight).over(w))
-    blocks = s0.groupBy(*keys, "_p").agg(F.sum(weight).alias("_c"))
-    blocks = _blocks_offsets(blocks, keys, "_c").drop("_c", "_n")
+    blocks = s0.groupBy(*keys, "_p").agg(F.sum(weight).alias("_w"))
+    blocks = _blocks_offsets(blocks, keys, "_w").drop("_w")
     return (s.join(blocks, [*keys, "_p"])
             .withColumn("_cum", F.col("_off") + F.col("_local"))
             .drop("_p", "_i", "_local", "_off"))
@@ -94,19 +103,19 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str
             cond = cond & F.col(k).isNotNull()
         g = df.where(cond)
         return g.groupBy(*keys).agg(*aggs) if keys else g.agg(*aggs)
-    r = rank_within(df.select(*keys, value), keys, value)
+    v = value_counts(df, keys, value)
     n1 = (F.col("_n") - 1).cast("double")
-    want = None
-    for q in probs.values():
-        h = n1 * F.lit(float(q))
-        c = (F.col("_rank") == F.floor(h)) | (F.col("_rank") == F.ceil(h))
-        want = c if want is None else want | c
-    picked = r.where(want)
-    aggs = [F.first("_n").alias("_n")]
+
+    def holds(position):
+        return (F.col("_cum") - F.col("_c") <= position) & (position < F.col("_cum"))
+
+    want, aggs = F.lit(False), [F.first("_n").alias("_n")]
     for name, q in probs.items():
         h = n1 * F.lit(float(q))
-        aggs.append(F.max(F.when(F.col("_rank") == F.floor(h), F.col(value))).alias(f"_lo_{name}"))
-        aggs.append(F.max(F.when(F.col("_rank") == F.ceil(h), F.col(value))).alias(f"_hi_{name}"))
+        want = want | holds(F.floor(h)) | holds(F.ceil(h))
+        aggs.append(F.max(F.when(holds(F.floor(h)), F.col(value))).alias(f"_lo_{name}"))
+        aggs.append(F.max(F.when(holds(F.ceil(h)), F.col(value))).alias(f"_hi_{name}"))
+    picked = v.where(want)
     g = picked.groupBy(*keys).agg(*aggs) if keys else picked.agg(*aggs)
     cols = list(keys)
     for name, q in probs.items():
@@ -116,26 +125,34 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str
     return g.select(*cols)
 
 
+def positions(df: DataFrame, value: str, keys: Sequence[str] = (), chunk: int = 65_536) -> DataFrame:
+    """Every non-null value once per row that has it, with its 1-based
+    ``position`` in sorted order and the group's size ``_n``.  A value with
+    many rows is cut into chunks that spread over tasks before they unfold."""
+    v = value_counts(df, keys, value)
+    first = F.col("_cum") - F.col("_c") + 1
+    v = v.withColumn("_from", F.explode(F.sequence(first, F.col("_cum"), F.lit(chunk).cast("bigint"))))
+    v = v.repartition(shuffle_partitions(df.sparkSession))
+    upto = F.least(F.col("_from") + chunk - 1, F.col("_cum"))
+    return v.select(*keys, value, "_n", F.explode(F.sequence("_from", upto)).alias("position"))
+
+
 def ecdf(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
     """Every non-null value with its position i/n in sorted order."""
-    r = rank_within(df.select(*keys, value), keys, value)
-    return r.select(*keys, F.col(value), ((F.col("_rank") + 1) / F.col("_n")).alias("ecdf"),
-                    (F.col("_rank") + 1).alias("position"))
+    r = positions(df, value, keys)
+    return r.select(*keys, F.col(value), (F.col("position") / F.col("_n")).alias("ecdf"), "position")
 
 
 def percentile_of_score(market: DataFrame, value: str, scores: DataFrame, score_col: str,
                         id_cols: Sequence[str]) -> DataFrame:
     """For each score row, 100 * (#market rows with value <= score) /
-    (#market rows, nulls included).  Sort-based over the union of both sides,
-    so any number of scores is handled without a broadcast."""
+    (#market rows, nulls included).  Distinct values of both sides are put in
+    one order; any number of scores is handled without a broadcast."""
     total = market.agg(F.count(F.lit(1)).alias("_total"))
-    m = market.where(F.col(value).isNotNull()).select(
-        F.col(value).cast("double").alias("_v"), F.lit(0).alias("_side"),
-        *[F.lit(None).cast(scores.schema[c].dataType).alias(c) for c in id_cols])
-    s = scores.where(F.col(score_col).isNotNull()).select(
-        F.col(score_col).cast("double").alias("_v"), F.lit(1).alias("_side"), *id_cols)
-    u = m.unionByName(s).withColumn("_w", F.when(F.col("_side") == 0, F.lit(1)).otherwise(F.lit(0)))
-    r = running_sum(u, [], ["_v", "_side"], "_w").where(F.col("_side") == 1)
-    return (r.crossJoin(F.broadcast(total))
+    m = market.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_w"))
+    s = scores.where(F.col(score_col).isNotNull()).select(F.col(score_col).cast("double").alias("_v"), *id_cols)
+    both = m.unionByName(s.select("_v").distinct().withColumn("_w", F.lit(0).cast("bigint")))
+    below = running_sum(both.groupBy("_v").agg(F.sum("_w").alias("_w")), [], ["_v"], "_w").select("_v", "_cum")
+    return (s.join(below, "_v").crossJoin(F.broadcast(total))
             .select(*id_cols, F.col("_v").alias(score_col), F.col("_cum").alias("n_le"),
                     (F.col("_cum") / F.col("_total") * 100.0).alias("percentile")))

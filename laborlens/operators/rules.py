@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stage
+
 SEP = "\u0001"
 
 
@@ -24,7 +26,9 @@ def frequent_itemsets(baskets: DataFrame, arr: str, min_support: float) -> DataF
     n = b.agg(F.count(F.lit(1)).alias("_n"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=1.0).fit(b)
     fi = model.freqItemsets.select(F.array_sort("items").alias("items"), "freq")
-    return fi.crossJoin(F.broadcast(n)).select("items", "freq", (F.col("freq") / F.col("_n")).alias("support"))
+    fi = fi.crossJoin(F.broadcast(n)).select("items", "freq", (F.col("freq") / F.col("_n")).alias("support"))
+    # rules look the itemsets up three times: mined once, kept as a (small) table
+    return stage(fi, "itemsets")
 
 
 def association_rules(itemsets: DataFrame, min_confidence: float) -> DataFrame:

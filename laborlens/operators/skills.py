@@ -1,8 +1,9 @@
-"""Operators on the long (posting, skill) table.
+"""Operators on the skills of postings.
 
-The wide 0/1 block of the study becomes a long table; every per-skill
-statistic is then one ``groupBy(skill)`` plus a one-row global aggregate
-(totals minus item sums), never one scan per skill.
+Each row carries its distinct skills as an array.  A statistic per skill
+explodes that array together with the measures it needs, so it is one
+``groupBy(skill)`` without a join; "without the skill" is the total minus
+the skill's own sums.
 """
 from __future__ import annotations
 
@@ -11,13 +12,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import constants as K
 from ..functions import scalar as S
+from ..functions import tails
 
+ARR = "skill_slugs"
 
-def top_items(long: DataFrame, n: int, item: str = "skill", key: str = "vacancy_id") -> DataFrame:
-    """Top-n items by posting count (ties: item ascending) with their rank.
-    ``orderBy().limit()`` plans as a distributed top-k (TakeOrderedAndProject)."""
-    counts = long.groupBy(item).agg(F.countDistinct(key).alias("n_postings"))
+
+def explode_items(rows: DataFrame, *cols: str, arr: str = ARR, item: str = "skill") -> DataFrame:
+    """A row per posting and distinct skill, with the columns asked for."""
+    return rows.select(*cols, F.explode(arr).alias(item))
+
+
+def top_items(long: DataFrame, n: int, item: str = "skill") -> DataFrame:
+    """Top-n items by number of rows (a row per posting and item; ties: item
+    ascending) with their rank.  ``orderBy().limit()`` plans as a
+    distributed top-k, and the window sees at most n rows."""
+    counts = long.groupBy(item).agg(F.count(F.lit(1)).alias("n_postings"))
     top = counts.orderBy(F.desc("n_postings"), F.asc(item)).limit(n)
     return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n_postings"), F.asc(item))))
 
@@ -32,45 +43,46 @@ def item_frequency(long: DataFrame, n_rows: DataFrame, top: int | None = 20, ite
     return g
 
 
-def item_sums(long: DataFrame, rows: DataFrame, y: str, key: str = "vacancy_id", item: str = "skill") -> DataFrame:
-    """Per item: n, sum, sum of squares of ``y`` over rows having the item,
-    plus the whole-table totals (one broadcast row)."""
-    r = rows.where(F.col(y).isNotNull()).select(key, F.col(y).cast("double").alias("_y"))
-    tot = r.agg(F.count(F.lit(1)).alias("n_all"), F.sum("_y").alias("s_all"), F.sum(F.col("_y") * F.col("_y")).alias("ss_all"))
-    per = long.join(r, key).groupBy(item).agg(F.count(F.lit(1)).alias("n_with"), F.sum("_y").alias("s_with"),
-                                               F.sum(F.col("_y") * F.col("_y")).alias("ss_with"))
+def item_sums(rows: DataFrame, y: str, arr: str = ARR, item: str = "skill") -> DataFrame:
+    """Per item: n and sum of ``y`` over rows having the item, plus the
+    whole-table totals (one broadcast row)."""
+    r = rows.where(F.col(y).isNotNull()).select(F.col(y).cast("double").alias("_y"), arr)
+    tot = r.agg(F.count(F.lit(1)).alias("n_all"), F.sum("_y").alias("s_all"), F.var_pop("_y").alias("var_all"))
+    per = explode_items(r, "_y", arr=arr, item=item).groupBy(item).agg(
+        F.count(F.lit(1)).alias("n_with"), F.sum("_y").alias("s_with"))
     return per.crossJoin(F.broadcast(tot))
 
 
-def item_premium_raw(long: DataFrame, rows: DataFrame, y: str, min_n: int = 10, top: int | None = 20,
-                     key: str = "vacancy_id", item: str = "skill") -> DataFrame:
-    """A9 + T7: mean with / without the item, premium, n with, and the
-    point-biserial correlation r = (m1 - m0) / s_pop * sqrt(p q)."""
-    s = item_sums(long, rows, y, key, item)
+def item_premium_raw(rows: DataFrame, y: str, min_n: int = 10, top: int | None = 20, arr: str = ARR,
+                     item: str = "skill") -> DataFrame:
+    """A9 + T7: mean with / without the item, premium, n with, the
+    point-biserial correlation r = (m1 - m0) / s_pop * sqrt(p q) (null on a
+    constant ``y``), its t, two-sided p and significance stars."""
+    s = item_sums(rows, y, arr, item)
     n0 = F.col("n_all") - F.col("n_with")
     m1 = F.col("s_with") / F.col("n_with")
     m0 = F.try_divide(F.col("s_all") - F.col("s_with"), n0)
-    mean_all = F.col("s_all") / F.col("n_all")
-    var_pop = F.col("ss_all") / F.col("n_all") - mean_all * mean_all
     p = F.col("n_with") / F.col("n_all")
-    r = F.try_divide(m1 - m0, F.sqrt(var_pop)) * F.sqrt(p * (F.lit(1.0) - p))
+    # var_pop is a shifted sum of squares: exactly 0 on a constant, never negative
+    r = F.when(F.col("var_all") > 0, F.try_divide(m1 - m0, F.sqrt("var_all")) * F.sqrt(p * (F.lit(1.0) - p)))
     out = s.where((F.col("n_with") > min_n) & (n0 > min_n)).select(
         item, m1.alias("mean_with"), m0.alias("mean_without"), (m1 - m0).alias("premium"),
         F.col("n_with").alias("count_with"), r.alias("correlation"), F.col("n_all"))
+    out = out.withColumn("t_stat", S.try_corr_t("correlation", "n_all"))
+    out = out.withColumn("p_value", tails.t_sf2("t_stat", F.col("n_all") - 2))
+    out = out.withColumn("stars", S.band("p_value", *K.STAR_BANDS))
     if top:
         out = out.orderBy(F.desc("premium"), F.asc(item)).limit(top)
     return out
 
 
-def item_by_group(long: DataFrame, rows: DataFrame, by: str, y: str, items: DataFrame,
-                  min_item_rows: int = 20, min_cell: int = 5, min_groups: int = 2,
-                  key: str = "vacancy_id", item: str = "skill") -> DataFrame:
-    """A10: mean and count of ``y`` per (item, group) for the given items;
-    items with fewer than ``min_item_rows`` rows skipped, cells below
-    ``min_cell`` removed, items left with fewer than ``min_groups`` cells
-    removed.  The windows run on the (item, group) summary."""
-    r = rows.select(key, by, y)
-    j = long.join(F.broadcast(items.select(item)), item).join(r, key)
+def item_by_group(rows: DataFrame, by: str, y: str, items: DataFrame, min_item_rows: int = 20, min_cell: int = 5,
+                  min_groups: int = 2, arr: str = ARR, item: str = "skill") -> DataFrame:
+    """A10: mean and count of ``y`` per (item, group) for the given items (a
+    top-k list); items with fewer than ``min_item_rows`` rows skipped, cells
+    below ``min_cell`` removed, items left with fewer than ``min_groups``
+    cells removed.  The windows run on the (item, group) summary."""
+    j = explode_items(rows, by, y, arr=arr, item=item).join(F.broadcast(items.select(item)), item)
     cell = j.groupBy(item, by).agg(F.avg(y).alias("mean"), F.count(F.lit(1)).alias("_rows"), F.count(y).alias("count"))
     w = Window.partitionBy(item)
     cell = cell.withColumn("_item_rows", F.sum("_rows").over(w))
@@ -79,27 +91,30 @@ def item_by_group(long: DataFrame, rows: DataFrame, by: str, y: str, items: Data
     return cell.where(F.col("_groups") >= min_groups).select(item, by, "mean", "count")
 
 
-def indicator_rates(long: DataFrame, rows: DataFrame, by: str, items: DataFrame | None = None,
-                    key: str = "vacancy_id", item: str = "skill") -> DataFrame:
+def indicator_rates(rows: DataFrame, by: str, items: DataFrame | None = None, arr: str = ARR, item: str = "skill") -> DataFrame:
     """Share of each group's rows having each item (group x item mean
-    of the 0/1 indicator)."""
-    r = rows.where(F.col(by).isNotNull()).select(key, by)
+    of the 0/1 indicator); ``items``: a top-k list."""
+    r = rows.where(F.col(by).isNotNull()).select(by, arr)
     size = r.groupBy(by).agg(F.count(F.lit(1)).alias("_size"))
-    lg = long if items is None else long.join(F.broadcast(items.select(item)), item)
-    cnt = lg.join(r, key).groupBy(by, item).agg(F.count(F.lit(1)).alias("_k"))
+    lg = explode_items(r, by, arr=arr, item=item)
+    if items is not None:
+        lg = lg.join(F.broadcast(items.select(item)), item)
+    cnt = lg.groupBy(by, item).agg(F.count(F.lit(1)).alias("_k"))
     return cnt.join(size, by).select(by, item, (F.col("_k") / F.col("_size")).alias("rate"))
 
 
-def multi_hot(rows: DataFrame, long: DataFrame, top: DataFrame, n: int, key: str = "vacancy_id",
-              item: str = "skill") -> DataFrame:
-    """C11 (long-to-vector form): for each row, a 0/1 string over the top-n
-    items in rank order, built by a join + ``transform``: no wide columns."""
-    names = top.select(F.sort_array(F.collect_list(F.struct("rank", item))).alias("_top"))
-    have = long.join(F.broadcast(top.select(item)), item).groupBy(key).agg(F.collect_set(item).alias("_have"))
-    j = rows.select(key).join(have, key, "left").crossJoin(F.broadcast(names))
-    bits = F.transform("_top", lambda t: F.when(F.array_contains(F.coalesce("_have", F.array().cast("array<string>")), t[item]),
-                                                F.lit("1")).otherwise(F.lit("0")))
-    return j.select(key, F.array_join(bits, "").alias("hot"))
+def hot_array(rows: DataFrame, top: DataFrame, out: str, arr: str = ARR, item: str = "skill") -> DataFrame:
+    """``rows`` with a 0/1 array over the ranked top list: each row compares
+    the list (one row, at most n items) with the array that it carries."""
+    names = top.agg(F.sort_array(F.collect_list(F.struct("rank", item))).alias("_top"))
+    has = F.transform("_top", lambda t: F.array_contains(F.coalesce(F.col(arr), F.array().cast("array<string>")), t[item]).cast("double"))
+    return rows.crossJoin(F.broadcast(names)).withColumn(out, has).drop("_top")
+
+
+def multi_hot(rows: DataFrame, top: DataFrame, key: str = "vacancy_id", arr: str = ARR, item: str = "skill") -> DataFrame:
+    """C11: per row a 0/1 string over the top items in rank order."""
+    h = hot_array(rows.select(key, arr), top, "_hot", arr, item)
+    return h.select(key, F.array_join(F.transform("_hot", lambda x: x.cast("int").cast("string")), "").alias("hot"))
 
 
 def top_k_per_group(df: DataFrame, by: Sequence[str], score: str, k: int, tie: str) -> DataFrame:

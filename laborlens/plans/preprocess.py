@@ -58,8 +58,9 @@ def extract_skills(df: DataFrame, text: str | None = "description", tags: DataFr
 
 
 def skill_long(df: DataFrame, key: str = "vacancy_id", arr: str = "skill_slugs") -> DataFrame:
-    """Canonical long table (key, skill): one row per posting and distinct slug."""
-    return df.select(key, F.explode(arr).alias("skill")).distinct()
+    """Canonical long table (key, skill): one row per posting and distinct
+    slug (the array holds each slug once)."""
+    return df.select(key, F.explode(arr).alias("skill"))
 
 
 def iqr_bounds(df: DataFrame, col: str, k: float = K.IQR_K, approx: bool = False) -> DataFrame:
@@ -68,9 +69,12 @@ def iqr_bounds(df: DataFrame, col: str, k: float = K.IQR_K, approx: bool = False
     return q.select("q1", "q3", (F.col("q1") - k * iqr).alias("lower_bound"), (F.col("q3") + k * iqr).alias("upper_bound"))
 
 
-def winsorize(df: DataFrame, col: str, k: float = K.IQR_K, out: str | None = None, approx: bool = False) -> DataFrame:
-    """Cap to the IQR fences; nulls stay null; no row dropped."""
-    b = iqr_bounds(df, col, k, approx).select("lower_bound", "upper_bound")
+def winsorize(df: DataFrame, col: str, k: float = K.IQR_K, out: str | None = None, approx: bool = False,
+              values: DataFrame | None = None) -> DataFrame:
+    """Cap to the IQR fences; nulls stay null; no row dropped.
+    ``values``: where to read ``col`` for the fences, if a cheaper table than
+    ``df`` has it."""
+    b = iqr_bounds(df if values is None else values, col, k, approx).select("lower_bound", "upper_bound")
     return (df.crossJoin(F.broadcast(b))
             .withColumn(out or col, S.cap(col, "lower_bound", "upper_bound"))
             .drop("lower_bound", "upper_bound"))
@@ -85,13 +89,15 @@ def processed_postings(spark: SparkSession, sf_dir: str, winsorise: bool = True,
                        with_description: bool = False) -> DataFrame:
     """Postings after the whole cleaning chain.  ``salary_raw_kzt`` keeps the
     converted salary; ``salary_monthly_kzt`` is the winsorised one."""
-    p = postings(spark, sf_dir, with_description=with_description)
+    p = postings(spark, sf_dir, with_description=with_description, with_doc_id=True)
     p = clean_salaries(p, out="salary_raw_kzt")
     p = normalize_locations(p)
     p = encode_experience(p)
     p = extract_skills(p, tags=document_tags(spark, sf_dir))
     if winsorise:
-        p = winsorize(p, "salary_raw_kzt", out="salary_monthly_kzt")
+        # the fences need the salary columns only, not the skills
+        salaries = clean_salaries(postings(spark, sf_dir, with_description=False), out="salary_raw_kzt")
+        p = winsorize(p, "salary_raw_kzt", out="salary_monthly_kzt", values=salaries)
     else:
         p = p.withColumn("salary_monthly_kzt", F.col("salary_raw_kzt"))
     return p

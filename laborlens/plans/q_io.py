@@ -8,16 +8,19 @@ from pyspark.sql import types as T
 
 from .. import constants as K
 from ..operators import aggregates as A
+from ..functions import tails as TL
 from ..operators import charts as V
+from ..operators import skills as SK
 from ..sources import files as FS
 from ..sources.adapter import postings
 from ..sources.tables import read_table
 from ..session import scratch_path
 from ..streaming.landing import land_stream, read_landed
 from . import preprocess as PP
-from .catalog import ORACLES, QUERIES, register, rnd, with_ctes
+from .catalog import register, rnd, with_ctes
 from .q_models import _model, feature_frame
-from .q_stats import Y, _gs_sql, proc
+from .preprocess import city_sql
+from .q_stats import _TOP50_SQL, MAJOR_SQL, Y, _gs_sql, proc, skill_rows
 
 _FLAT_COLS = ["name", "area", "salary_from", "salary_to", "salary_currency", "experience", "schedule", "key_skills"]
 _FLAT_SQL = with_ctes("SELECT vacancy_id, " + ", ".join(_FLAT_COLS) + ", CAST(length(description) AS BIGINT) AS desc_chars "
@@ -60,20 +63,35 @@ def s03(spark, d):
     return _flat_out(FS.flatten_postings(FS.nest_postings(_flat_postings(spark, d))))
 
 
-@register("s04_write_csv", with_ctes("SELECT count(*) AS n_rows, count(DISTINCT vacancy_id) AS n_ids FROM processed"))
+_CONTENT_SQL = with_ctes(
+    "SELECT p.vacancy_id, p.name, p.area, p.salary_from, round(p.salary_monthly_kzt, 4) AS salary, "
+    "array_to_string(p.skill_slugs, '|') AS slugs, CAST(length(d.text) AS BIGINT) AS desc_chars, md5(d.text) AS desc_md5 "
+    "FROM processed p LEFT JOIN documents d ON d.doc_id = p.doc_id")
+
+
+def _content(back):
+    return back.select(F.col("vacancy_id").cast("bigint").alias("vacancy_id"), "name", "area",
+                       F.col("salary_from").cast("double").alias("salary_from"), rnd(F.col(Y).cast("double"), 4).alias("salary"),
+                       F.array_join("skill_slugs", "|").alias("slugs"), F.length("description").cast("bigint").alias("desc_chars"),
+                       F.md5("description").alias("desc_md5"))
+
+
+@register("s04_write_csv", _CONTENT_SQL)
 def s04(spark, d):
+    """Written, read back, and compared by content, texts with line breaks
+    and quotes included."""
     path = scratch_path(spark, "processed-csv")
     FS.write_csv(PP.processed_postings(spark, d, with_description=True), path)
     back = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-    return back.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("vacancy_id").alias("n_ids"))
+    return _content(back.withColumn("skill_slugs", F.from_json("skill_slugs", "array<string>")))
 
 
-@register("s05_write_json", with_ctes("SELECT count(*) AS n_rows, count(DISTINCT vacancy_id) AS n_ids FROM processed"))
+@register("s05_write_json", _CONTENT_SQL)
 def s05(spark, d):
     path = scratch_path(spark, "processed-json")
-    FS.write_json(PP.processed_postings(spark, d, with_description=True), path)
-    back = spark.read.json(path)
-    return back.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("vacancy_id").alias("n_ids"))
+    p = PP.processed_postings(spark, d, with_description=True)
+    FS.write_json(p, path)
+    return _content(spark.read.schema(p.schema).json(path))
 
 
 @register("s06_write_stage", with_ctes(
@@ -85,14 +103,21 @@ def s06(spark, d):
     return back.select("vacancy_id", F.size("skill_slugs").cast("bigint").alias("n_skills"), F.col(Y).alias("salary"))
 
 
-@register("s07_dedupe_postings", with_ctes("SELECT vacancy_id, area FROM postings", processed=False))
+@register("s07_dedupe_postings", with_ctes(
+    "SELECT vacancy_id, area, CASE WHEN " + city_sql("area") + " = 'Astana' THEN 'renewed ' ELSE '' END || name AS name FROM postings",
+    processed=False))
 def s07(spark, d):
-    """Two overlapping page fetches (all postings, then the Almaty ones
-    again) deduplicated on the id, keeping the latest publication."""
-    p = postings(spark, d, with_description=False).select("vacancy_id", "area", "published_at", "name")
-    again = PP.normalize_locations(p).where(F.col("area_normalized") == "Almaty").drop("area_normalized")
-    pages = p.unionByName(again)
-    return FS.dedupe_postings(pages, "vacancy_id", latest="published_at").select("vacancy_id", "area")
+    """Overlapping page fetches deduplicated on the id, keeping the latest
+    publication: Almaty postings come again with an older date and another
+    name, Astana ones with a newer date and another name."""
+    p = postings(spark, d, with_description=False).select("vacancy_id", "area", F.col("published_at").cast("timestamp").alias("published_at"), "name")
+    city = PP.normalize_locations(p)
+    older = city.where(F.col("area_normalized") == "Almaty").select(
+        "vacancy_id", "area", (F.col("published_at") - F.expr("INTERVAL 1 DAY")).alias("published_at"), F.concat(F.lit("stale "), "name").alias("name"))
+    newer = city.where(F.col("area_normalized") == "Astana").select(
+        "vacancy_id", "area", (F.col("published_at") + F.expr("INTERVAL 1 DAY")).alias("published_at"), F.concat(F.lit("renewed "), "name").alias("name"))
+    pages = newer.unionByName(p).unionByName(older)
+    return FS.dedupe_postings(pages, "vacancy_id", latest="published_at").select("vacancy_id", "area", "name")
 
 
 _EVENT_SCHEMA = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("ts", T.StringType()),
@@ -102,13 +127,24 @@ _EVENT_SCHEMA = T.StructType([T.StructField("event_id", T.LongType()), T.StructF
 
 @register("st01_land_stream", "SELECT event_id, event_type, value FROM events")
 def st01(spark, d):
-    """Events land as several JSON files, clicks a second time; the stream
-    keeps one row per event id."""
+    """Events land in three runs of the stream, restarted from its
+    checkpoint: two thirds of them, clicks twice (the older copy with
+    another value); then the last third, dated years back, with clicks that
+    have landed again; then everything once more in another order.  One row
+    per event id stays, and none is lost for being late."""
     in_dir, out_dir, ck = scratch_path(spark, "landing-in"), scratch_path(spark, "landing-out"), scratch_path(spark, "landing-ck")
-    ev = read_table(spark, d, "events").withColumn("ts", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
-    ev.repartition(4).write.mode("append").json(in_dir)
-    ev.where(F.col("event_type") == "click").repartition(2).write.mode("append").json(in_dir)
-    land_stream(spark, in_dir, out_dir, ck, _EVENT_SCHEMA, "event_id", "ts")
+    ev = read_table(spark, d, "events")
+    click, late = F.col("event_type") == "click", F.pmod("event_id", F.lit(3)) == 0
+
+    def land(rows, files):
+        rows = rows.withColumn("ts", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+        rows.repartition(files).write.mode("append").json(in_dir)
+        land_stream(spark, in_dir, out_dir, ck, _EVENT_SCHEMA, "event_id", "ts")
+
+    stale = ev.where(click).withColumn("ts", F.col("ts") - F.expr("INTERVAL 1 DAY")).withColumn("value", F.lit(-1.0))
+    land(stale.where(~late).unionByName(ev.where(~late)), 4)
+    land(ev.where(late).withColumn("ts", F.col("ts") - F.expr("INTERVAL 14 YEAR")).unionByName(stale.where(~late)), 3)
+    land(ev.orderBy(F.desc("event_id")).withColumn("value", F.lit(-2.0)), 2)
     return read_landed(spark, out_dir).select("event_id", "event_type", "value")
 
 
@@ -140,9 +176,38 @@ def v02(spark, d):
                     "n_outliers", "n")
 
 
-@register("v03_qq_points")
+def _poly_sql(x, cs):
+    out = f"({cs[0]!r})"
+    for c in cs[1:]:
+        out = f"({out} * {x} + ({c!r}))"
+    return out
+
+
+def _ppf_sql(p):
+    """The normal quantile by the same rational approximations."""
+    q, r = f"({p} - 0.5)", f"sqrt(-ln(least({p}, 1.0 - {p})))"
+
+    def ratio(x, tables):
+        return f"({_poly_sql(x, tables[0])} / {_poly_sql(x, tables[1])})"
+
+    tail = f"(CASE WHEN {r} <= 5 THEN {ratio(f'({r} - 1.6)', TL.PPF_TAIL)} ELSE {ratio(f'({r} - 5.0)', TL.PPF_FAR)} END)"
+    return f"CASE WHEN abs({q}) <= 0.425 THEN {q} * {ratio(f'(0.180625 - {q} * {q})', TL.PPF_MIDDLE)} ELSE sign({q}) * {tail} END"
+
+
+_QQ_SQL = with_ctes(
+    "WITH o AS (SELECT salary_monthly_kzt AS y, row_number() OVER (ORDER BY salary_monthly_kzt) AS i, count(*) OVER () AS n "
+    "FROM processed WHERE salary_monthly_kzt IS NOT NULL), "
+    "m AS (SELECT y, i, CASE WHEN i = n THEN pow(0.5, 1.0 / n) WHEN i = 1 THEN 1 - pow(0.5, 1.0 / n) ELSE (i - 0.3175) / (n + 0.365) END AS m FROM o), "
+    f"p AS (SELECT y, i, {_ppf_sql('m')} AS x FROM m) "
+    "SELECT round(y, 2) AS ordered, round(x, 6) AS theoretical, CAST(i AS BIGINT) AS position, "
+    "round(regr_slope(y, x) OVER (), 2) AS slope, round(regr_intercept(y, x) OVER (), 2) AS intercept FROM p")
+
+
+@register("v03_qq_points", _QQ_SQL)
 def v03(spark, d):
-    return V.qq_points(proc(spark, d), Y)
+    q = V.qq_points(proc(spark, d), Y)
+    return q.select(rnd("ordered").alias("ordered"), rnd("theoretical", 6).alias("theoretical"),
+                    F.col("position").cast("bigint").alias("position"), rnd("slope").alias("slope"), rnd("intercept").alias("intercept"))
 
 
 _KDE_SQL = with_ctes(
@@ -180,9 +245,19 @@ def v06(spark, d):
                        (F.col(Y) - F.col("prediction")).alias("residual"))
 
 
-# V7: heat-map matrices are the pivot / rate / correlation tables already
-# registered; the region x skill matrix is exposed under its chart name.
-QUERIES["v07_heatmap_matrix"] = QUERIES["a11_pivot_matrix"]
-ORACLES["v07_heatmap_matrix"] = ORACLES["a11_pivot_matrix"]
+# V7: the correlation table and the rates by area in heat-map shape; the
+# region x skill matrix (A11) is the third.
+
+_RATE_SQL = ("WITH sz AS (SELECT area_normalized, count(*) AS size FROM processed GROUP BY 1), "
+             f"k AS (SELECT p.area_normalized, ps.skill, count(*) AS k FROM posting_skill ps JOIN {_TOP50_SQL} t USING (skill) "
+             "JOIN processed p USING (vacancy_id) GROUP BY 1, 2) SELECT skill, "
+             + ", ".join(f"round(max(CASE WHEN area_normalized = '{c}' THEN k / size END), 6) AS \"{c}\"" for c in K.MAJOR_CITIES)
+             + f" FROM k JOIN sz USING (area_normalized) WHERE area_normalized IN {MAJOR_SQL} GROUP BY skill")
+
 
-__all__ = ["K"]
+@register("v07_heatmap_matrix", with_ctes(_RATE_SQL))
+def v07(spark, d):
+    p = skill_rows(spark, d, salary=False)
+    r = SK.indicator_rates(p, "area_normalized", SK.top_items(PP.skill_long(p), K.TOP_N_SKILLS))
+    r = r.where(F.col("area_normalized").isin(K.MAJOR_CITIES))
+    return A.pivot_matrix(r, "skill", "area_normalized", "rate", K.MAJOR_CITIES, digits=6)

@@ -1,9 +1,9 @@
 """Queries: models, imputation, clustering, PCA.
 
-These are MLlib estimators; the driver checks them rows-only and pytest
-cross-checks the linear models against closed forms.  Fitted models (not
-data) are kept per (data dir, name) in this process so one run of the
-registry fits each estimator once.
+Within a query the feature frame is written once as a stage table, and a
+model is fitted once.  Fitted models are saved in the shared folder under a
+digest of the rows that they were fitted on, so another query over the same
+rows loads them, and changed data never meets an old model.
 """
 from __future__ import annotations
 
@@ -15,83 +15,109 @@ from ..functions import scalar as S
 from ..operators import aggregates as A
 from ..operators import models as M
 from ..operators import skills as SK
-from ..session import checkpoint_root
-from .catalog import register, rnd
-from .q_stats import Y, long_and_rows
+from ..session import checkpoint_root, stage
+from . import preprocess as PP
+from .catalog import build_cache, register, rnd, with_ctes
+from .q_stats import Y, skill_rows
 
-_MODELS: dict = {}
+FITS = {"ridge": M.fit_ridge, "lasso": M.fit_lasso, "forest": M.fit_forest, "gbt": M.fit_gbt}
 
 
-def _memo(spark, d, name, build):
-    """Build once per (application, data dir); DataFrames are materialised
-    with a reliable checkpoint into ``spark.checkpoint.dir`` so iterative
-    estimators read a short lineage instead of re-running the cleaning chain."""
-    key = (spark.sparkContext.applicationId, d, name)
-    if key not in _MODELS:
-        obj = build()
-        if hasattr(obj, "checkpoint"):
-            checkpoint_root(spark)
-            obj = obj.checkpoint(eager=True)
-        _MODELS[key] = obj
-    return _MODELS[key]
+def _once(key, build):
+    """Build a thing once per query build."""
+    cache = build_cache()
+    if cache is None:
+        return build()
+    if key not in cache:
+        cache[key] = build()
+    return cache[key]
 
 
 def _top(spark, d):
-    def build():
-        long, _ = long_and_rows(spark, d)
-        return SK.top_items(long, K.TOP_N_SKILLS)
-    return _memo(spark, d, "top", build)
+    return SK.top_items(PP.skill_long(skill_rows(spark, d)), K.TOP_N_SKILLS)
+
+
+def feature_names(top_skills, levels):
+    """Names by position, from the real numbers of skills and levels."""
+    return [f"skill_{s}" for s in top_skills] + ["experience_level"] + [f"area_normalized_{v}" for v in levels[:-1]]
+
+
+def features_of(rows, top, levels):
+    """``rows`` with the 0/1 skill array, the area array and ``features``."""
+    v = M.encode_onehot(SK.hot_array(rows, top, "skills_arr"), "area_normalized", levels)
+    return v.withColumn("_level", F.array(F.col("experience_level").cast("double"))).transform(
+        lambda x: M.assemble(x, ["skills_arr", "_level", "area_vec"])).drop("_level")
 
 
 def feature_frame(spark, d):
-    holder = {}
-
-    def build_features():
-        f, names = _feature_frame(spark, d)
-        holder["names"] = names
-        return f
-    f = _memo(spark, d, "features", build_features)
-    names = _memo(spark, d, "names", lambda: holder.get("names") or _feature_frame(spark, d)[1])
-    return f, names
-
-
-def _feature_frame(spark, d):
-    """(frame with features + split, names(pos, name))."""
-    long, p = long_and_rows(spark, d)
-    top = _top(spark, d)
-    rows = p.select("vacancy_id", "name", Y, "experience_level", "area_normalized")
-    v = M.skill_vector(rows, long, top)
-    ohe, v = M.encode_onehot(v, "area_normalized")
-    v = v.withColumn("experience_level_d", F.col("experience_level").cast("double"))
-    f = M.assemble(v, "skills_arr", ["experience_level_d", "area_vec"])
-    f = M.hash_split(f, "vacancy_id")
-    levels = ohe.stages[0].labels  # alphabetDesc order; the last (alphabetically first) is dropped
-    area_names = [(K.TOP_N_SKILLS + 1 + i, f"area_normalized_{lab}") for i, lab in enumerate(levels[:-1])]
-    names = top.select((F.col("rank") - 1).alias("pos"), F.concat(F.lit("skill_"), "skill").alias("name")).unionByName(
-        spark.createDataFrame([(K.TOP_N_SKILLS, "experience_level")] + area_names, "pos int, name string"))
-    return f, names
+    """(rows with features and split, names (pos, name) of the positions)."""
+    def build():
+        rows, top = skill_rows(spark, d), _top(spark, d)
+        levels = M.levels_of(rows, "area_normalized")
+        f = features_of(rows.select("vacancy_id", "name", Y, "experience_level", "area_normalized", SK.ARR), top, levels)
+        f = stage(M.hash_split(f.drop(SK.ARR), "vacancy_id"), "features")
+        labels = feature_names([r["skill"] for r in top.orderBy("rank").collect()], levels)
+        return f, spark.createDataFrame(list(enumerate(labels)), "pos int, name string")
+    return _once(("features", d), build)
+
+
+def _digest(df):
+    cols = [vector_to_array(c).alias(c) if t == "vector" else F.col(c) for c, t in df.dtypes]
+    r = df.select(F.xxhash64(*cols).alias("h")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("h").cast("decimal(38,0)")).alias("s")).first()
+    return f"{r['n']}-{r['s']}".replace("--", "-m")
+
+
+def _kept(spark, name, rows):
+    """Where the result ``name`` of fitting on ``rows`` is kept."""
+    return f"{checkpoint_root(spark).rstrip('/')}/laborlens/models/{spark.sparkContext.applicationId}/{name}-{_digest(rows)}"
+
+
+def _exists(spark, path):
+    """Whether a write to ``path`` has been committed."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    done = [jvm.org.apache.hadoop.fs.Path(f"{path}/{x}") for x in ("_SUCCESS", "data/_SUCCESS")]
+    return any(p.getFileSystem(conf).exists(p) for p in done)
+
+
+def _fitted(spark, name, rows, fit, kind):
+    """A model fitted on ``rows``, or the saved one of equal rows."""
+    path = _kept(spark, name, rows)
+    if _exists(spark, path):
+        return kind.load(path)
+    model = fit(rows)
+    model.write().overwrite().save(path)
+    return model
 
 
 def _model(spark, d, name):
+    from pyspark.ml import regression as R
+
+    kind = {"ridge": R.LinearRegressionModel, "lasso": R.LinearRegressionModel,
+            "forest": R.RandomForestRegressionModel, "gbt": R.GBTRegressionModel}[name]
+
     def build():
         f, _ = feature_frame(spark, d)
-        train = f.where(F.col("is_train") & F.col(Y).isNotNull())
-        fit = {"ridge": M.fit_ridge, "lasso": M.fit_lasso, "forest": M.fit_forest, "gbt": M.fit_gbt}[name]
-        return fit(train, Y)
-    return _memo(spark, d, name, build)
+        train = f.where(F.col("is_train") & F.col(Y).isNotNull()).select("vacancy_id", Y, "features")
+        return _fitted(spark, name, train, lambda t: FITS[name](t, Y), kind)
+    return _once(("model", name, d), build)
 
 
-@register("m01_split")
+@register("m01_split", with_ctes(
+    f"SELECT CAST('0x' || substr(md5(vacancy_id || ':{K.SPLIT_SEED}'), 1, 8) AS BIGINT) % 100 < {round(K.TRAIN_FRACTION * 100)} AS is_train, "
+    "count(*) AS n FROM processed WHERE salary_monthly_kzt IS NOT NULL GROUP BY 1"))
 def m01(spark, d):
-    f, _ = feature_frame(spark, d)
-    return f.where(F.col(Y).isNotNull()).groupBy("is_train").agg(F.count(F.lit(1)).alias("n"))
+    rows = M.hash_split(skill_rows(spark, d), "vacancy_id")
+    return rows.where(F.col(Y).isNotNull()).groupBy("is_train").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("c23_encode_onehot")
+@register("c23_encode_onehot", with_ctes(
+    "WITH l AS (SELECT list(DISTINCT area_normalized ORDER BY area_normalized DESC)[:-2] AS ls FROM processed0) "
+    "SELECT vacancy_id, area_normalized, array_to_string(list_transform(ls, lambda x: CASE WHEN area_normalized = x THEN '1.0' "
+    "ELSE '0.0' END), '|') AS area_onehot FROM processed0 CROSS JOIN l"))
 def c23(spark, d):
-    f, _ = feature_frame(spark, d)
-    return f.select("vacancy_id", "area_normalized",
-                    F.array_join(vector_to_array("area_vec").cast("array<string>"), "|").alias("area_onehot"))
+    p = skill_rows(spark, d, salary=False)
+    v = M.encode_onehot(p, "area_normalized", M.levels_of(p, "area_normalized"))
+    return v.select("vacancy_id", "area_normalized", F.array_join(F.col("area_vec").cast("array<string>"), "|").alias("area_onehot"))
 
 
 def _premiums(spark, d):
@@ -136,25 +162,38 @@ def m05(spark, d):
 @register("m06_model_metrics")
 def m06(spark, d):
     out = None
-    for name in ("ridge", "lasso", "forest", "gbt"):
+    for name in FITS:
         m = _metrics(spark, d, name)
         out = m if out is None else out.unionByName(m)
     return out
 
 
+def _cross_validated(spark, d):
+    """Twenty fits; their small result is kept by the digest of the rows,
+    like a model."""
+    def build():
+        f, _ = feature_frame(spark, d)
+        rows = f.where(F.col(Y).isNotNull()).select("vacancy_id", Y, "features")
+        path = _kept(spark, "cv", rows)
+        if not _exists(spark, path):
+            M.cross_validate(rows, Y, FITS).coalesce(1).write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    return _once(("cv", d), build)
+
+
 @register("m07_cross_validate")
 def m07(spark, d):
-    f, _ = feature_frame(spark, d)
-    known = f.where(F.col(Y).isNotNull())
-    return M.cross_validate(known, Y, M.fit_ridge)
+    """Five folds for each of the four models."""
+    return _cross_validated(spark, d)
 
 
 @register("m08_compare_models")
 def m08(spark, d):
-    """Models by test R^2 with the overfit gap; the first row is the best."""
-    m = m06(spark, d)
+    """Models by test R^2 with the overfit gap and the cross-validated R^2;
+    the first row is the best."""
+    m = m06(spark, d).join(_cross_validated(spark, d).select("model", "cv_mean", "cv_std"), "model")
     return m.select("model", "test_r2", "train_r2", (F.col("train_r2") - F.col("test_r2")).alias("overfit_gap"),
-                    "test_rmse", "test_mae").orderBy(F.desc("test_r2"), "model")
+                    "test_rmse", "test_mae", "cv_mean", "cv_std").orderBy(F.desc("test_r2"), "model")
 
 
 def _imputed(spark, d):
@@ -184,8 +223,7 @@ def m11(spark, d):
 def j07(spark, d):
     """Imputed table: observed salary where present, else the blend."""
     i = _imputed(spark, d)
-    return i.select("vacancy_id", F.coalesce(Y, "salary_predicted").alias("salary_imputed"),
-                    F.col(Y).isNull().alias("is_imputed"))
+    return M.attach_predictions(i.select("vacancy_id", Y), i.select("vacancy_id", F.col("salary_predicted").alias("prediction")), Y)
 
 
 @register("a22_prediction_summary")
@@ -195,26 +233,68 @@ def a22(spark, d):
     return r.select("count", "mean", "median", "min", "max")
 
 
+def residual_stats(pred, y=Y, yhat="prediction"):
+    """Residuals (actual - predicted)."""
+    e = F.col(y) - F.col(yhat)
+    return pred.where(F.col(y).isNotNull()).agg(F.avg(e).alias("mean_residual"), F.stddev_samp(e).alias("std_residual"),
+                                                F.max(e).alias("max_residual"), F.min(e).alias("min_residual"))
+
+
 @register("m12_residual_stats")
 def m12(spark, d):
     """Residuals (actual - predicted) of the best model on the test rows."""
-    best = m08(spark, d).first()["model"]
+    best = m06(spark, d).orderBy(F.desc("test_r2"), "model").first()["model"]
     f, _ = feature_frame(spark, d)
     pred = _model(spark, d, best).transform(f.where(~F.col("is_train") & F.col(Y).isNotNull()))
-    e = F.col(Y) - F.col("prediction")
-    return pred.agg(F.lit(best).alias("model"), F.avg(e).alias("mean_residual"), F.stddev_samp(e).alias("std_residual"),
-                    F.max(e).alias("max_residual"), F.min(e).alias("min_residual"))
+    return residual_stats(pred).withColumn("model", F.lit(best))
 
 
-def _cluster_input(spark, d):
-    from pyspark.ml.functions import array_to_vector
+# Fixed predictions (a formula of the row) let SQL recompute what is made of
+# predictions: metrics, residuals, the imputed table and its summary.
+_FIXED = "(4e5 + 1.2e5 * experience_level + 1e1 * (vacancy_id % 1000))"
+
+
+def _fixed(spark, d):
+    return skill_rows(spark, d).withColumn("prediction", F.expr(_FIXED))
+
+
+@register("m06_metrics_fixed_predictions", with_ctes(
+    f"SELECT round(sqrt(avg(e * e)), 4) AS rmse, round(avg(abs(e)), 4) AS mae, round(1 - sum(e * e) / (var_pop(y) * count(y)), 6) AS r2 "
+    f"FROM (SELECT salary_monthly_kzt AS y, salary_monthly_kzt - {_FIXED} AS e FROM processed WHERE salary_monthly_kzt IS NOT NULL)"))
+def m06f(spark, d):
+    m = M.regression_metrics(_fixed(spark, d).where(F.col(Y).isNotNull()), Y)
+    return m.select(rnd("rmse", 4).alias("rmse"), rnd("mae", 4).alias("mae"), rnd("r2", 6).alias("r2"))
+
+
+@register("m12_residuals_fixed_predictions", with_ctes(
+    "SELECT round(avg(e), 4) AS mean_residual, round(stddev_samp(e), 4) AS std_residual, round(max(e), 4) AS max_residual, "
+    f"round(min(e), 4) AS min_residual FROM (SELECT salary_monthly_kzt - {_FIXED} AS e FROM processed WHERE salary_monthly_kzt IS NOT NULL)"))
+def m12f(spark, d):
+    r = residual_stats(_fixed(spark, d))
+    return r.select(*[rnd(c, 4).alias(c) for c in ("mean_residual", "std_residual", "max_residual", "min_residual")])
 
+
+@register("j07_attach_fixed_predictions", with_ctes(
+    f"SELECT vacancy_id, round(coalesce(salary_monthly_kzt, {_FIXED}), 4) AS salary_imputed, salary_monthly_kzt IS NULL AS is_imputed FROM processed"))
+def j07f(spark, d):
+    p = _fixed(spark, d)
+    r = M.attach_predictions(p, p.select("vacancy_id", "prediction"), Y)
+    return r.select("vacancy_id", rnd("salary_imputed", 4).alias("salary_imputed"), "is_imputed")
+
+
+@register("a22_summary_fixed_predictions", with_ctes(
+    f"SELECT count(*) AS count, round(avg(x), 2) AS mean, round(quantile_cont(x, 0.5), 2) AS median, round(min(x), 2) AS min, round(max(x), 2) AS max "
+    f"FROM (SELECT {_FIXED} AS x FROM processed WHERE salary_monthly_kzt IS NULL)"))
+def a22f(spark, d):
+    r = A.distribution_stats(_fixed(spark, d).where(F.col(Y).isNull()), "prediction")
+    return r.select("count", *[rnd(c).alias(c) for c in ("mean", "median", "min", "max")])
+
+
+def _cluster_input(spark, d):
     def build():
-        long, p = long_and_rows(spark, d)
-        v = M.skill_vector(p.select("vacancy_id", Y), long, _top(spark, d))
-        return v.withColumn("features", array_to_vector("skills_arr"))
-    long = _memo(spark, d, "long", lambda: long_and_rows(spark, d)[0])
-    return _memo(spark, d, "cluster_input", build), long, _top(spark, d)
+        v = SK.hot_array(skill_rows(spark, d).select("vacancy_id", Y, SK.ARR), _top(spark, d), "skills_arr")
+        return stage(M.assemble(v, ["skills_arr"]), "cluster-input")
+    return _once(("cluster_input", d), build)
 
 
 @register("m13_kmeans_sweep")
@@ -222,8 +302,7 @@ def m13(spark, d):
     """Cost and silhouette (squared Euclidean) for k = 2..10."""
     from pyspark.ml.evaluation import ClusteringEvaluator
 
-    v, _, _ = _cluster_input(spark, d)
-    v = v.select("features").persist()
+    v = _cluster_input(spark, d).select("features").persist()
     rows = []
     ev = ClusteringEvaluator(featuresCol="features")
     for k in K.KMEANS_SWEEP:
@@ -234,42 +313,64 @@ def m13(spark, d):
 
 
 def _clusters(spark, d):
-    v, long, top = _cluster_input(spark, d)
-    km = _memo(spark, d, "kmeans", lambda: M.kmeans_fit(v, K.KMEANS_K))
-    return M.relabel_by_size(km.transform(v)), long
+    from pyspark.ml.clustering import KMeansModel
+
+    def build():
+        v = _cluster_input(spark, d)
+        km = _fitted(spark, f"kmeans{K.KMEANS_K}", v.select("features"), lambda t: M.kmeans_fit(t, K.KMEANS_K), KMeansModel)
+        return M.relabel_by_size(km.transform(v))
+    return _once(("clusters", d), build)
 
 
 @register("m14_cluster")
 def m14(spark, d):
-    c, _ = _clusters(spark, d)
-    return c.select("vacancy_id", "cluster")
+    return _clusters(spark, d).select("vacancy_id", "cluster")
 
 
-@register("a13_cluster_profile")
-def a13(spark, d):
-    """Size, share, mean salary and the 5 most frequent skills per cluster."""
-    c, long = _clusters(spark, d)
+def cluster_profile(c, y=Y, k=5):
+    """Size, share, mean of ``y`` and the k most frequent skills per cluster."""
     n = c.agg(F.count(F.lit(1)).alias("_n"))
-    prof = c.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), F.avg(Y).alias("avg_salary"))
-    sk = long.join(c.select("vacancy_id", "cluster"), "vacancy_id").groupBy("cluster", "skill").agg(F.count(F.lit(1)).alias("n"))
-    top5 = SK.top_k_per_group(sk, ["cluster"], "n", 5, "skill")
-    names = top5.groupBy("cluster").agg(F.sort_array(F.collect_list(F.struct("rank", "skill"))).alias("_t")).select(
+    prof = c.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), F.avg(y).alias("avg_salary"))
+    sk = SK.explode_items(c, "cluster").groupBy("cluster", "skill").agg(F.count(F.lit(1)).alias("n"))
+    top = SK.top_k_per_group(sk, ["cluster"], "n", k, "skill")
+    names = top.groupBy("cluster").agg(F.sort_array(F.collect_list(F.struct("rank", "skill"))).alias("_t")).select(
         "cluster", S.join_labels(F.transform("_t", lambda x: x["skill"])).alias("top_skills"))
     return prof.crossJoin(F.broadcast(n)).join(names, "cluster", "left").select(
         "cluster", "size", S.pct("size", "_n").alias("share_pct"), "avg_salary", "top_skills")
 
 
+@register("a13_cluster_profile")
+def a13(spark, d):
+    return cluster_profile(_clusters(spark, d))
+
+
+# A fixed assignment (by the order key) lets SQL recompute the cluster tables.
+_FIXED_SQL = "(SELECT *, CAST(vacancy_id % 3 AS INT) AS cluster FROM processed)"
+
+
+@register("a13_profile_fixed_clusters", with_ctes(
+    f"WITH c AS {_FIXED_SQL}, k AS (SELECT cluster, skill, row_number() OVER (PARTITION BY cluster ORDER BY count(*) DESC, skill) AS rank "
+    "FROM (SELECT cluster, unnest(skill_slugs) AS skill FROM c) GROUP BY cluster, skill QUALIFY rank <= 5) "
+    "SELECT cluster, size, round(100.0 * size / (SELECT count(*) FROM c), 6) AS share_pct, round(avg_salary, 2) AS avg_salary, top_skills "
+    "FROM (SELECT cluster, count(*) AS size, avg(salary_monthly_kzt) AS avg_salary FROM c GROUP BY cluster) "
+    "JOIN (SELECT cluster, string_agg(skill, ', ' ORDER BY rank) AS top_skills FROM k GROUP BY cluster) USING (cluster)"))
+def a13f(spark, d):
+    """A13 over a fixed assignment of postings to clusters."""
+    c = skill_rows(spark, d).withColumn("cluster", (F.col("vacancy_id") % 3).cast("int"))
+    r = cluster_profile(c)
+    return r.select("cluster", "size", rnd("share_pct", 6).alias("share_pct"), rnd("avg_salary").alias("avg_salary"), "top_skills")
+
+
 @register("a14_cluster_indicator_rates")
 def a14c(spark, d):
     """A14 by cluster: share of each cluster's postings having each skill."""
-    c, long = _clusters(spark, d)
-    r = SK.indicator_rates(long, c, "cluster")
+    r = SK.indicator_rates(_clusters(spark, d), "cluster")
     return r.select("cluster", "skill", rnd("rate", 6).alias("rate"))
 
 
 @register("m15_pca")
 def m15(spark, d):
-    v, _, _ = _cluster_input(spark, d)
+    v = _cluster_input(spark, d)
     model, proj = M.pca2(v.select("vacancy_id", "features"))
     ev = [(i + 1, float(x)) for i, x in enumerate(model.explainedVariance.toArray())]
     pts = proj.select(vector_to_array("pca").alias("_p")).agg(F.count(F.lit(1)).alias("n_points"),

@@ -2,7 +2,6 @@
 association rules (W-, U-, J-, A15/A16, M16-M18 series)."""
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -11,11 +10,12 @@ from ..functions import text as T
 from ..operators import gap as G
 from ..operators import rules as R
 from ..operators import skills as SK
-from ..operators.quantiles import ecdf
+from ..operators.quantiles import ecdf, running_sum
 from ..sources.tables import read_table
 from . import preprocess as PP
 from .catalog import register, rnd, with_ctes
-from .q_stats import Y, long_and_rows, proc
+from .q_stats import MAJOR_SQL, Y, n_rows, proc, skill_rows
+from .q_tests import _PAIR_P_SQL
 
 _FREQ_SQL = "(SELECT skill, count(*) AS frequency FROM posting_skill GROUP BY skill)"
 
@@ -25,10 +25,11 @@ _FREQ_SQL = "(SELECT skill, count(*) AS frequency FROM posting_skill GROUP BY sk
 @register("w01_with_rank", with_ctes(
     f"SELECT skill, frequency, row_number() OVER (ORDER BY frequency DESC, skill) AS rank FROM {_FREQ_SQL}"))
 def w01(spark, d):
-    long, _ = long_and_rows(spark, d)
+    long = PP.skill_long(skill_rows(spark, d, salary=False))
     f = long.groupBy("skill").agg(F.count(F.lit(1)).alias("frequency"))
-    # the window runs on the per-skill summary (one row per distinct skill)
-    return f.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("frequency"), F.asc("skill"))))
+    # skills are free text, so even their summary is ranked over range partitions
+    f = f.withColumn("_nf", -F.col("frequency")).withColumn("_one", F.lit(1).cast("bigint"))
+    return running_sum(f, [], ["_nf", "skill"], "_one").select("skill", "frequency", F.col("_cum").alias("rank"))
 
 
 @register("w02_top_k_per_group", with_ctes(
@@ -36,9 +37,8 @@ def w01(spark, d):
     "(PARTITION BY area_normalized ORDER BY n DESC, skill) AS rank FROM (SELECT p.area_normalized, ps.skill, count(*) AS n "
     "FROM posting_skill ps JOIN processed p USING (vacancy_id) GROUP BY 1, 2) WHERE n > 0) WHERE rank <= 5"))
 def w02(spark, d):
-    long, p = long_and_rows(spark, d)
-    c = long.join(p.select("vacancy_id", "area_normalized"), "vacancy_id").groupBy("area_normalized", "skill") \
-        .agg(F.count(F.lit(1)).alias("n"))
+    p = skill_rows(spark, d, salary=False)
+    c = SK.explode_items(p, "area_normalized").groupBy("area_normalized", "skill").agg(F.count(F.lit(1)).alias("n"))
     return SK.top_k_per_group(c, ["area_normalized"], "n", 5, "skill").select("area_normalized", "skill", "n", "rank")
 
 
@@ -73,12 +73,12 @@ def w06(spark, d):
     return read_table(spark, d, "events").select("event_id", "value").orderBy(F.desc("value"), "event_id").limit(10)
 
 
-@register("w07_sample_n")
-def w07(spark, d, n: int = 100, seed: int = K.SPLIT_SEED):
+@register("w07_sample_n", f"SELECT event_id, value FROM events ORDER BY md5(event_id || ':{K.SPLIT_SEED}'), event_id LIMIT {K.SAMPLE_ROWS}")
+def w07(spark, d, n: int = K.SAMPLE_ROWS, seed: int = K.SPLIT_SEED):
     """At most n rows, chosen by a seeded hash of the key: the same rows on
     every run and under any partitioning (distributed top-k on the hash)."""
-    ev = read_table(spark, d, "events")
-    return ev.orderBy(F.xxhash64("event_id", F.lit(seed)), "event_id").limit(n)
+    ev = read_table(spark, d, "events").select("event_id", "value")
+    return ev.orderBy(F.md5(F.concat(F.col("event_id").cast("string"), F.lit(f":{seed}"))), "event_id").limit(n)
 
 
 # ------------------------------------------------------------------ U-series
@@ -130,29 +130,38 @@ def u04(spark, d):
 # Premiums for the join operators: the raw per-skill premium of A9 (mean
 # with minus mean without), so both engines compute the same table.
 
-_PREM_ALL_SQL = """
+# Only skills that are model features (the top list) have one, as in the study.
+
+_TOP50_CTE = """
+top50 AS (SELECT skill FROM posting_skill GROUP BY skill ORDER BY count(*) DESC, skill LIMIT 50)"""
+_PREM_ALL_SQL = _TOP50_CTE + """,
 prem AS (
   SELECT skill, (s_with / n_with) - (s_all - s_with) / (n_all - n_with) AS premium FROM (
     SELECT skill, count(*) AS n_with, sum(y) AS s_with FROM posting_skill
     JOIN (SELECT vacancy_id, salary_monthly_kzt AS y FROM processed WHERE salary_monthly_kzt IS NOT NULL) r USING (vacancy_id)
+    WHERE skill IN (SELECT skill FROM top50)
     GROUP BY skill) CROSS JOIN (SELECT count(*) AS n_all, sum(salary_monthly_kzt) AS s_all FROM processed
     WHERE salary_monthly_kzt IS NOT NULL) WHERE n_with > 10 AND n_all - n_with > 10)"""
 
 
+def feature_skills(spark, d):
+    """The top list that is the models' feature list: at most 50 skills."""
+    return SK.top_items(PP.skill_long(skill_rows(spark, d)), K.TOP_N_SKILLS).select("skill")
+
+
 def premiums_raw(spark, d):
-    long, p = long_and_rows(spark, d)
-    return SK.item_premium_raw(long, p, Y, top=None).select("skill", "premium")
+    """Premium per feature skill: at most as many rows as the top list has."""
+    prem = SK.item_premium_raw(skill_rows(spark, d), Y, top=None).select("skill", "premium")
+    return prem.join(F.broadcast(feature_skills(spark, d)), "skill")
 
 
 @register("j01_premiums_for", with_ctes(
     "WITH " + _PREM_ALL_SQL + " SELECT vacancy_id AS user_id, skill, round(premium, 2) AS premium "
     "FROM posting_skill JOIN prem USING (skill)"))
 def j01(spark, d):
-    long, _ = long_and_rows(spark, d)
-    prem = premiums_raw(spark, d)
-    # premiums has one row per skill (bounded by the vocabulary) — AQE
-    # broadcasts it from its measured size.
-    return long.join(prem, "skill").select(F.col("vacancy_id").alias("user_id"), "skill", rnd("premium").alias("premium"))
+    long = PP.skill_long(skill_rows(spark, d))
+    return long.join(F.broadcast(premiums_raw(spark, d)), "skill").select(
+        F.col("vacancy_id").alias("user_id"), "skill", rnd("premium").alias("premium"))
 
 
 @register("j02_premiums_missing", with_ctes(
@@ -161,11 +170,10 @@ def j01(spark, d):
     "AS n_missing, array_to_string(list_filter(lst.skills, lambda x: NOT list_contains(p.skill_slugs, x))[1:3], '|') AS top3 "
     "FROM processed p CROSS JOIN lst"))
 def j02(spark, d):
-    p = PP.processed_postings(spark, d, winsorise=False)
-    prem = premiums_raw(spark, d)
-    ranked = prem.agg(F.sort_array(F.collect_list(F.struct(-F.col("premium"), F.col("skill")))).alias("_s")) \
+    p = skill_rows(spark, d)
+    ranked = premiums_raw(spark, d).agg(F.sort_array(F.collect_list(F.struct(-F.col("premium"), F.col("skill")))).alias("_s")) \
         .select(F.transform("_s", lambda x: x["skill"]).alias("_skills"))
-    # one-row table of the (bounded) premium list, compared per row: no pairs
+    # one row with the premium list (at most 50 skills), compared per row: no pairs
     missing = F.filter("_skills", lambda x: ~F.array_contains("skill_slugs", x))
     return p.crossJoin(F.broadcast(ranked)).select(
         F.col("vacancy_id").alias("user_id"), F.size(missing).cast("bigint").alias("n_missing"),
@@ -178,9 +186,8 @@ def j02(spark, d):
     "SELECT skill, 100.0 * count(DISTINCT vacancy_id) / (SELECT count(*) FROM processed) AS pct FROM posting_skill GROUP BY skill) f "
     "ON f.skill = t.term"))
 def j03(spark, d):
-    long, p = long_and_rows(spark, d)
-    n = p.agg(F.count(F.lit(1)).alias("_n"))
-    demand = G.skill_demand(long, n)
+    p = skill_rows(spark, d, salary=False)
+    demand = G.skill_demand(PP.skill_long(p), n_rows(p))
     terms = spark.createDataFrame([(t,) for t in K.TECH_TERMS], "t string").select(S.slug("t").alias("term")).distinct()
     j = terms.join(demand.withColumnRenamed("slug", "term"), "term", "left")
     return j.select("term", rnd(F.coalesce("market_pct", F.lit(0.0)), 6).alias("pct"))
@@ -241,8 +248,8 @@ _GAP_SQL = (
     "round(market_pct_any, 6) AS market_pct_any, taught, total, CASE WHEN gap < 0 THEN 'EXCELLENT' WHEN gap < 10 THEN 'GOOD' "
     "WHEN gap < 20 THEN 'MEDIUM' ELSE 'HIGH' END AS status FROM g ORDER BY gap"))
 def a15(spark, d):
-    long, p = long_and_rows(spark, d)
-    g = G.category_gap(G.category_table(spark), long, p.agg(F.count(F.lit(1)).alias("_n")))
+    p = skill_rows(spark, d, salary=False)
+    g = G.category_gap(G.category_table(spark), PP.skill_long(p), n_rows(p))
     return g.select("category", *[rnd(c, 6).alias(c) for c in ["gap", "coverage", "market", "market_pct_any"]],
                     "taught", "total", "status")
 
@@ -251,8 +258,8 @@ def a15(spark, d):
     _GAP_SQL + "SELECT count(*) AS n_categories, count_if(gap < 0) AS n_excellent, count_if(gap >= 0 AND gap < 10) AS n_good, "
     "arg_min(category, (gap, category)) AS top_strength, round(min(gap), 6) AS top_gap FROM g"))
 def a16(spark, d):
-    long, p = long_and_rows(spark, d)
-    g = G.category_gap(G.category_table(spark), long, p.agg(F.count(F.lit(1)).alias("_n")))
+    p = skill_rows(spark, d, salary=False)
+    g = G.category_gap(G.category_table(spark), PP.skill_long(p), n_rows(p))
     s = G.gap_summary(g)
     return s.select("n_categories", "n_excellent", "n_good", "top_strength", rnd("top_gap", 6).alias("top_gap"))
 
@@ -262,8 +269,8 @@ def a16(spark, d):
     "AS market_pct FROM posting_skill GROUP BY skill) SELECT category, skill, round(coalesce(market_pct, 0), 6) AS market_pct "
     "FROM cats LEFT JOIN dem USING (slug)"))
 def j05(spark, d):
-    long, p = long_and_rows(spark, d)
-    dem = G.skill_demand(long, p.agg(F.count(F.lit(1)).alias("_n")))
+    p = skill_rows(spark, d, salary=False)
+    dem = G.skill_demand(PP.skill_long(p), n_rows(p))
     j = G.category_demand(G.category_table(spark), dem)
     return j.select("category", "skill", rnd("market_pct", 6).alias("market_pct"))
 
@@ -339,8 +346,8 @@ _TOP50_LIST_SQL = ("(SELECT list(skill ORDER BY n DESC, skill) AS t50 FROM (SELE
     f"AS hot FROM processed CROSS JOIN {_TOP50_LIST_SQL}"))
 def c11(spark, d):
     """0/1 string over the top-50 skills in rank order, per posting."""
-    long, p = long_and_rows(spark, d)
-    return SK.multi_hot(p, long, SK.top_items(long, K.TOP_N_SKILLS), K.TOP_N_SKILLS)
+    p = skill_rows(spark, d, salary=False)
+    return SK.multi_hot(p, SK.top_items(PP.skill_long(p), K.TOP_N_SKILLS))
 
 
 @register("c22_fill_indicators", with_ctes(
@@ -348,15 +355,14 @@ def c11(spark, d):
     "LEFT JOIN (SELECT vacancy_id, count(*) AS k FROM posting_skill WHERE skill IN (SELECT unnest(t50) FROM "
     f"{_TOP50_LIST_SQL}) GROUP BY vacancy_id) USING (vacancy_id)"))
 def c22(spark, d):
-    """Indicator counts joined back to every posting; missing -> 0, then
-    the 0/1 flag cast to boolean."""
-    long, p = long_and_rows(spark, d)
-    k = long.join(F.broadcast(SK.top_items(long, K.TOP_N_SKILLS).select("skill")), "skill") \
-        .groupBy("vacancy_id").agg(F.count(F.lit(1)).alias("k"))
-    j = p.select("vacancy_id").join(k, "vacancy_id", "left")
-    filled = S.fill_indicator("k")
-    return j.select("vacancy_id", filled.cast("bigint").alias("n_top_skills"),
-                    F.least(filled, F.lit(1)).cast("boolean").alias("has_top_skill"))
+    """Indicator counts of the top list per posting; missing -> 0, then the
+    0/1 flag cast to boolean."""
+    p = skill_rows(spark, d, salary=False)
+    hot = SK.hot_array(p, SK.top_items(PP.skill_long(p), K.TOP_N_SKILLS), "_hot")
+    k = F.aggregate("_hot", F.lit(0.0), lambda a, b: a + b)
+    filled = S.fill_indicator(F.when(k > 0, k.cast("int")))
+    return hot.select("vacancy_id", filled.cast("bigint").alias("n_top_skills"),
+                      F.least(filled, F.lit(1)).cast("boolean").alias("has_top_skill"))
 
 
 _SALARY_COLS = ["salary_from", "salary_to", "salary_currency", "salary_raw_kzt", "salary_monthly_kzt"]
@@ -369,7 +375,11 @@ def c27(spark, d):
     return p.select("vacancy_id", *[c for c in p.columns if c.startswith("salary_")])
 
 
-@register("a20_regional_summary")
+@register("a20_regional_summary", with_ctes(
+    "WITH pr AS (" + _PAIR_P_SQL + "), st AS (SELECT round_even(avg(salary_monthly_kzt), 0) AS mean FROM processed "
+    f"WHERE salary_monthly_kzt IS NOT NULL AND area_normalized IN {MAJOR_SQL} GROUP BY area_normalized) "
+    "SELECT (SELECT max(mean) - min(mean) FROM st) AS largest_gap, (SELECT count(*) FROM st) AS n_groups, "
+    "count_if(significant) AS n_significant, count(*) AS n_pairs FROM pr"))
 def a20(spark, d):
     """Largest gap between city means; number of significant pairs
     (Bonferroni, JVM t tails)."""

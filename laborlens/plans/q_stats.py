@@ -8,11 +8,10 @@ from ..functions import scalar as S
 from ..operators import aggregates as A
 from ..operators import skills as SK
 from . import preprocess as PP
-from ..session import checkpoint_root
-from .catalog import big, build_cache, register, rnd, with_ctes
+from ..session import stage
+from .catalog import build_cache, register, rnd, with_ctes
 
 Y = "salary_monthly_kzt"
-SAL = "(SELECT * FROM processed WHERE salary_monthly_kzt IS NOT NULL)"
 MAJOR_SQL = "(" + ", ".join(f"'{c}'" for c in K.MAJOR_CITIES) + ")"
 EXP_LABEL_SQL = ("CASE experience_level WHEN 0 THEN 'No Experience' WHEN 1 THEN '1-3 years' "
                  "WHEN 2 THEN '3-6 years' WHEN 3 THEN '6+ years' END")
@@ -110,31 +109,32 @@ def a07(spark, d):
     return r.select("area_normalized", "mean", "diff", rnd("diff_pct", 6).alias("diff_pct"))
 
 
-def long_and_rows(spark, d):
-    """(long skill table, processed postings).  Inside a query build the
-    processed postings are materialised once with a reliable checkpoint (in
-    ``spark.checkpoint.dir``) and shared by every branch of that query
-    (rows, skill table, demand, premiums), instead of re-deriving the
-    cleaning chain per branch."""
+def skill_rows(spark, d, salary=True):
+    """Processed postings with the columns that skill statistics need.  The
+    winsorised salary is computed only if asked for.  Inside a query build
+    the rows are written once as a slim stage table and shared by all its
+    branches (top list, demand, premiums, profiles)."""
+    cols = ["vacancy_id", "name", "area_normalized", "experience_level", "schedule", "skills_all", "skill_slugs"]
     cache = build_cache()
-    key = ("processed", spark.sparkContext.applicationId, d)
-    if cache is not None and key in cache:
-        p = cache[key]
-    else:
-        p = proc(spark, d)
-        if cache is not None:
-            checkpoint_root(spark)
-            p = p.checkpoint(eager=True)
-            cache[key] = p
-    return PP.skill_long(p), p
+    for wanted in ({salary, True}):
+        if cache is not None and ("rows", wanted, d) in cache:
+            return cache["rows", wanted, d]
+    p = PP.processed_postings(spark, d, winsorise=salary).select(*cols, *[Y] * salary)
+    if cache is not None:
+        p = cache["rows", salary, d] = stage(p, "skill-rows")
+    return p
+
+
+def n_rows(p):
+    return p.agg(F.count(F.lit(1)).alias("_n"))
 
 
 @register("a08_item_frequency", with_ctes(
     "SELECT skill, count(*) AS frequency, round(100.0 * count(*) / (SELECT count(*) FROM processed), 6) AS percentage "
     "FROM posting_skill GROUP BY skill ORDER BY frequency DESC, skill LIMIT 20"))
 def a08(spark, d):
-    long, p = long_and_rows(spark, d)
-    r = SK.item_frequency(long, p.agg(F.count(F.lit(1))), top=20)
+    p = skill_rows(spark, d, salary=False)
+    r = SK.item_frequency(PP.skill_long(p), n_rows(p), top=20)
     return r.select("skill", "frequency", rnd("percentage", 6).alias("percentage"))
 
 
@@ -152,8 +152,7 @@ FROM x ORDER BY m1 - m0 DESC, skill LIMIT 20"""
 
 @register("a09_item_premium", with_ctes(_PREMIUM_SQL))
 def a09(spark, d):
-    long, p = long_and_rows(spark, d)
-    r = SK.item_premium_raw(long, p, Y)
+    r = SK.item_premium_raw(skill_rows(spark, d), Y)
     return r.select("skill", *[rnd(c).alias(c) for c in ["mean_with", "mean_without", "premium"]], "count_with",
                     rnd("correlation", 6).alias("correlation"))
 
@@ -171,10 +170,9 @@ g AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY skill) AS n_groups FR
 
 
 def _item_group(spark, d):
-    long, p = long_and_rows(spark, d)
-    top10 = SK.top_items(long, 10)
+    p = skill_rows(spark, d)
     rows = p.where(F.col("area_normalized").isin(K.MAJOR_CITIES))
-    return SK.item_by_group(long, rows, "area_normalized", Y, top10)
+    return SK.item_by_group(rows, "area_normalized", Y, SK.top_items(PP.skill_long(p), 10))
 
 
 @register("a10_item_by_group", with_ctes(_ITEM_GROUP_SQL + "SELECT skill, area_normalized, round(mean, 2) AS mean, count FROM g"))
@@ -208,8 +206,8 @@ _TOP50_SQL = "(SELECT skill FROM posting_skill GROUP BY skill ORDER BY count(DIS
     f"JOIN processed p USING (vacancy_id) GROUP BY 1, 2) "
     f"SELECT area_normalized, skill, round(k / size, 6) AS rate FROM k JOIN sz USING (area_normalized)"))
 def a14(spark, d):
-    long, p = long_and_rows(spark, d)
-    r = SK.indicator_rates(long, p, "area_normalized", SK.top_items(long, K.TOP_N_SKILLS))
+    p = skill_rows(spark, d, salary=False)
+    r = SK.indicator_rates(p, "area_normalized", SK.top_items(PP.skill_long(p), K.TOP_N_SKILLS))
     return r.select("area_normalized", "skill", rnd("rate", 6).alias("rate"))
 
 
@@ -243,5 +241,3 @@ def a23(spark, d):
     s = s.withColumn("count", F.col("count").cast("double"))
     return A.transpose(s, "experience_label", ["count", "mean", "median", "std"], _EXP_ORDER)
 
-
-__all__ = ["proc", "major", "long_and_rows", "Y", "SAL", "MAJOR_SQL", "EXP_LABEL_SQL", "REMOTE_SQL", "big"]

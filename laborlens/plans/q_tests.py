@@ -9,11 +9,32 @@ from ..operators import inference as I
 from ..operators import skills as SK
 from . import preprocess as PP
 from .catalog import register, rnd, with_ctes
-from .q_stats import MAJOR_SQL, REMOTE_SQL, Y, long_and_rows, major, proc
+from .q_stats import MAJOR_SQL, REMOTE_SQL, Y, major, proc, skill_rows
 
 _Y = "(SELECT area_normalized AS g, salary_monthly_kzt AS y, * FROM processed WHERE salary_monthly_kzt IS NOT NULL)"
 
 
+def beta_sql(x, a, b, steps=400):
+    """Regularised incomplete beta I_x(a, b) in SQL: one minus the integral
+    over the upper end, by Simpson's rule after the substitution t = 1 - u^2,
+    which takes the singularity of b = 1/2 away."""
+    u = f"(i * sqrt(1 - {x}) / {steps})"
+    return (f"(1 - exp(lgamma({a} + {b}) - lgamma({a}) - lgamma({b})) * sqrt(1 - {x}) / {steps} / 3 * "
+            f"list_sum(list_transform(range(0, {steps} + 1), lambda i: (CASE WHEN i = 0 OR i = {steps} THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) "
+            f"* 2 * pow({u}, 2 * {b} - 1) * pow(1 - {u} * {u}, {a} - 1))))")
+
+
+def t_p_sql(t, df):
+    """Two-sided p of Student's t."""
+    x = f"({df} / ({df} + {t} * {t}))"
+    return f"({beta_sql(x, f'({df} / 2.0)', '0.5')})"
+
+
+def f_p_sql(f, d1, d2):
+    """Upper tail of the F distribution."""
+    return f"({beta_sql(f'({d2} / ({d2} + {d1} * {f}))', f'({d2} / 2.0)', f'({d1} / 2.0)')})"
+
+
 def _anova_sql(src):
     return (f"WITH m AS (SELECT g, count(*) AS n, avg(y) AS mean, var_samp(y) AS var FROM {src} WHERE g IS NOT NULL GROUP BY g), "
             "a AS (SELECT sum(n) AS nn, count(*) AS k, sum(n * mean) / sum(n) AS grand FROM m) "
@@ -33,6 +54,23 @@ def t01(spark, d):
                     rnd("jb_stat", 4).alias("jb_stat"), rnd("p_value", 6).alias("p_value"), "normal")
 
 
+_PHI_SQL = ("(0.5 + sign(z) * abs(z) / 400 / 3 / sqrt(2 * pi()) * list_sum(list_transform(range(0, 401), lambda i: "
+            "(CASE WHEN i = 0 OR i = 400 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) * exp(-0.5 * pow(i * abs(z) / 400, 2)))))")
+
+
+@register("t01_normality_ks", with_ctes(
+    "SELECT n, round(d, 6) AS ks_stat, round(least(greatest(CASE WHEN d * sqrt(n) < 0.2 THEN 1 ELSE list_sum(list_transform(range(1, 101), "
+    "lambda k: CASE WHEN k % 2 = 1 THEN 2 ELSE -2 END * exp(-2.0 * k * k * d * d * n))) END, 0), 1), 6) AS p_value FROM ("
+    "SELECT count(*) AS n, max(greatest(hi / nn - phi, phi - lo / nn)) AS d FROM (SELECT *, " + _PHI_SQL + " AS phi FROM ("
+    "SELECT (y - avg(y) OVER ()) / stddev_samp(y) OVER () AS z, count(*) OVER (ORDER BY y RANGE UNBOUNDED PRECEDING) AS hi, "
+    "rank() OVER (ORDER BY y) - 1 AS lo, count(*) OVER () AS nn FROM (SELECT salary_monthly_kzt AS y FROM processed "
+    "WHERE salary_monthly_kzt IS NOT NULL)))) "))
+def t01k(spark, d):
+    """Kolmogorov-Smirnov distance to the normal distribution, whole column."""
+    r = I.kolmogorov_smirnov(proc(spark, d), Y)
+    return r.select("n", rnd("ks_stat", 6).alias("ks_stat"), rnd("p_value", 6).alias("p_value"))
+
+
 @register("t02_anova", with_ctes(_anova_sql(_Y)))
 def t02(spark, d):
     r = I.anova(proc(spark, d), "area_normalized", Y)
@@ -63,10 +101,16 @@ def t04(spark, d):
     return r.select("group_1", "group_2", rnd("mean_diff").alias("mean_diff"), rnd("t_stat", 6).alias("t_stat"), "df")
 
 
-@register("t04_pairwise_pvalues")
+_PAIR_P_SQL = (f"SELECT *, round({t_p_sql('t_stat', 'df')}, 6) AS p_value, {t_p_sql('t_stat', 'df')} < 0.05 / 6 AS significant FROM ("
+               + _PAIR_SQL.replace("\nWITH m AS", "WITH m AS") + ")")
+
+
+@register("t04_pairwise_pvalues", with_ctes(_PAIR_P_SQL))
 def t04p(spark, d):
-    """Pairwise tests with p-values and the Bonferroni flag (tails in the JVM)."""
-    return I.pairwise_ttests(proc(spark, d), "area_normalized", Y, K.MAJOR_CITIES)
+    """Pairwise tests with p-values and the Bonferroni flag."""
+    r = I.pairwise_ttests(proc(spark, d), "area_normalized", Y, K.MAJOR_CITIES)
+    return r.select("group_1", "group_2", rnd("mean_diff").alias("mean_diff"), rnd("t_stat", 6).alias("t_stat"), "df",
+                    rnd("p_value", 6).alias("p_value"), "significant")
 
 
 @register("t05_ttest2", with_ctes(
@@ -101,29 +145,32 @@ per AS (SELECT skill, count(*) AS n_with, sum(y) AS s_with FROM posting_skill JO
 x AS (SELECT skill, s_with / n_with AS m1, (s_all - s_with) / (n_all - n_with) AS m0, n_with, n_all,
         sqrt(ss_all / n_all - (s_all / n_all) * (s_all / n_all)) AS sd, n_with / n_all AS p
       FROM per CROSS JOIN t WHERE n_with > 10 AND n_all - n_with > 10),
-c AS (SELECT skill, n_all, (m1 - m0) / sd * sqrt(p * (1 - p)) AS r FROM x)
-SELECT skill, round(r, 6) AS correlation, round(r * sqrt((n_all - 2) / (1 - r * r)), 6) AS t_stat FROM c"""
+c AS (SELECT skill, n_all, (m1 - m0) / sd * sqrt(p * (1 - p)) AS r FROM x),
+tt AS (SELECT skill, r, n_all, r * sqrt((n_all - 2) / (1 - r * r)) AS t FROM c),
+pv AS (SELECT skill, r, t, """ + t_p_sql("t", "(n_all - 2)") + """ AS p FROM tt)
+SELECT skill, round(r, 6) AS correlation, round(t, 6) AS t_stat, round(p, 6) AS p_value,
+  CASE WHEN p < 0.001 THEN '***' WHEN p < 0.01 THEN '**' WHEN p < 0.05 THEN '*' ELSE '' END AS stars FROM pv"""
 
 
 @register("t07_item_correlation", with_ctes(_ITEMCORR_SQL))
 def t07(spark, d):
-    long, p = long_and_rows(spark, d)
-    r = SK.item_premium_raw(long, p, Y, top=None)
-    t = S.try_corr_t("correlation", "n_all")
-    return r.select("skill", rnd("correlation", 6).alias("correlation"), rnd(t, 6).alias("t_stat"))
+    r = SK.item_premium_raw(skill_rows(spark, d), Y, top=None)
+    return r.select("skill", rnd("correlation", 6).alias("correlation"), rnd("t_stat", 6).alias("t_stat"),
+                    rnd("p_value", 6).alias("p_value"), "stars")
 
 
 def _corr_vectors(spark, d, k_items=20):
-    """(vector of salary, level, top-k indicators) per posting + names."""
-    long, p = long_and_rows(spark, d)
-    top = SK.top_items(long, K.TOP_N_SKILLS).where(F.col("rank") <= k_items)
-    hot = SK.multi_hot(p, long, top, k_items)
-    vec = p.select("vacancy_id", Y, "experience_level").join(hot, "vacancy_id").select(
-        F.concat(F.array(F.col(Y).cast("double"), F.col("experience_level").cast("double")),
-                 F.transform(F.split("hot", ""), lambda c: c.cast("double"))).alias("v"))
-    names = top.select((F.col("rank") + 2).alias("pos"), F.concat(F.lit("skill_"), "skill").alias("name")).unionByName(
-        spark.createDataFrame([(1, Y), (2, "experience_level")], "pos int, name string"))
-    return vec, names, 2 + k_items
+    """(vector of salary, level, top-k indicators) per posting, the names of
+    its positions and their number, which is smaller if there are fewer
+    skills."""
+    p = skill_rows(spark, d)
+    top = SK.top_items(PP.skill_long(p), K.TOP_N_SKILLS).where(F.col("rank") <= k_items)
+    labels = [f"skill_{r['skill']}" for r in top.orderBy("rank").collect()]
+    vec = SK.hot_array(p, top, "_hot").select(
+        F.concat(F.array(F.col(Y).cast("double"), F.col("experience_level").cast("double")), "_hot").alias("v"))
+    labels = [Y, "experience_level", *labels]
+    names = spark.createDataFrame(list(enumerate(labels, 1)), "pos int, name string")
+    return vec, names, len(labels)
 
 
 _CORR_SQL = f"""
@@ -164,10 +211,30 @@ def t09(spark, d):
     return r.select(rnd("slope", 4).alias("slope"), rnd("intercept", 4).alias("intercept"))
 
 
-@register("t10_test_pvalues")
+_LEVENE_SRC = (f"(SELECT s.g, abs(s.y - m.med) AS y FROM {_Y} s JOIN (SELECT g, quantile_cont(y, 0.5) AS med FROM {_Y} GROUP BY g) m "
+               f"USING (g) WHERE s.g IN {MAJOR_SQL})")
+_T10_SQL = (
+    "WITH an AS (" + _anova_sql(_Y) + "), lv AS (" + _anova_sql(_LEVENE_SRC) + "), "
+    f"rm AS (SELECT {REMOTE_SQL} AS f, count(*) AS n, avg(salary_monthly_kzt) AS mean, var_samp(salary_monthly_kzt) AS var FROM processed "
+    f"WHERE salary_monthly_kzt IS NOT NULL AND area_normalized IN {MAJOR_SQL} GROUP BY 1), "
+    "rt AS (SELECT (a.mean - b.mean) / sqrt(((a.n - 1) * a.var + (b.n - 1) * b.var) / (a.n + b.n - 2) * (1.0 / a.n + 1.0 / b.n)) AS t, "
+    "a.n + b.n - 2 AS df FROM rm a JOIN rm b ON a.f AND NOT b.f WHERE a.n >= 30 AND b.n >= 30), "
+    "pe AS (SELECT r * sqrt((n - 2) / (1 - r * r)) AS t, n - 2 AS df FROM (SELECT corr(experience_level, salary_monthly_kzt) AS r, "
+    "count(*) AS n FROM processed WHERE salary_monthly_kzt IS NOT NULL)), "
+    "jm AS (SELECT count(*) AS n, avg(pow(x - mu, 2)) AS m2, avg(pow(x - mu, 3)) AS m3, avg(pow(x - mu, 4)) AS m4 FROM "
+    "(SELECT salary_monthly_kzt AS x, avg(salary_monthly_kzt) OVER () AS mu FROM processed WHERE salary_monthly_kzt IS NOT NULL)), "
+    "jb AS (SELECT n / 6.0 * (pow(m3 / pow(m2, 1.5), 2) + pow(m4 / (m2 * m2) - 3, 2) / 4.0) AS s FROM jm) "
+    f"SELECT 'anova' AS test, round(f_stat, 4) AS statistic, round({f_p_sql('f_stat', 'df_between', 'df_within')}, 6) AS p_value FROM an "
+    f"UNION ALL SELECT 'levene', round(f_stat, 4), round({f_p_sql('f_stat', 'df_between', 'df_within')}, 6) FROM lv "
+    f"UNION ALL SELECT 'remote_ttest', round(max(t), 4), round(max({t_p_sql('t', 'df')}), 6) FROM rt "
+    f"UNION ALL SELECT 'pearson', round(t, 4), round({t_p_sql('t', 'df')}, 6) FROM pe "
+    "UNION ALL SELECT 'jarque_bera', round(s, 4), round(exp(-s / 2), 6) FROM jb")
+
+
+@register("t10_test_pvalues", with_ctes(_T10_SQL))
 def t10(spark, d):
     """Every test of the regional / EDA study with its p-value: ANOVA,
-    Levene, remote t-test, Pearson, Jarque-Bera (JVM tails)."""
+    Levene, remote t-test, Pearson, Jarque-Bera."""
     p = proc(spark, d)
     m = major(spark, d).withColumn("is_remote", S.flag_regex("schedule"))
     a = I.anova(p, "area_normalized", Y).select(F.lit("anova").alias("test"), F.col("f_stat").alias("statistic"), "p_value")
@@ -176,7 +243,5 @@ def t10(spark, d):
     r = I.pearson_test(p.withColumn("experience_level", F.col("experience_level").cast("double")), "experience_level", Y) \
         .select(F.lit("pearson").alias("test"), F.col("t_stat").alias("statistic"), "p_value")
     jb = I.jarque_bera(p, Y).select(F.lit("jarque_bera").alias("test"), F.col("jb_stat").alias("statistic"), "p_value")
-    return a.unionByName(lv).unionByName(t).unionByName(r).unionByName(jb)
-
-
-__all__ = ["PP"]
+    u = a.unionByName(lv).unionByName(t).unionByName(r).unionByName(jb)
+    return u.select("test", rnd("statistic", 4).alias("statistic"), rnd("p_value", 6).alias("p_value"))

@@ -5,7 +5,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, partitions: int | None = None,
@@ -60,6 +60,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/laborlens/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate table into the shared folder and read it back:
+    several branches of a query then read it instead of re-deriving it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
@@ -68,4 +76,4 @@ def local_path(p: str) -> str:
     return p[len("file:"):] if p.startswith("file:") else p
 
 
-__all__ = ["build_session", "checkpoint_root", "scratch_path", "shuffle_partitions", "local_path"]
+__all__ = ["build_session", "checkpoint_root", "scratch_path", "stage", "shuffle_partitions", "local_path"]

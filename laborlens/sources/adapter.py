@@ -37,10 +37,13 @@ def order_part_names(spark: SparkSession, sf_dir: str) -> DataFrame:
             .groupBy("l_orderkey").agg(F.array_sort(F.collect_set("p_name")).alias("part_names")))
 
 
-def postings(spark: SparkSession, sf_dir: str, with_description: bool = True) -> DataFrame:
+def postings(spark: SparkSession, sf_dir: str, with_description: bool = True,
+             with_doc_id: bool | None = None) -> DataFrame:
     """Flat postings: vacancy_id, name, area, salary_from, salary_to,
     salary_currency, experience, schedule, employment, description,
-    key_skills, employer_name, published_at, url, doc_id."""
+    key_skills, employer_name, published_at, url and, if asked for (as with
+    the description), doc_id, which takes a count of the documents."""
+    with_doc_id = with_description if with_doc_id is None else with_doc_id
     o = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
@@ -54,9 +57,10 @@ def postings(spark: SparkSession, sf_dir: str, with_description: bool = True) ->
     names = order_part_names(spark, sf_dir)
     base = base.join(names, base.o_orderkey == names.l_orderkey, "left")
 
-    docs = read_table(spark, sf_dir, "documents")
-    n_docs = docs.agg(F.count(F.lit(1)).alias("n_docs"))
-    base = base.crossJoin(F.broadcast(n_docs)).withColumn("doc_id", F.pmod(F.col("o_orderkey"), F.col("n_docs")))
+    if with_doc_id:
+        docs = read_table(spark, sf_dir, "documents")
+        n_docs = docs.agg(F.count(F.lit(1)).alias("n_docs"))
+        base = base.crossJoin(F.broadcast(n_docs)).withColumn("doc_id", F.pmod(F.col("o_orderkey"), F.col("n_docs")))
 
     k = F.col("o_orderkey")
     quoted = F.concat(F.lit("["), F.array_join(F.transform("part_names", lambda x: F.concat(F.lit("'"), x, F.lit("'"))), ", "), F.lit("]"))
@@ -77,7 +81,7 @@ def postings(spark: SparkSession, sf_dir: str, with_description: bool = True) ->
         F.col("c_name").alias("employer_name"),
         F.col("o_orderdate").alias("published_at"),
         F.concat(F.lit("vacancy/"), k.cast("string")).alias("url"),
-        F.col("doc_id"),
+        *[F.col("doc_id")] * with_doc_id,
     )
     if with_description:
         out = out.join(docs.select("doc_id", F.col("text").alias("description")), "doc_id", "left")

@@ -1,10 +1,16 @@
 """ST1: incremental landing of posting/event files with duplicate removal.
 
-Files arriving in ``in_dir`` are read as a stream, repeated ids are dropped
-within an event-time watermark (state is bounded by the watermark), and the
-distinct rows are appended to Parquet.  The checkpoint makes a restart
-resume after the last committed batch; ``availableNow`` processes what is
-there and stops.
+Files arriving in ``in_dir`` are read as a stream.  Each micro-batch keeps
+one row per id, drops the ids that earlier batches have landed, and is
+written as a folder of its own, so an id is kept however late it comes: no
+event-time bound discards it.  A batch that is run again after a failure
+overwrites its own folder and looks only at earlier ones, so it lands the
+same rows; the stream's checkpoint makes a restart resume with the next
+batch.  ``availableNow`` processes what is there and stops.
+
+The look-up reads one column of what has landed.  Rows are stored in
+``buckets`` folders by a hash of their id, which lets a reader of a batch's
+ids prune to their buckets.
 """
 from __future__ import annotations
 
@@ -13,20 +19,40 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _first_per_key(batch: DataFrame, key: str, event_time: str) -> DataFrame:
+    """One row per key: the latest by event time, ties by the other columns
+    (a max_by aggregate, which combines before the shuffle)."""
+    others = [c for c in batch.columns if c not in (key, event_time)]
+    order = F.struct(F.col(event_time), *[F.col(c) for c in others])
+    g = batch.groupBy(key).agg(F.max_by(F.struct(*[c for c in batch.columns if c != key]), order).alias("_row"))
+    return g.select(*[F.col(c) if c == key else F.col(f"_row.{c}").alias(c) for c in batch.columns])
+
+
 def land_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, schema: T.StructType,
-                key: str, event_time: str, delay: str = "3650 days", fmt: str = "json",
-                max_files_per_trigger: int | None = None) -> None:
+                key: str, event_time: str, fmt: str = "json", max_files_per_trigger: int | None = None,
+                buckets: int = 16) -> None:
+    """Run the landing over the files that are there.  Rows without a key
+    are landed once per batch, as one key of their own."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    s = reader.load(in_dir)
-    # the event-time column must be TIMESTAMP (not TIMESTAMP_NTZ) for a watermark
-    s = s.withColumn(event_time, F.col(event_time).cast("timestamp"))
-    d = s.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
-    q = (d.writeStream.format("parquet").option("path", out_dir).option("checkpointLocation", checkpoint)
-         .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
+    stream = reader.load(in_dir).withColumn(event_time, F.col(event_time).cast("timestamp"))
+    # the first batch finds no folder: its look-up is against an empty table
+    landed_schema = T.StructType([*stream.schema.fields, T.StructField("_batch", T.LongType()), T.StructField("_bucket", T.IntegerType())])
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        s = batch.sparkSession
+        rows = _first_per_key(batch, key, event_time).withColumn(
+            "_bucket", F.coalesce(F.pmod(F.xxhash64(key), F.lit(buckets)), F.lit(0)).cast("int"))
+        if batch_id:
+            before = (s.read.schema(landed_schema).parquet(out_dir).where(F.col("_batch") < batch_id)
+                      .select(F.col(key).alias("_key"), F.col("_bucket").alias("_b")))
+            rows = rows.join(before, F.col("_bucket").eqNullSafe(F.col("_b")) & F.col(key).eqNullSafe(F.col("_key")), "left_anti")
+        rows.write.mode("overwrite").partitionBy("_bucket").parquet(f"{out_dir}/_batch={batch_id}")
+
+    (stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).start().awaitTermination())
 
 
 def read_landed(spark: SparkSession, out_dir: str) -> DataFrame:
-    return spark.read.parquet(out_dir)
+    return spark.read.parquet(out_dir).drop("_batch", "_bucket")

@@ -32,24 +32,24 @@ def test_recommendations_exclude_held_and_rank_by_premium(spark):
     prof = _prof(spark, [(1, ["a"], 1, "X"), (2, [], 3, "Y")])
     prem = spark.createDataFrame([("a", 300000.0), ("b", 150000.0), ("c", 150000.0), ("redis", 50.0)], "skill string, premium double")
     dem = spark.createDataFrame([("a", 10.0), ("b", 5.0)], "slug string, market_pct double")
-    recs = AD.recommend_skills(prof, prem, dem, k=2).collect()
+    recs = AD.recommend_skills(prof, AD.market_list(prem, dem), k=2).collect()
     by_user = {}
     for r in recs:
         by_user.setdefault(r.user_id, []).append((r.rank, r.skill, r.tier, r.frequency, r.status))
     assert by_user[1] == [(1, "b", "high", 5.0, "other"), (2, "c", "high", 0.0, "other")]  # tie b/c by name
     assert by_user[2][0] == (1, "a", "top", 10.0, "other")
-    plan = AD.action_plan(AD.recommend_skills(prof, prem, dem, k=15)).where("user_id = 2").collect()
+    plan = AD.action_plan(AD.recommend_skills(prof, AD.market_list(prem, dem), k=15)).where("user_id = 2").collect()
     assert len(plan) == 3 and {r.hours for r in plan} == {"30-50"}
-    gaps = AD.critical_gaps(prof, prem, dem).collect()
+    gaps = AD.critical_gaps(prof, AD.market_list(prem, dem)).collect()
     assert {(r.user_id, r.skill) for r in gaps} == {(1, "redis"), (2, "redis")}
 
 
 def test_total_premium_and_breakdown(spark):
     prof = _prof(spark, [(1, ["a", "b", "zzz"], 0, "X"), (2, ["zzz"], 0, "X")])
     prem = spark.createDataFrame([("a", 10.0), ("b", -4.0)], "skill string, premium double")
-    tot = {r.user_id: (r.n_with_premium, r.total_premium) for r in AD.total_premium(prof, prem).collect()}
+    tot = {r.user_id: (r.n_with_premium, r.total_premium) for r in AD.total_premium(prof, AD.market_list(prem)).collect()}
     assert tot == {1: (2, 6.0), 2: (0, 0.0)}
-    br = [(r.skill, r.rank) for r in AD.skill_breakdown(prof, prem).where("user_id = 1").orderBy("rank").collect()]
+    br = [(r.skill, r.rank) for r in AD.skill_breakdown(prof, AD.market_list(prem)).where("user_id = 1").orderBy("rank").collect()]
     assert br == [("a", 1), ("b", 2)]
 
 
@@ -115,9 +115,9 @@ def test_missing_report_and_value_counts(spark):
 
 
 def test_item_premium_totals_minus_item_sums(spark):
-    rows = spark.createDataFrame([(i, float(i)) for i in range(30)], "vacancy_id int, y double")
-    long = spark.createDataFrame([(i, "s") for i in range(0, 30, 2)], "vacancy_id int, skill string")
-    r = SK.item_premium_raw(long, rows, "y", min_n=10, top=None).first()
+    rows = spark.createDataFrame([(i, float(i), [] if i % 2 else ["s"]) for i in range(30)],
+                                 "vacancy_id int, y double, skill_slugs array<string>")
+    r = SK.item_premium_raw(rows, "y", min_n=10, top=None).first()
     ys = np.arange(30.0)
     with_ = ys[::2]
     without = ys[1::2]
