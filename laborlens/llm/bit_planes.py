@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path, shuffle_partitions
-from .common import MARKS, Known, Pretokens, by_bytes, importable, plain, token_file, whole_text
+from .common import MARKS, Known, Pretokens, by_bytes, importable, lean, plain, token_file, whole_text
 
 MAGIC = b"LLBP0001"
 MANIFEST = "shard int, file string, n_docs bigint, n_ids bigint"
@@ -242,7 +242,7 @@ def write_ids(docs: DataFrame, out_dir: str, id_col: str = "doc_id", text_col: s
     src = (docs.select(F.col(id_col).cast("bigint").alias("id"), whole_text(text_col).alias("text"))
            .withColumn("id", F.coalesce("id", F.raise_error(F.lit(f"{id_col} is null")).cast("bigint")))
            .repartitionByRange(shards, "id").sortWithinPartitions("id", "text"))
-    src.mapInArrow(write, MANIFEST).write.parquet(f"{out_dir}/manifest")
+    src.mapInArrow(lean(write), MANIFEST).write.parquet(f"{out_dir}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{out_dir}/manifest")
 
 
@@ -280,7 +280,7 @@ def read_ids(spark: SparkSession, out_dir: str) -> DataFrame:
                                           names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     files = spark.createDataFrame(parts, "uri string, start bigint").repartition(max(1, len(parts)))
-    return files.mapInArrow(read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return files.mapInArrow(lean(read), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def fresh_folder(spark: SparkSession) -> str:

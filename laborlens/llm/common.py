@@ -1,6 +1,9 @@
 """Helpers that several operators of this package share."""
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import inspect
 import os
 from array import array
 from collections.abc import Iterator
@@ -31,6 +34,41 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker lives on after its
+    task, and what it holds counts against the executor's other work."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # no glibc
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def lean(fn):
+    """A task function for ``mapInArrow`` or ``applyInArrow`` that gives its
+    memory back when it ends."""
+    if inspect.isgeneratorfunction(fn):
+        def run(batches):
+            pa.set_memory_pool(pa.system_memory_pool())
+            try:
+                yield from fn(batches)
+            finally:
+                give_back()
+        return run
+
+    def by_key(key, table):
+        try:
+            return fn(key, table)
+        finally:
+            give_back()
+
+    def whole(table):
+        try:
+            return fn(table)
+        finally:
+            give_back()
+
+    return by_key if len(inspect.signature(fn).parameters) == 2 else whole
+
+
 def whole_text(col: str | Column) -> Column:
     """A null text counts as the empty text."""
     c = F.col(col) if isinstance(col, str) else col

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_bytes, importable, whole_text, written
+from .common import by_bytes, importable, lean, whole_text, written
 
 UNDETERMINED = "und"
 ORDERS = (3, 4)
@@ -118,7 +118,7 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", o
                         names=["lang", "gram", "n"])
 
     counted = written(src.where(F.col("draw") < F.element_at(cut, F.col("lang"))).select("lang", "text")
-                      .mapInArrow(tally, "lang string, gram bigint, n bigint")
+                      .mapInArrow(lean(tally), "lang string, gram bigint, n bigint")
                       .groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
     total = counted.groupBy("lang").agg(F.sum("n").alias("total"))
     share = counted.join(F.broadcast(total), "lang").select("lang", "gram", (F.col("n") / F.col("total")).alias("share"))
@@ -189,5 +189,5 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
     src = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)], whole_text(text_col).alias("_text"))
     kinds = [f"c{i} {src.schema[f'c{i}'].dataType.simpleString()}" for i in range(len(keep))]
-    out = src.mapInArrow(run, ", ".join([*kinds, "lang_pred string", "score double"]))
+    out = src.mapInArrow(lean(run), ", ".join([*kinds, "lang_pred string", "score double"]))
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], "lang_pred", "score")

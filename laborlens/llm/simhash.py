@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import by_bytes, importable, whole_text, written
+from .common import by_bytes, importable, lean, whole_text, written
 from .components import components
 
 STRIP = 1 << 16  # shingles whose bits are counted at once
@@ -54,7 +54,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                                                  names=["id", "fp"])
 
     src = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
-    return src.mapInArrow(run, f"id {src.schema['id'].dataType.simpleString()}, fp bigint")
+    return src.mapInArrow(lean(run), f"id {src.schema['id'].dataType.simpleString()}, fp bigint")
 
 
 def ball_links(fps: DataFrame, max_bits: int = 2) -> DataFrame:

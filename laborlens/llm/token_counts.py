@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SegmentCache, by_bytes, importable, text_bytes, token_file, whole_text
+from .common import SegmentCache, by_bytes, importable, lean, text_bytes, token_file, whole_text
 
 SPACE = "▁"  # fixed value: how the sentencepiece library writes a space
 # from one run of spaces to before the next: the model treats both characters alike
@@ -85,6 +85,6 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     src = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
     kind = src.schema["id"].dataType.simpleString()
-    out = src.mapInArrow(lengths, f"id {kind}, n_bytes bigint, n_tokens bigint")
+    out = src.mapInArrow(lean(lengths), f"id {kind}, n_bytes bigint, n_tokens bigint")
     return out.select(F.col("id").alias(id_col), "n_bytes", "n_tokens",
                       (F.col("n_tokens") > limit).alias("over_limit"))

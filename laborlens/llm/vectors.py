@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import importable, written
+from .common import importable, lean, written
 from .components import components
 
 
@@ -83,7 +83,7 @@ def assign(nodes: DataFrame, cells: dict[int, np.ndarray], probes: int) -> DataF
                      own.column("node"), own.column("n"), own.column("vec")], schema=schema)
 
     return nodes.select("node", "n", "vec").mapInArrow(
-        run, "dim int, cell int, home int, probed array<int>, node bigint, n bigint, vec array<double>")
+        lean(run), "dim int, cell int, home int, probed array<int>, node bigint, n bigint, vec array<double>")
 
 
 def compare(rows: dict[str, np.ndarray], cell: int, same: bool, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -164,7 +164,7 @@ def link_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
                **{c: table.column(c).to_numpy() for c in ("side", "home", "node", "n")}}
         return pa.table(dict(zip(("node", "links", "root"), compare(got, cell, lo == hi, threshold), strict=True)))
 
-    found = written(spread.groupBy("dim", "cell", "lo", "hi").applyInArrow(task, "node bigint, links bigint, root bigint"), "links")
+    found = written(spread.groupBy("dim", "cell", "lo", "hi").applyInArrow(lean(task), "node bigint, links bigint, root bigint"), "links")
     hung = components(found.select(F.col("node").alias("a"), F.col("root").alias("b"))).withColumnRenamed("root", "top")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     rooted = nodes.join(hung, "node", "left").join(links, "node", "left").withColumn("top", F.coalesce("top", "node"))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .bit_planes import _fs
-from .common import importable, whole_text
+from .common import importable, lean, whole_text
 
 MANIFEST = "file string, n_records bigint"
 CHUNKS = ("record_id string, page_id bigint, record_type string, refers_to bigint, url string, chunk_no bigint, "
@@ -194,7 +194,7 @@ def write_archives(pages: DataFrame, out_dir: str, id_col: str = "page_id", url_
             sink.close()
             yield pa.RecordBatch.from_pylist([{"file": name, "n_records": n}])
 
-    rows.mapInArrow(write, MANIFEST).write.parquet(f"{out_dir}/manifest")
+    rows.mapInArrow(lean(write), MANIFEST).write.parquet(f"{out_dir}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{out_dir}/manifest")
 
 
@@ -223,7 +223,7 @@ def read_archives(spark: SparkSession, out_dir: str, chunk: int = 1 << 20, with_
                     yield pa.RecordBatch.from_pylist(rows, schema=kinds)
 
     table = spark.createDataFrame(files, "uri string").repartition(max(1, len(files)))
-    return table.mapInArrow(read, CHUNKS)
+    return table.mapInArrow(lean(read), CHUNKS)
 
 
 def records(chunks: DataFrame) -> DataFrame:
