@@ -22,11 +22,14 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep of each group the document with the smallest id (one of them, if
-    rows repeat that id)."""
+    """Keep of each group the document with the smallest id.  Rows that
+    repeat an id are one document; only where there are such rows are whole
+    rows grouped."""
     found = simhash.near_duplicates(docs, shingle=3, max_bits=2)
-    first = found.where("doc_id <=> component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+    first = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id")).distinct()
+    left = docs.join(first, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    again = docs.groupBy("doc_id").count().where("count > 1")
+    return left if again.isEmpty() else left.dropDuplicates(["doc_id"])
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +42,8 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a window of a benchmark item."""
     judged = decontaminate.contamination(docs, read_table(spark, sf_dir, "benchmark"))
-    bad = judged.where("contaminated").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    bad = judged.where("contaminated").select(F.col("doc_id").alias("bad_id")).distinct()
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")), "left_anti")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -62,6 +62,8 @@ def test_shard_blocks_by_number():
 
 def test_codec(docs, corpus, same):
     same(bpe_tree.encode_decode(docs, leaf=64), brute.codec(corpus))
+    # texts of over 300 bytes in pieces, encoded in parallel and joined
+    same(bpe_tree.encode_decode(docs, leaf=16, spread_bytes=300), brute.codec(corpus))
     assert bpe_tree.encode_decode(empty(docs)).count() == 0
     got = bpe_tree.encode_decode(docs, with_ids=True).select("doc_id", "ids").collect()
     tk, text = brute.tokenizer("byte_bpe_50k.json"), dict(corpus)
@@ -77,7 +79,7 @@ def test_tree_concatenation():
     bpe, rng = bpe_tree.ByteBpe(token_file("byte_bpe_50k.json")), random.Random(3)
     for _ in range(3000):
         s = "".join(rng.choices(rng.choice(["a", "ab", "aabtion", "theingĠo", "!.-="]), k=rng.randint(1, 80)))
-        assert bpe_tree.encode_tree(s, bpe._model, rng.randint(1, 9)) == bpe._model(s)
+        assert bpe_tree.encode_tree(s, bpe.model_tokens, rng.randint(1, 9)) == bpe.model_tokens(s)
 
 
 def test_simhash(docs, corpus, same):
