@@ -35,6 +35,7 @@ from ..session import scratch_path, shuffle_partitions
 from .common import MARKS, Known, Pretokens, by_bytes, importable, lean, plain, token_file, whole_text
 
 MAGIC = b"LLBP0001"
+NO_ID = -(1 << 63)  # stands for a null id in files
 MANIFEST = "shard int, file string, n_docs bigint, n_ids bigint"
 
 
@@ -210,8 +211,7 @@ def write_ids(docs: DataFrame, out_dir: str, id_col: str = "doc_id", text_col: s
 
     A null text is empty (its only id is ``end_id``); rows with the same id
     are documents of their own, in order of their text; rows with a null id
-    are refused, as they have no place in the order.  Other columns are
-    ignored.
+    come before all others.  Other columns are ignored.
     """
     spark = docs.sparkSession
     importable(spark)
@@ -240,7 +240,7 @@ def write_ids(docs: DataFrame, out_dir: str, id_col: str = "doc_id", text_col: s
                 schema=pa.schema([("shard", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]))
 
     src = (docs.select(F.col(id_col).cast("bigint").alias("id"), whole_text(text_col).alias("text"))
-           .withColumn("id", F.coalesce("id", F.raise_error(F.lit(f"{id_col} is null")).cast("bigint")))
+           .withColumn("id", F.coalesce("id", F.lit(NO_ID)))
            .repartitionByRange(shards, "id").sortWithinPartitions("id", "text"))
     src.mapInArrow(lean(write), MANIFEST).write.parquet(f"{out_dir}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{out_dir}/manifest")
@@ -280,7 +280,8 @@ def read_ids(spark: SparkSession, out_dir: str) -> DataFrame:
                                           names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     files = spark.createDataFrame(parts, "uri string, start bigint").repartition(max(1, len(parts)))
-    return files.mapInArrow(lean(read), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    out = files.mapInArrow(lean(read), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return out.withColumn("doc_id", F.when(F.col("doc_id") != NO_ID, F.col("doc_id")))
 
 
 def fresh_folder(spark: SparkSession) -> str:

@@ -144,7 +144,7 @@ class Known(dict):
     and keeps no key of over ``longest`` characters, so it stays bounded.
     Kept per Python worker, it spans tasks."""
 
-    def __init__(self, make, entries: int = 200_000, longest: int = 64):
+    def __init__(self, make, entries: int = 150_000, longest: int = 64):
         super().__init__()
         self.make, self.entries, self.longest = make, entries, longest
 
@@ -167,4 +167,4 @@ class Pretokens(Known):
         def make(text: str) -> bytes:
             return array("I", [t.id for t in tokenize(text.encode().decode("latin-1").translate(PRINTED))]).tobytes()
 
-        super().__init__(make, **bounds)
+        super().__init__(make, **({"entries": 400_000} | bounds))

@@ -14,7 +14,7 @@ work is narrowed by steps that lose nothing, and the rest is a merge sort.
    which answer which ones repeat (``classes``).
 3. Shards sort their repeating blocks, one of each distinct text, and send
    front-coded sorted runs to the buckets of their classes (``runs``).
-   Blocks of classes with very many places are sent window by window, to the
+   Blocks of classes with very many texts are sent window by window, to the
    buckets of the windows, so that no class is a large group.
 4. Buckets merge the runs with a loser tree over shared prefixes.  Neighbours
    that share all their bytes are the same string; neighbours that share the
@@ -24,9 +24,10 @@ work is narrowed by steps that lose nothing, and the rest is a merge sort.
 5. Shards cut their documents by the answers (``cut``).
 
 A shard sends a string once however often it holds it, so no group grows with
-the copies of a text.  Every step is written by Spark or shuffled from what
-is, and shards are files in the shared folder under names that hold the task
-attempt; so a lost executor costs the steps that it was doing.
+the copies of a text.  Shards, and the places of their texts, are files in
+the shared folder under names that hold the task attempt; every step is a
+function of them and of rows that Spark shuffles, so a lost executor's tasks
+are run again with the same result.
 """
 from __future__ import annotations
 
@@ -44,7 +45,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path, shuffle_partitions
 from .bit_planes import _fs
-from .common import importable, text_bytes, whole_text, written
+from .common import importable, lean, text_bytes, whole_text, written
 from .suffix_runs import decode, front_code, merge
 
 STRIP = 1 << 19          # windows that are anchored at once
@@ -53,6 +54,10 @@ NONE = -(1 << 63)        # the place of a null id: before all others
 UNIQUE, REPEATED, CROWDED = 0, 1, 2
 
 
+PLACES = {"row": np.int32, "start": np.int64, "windows": np.uint8, "u": np.uint32, "fresh": np.bool_}
+NO_PLACES = {c: np.empty(0, k) for c, k in PLACES.items()}
+
+
 # ------------------------------------------------------------------ blocks
 def gram_hashes(t: np.ndarray, k: int) -> np.ndarray:
     """A 64-bit hash of each ``k`` bytes in a row: a polynomial from one
@@ -72,10 +77,10 @@ def gram_hashes(t: np.ndarray, k: int) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def blocks(data: bytes, length: int, gram: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """Per strip of a document: class hash, first window, number of windows
-    and anchor of each block."""
-    t = np.frombuffer(data, np.uint8)
+def blocks(t: np.ndarray, length: int, gram: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Per strip of a document: class hash, hash of the block's text, first
+    window, number of windows and anchor of each block.  The strings at the
+    first window, the anchor and the end cover the block's text."""
     reach = length - gram + 1
     for at in range(0, len(t) - length + 1, STRIP):
         h = gram_hashes(t[at:at + STRIP + length - 1], gram)
@@ -88,39 +93,68 @@ def blocks(data: bytes, length: int, gram: int) -> Iterator[tuple[np.ndarray, ..
             low = np.minimum(low[:len(low) - (reach - span)], low[reach - span:])
         anchor = (low & np.uint64(INDEX)).astype(np.int64)
         first = np.concatenate([[0], np.flatnonzero(np.diff(anchor)) + 1])
-        yield h[anchor[first]], at + first, np.diff(np.append(first, len(anchor))), at + anchor[first]
-
-
-def doc_order(table: pa.Table) -> np.ndarray:
-    """Rows of a shard by id, equal ids as they stand."""
-    return np.argsort(table.column("id").fill_null(NONE).to_numpy(), kind="stable")
-
-
-def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
-    return ((h >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-
-
-def shard_classes(table: pa.Table, length: int, gram: int, buckets: int):
-    """All blocks of a shard in document order (row, class, first window,
-    windows, anchor), and per bucket the sorted distinct low halves of the
-    class hashes with the number of blocks of each (255 at most)."""
-    parts = []
-    texts = table.column("text")
-    for row in doc_order(table).tolist():
-        data = texts[row].as_buffer()
-        if data.size >= length:
-            parts += [(np.full(len(b[0]), row, np.int32), *b) for b in blocks(data, length, gram)]
-    if not parts:
-        empty = np.empty(0, np.int64)
-        return (empty, empty.astype(np.uint64), empty, empty, empty), [(np.empty(0, np.uint32), np.empty(0, np.uint8))] * buckets
-    row, h, first, n, anchor = (np.concatenate(c) for c in zip(*parts, strict=True))
-    bucket, sent = bucket_of(h, buckets), []
-    by = np.argsort(bucket, kind="stable")
-    ends = np.searchsorted(bucket[by], np.arange(buckets + 1))
-    for b in range(buckets):
-        low, count = np.unique((h[by[ends[b]:ends[b + 1]]] & np.uint64(0xFFFFFFFF)).astype(np.uint32), return_counts=True)
-        sent.append((low, np.minimum(count, 255).astype(np.uint8)))
-    return (row, h, first, n, anchor), sent
+        n = np.diff(np.append(first, len(anchor)))
+        own = anchor[first]
+        text = h[own]
+        for x in (h[first], h[first + n - 1 + length - gram], (n << 8 | own - first).astype(np.uint64)):
+            text = (text ^ x) * np.uint64(0xFF51AFD7ED558CCD)
+            text ^= text >> np.uint64(32)
+        yield h[own], text, at + first, n, at + own
+
+
+class Shard:
+    """A shard's documents and blocks.  Blocks are sorted by bucket, low half
+    of the class hash and text hash, equal ones by document and place; so
+    each class is a run of them, each text in it one too, and the first of a
+    text is the earliest in the corpus order."""
+
+    def __init__(self, table: pa.Table, length: int, gram: int, buckets: int):
+        texts = table.column("text").combine_chunks()
+        texts = texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts
+        _, ends, data = texts.buffers()
+        self.ends = np.frombuffer(ends, np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+        self.flat = np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8)
+        self.ids = table.column("id").fill_null(NONE).to_numpy()
+        parts = []
+        for row in np.argsort(self.ids, kind="stable").tolist():
+            a, b = self.ends[row], self.ends[row + 1]
+            if b - a >= length:
+                parts += [(np.full(len(x[0]), row, np.int32), *x) for x in blocks(self.flat[a:b], length, gram)]
+        kinds = (np.int32, np.uint64, np.uint64, np.int64, np.int64, np.int64)
+        row, h, text, first, n, anchor = (np.concatenate(c) for c in zip(*parts, strict=True)) if parts else (np.empty(0, k) for k in kinds)
+        bucket = ((h >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+        low = (h & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        by = np.lexsort((text, low, bucket))
+        self.row, self.first, self.n, self.anchor, self.bucket = row[by], first[by], n[by], anchor[by], bucket[by]
+        low, text = low[by], text[by]
+        new = np.ones(len(by), bool)
+        new[1:] = (low[1:] != low[:-1]) | (self.bucket[1:] != self.bucket[:-1])
+        self.new_text = new.copy()
+        self.new_text[1:] |= text[1:] != text[:-1]
+        self.cls = np.cumsum(new) - 1                      # number of each block's class
+        starts = np.flatnonzero(new)
+        texts_in = np.add.reduceat(self.new_text, starts, dtype=np.int64) if len(starts) else starts
+        again = np.diff(np.append(starts, len(by))) > 1
+        #: per class: low half, number of texts (127 at most), whether it stands at several places
+        self.low = low[starts]
+        self.count = (np.minimum(texts_in, 127) * 2 + again).astype(np.uint8)
+        self.cuts = np.searchsorted(self.bucket[starts], np.arange(buckets + 1))
+
+    def same_text(self, i: np.ndarray, j: np.ndarray, length: int) -> np.ndarray:
+        """Whether blocks i and j are equal, byte by byte."""
+        same = (self.n[i] == self.n[j]) & (self.anchor[i] - self.first[i] == self.anchor[j] - self.first[j])
+        if not len(i):
+            return same
+        a, b = self.ends[self.row[i]] + self.first[i], self.ends[self.row[j]] + self.first[j]
+        size = self.n[i] - 1 + length
+        if length < 8:
+            words, step = self.flat, 1
+        else:  # eight bytes at a time, the last eight overlapping those before
+            words, step = np.ndarray((len(self.flat) - 7,), "<u8", self.flat.data, strides=(1,)), 8
+        for k in range(0, int(size.max()), step):
+            at = np.minimum(k, size - step)
+            same &= words[a + at] == words[np.minimum(b + at, len(words) - 1)]
+        return same
 
 
 # ------------------------------------------------------------------- packs
@@ -186,10 +220,23 @@ def store(docs: DataFrame, folder: str, id_col: str, text_col: str, keep: list[s
         if held:
             yield flush()
 
-    return written(src.mapInArrow(write, "shard bigint, file string"), "shards")
+    return written(src.mapInArrow(lean(write), "shard bigint, file string"), "shards")
+
 
+def answer(lows: list[np.ndarray], counts: list[np.ndarray], crowd: int) -> list[np.ndarray]:
+    """A code for each class hash that each shard sent."""
+    value, inverse = np.unique(np.concatenate(lows), return_inverse=True)
+    count = np.concatenate(counts)
+    places = np.bincount(inverse, 1 + (count & 1), len(value))
+    texts = np.bincount(inverse, count >> 1, len(value))
+    full = np.bincount(inverse, count >> 1 == 127, len(value)) > 0   # may stand for any number
+    code = np.where(full | (texts > crowd), CROWDED, REPEATED)
+    code = np.where(places > 1, code, UNIQUE).astype(np.uint8)[inverse]
+    ends = np.cumsum([0, *map(len, lows)])
+    return [code[a:b] for a, b in zip(ends, ends[1:])]
 
-def classes(shards: DataFrame, length: int, gram: int, buckets: int, crowd: int) -> DataFrame:
+
+def classes(shards: DataFrame, length: int, gram: int, buckets: int, crowd: int, tasks: int) -> DataFrame:
     """Per shard and bucket: a code for each class hash that the shard sent,
     in the order of sending."""
     sent_as = pa.schema([("bucket", pa.int32()), ("shard", pa.int64()), ("file", pa.string()), ("low", pa.binary()), ("count", pa.binary())])
@@ -197,165 +244,183 @@ def classes(shards: DataFrame, length: int, gram: int, buckets: int, crowd: int)
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, uri in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                _, sent = shard_classes(read_shard(uri), length, gram, buckets)
-                for b, (low, count) in enumerate(sent):
-                    if len(low) or not b:  # at least one row per shard
-                        yield pa.RecordBatch.from_pylist([{
-                            "bucket": b, "shard": shard, "file": uri, "low": low.tobytes(), "count": count.tobytes()}], schema=sent_as)
-
-    def answer(table: pa.Table) -> pa.Table:
-        low = [np.frombuffer(x.as_buffer(), np.uint32) for x in table.column("low")]
-        count = [np.frombuffer(x.as_buffer(), np.uint8) for x in table.column("count")]
-        value, inverse = np.unique(np.concatenate(low), return_inverse=True)
-        total = np.bincount(inverse, np.concatenate(count), len(value))
-        # a count of 255 may stand for any number
-        full = np.bincount(inverse, np.concatenate(count) == 255, len(value)) > 0
-        code = np.where(full | (total > crowd), CROWDED, np.where(total > 1, REPEATED, UNIQUE)).astype(np.uint8)
-        ends = np.cumsum([0, *map(len, low)])
+                own = Shard(read_shard(uri), length, gram, buckets)
+                rows = [{"bucket": b, "shard": shard, "file": uri, "low": own.low[x:y].tobytes(), "count": own.count[x:y].tobytes()}
+                        for b, (x, y) in enumerate(zip(own.cuts, own.cuts[1:])) if y > x or not b]  # at least one row per shard
+                yield pa.RecordBatch.from_pylist(rows, schema=sent_as)
+
+    def task(table: pa.Table) -> pa.Table:
+        codes = answer([np.frombuffer(x.as_buffer(), np.uint32) for x in table.column("low")],
+                       [np.frombuffer(x.as_buffer(), np.uint8) for x in table.column("count")], crowd)
         return pa.table({"shard": table.column("shard"), "file": table.column("file"), "bucket": table.column("bucket"),
-                         "code": pa.array([code[inverse[a:b]].tobytes() for a, b in zip(ends, ends[1:])], pa.binary())})
+                         "code": pa.array([c.tobytes() for c in codes], pa.binary())})
 
-    n = max(1, shards.count())
-    return (shards.repartitionByRange(n, "shard")
-            .mapInArrow(send, "bucket int, shard bigint, file string, low binary, count binary")
-            .groupBy("bucket").applyInArrow(answer, "shard bigint, file string, bucket int, code binary"))
+    return (shards.repartitionByRange(tasks, "shard")
+            .mapInArrow(lean(send), "bucket int, shard bigint, file string, low binary, count binary")
+            .groupBy("bucket").applyInArrow(lean(task), "shard bigint, file string, bucket int, code binary"))
 
 
-def shard_runs(table: pa.Table, codes: list[np.ndarray], length: int, gram: int, buckets: int) -> tuple[bytes, list[tuple[int, int, bytes]]]:
+def shard_runs(own: Shard, codes: np.ndarray, length: int, buckets: int) -> tuple[bytes, list[tuple[int, int, bytes]]]:
     """The runs of a shard as (kind, bucket, pack), and its own record of
-    which blocks have which text.  Kind 0: blocks, as the bytes from the
-    anchor on and then those before it; kind 1: single windows."""
+    where each text stands.  Kind 0: blocks, as the bytes from the anchor on
+    and then those before it; kind 1: single windows."""
     from xxhash import xxh64_intdigest
 
-    (row, h, first, n, anchor), sent = shard_classes(table, length, gram, buckets)
-    bucket = bucket_of(h, buckets)
-    low = (h & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-    code = np.zeros(len(h), np.uint8)
-    for b in range(buckets):
-        at = np.flatnonzero(bucket == b)
-        if len(at):
-            code[at] = codes[b][np.searchsorted(sent[b][0], low[at])]
-    texts, ids = table.column("text"), table.column("id").fill_null(NONE).to_numpy()
-    known: dict = {}                                       # text -> number
-    at = {c: array(t) for c, t in (("row", "i"), ("start", "q"), ("windows", "B"), ("u", "I"), ("fresh", "B"))}
-    first_at = {c: array(t) for c, t in (("before", "B"), ("windows", "B"), ("row", "i"), ("start", "q"))}   # by number
-    lists: dict[tuple[int, int], list[tuple[bytes, int]]] = {}
-
-    def place(r: int, s: int, windows: int, u: int, fresh: int) -> None:
-        for c, x in zip(at.values(), (r, s, windows, u, fresh), strict=True):
-            c.append(x)
-
-    def number(key, kind: int, to: int, string: bytes, before: int, windows: int, r: int, s: int) -> None:
-        u = known.get(key)
-        place(r, s, windows, len(known) if u is None else u, u is None)
-        if u is None:
-            u = known[key] = len(known)
-            lists.setdefault((kind, to), []).append((string, u))
-            for c, x in zip(first_at.values(), (before, windows, r, s), strict=True):
-                c.append(x)
-
-    rows, data = -1, b""
+    code = codes[own.cls] if len(own.cls) else np.empty(0, np.uint8)
     picked = np.flatnonzero(code)
-    seen: dict[tuple, int] = {}                            # texts of crowded blocks
-    for r, f, w, a, c, b in zip(*(x[picked].tolist() for x in (row, first, n, anchor, code, bucket)), strict=True):
-        if r != rows:
-            rows, data = r, texts[r].as_buffer().to_pybytes()
-        string = data[a:f + w - 1 + length] + data[f:a]
-        if c == REPEATED:
-            number((string, a - f, w), 0, b, string, a - f, w, r, f)
-        elif (u := seen.get((string, a - f, w))) is not None:
-            place(r, f, w, u, 0)                           # all its windows have been seen
-        else:
-            seen[string, a - f, w] = len(seen)
-            for s in range(f, f + w):
-                window = data[s:s + length]
-                number(window, 1, -1 if window in known else xxh64_intdigest(window) % buckets, window, 0, 1, r, s)
-    out = []
-    for (kind, to), entries in lists.items():
+    # the first block of each one's text; a hash that lies makes a text of its own
+    firsts = np.flatnonzero(own.new_text)
+    first = firsts[np.cumsum(own.new_text)[picked] - 1] if len(picked) else picked
+    first = np.where(own.same_text(picked, first, length), first, picked)
+    fresh = first == picked
+    alone = picked[fresh & (code[picked] == REPEATED)]     # one of each text that is sent as a block
+    number = np.full(len(code), -1, np.int64)
+    number[alone] = np.arange(len(alone))
+    listed = code[picked] == REPEATED
+    keep = listed | ~fresh                                 # crowded texts that come again: all windows seen
+    at = [own.row[picked[keep]], own.first[picked[keep]], own.n[picked[keep]], np.maximum(number[first[keep]], 0), fresh[keep]]
+    base = own.ends[own.row[alone]]
+    mem, out = own.flat.data, []
+    strings = [bytes(mem[a:e]) + bytes(mem[f:a]) for f, a, e in zip(
+        (base + own.first[alone]).tolist(), (base + own.anchor[alone]).tolist(),
+        (base + own.first[alone] + own.n[alone] - 1 + length).tolist(), strict=True)]
+
+    def send(kind: int, to: int, entries: list[tuple[bytes, int]], **columns: np.ndarray) -> None:
         entries.sort()
-        lcps, sizes, rests = front_code([string for string, _ in entries])
-        u = np.array([u for _, u in entries], np.uint32)
-        before, windows, r, s = (np.array(c)[u] for c in first_at.values())
-        out.append((kind, to, pack(lcp=lcps, size=sizes, rest=np.frombuffer(rests, np.uint8), u=u, before=before,
-                                   windows=windows, id=ids[r], row=r, start=s)))
-    return pack(**{c: np.array(x) for c, x in at.items()}), out
-
-
-def runs(answers: DataFrame, folder: str, length: int, gram: int, buckets: int) -> DataFrame:
-    """The front-coded runs of every shard, a row per kind and bucket, and a
-    row of kind -1 per shard with the places of its records."""
+        lcps, sizes, rests = front_code([x for x, _ in entries])
+        i = np.array([k for _, k in entries], np.int64)
+        out.append((kind, to, pack(lcp=lcps, size=sizes, rest=np.frombuffer(rests, np.uint8), u=i.astype(np.uint32),
+                                   **{c: x[i] for c, x in columns.items()})))
+
+    where = own.bucket[alone]                              # ascending, as blocks are sorted by it
+    ends = np.searchsorted(where, np.arange(buckets + 1)).tolist()
+    for b, (x, y) in enumerate(zip(ends, ends[1:])):
+        if y > x:
+            send(0, b, [(strings[k], k) for k in range(x, y)], before=(own.anchor - own.first)[alone].astype(np.uint8),
+                 windows=own.n[alone].astype(np.uint8), id=own.ids[own.row[alone]], row=own.row[alone], start=own.first[alone])
+    del strings
+    # crowded texts, window by window, in document order
+    crowded = picked[fresh & ~listed]
+    crowded = crowded[np.lexsort((own.first[crowded], own.row[crowded], own.ids[own.row[crowded]]))]
+    known: dict[bytes, int] = {}
+    row, start, u, new = array("i"), array("q"), array("q"), array("b")
+    lists: dict[int, list[tuple[bytes, int]]] = {}
+    for r, f, w in zip(own.row[crowded].tolist(), own.first[crowded].tolist(), own.n[crowded].tolist(), strict=True):
+        base = int(own.ends[r]) + f
+        for k in range(w):
+            window = bytes(mem[base + k:base + k + length])
+            i = known.get(window)
+            row.append(r)
+            start.append(f + k)
+            new.append(i is None)
+            if i is None:
+                i = known[window] = len(known)
+                lists.setdefault(xxh64_intdigest(window) % buckets, []).append((window, len(u)))
+            u.append(i + len(alone))
+    row_, start_, u_ = np.array(row, np.int32), np.array(start, np.int64), np.array(u, np.int64)
+    for b, entries in lists.items():
+        entries.sort()
+        lcps, sizes, rests = front_code([x for x, _ in entries])
+        i = np.array([k for _, k in entries], np.int64)
+        ones = np.ones(len(i), np.uint8)
+        out.append((1, b, pack(lcp=lcps, size=sizes, rest=np.frombuffer(rests, np.uint8), u=u_[i].astype(np.uint32), before=ones * 0,
+                               windows=ones, id=own.ids[row_[i]], row=row_[i], start=start_[i])))
+    more = [row_, start_, np.ones(len(u_), np.int64), u_, np.array(new, bool)]
+    record = pack(**{c: np.concatenate([x, y]).astype(k) for (c, k), x, y in zip(PLACES.items(), at, more, strict=True)})
+    return record, out
+
+
+def runs(answers: DataFrame, folder: str, length: int, gram: int, buckets: int, tasks: int) -> DataFrame:
+    """The front-coded runs of every shard, a row per kind and bucket; each
+    names the shard's file and the file with the places of its texts."""
     def make(key: tuple, table: pa.Table) -> pa.Table:
         shard, uri = key[0].as_py(), table.column("file")[0].as_py()
         codes = [np.empty(0, np.uint8)] * buckets
         for b, c in zip(table.column("bucket").to_pylist(), table.column("code"), strict=True):
             codes[b] = np.frombuffer(c.as_buffer(), np.uint8)
-        record, made = shard_runs(read_shard(uri), codes, length, gram, buckets)
-        name = put(f"{folder}/places-{shard}-{TaskContext.get().taskAttemptId()}.bin", record)
-        made = [(-1, -1, b""), *made]
+        record, made = shard_runs(Shard(read_shard(uri), length, gram, buckets), np.concatenate(codes), length, buckets)
+        name = put(f"{folder}/places-{shard}-{TaskContext.get().taskAttemptId()}.bin", record) if made else ""
         return pa.table({"kind": pa.array([m[0] for m in made], pa.int32()), "bucket": pa.array([m[1] for m in made], pa.int32()),
-                         "shard": pa.array([shard] * len(made), pa.int64()), "file": pa.array([uri] * len(made)),
-                         "places": pa.array([name] * len(made)), "data": pa.array([m[2] for m in made], pa.binary())})
+                         "shard": pa.array([shard] * len(made), pa.int64()), "places": pa.array([name] * len(made), pa.string()),
+                         "data": pa.array([m[2] for m in made], pa.binary())})
 
-    return written(answers.groupBy("shard").applyInArrow(
-        make, "kind int, bucket int, shard bigint, file string, places string, data binary"), "runs")
+    # the rows are small and the work behind them isn't, so tasks are counted, not sized
+    return answers.repartition(tasks, "shard").groupBy("shard").applyInArrow(
+        lean(make), "kind int, bucket int, shard bigint, places string, data binary")
 
 
 def resolve(group: list[tuple], length: int) -> Iterator[tuple[int, int, int]]:
-    """(shard, text number, bits) for the blocks of one class: a bit per
-    window that also starts earlier.  An entry is (block text, id, shard,
-    row, first window, number of windows, text number); its place is that
-    of the text's first block in the shard."""
-    if len(group) < 2:
-        return
+    """(shard, text number, bits) for the texts of one class: a bit per
+    window that also starts earlier.  ``group`` has per distinct text
+    (text, windows, [(place, text number), ...]); a place is (id, shard, row,
+    first window) of the text's first block in a shard."""
+    firsts = [min(p for p, _ in own) for _, _, own in group]
     least: dict[bytes, tuple] = {}
-    if all(e[0] == group[0][0] for e in group):
-        first = min(e[1:5] for e in group)
-        for e in group:
-            if e[1:5] != first:
-                yield e[2], e[6], (1 << e[5]) - 1
-        return
-    for text, id_, shard, row, start, windows, _ in group:
-        for j in range(windows):
-            place = (id_, shard, row, start + j)
-            if least.setdefault(text[j:j + length], place) > place:
-                least[text[j:j + length]] = place
-    for text, id_, shard, row, start, windows, u in group:
-        bits = sum((least[text[j:j + length]] != (id_, shard, row, start + j)) << j for j in range(windows))
-        if bits:
-            yield shard, u, bits
-
-
-def merged(run_rows: DataFrame, length: int, gram: int) -> DataFrame:
-    """Merge each bucket's runs; per shard, text numbers with the bits of
-    windows that also start earlier."""
-    def task(key: tuple, table: pa.Table) -> pa.Table:
-        kind = key[0].as_py()
-        shards = table.column("shard").to_pylist()
-        packs = [unpack(x.as_buffer()) for x in table.column("data")]
-        feeds = [decode(p["lcp"], p["size"], p["rest"].tobytes()) for p in packs]
-        own = [list(zip(*(p[c].tolist() for c in ("u", "before", "windows", "id", "row", "start")), strict=True)) for p in packs]
-        at, found, group = [0] * len(packs), {}, []
-        same = gram if kind == 0 else length   # bytes that the members of a group share
-
-        def close() -> None:
+    if len(group) > 1:
+        for (text, windows, _), (id_, shard, row, start) in zip(group, firsts, strict=True):
+            for j in range(windows):
+                place = (id_, shard, row, start + j)
+                window = text[j:j + length]
+                if least.setdefault(window, place) > place:
+                    least[window] = place
+    for (text, windows, own), first in zip(group, firsts, strict=True):
+        all_ = (1 << windows) - 1
+        for place, u in own:
+            bits = all_
+            if place == first:
+                id_, shard, row, start = place
+                bits = sum((least[text[j:j + length]] != (id_, shard, row, start + j)) << j for j in range(windows)) if least else 0
+            if bits:
+                yield place[1], u, bits
+
+
+def resolve_runs(kind: int, shards: list[int], packs: list[dict], length: int, gram: int) -> dict[int, list[tuple[int, int]]]:
+    """Merge the runs of a bucket and resolve its classes: per shard the text
+    numbers and bits."""
+    feeds = [decode(p["lcp"], p["size"], p["rest"].tobytes()) for p in packs]
+    own = [zip(*(p[c].tolist() for c in ("u", "before", "windows", "id", "row", "start")), strict=True) for p in packs]
+    found: dict[int, list[tuple[int, int]]] = {}
+    group: list[tuple] = []
+    same = gram if kind == 0 else length   # bytes that the members of a class share
+    last = None
+
+    def close() -> None:
+        if len(group) > 1 or group and len(group[0][2]) > 1:
             for shard, u, bits in resolve(group, length):
                 found.setdefault(shard, []).append((u, bits))
-            group.clear()
-
-        for n, run, string in merge(feeds):
-            u, before, windows, id_, row, start = own[run][at[run]]
-            at[run] += 1
-            if n < same:
-                close()
-            # back from (from the anchor on, before it) to the block's text
-            text = string[len(string) - before:] + string[:len(string) - before] if before else string
-            group.append((text, id_, shards[run], row, start, windows, u))
-        close()
-        return pa.table({"shard": pa.array(list(found), pa.int64()), "data": pa.array(
-            [pack(u=np.array([u for u, _ in x], np.uint32), bits=np.array([b for _, b in x], np.uint64)) for x in found.values()],
+        group.clear()
+
+    for n, run, string in merge(feeds):
+        u, before, windows, id_, row, start = next(own[run])
+        place = ((id_, shards[run], row, start), u)
+        if n == len(string) and last == (n, before, windows):
+            group[-1][2].append(place)     # the same text from another shard
+            continue
+        if n < same:
+            close()
+        last = (len(string), before, windows)
+        # back from (from the anchor on, before it) to the block's text
+        text = string[len(string) - before:] + string[:len(string) - before] if before else string
+        group.append((text, windows, [place]))
+    close()
+    return found
+
+
+def merged(run_rows: DataFrame, length: int, gram: int, buckets: int) -> DataFrame:
+    """Merge each bucket's runs; per shard, text numbers with the bits of
+    windows that also start earlier.  A shard that sent a run gets a row from
+    its bucket in any case, as its own repeats are in its places."""
+    def task(key: tuple, table: pa.Table) -> pa.Table:
+        places = dict(zip(table.column("shard").to_pylist(), table.column("places").to_pylist(), strict=True))
+        found = resolve_runs(key[0].as_py(), table.column("shard").to_pylist(),
+                             [unpack(x.as_buffer()) for x in table.column("data")], length, gram)
+        rows = [found.get(s, []) for s in places]
+        return pa.table({"shard": pa.array(list(places), pa.int64()), "places": pa.array(list(places.values()), pa.string()), "data": pa.array(
+            [pack(u=np.array([u for u, _ in x], np.uint32), bits=np.array([b for _, b in x], np.uint64)) if x else b"" for x in rows],
             pa.binary())})
 
-    return run_rows.where("kind >= 0").groupBy("kind", "bucket").applyInArrow(task, "shard bigint, data binary")
+    return run_rows.repartition(buckets, "kind", "bucket").groupBy("kind", "bucket").applyInArrow(
+        lean(task), "shard bigint, places string, data binary")
 
 
 def removed_spans(size: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -401,7 +466,7 @@ def cut_shard(table: pa.Table, places: dict[str, np.ndarray], bits: np.ndarray,
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100,
                    keep: list[str] | None = None, with_text: bool = False, gram: int = 64,
-                   shard_bytes: int = 16 << 20, crowd: int = 4096) -> DataFrame:
+                   shard_bytes: int = 8 << 20, crowd: int = 4096) -> DataFrame:
     """Per row: ``id_col``, ``n_bytes``, ``n_removed``, ``n_spans`` (maximal
     removed runs), ``kept_sha256``, the columns ``keep`` and, with
     ``with_text``, ``kept_text`` (remaining bytes; parts of a character that
@@ -412,32 +477,34 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     starts at a smaller id, or earlier in the same row; overlaps count, and
     strings are judged on the input.  Rows with the same id are documents of
     their own, one of them the first; a null id comes before all others.
-    ``gram`` (at most ``length``, and less than 64 below it) and ``crowd``
-    (places of a class above which its windows are sorted singly) change the
-    work, not the result.
+    ``gram`` (at most ``length``, at least half of it and less than 64 below
+    it) and ``crowd`` (texts of a class, counted per shard, above which its
+    windows are sorted singly) change the work, not the result.
     """
-    if not 0 <= length - gram < 64 or length + length - gram > 255:
-        raise ValueError("gram must be at most length and less than 64 below it, and both must fit front coding")
+    if not max(length - 63, (length + 1) // 2) <= gram <= length or 2 * length - gram > 255:
+        raise ValueError("gram must be at most length, at least half of it and less than 64 below it; blocks must fit front coding")
     spark = docs.sparkSession
     importable(spark)
-    folder, keep, buckets = scratch_path(spark, "suffixes"), keep or [], shuffle_partitions(spark)
+    folder, keep, buckets = scratch_path(spark, "suffixes"), keep or [], 2 * shuffle_partitions(spark)
     shards = store(docs, folder, id_col, text_col, keep, shard_bytes)
-    made = runs(classes(shards, length, gram, buckets, crowd), folder, length, gram, buckets)
-    verdicts = merged(made, length, gram).select("shard", F.lit(None).cast("string").alias("file"),
-                                                 F.lit(None).cast("string").alias("places"), "data")
+    tasks = max(1, shards.count())
+    made = runs(classes(shards, length, gram, buckets, crowd, tasks), folder, length, gram, buckets, tasks)
+    verdicts = merged(made, length, gram, buckets).select("shard", F.lit("").alias("file"), "places", "data")
+    parts = verdicts.unionByName(shards.select("shard", "file", F.lit("").alias("places"), F.lit(b"").alias("data")))
     kinds = [docs.schema[c].dataType.simpleString() for c in keep]
     schema = ["id bigint", "n_bytes bigint", "n_removed bigint", "n_spans bigint", "kept_sha256 string",
               *["kept_text string"] * with_text, *[f"keep{i} {k}" for i, k in enumerate(kinds)]]
 
     def cut(table: pa.Table) -> pa.Table:
-        own = next(r for r in table.select(["file", "places"]).to_pylist() if r["file"])
-        shard = read_shard(own["file"])
-        fs, path = _fs(own["places"])
-        with fs.open_input_stream(path) as f:
-            places = unpack(f.read())
+        shard = read_shard(next(filter(None, table.column("file").to_pylist())))
+        places = NO_PLACES
+        if name := next(filter(None, table.column("places").to_pylist()), None):
+            fs, path = _fs(name)
+            with fs.open_input_stream(path) as f:
+                places = unpack(f.read())
         bits = np.zeros(int(places["u"].max()) + 1 if len(places["u"]) else 0, np.uint64)
         for x in table.column("data"):
-            if x.is_valid and x.as_buffer().size:
+            if x.as_buffer().size:
                 got = unpack(x.as_buffer())
                 np.bitwise_or.at(bits, got["u"], got["bits"])
         n, gone, count, digest, text = [], [], [], [], []
@@ -455,7 +522,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             cols["kept_text"] = pa.array(text, pa.string())
         return pa.table(cols | {f"keep{i}": shard.column(f"keep{i}") for i in range(len(keep))})
 
-    parts = verdicts.unionByName(made.where("kind = -1").select("shard", "file", "places", "data"))
-    out = parts.groupBy("shard").applyInArrow(cut, ", ".join(schema))
+    out = parts.repartition(tasks, "shard").groupBy("shard").applyInArrow(lean(cut), ", ".join(schema))
     return out.select(F.col("id").alias(id_col), "n_bytes", "n_removed", "n_spans", "kept_sha256",
                       *["kept_text"] * with_text, *[F.col(f"keep{i}").alias(c) for i, c in enumerate(keep)])

@@ -29,7 +29,9 @@ def test_chat_round_trip(spark, same):
         for s in r.loss_spans:
             assert r.formatted[s.start + s.length:].startswith(chat_format.END)
             assert r.formatted[:s.start].endswith("### assistant\n")
-    assert formatted(spark, [(1, 0, "user", "x")])[1].where("conv_id = 2").count() == 0
+    none = spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")
+    assert chat_format.canonical_typed(none, "conv_id", ["turn", "role", "text"]).count() == 0
+    assert chat_format.digests(chat_format.parse(chat_format.format_turns(none, "conv_id"), "conv_id"), "conv_id").count() == 0
 
 
 def test_chat_query(spark, table, same):

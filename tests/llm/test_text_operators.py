@@ -40,8 +40,11 @@ def test_token_ids_edges(spark, docs, corpus, same):
     folder = bit_planes.fresh_folder(spark)
     bit_planes.write_ids(docs.unionAll(docs), folder)
     same(bit_planes.read_ids(spark, folder), brute.token_ids(corpus + corpus))
-    with pytest.raises(Exception, match="doc_id is null"):
-        bit_planes.write_ids(docs.selectExpr("cast(null as bigint) doc_id", "text"), bit_planes.fresh_folder(spark))
+    folder = bit_planes.fresh_folder(spark)
+    rows = [(None, "b"), (-5, "a"), (None, None), (7, "c")]
+    bit_planes.write_ids(spark.createDataFrame(rows, "doc_id bigint, text string"), folder)
+    want = brute.token_ids([(-10**9 if d is None else d, t) for d, t in rows])
+    same(bit_planes.read_ids(spark, folder), [(None if d == -10**9 else d, *x) for d, *x in want])
 
 
 def test_token_ids_query(spark, table, same):
