@@ -15,6 +15,18 @@ from pyspark.sql import functions as F
 from .. import constants as K
 
 
+def in_parallel(fn, items: Sequence, threads: int = 8) -> list:
+    """``fn`` of every item, several at a time: independent fits share the
+    cluster instead of waiting for each other's last task."""
+    from multiprocessing.pool import ThreadPool
+
+    from pyspark import inheritable_thread_target
+    from pyspark.sql import SparkSession
+
+    with ThreadPool(min(threads, max(1, len(items)))) as pool:
+        return pool.map(inheritable_thread_target(SparkSession.getActiveSession())(fn), items)
+
+
 def hash_split(df: DataFrame, key: str, train_fraction: float = K.TRAIN_FRACTION, seed: int = K.SPLIT_SEED) -> DataFrame:
     """M1: ``is_train`` from a seeded hash of the key: the same split under
     any partitioning or re-execution (unlike ``randomSplit``)."""
@@ -131,12 +143,15 @@ def cross_validate(df: DataFrame, label: str, fits: dict, k: int = K.CV_FOLDS, k
     trained on the other folds: their mean, population sd and number.  The
     folds are cut once for all models."""
     folded = contiguous_folds(df, key, k).persist()
-    rows = []
-    for name, fit in fits.items():
-        for f in range(k):
-            model = fit(folded.where(F.col("fold") != f), label)
-            m = regression_metrics(model.transform(folded.where(F.col("fold") == f)), label).first()
-            rows.append((name, f, float(m["r2"]) if m["r2"] is not None else None))
+    folded.count()
+
+    def score(job: tuple) -> tuple:
+        name, f = job
+        model = fits[name](folded.where(F.col("fold") != f), label)
+        r2 = regression_metrics(model.transform(folded.where(F.col("fold") == f)), label).first()["r2"]
+        return name, f, None if r2 is None else float(r2)
+
+    rows = in_parallel(score, [(name, f) for name in fits for f in range(k)])
     folded.unpersist()
     r = df.sparkSession.createDataFrame(rows, "model string, fold int, r2 double")
     return r.groupBy("model").agg(F.avg("r2").alias("cv_mean"), F.stddev_pop("r2").alias("cv_std"), F.count("r2").alias("folds"))
@@ -161,12 +176,8 @@ def kmeans_fit(df: DataFrame, k: int, features: str = "features", seed: int = K.
     """Best of ``n_init`` seeded k-means runs by training cost."""
     from pyspark.ml.clustering import KMeans
 
-    best = None
-    for i in range(n_init):
-        m = KMeans(k=k, seed=seed + i, featuresCol=features).fit(df)
-        if best is None or m.summary.trainingCost < best.summary.trainingCost:
-            best = m
-    return best
+    fits = in_parallel(lambda i: KMeans(k=k, seed=seed + i, featuresCol=features).fit(df), range(n_init))
+    return min(fits, key=lambda m: m.summary.trainingCost)
 
 
 def relabel_by_size(pred: DataFrame, col: str = "prediction") -> DataFrame:

@@ -248,12 +248,13 @@ _POSTING_COLS = ["vacancy_id", "name", "area", "salary_from", "salary_to", "sala
 
 
 @register("p02_profile_columns", with_ctes(
-    "SELECT col AS column, CAST(nn AS BIGINT) AS non_null FROM (UNPIVOT (SELECT " +
+    "SELECT col AS column, CAST(nn AS BIGINT) AS non_null, CASE col WHEN 'vacancy_id' THEN 'bigint' WHEN 'salary_from' THEN 'double' "
+    "WHEN 'salary_to' THEN 'double' ELSE 'string' END AS dtype FROM (UNPIVOT (SELECT " +
     ", ".join(f"count({c}) AS {c}" for c in _POSTING_COLS) + " FROM postings) ON COLUMNS(*) INTO NAME col VALUE nn)",
     processed=False))
 def p02(spark, d):
     p = postings(spark, d, with_description=True).select(*_POSTING_COLS)
-    return P.profile_columns(p).select("column", "non_null")
+    return P.profile_columns(p).select("column", "non_null", "dtype")
 
 
 @register("p03_describe_numeric", "SELECT column_name, count, round(mean, 6) AS mean, round(std, 6) AS std, round(min, 6) AS min, "

@@ -20,6 +20,9 @@ from . import preprocess as PP
 from .catalog import build_cache, register, rnd, with_ctes
 from .q_stats import Y, skill_rows
 
+#: Part of the kept results' paths; another tag makes queries fit anew.
+KEEP_TAG = "kept"
+
 FITS = {"ridge": M.fit_ridge, "lasso": M.fit_lasso, "forest": M.fit_forest, "gbt": M.fit_gbt}
 
 
@@ -69,7 +72,7 @@ def _digest(df):
 
 def _kept(spark, name, rows):
     """Where the result ``name`` of fitting on ``rows`` is kept."""
-    return f"{checkpoint_root(spark).rstrip('/')}/laborlens/models/{spark.sparkContext.applicationId}/{name}-{_digest(rows)}"
+    return f"{checkpoint_root(spark).rstrip('/')}/laborlens/models/{spark.sparkContext.applicationId}-{KEEP_TAG}/{name}-{_digest(rows)}"
 
 
 def _exists(spark, path):

@@ -55,9 +55,11 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/laborlens/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path under the shared checkpoint folder, with the file
+    system that Spark resolves it on."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(checkpoint_root(spark))
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return f"{fs.makeQualified(root).toString().rstrip('/')}/laborlens/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

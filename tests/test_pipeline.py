@@ -37,8 +37,11 @@ def _norm(rows, cols, order):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("name", ["a03_group_stats", "c06_tag_terms", "t04_pairwise_ttests", "m17_association_rules",
-                                  "a15_category_gap", "b08_recommend_skills", "a17_percentile_of_score", "w03_ecdf"])
+@pytest.mark.parametrize("name", ["a03_group_stats", "c06_tag_terms", "t04_pairwise_pvalues", "m17_association_rules", "a10_item_by_group",
+                                  "a15_category_gap", "b08_recommend_skills", "a17_percentile_of_score", "w03_ecdf", "w01_with_rank",
+                                  "st01_land_stream", "s04_write_csv", "s05_write_json", "s07_dedupe_postings", "t07_item_correlation",
+                                  "t08_correlation_matrix", "t10_test_pvalues", "c23_encode_onehot", "v03_qq_points", "v04_density_curve",
+                                  "b10_curriculum_todo", "j02_premiums_missing", "b02_bands_fixed_coefficients", "w07_sample_n"])
 def test_query_matches_oracle(spark, name):
     sdf = E.queries()[name](spark, SF_SMALL)
     res = _duck().execute(E.oracle_sql()[name])
