@@ -86,17 +86,20 @@ def document_tags(spark: SparkSession, sf_dir: str, vocab=K.TECH_TERMS, boundary
 
 
 def processed_postings(spark: SparkSession, sf_dir: str, winsorise: bool = True,
-                       with_description: bool = False) -> DataFrame:
+                       with_description: bool = False, skills: bool = True) -> DataFrame:
     """Postings after the whole cleaning chain.  ``salary_raw_kzt`` keeps the
-    converted salary; ``salary_monthly_kzt`` is the winsorised one."""
-    p = postings(spark, sf_dir, with_description=with_description, with_doc_id=True)
+    converted salary; ``salary_monthly_kzt`` is the winsorised one.
+    ``skills=False`` leaves out the skill columns, and with them the tagging
+    of the texts and the scan of the order lines."""
+    p = postings(spark, sf_dir, with_description=with_description, with_doc_id=skills or None, with_key_skills=skills)
     p = clean_salaries(p, out="salary_raw_kzt")
     p = normalize_locations(p)
     p = encode_experience(p)
-    p = extract_skills(p, tags=document_tags(spark, sf_dir))
+    if skills:
+        p = extract_skills(p, tags=document_tags(spark, sf_dir))
     if winsorise:
         # the fences need the salary columns only, not the skills
-        salaries = clean_salaries(postings(spark, sf_dir, with_description=False), out="salary_raw_kzt")
+        salaries = clean_salaries(postings(spark, sf_dir, with_description=False, with_key_skills=False), out="salary_raw_kzt")
         p = winsorize(p, "salary_raw_kzt", out="salary_monthly_kzt", values=salaries)
     else:
         p = p.withColumn("salary_monthly_kzt", F.col("salary_raw_kzt"))

@@ -19,7 +19,8 @@ REMOTE_SQL = f"regexp_matches(coalesce(schedule, ''), '(?i){K.REMOTE_PATTERN}')"
 
 
 def proc(spark, d):
-    return PP.processed_postings(spark, d)
+    """Processed postings for salary statistics: without the skill columns."""
+    return PP.processed_postings(spark, d, skills=False)
 
 
 def major(spark, d):

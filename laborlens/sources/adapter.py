@@ -38,11 +38,13 @@ def order_part_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def postings(spark: SparkSession, sf_dir: str, with_description: bool = True,
-             with_doc_id: bool | None = None) -> DataFrame:
+             with_doc_id: bool | None = None, with_key_skills: bool = True) -> DataFrame:
     """Flat postings: vacancy_id, name, area, salary_from, salary_to,
     salary_currency, experience, schedule, employment, description,
     key_skills, employer_name, published_at, url and, if asked for (as with
-    the description), doc_id, which takes a count of the documents."""
+    the description), doc_id, which takes a count of the documents.
+    ``with_key_skills=False`` leaves that column, and the scan of the order
+    lines behind it, out."""
     with_doc_id = with_description if with_doc_id is None else with_doc_id
     o = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
@@ -54,8 +56,9 @@ def postings(spark: SparkSession, sf_dir: str, with_description: bool = True,
     cust = c.join(F.broadcast(geo), c.c_nationkey == geo.n_nationkey).select(
         "c_custkey", "c_name", "c_mktsegment", "r_name")
     base = o.join(cust, o.o_custkey == cust.c_custkey)
-    names = order_part_names(spark, sf_dir)
-    base = base.join(names, base.o_orderkey == names.l_orderkey, "left")
+    if with_key_skills:
+        names = order_part_names(spark, sf_dir)
+        base = base.join(names, base.o_orderkey == names.l_orderkey, "left")
 
     if with_doc_id:
         docs = read_table(spark, sf_dir, "documents")
@@ -77,7 +80,7 @@ def postings(spark: SparkSession, sf_dir: str, with_description: bool = True,
         _case(F.col("o_orderpriority"), PRIORITY_EXPERIENCE, F.col("o_orderpriority")).alias("experience"),
         _case(F.col("o_orderstatus"), STATUS_SCHEDULE).alias("schedule"),
         F.col("c_mktsegment").alias("employment"),
-        key_skills.alias("key_skills"),
+        *[key_skills.alias("key_skills")] * with_key_skills,
         F.col("c_name").alias("employer_name"),
         F.col("o_orderdate").alias("published_at"),
         F.concat(F.lit("vacancy/"), k.cast("string")).alias("url"),
