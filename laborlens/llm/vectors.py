@@ -1,8 +1,8 @@
 """Near-duplicate embeddings: spherical k-means cells and blocked cosines.
 
 Equal vectors are one node with a count.  Nodes go to their nearest
-centroids' cells (the first is home, the others are visits), a cell's nodes
-to blocks of bounded size, and every pair of a cell's blocks is one task that
+centroids' cells (more of them the more cells there are), a cell's nodes to
+blocks of bounded size, and every pair of a cell's blocks is one task that
 multiplies two small matrices in double precision.  A task returns a row per
 node that has links, not per link: how many vectors it links to, and a
 smaller node of its local component, which is enough to join components.
@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from .common import importable, lean, written
 from .components import components
 
+STRIP = 1 << 16  # pairs whose cells are compared at once
+
 
 def unit_rows(flat: np.ndarray, dim: int) -> np.ndarray:
     """Rows of length 1; scaled by their largest component first, so that no
@@ -56,11 +58,21 @@ def fit_cells(nodes: DataFrame, cell_rows: int, sample: int, max_cells: int) ->
     return out
 
 
+def probes_of(cells: int, probes: int) -> int:
+    """Cells that a node probes: ``probes``, and one more beyond 64 cells and
+    for every further factor of four, as a pair shares a cell less often the
+    more cells there are."""
+    more = 0
+    while cells > 64 << 2 * more:
+        more += 1
+    return min(probes + more, cells)
+
+
 def assign(nodes: DataFrame, cells: dict[int, np.ndarray], probes: int) -> DataFrame:
-    """A row per node and probed cell: ``dim``, ``cell``, ``home`` (of the
-    node), ``probed`` (all its cells), ``node``, ``n``, ``vec``."""
+    """A row per node and probed cell: ``dim``, ``cell``, ``probed`` (all the
+    node's cells), ``node``, ``n``, ``vec``."""
     shared = nodes.sparkSession.sparkContext.broadcast(cells)
-    schema = pa.schema([("dim", pa.int32()), ("cell", pa.int32()), ("home", pa.int32()), ("probed", pa.list_(pa.int32())),
+    schema = pa.schema([("dim", pa.int32()), ("cell", pa.int32()), ("probed", pa.list_(pa.int32())),
                         ("node", pa.int64()), ("n", pa.int64()), ("vec", pa.list_(pa.float64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,41 +82,39 @@ def assign(nodes: DataFrame, cells: dict[int, np.ndarray], probes: int) -> DataF
                 part = batch.take(pa.array(np.flatnonzero(sizes == dim)))
                 x = unit_rows(part.column("vec").flatten().to_numpy(), dim)
                 c = shared.value.get(dim, np.zeros((1, dim)))
-                m = min(probes, len(c))
+                m = probes_of(len(c), probes)
                 sim = x @ c.T
                 near = np.argpartition(-sim, m - 1, axis=1)[:, :m] if m < len(c) else np.tile(np.arange(m), (len(x), 1))
-                near = np.take_along_axis(near, np.argsort(-np.take_along_axis(sim, near, 1), axis=1, kind="stable"), 1)
                 pick, flat = np.repeat(np.arange(len(x)), m), near.astype(np.int32).reshape(-1)
                 own = part.take(pa.array(pick))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(pick), dim, np.int32)), pa.array(flat), pa.array(near[:, 0].astype(np.int32)[pick]),
+                    [pa.array(np.full(len(pick), dim, np.int32)), pa.array(flat),
                      pa.ListArray.from_arrays(pa.array(np.arange(len(pick) + 1, dtype=np.int32) * m),
                                               pa.array(near.astype(np.int32)[pick].reshape(-1))),
                      own.column("node"), own.column("n"), own.column("vec")], schema=schema)
 
     return nodes.select("node", "n", "vec").mapInArrow(
-        lean(run), "dim int, cell int, home int, probed array<int>, node bigint, n bigint, vec array<double>")
+        lean(run), "dim int, cell int, probed array<int>, node bigint, n bigint, vec array<double>")
 
 
 def compare(rows: dict[str, np.ndarray], cell: int, same: bool, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Links among the rows of one pair of blocks: nodes, how many vectors
     each links to, and a node of its local component.
 
-    A pair counts in a cell if it is home to one of the two.  If it meets in
-    both homes, it counts in the smaller one.
+    A pair counts in the smallest cell that both probe.
     """
     a = np.flatnonzero(rows["side"] == 0)
     b = a if same else np.flatnonzero(rows["side"] == 1)
-    x, home, probed = rows["x"], rows["home"], rows["probed"]
+    x, probed = rows["x"], rows["probed"]
     i, j = np.nonzero(x[a] @ x[b].T >= threshold)
     i, j = a[i], b[j]
     if same:
         i, j = i[i < j], j[i < j]
-    hi, hj = home[i], home[j]
-    other = np.where(hi == cell, hj, hi)                       # the other home, if the homes differ
-    holder = np.where(hi == cell, i, j)                        # the node at home here
-    back = (probed[holder] == other[:, None]).any(axis=1)      # does it visit the other home?
-    here = ((hi == cell) & (hj == cell)) | (((hi == cell) ^ (hj == cell)) & (~back | (cell < other)))
+    here = np.empty(len(i), bool)
+    for at in range(0, len(i), STRIP):
+        p, q = probed[i[at:at + STRIP]], probed[j[at:at + STRIP]]
+        met = (p[:, :, None] == q[:, None, :]).any(axis=2)     # which of the first's cells the second probes too
+        here[at:at + STRIP] = ~(met & (p < cell)).any(axis=1)
     i, j = i[here], j[here]
     m = len(x)
     links = np.zeros(m, np.int64)
@@ -131,12 +141,13 @@ def link_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     ``threshold`` or more, as found), ``component_id`` (the smallest id that
     links reach), ``kept`` (whether that is the row's own id).
 
-    Every pair of equal vectors is found, and every pair that shares a cell
-    that is home to one of them; a pair whose cells keep apart is missed
-    (tests measure the recall against all pairs).  Vectors that are null or
-    empty, zero, or hold a null or non-finite component link with nothing;
-    vectors of different lengths don't link.  Repeated rows are vectors of
-    their own and link with each other; other columns are ignored.
+    Every pair of equal vectors is found, and every pair that probes a common
+    cell; a pair that has none is missed (tests measure the recall).  Of up
+    to 64 cells a node probes the nearest ``probes``, of more cells more.
+    Vectors that are null or empty, zero, or hold a null or non-finite
+    component link with nothing; vectors of different lengths don't link.
+    Repeated rows are vectors of their own and link with each other; other
+    columns are ignored.
     """
     spark = vectors.sparkSession
     importable(spark)
@@ -155,13 +166,13 @@ def link_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     spread = (probed.join(F.broadcast(blocks), ["dim", "cell"]).withColumn("own", own)
               .withColumn("mate", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
               .select("dim", "cell", F.least("own", "mate").alias("lo"), F.greatest("own", "mate").alias("hi"),
-                      (F.col("own") > F.col("mate")).cast("int").alias("side"), "home", "probed", "node", "n", "vec"))
+                      (F.col("own") > F.col("mate")).cast("int").alias("side"), "probed", "node", "n", "vec"))
 
     def task(key: tuple, table: pa.Table) -> pa.Table:
         dim, cell, lo, hi = (k.as_py() for k in key)
         flat = lambda name: table.column(name).combine_chunks().flatten().to_numpy()
         got = {"x": unit_rows(flat("vec"), dim), "probed": flat("probed").reshape(table.num_rows, -1),
-               **{c: table.column(c).to_numpy() for c in ("side", "home", "node", "n")}}
+               **{c: table.column(c).to_numpy() for c in ("side", "node", "n")}}
         return pa.table(dict(zip(("node", "links", "root"), compare(got, cell, lo == hi, threshold), strict=True)))
 
     found = written(spread.groupBy("dim", "cell", "lo", "hi").applyInArrow(lean(task), "node bigint, links bigint, root bigint"), "links")

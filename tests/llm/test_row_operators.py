@@ -119,6 +119,21 @@ def test_vectors_against_all_pairs(spark, same):
     assert vectors.link_vectors(df.where("false")).count() == 0
 
 
+def test_vectors_count_in_any_shared_cell():
+    """Each pair counts once, in the smallest cell that both probe, also if
+    it is home to neither."""
+    x = np.array([[1.0, 0.0], [1.0, 0.0], [1.0, 0.0]])
+    probed = np.array([[1, 5, 7], [2, 5, 7], [9, 5, 3]])
+    got = {}
+    for cell in range(10):
+        at = np.flatnonzero((probed == cell).any(axis=1))
+        rows = {"x": x[at], "probed": probed[at], "home": probed[at, 0], "side": np.zeros(len(at), int), "node": at, "n": np.array([1, 10, 100])[at]}
+        for node, links, root in zip(*vectors.compare(rows, cell, True, 0.95), strict=True):
+            got[int(node)] = got.get(int(node), 0) + int(links)
+            assert cell == 5 and root == 0
+    assert got == {0: 110, 1: 101, 2: 11}
+
+
 def test_vectors_query(spark, table):
     rows = table("embeddings", "vec_id", "embedding")
     want, got = brute.vectors(rows), queries.op7_vector_links(spark, SF).collect()
