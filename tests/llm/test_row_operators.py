@@ -134,6 +134,27 @@ def test_vectors_count_in_any_shared_cell():
     assert got == {0: 110, 1: 101, 2: 11}
 
 
+@pytest.mark.parametrize("cells", [40, 391, 4096])
+def test_vectors_recall_at_the_threshold(spark, monkeypatch, cells):
+    """Planted pairs of different vectors, each counted once, per band of
+    their cosine.  The cells come from a default sample of other vectors, as
+    they all but do in a table of 512 rows a cell."""
+    rng, dim, n = np.random.default_rng(5), 64, 2000
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    a, side = unit(rng.normal(size=(n, dim))), rng.normal(size=(n, dim))
+    side = unit(side - (side * a).sum(1, keepdims=True) * a)
+    cos = rng.uniform(0.95001, 0.97, n)
+    b = cos[:, None] * a + np.sqrt(1 - cos**2)[:, None] * side
+    fitted = {dim: vectors.spherical_kmeans(unit(rng.normal(size=(16_384, dim))), cells)}
+    monkeypatch.setattr(vectors, "fit_cells", lambda *_: fitted)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(np.concatenate([a, b]))], "vec_id bigint, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in vectors.link_vectors(df.repartition(8)).collect()}
+    found = np.array([got[i] for i in range(n)])
+    assert set(got.values()) <= {0, 1} and all(got[i] == got[i + n] for i in range(n))
+    recall = {low: found[(cos >= low) & (cos < low + 0.01)].mean() for low in (0.95, 0.96)}
+    assert min(recall.values()) >= 0.97
+
+
 def test_vectors_query(spark, table):
     rows = table("embeddings", "vec_id", "embedding")
     want, got = brute.vectors(rows), queries.op7_vector_links(spark, SF).collect()
