@@ -21,15 +21,21 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return found.where(F.col("lang_pred") != language_id.UNDETERMINED).select(*docs.columns)
 
 
+def with_row_key(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with ``row_key``, a number per row that is the same whenever
+    it is read; ids may be null or repeat."""
+    return written(docs.withColumn("row_key", F.monotonically_increasing_id()), name)
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep of each group the document with the smallest id.  Rows that
-    repeat an id are one document; only where there are such rows are whole
-    rows grouped."""
-    found = simhash.near_duplicates(docs, shingle=3, max_bits=2)
-    first = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    left = docs.join(first, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    again = docs.groupBy("doc_id").count().where("count > 1")
-    return left if again.isEmpty() else left.dropDuplicates(["doc_id"])
+    """Keep one row of each group: the one with the smallest id (a null one
+    comes last), of several the first by row key.  Rows are documents of
+    their own, also where their ids are null or repeat."""
+    rows = with_row_key(docs, "simhash-rows")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")
+    found = simhash.near_duplicates(rows.withColumn("order", order), id_col="order", shingle=3, max_bits=2)
+    first = found.where("order <=> component_id").select("order.row_key")
+    return rows.join(first, "row_key", "left_semi").select(*docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,10 +46,11 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a window of a benchmark item."""
-    judged = decontaminate.contamination(docs, read_table(spark, sf_dir, "benchmark"))
-    bad = judged.where("contaminated").select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")), "left_anti")
+    """Drop the rows that hold a window of a benchmark item; rows with the
+    same id, or none, are judged each on its own."""
+    rows = with_row_key(docs, "benchmark-rows")
+    judged = decontaminate.contamination(rows, read_table(spark, sf_dir, "benchmark"), id_col="row_key")
+    return rows.join(judged.where("contaminated").select("row_key"), "row_key", "left_anti").select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

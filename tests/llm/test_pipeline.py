@@ -64,6 +64,28 @@ def test_stages_against_brute_force(spark, corpus, tmp_path):
     assert none.count() == 0
 
 
+def test_null_and_repeated_ids_are_rows_of_their_own(spark, tmp_path):
+    """Both stages keep or drop rows, not ids."""
+    say = lambda w, n=40: " ".join(f"{w}{i}" for i in range(n))
+    leak = say("leak", 12)
+    rows = [(None, say("a")), (None, say("b")), (None, say("b")), (None, say("c") + " " + leak), (7, say("d")), (7, say("e")), (7, say("f") + " " + leak),
+            (3, say("d")), (9, say("a")), (5, None), (None, None)]
+    spark.createDataFrame([(1, leak)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows],
+                                 "doc_id bigint, text string, lang string, source string, n_chars bigint").repartition(3)
+    stages = dict(P.STAGES)
+
+    def got(df):
+        assert df.columns == COLUMNS
+        return sorted(((r.doc_id, r.text) for r in df.collect()), key=repr)
+
+    kept = [(9, say("a")), (None, say("b")), (None, say("c") + " " + leak), (3, say("d")), (7, say("e")), (7, say("f") + " " + leak), (5, None)]
+    out = stages["simhash_near_dedup"](spark, docs, str(tmp_path))
+    assert got(out) == sorted(kept, key=repr)
+    out = stages["benchmark_decontamination"](spark, docs, str(tmp_path))
+    assert got(out) == sorted((r for r in rows if leak not in (r[1] or "")), key=repr)
+
+
 def test_library_does_not_import_this_package():
     code = ("import sys; import laborlens.plans.registry, laborlens.session; "
             "assert not [m for m in sys.modules if m.startswith('laborlens.llm')]")
