@@ -464,13 +464,28 @@ def cut_shard(table: pa.Table, places: dict[str, np.ndarray], bits: np.ndarray,
         yield spans, b"".join([*keep, data[last:]])
 
 
+def whole_characters(data: bytes, spans: np.ndarray) -> str:
+    """Text that remains of ``data`` if ``spans`` shrink to whole characters:
+    one that is partly in a span stays."""
+    keep, last = [], 0
+    for x, y in spans.tolist():
+        while x < y and data[x] & 0xC0 == 0x80:
+            x += 1
+        while x < y < len(data) and data[y] & 0xC0 == 0x80:
+            y -= 1
+        keep.append(data[last:x])
+        last = y
+    return b"".join([*keep, data[last:]]).decode("utf-8", "ignore")
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100,
                    keep: list[str] | None = None, with_text: bool = False, gram: int = 64,
                    shard_bytes: int = 8 << 20, crowd: int = 4096) -> DataFrame:
     """Per row: ``id_col``, ``n_bytes``, ``n_removed``, ``n_spans`` (maximal
     removed runs), ``kept_sha256``, the columns ``keep`` and, with
-    ``with_text``, ``kept_text`` (remaining bytes; parts of a character that
-    was cut are left out).
+    ``with_text``, ``kept_text`` (the text without the removed runs, where a
+    character that is partly in a run stays whole; the other columns count
+    bytes).
 
     Texts are UTF-8 bytes, a null one is empty; matches don't cross
     documents.  A byte goes if a string of ``length`` bytes over it also
@@ -508,14 +523,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 got = unpack(x.as_buffer())
                 np.bitwise_or.at(bits, got["u"], got["bits"])
         n, gone, count, digest, text = [], [], [], [], []
-        for spans, data in cut_shard(shard, places, bits, length):
+        for (spans, data), whole in zip(cut_shard(shard, places, bits, length), shard.column("text"), strict=True):
             lost = int((spans[:, 1] - spans[:, 0]).sum())
             n.append(len(data) + lost)
             gone.append(lost)
             count.append(len(spans))
             digest.append(hashlib.sha256(data).hexdigest())
             if with_text:
-                text.append(data.decode("utf-8", "ignore"))
+                text.append(whole_characters(whole.as_buffer().to_pybytes(), spans))
         cols = {"id": shard.column("id"), "n_bytes": pa.array(n, pa.int64()), "n_removed": pa.array(gone, pa.int64()),
                 "n_spans": pa.array(count, pa.int64()), "kept_sha256": pa.array(digest, pa.string())}
         if with_text:

@@ -86,6 +86,26 @@ def test_null_and_repeated_ids_are_rows_of_their_own(spark, tmp_path):
     assert got(out) == sorted((r for r in rows if leak not in (r[1] or "")), key=repr)
 
 
+def test_partly_repeated_characters_stay(spark, tmp_path):
+    """Bytes repeat from within one character to within another."""
+    body = "a" * 120
+    pairs = [("\u00e9", "\u0169", "", ""), ("", "", "\u00e9", "\u00e8"), ("\U0001f44d", "\U0001f84d", "\u65e5", "\u65e6")]
+    texts = [(f"{p}{i}{body}{r}", f"{q}{i}{body}{s}") for i, (p, q, r, s) in enumerate(pairs)]
+    rows = [(2 * i + j, t, "en", "s", len(t)) for i, two in enumerate(texts) for j, t in enumerate(two)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = {r.doc_id: (r.text, r.n_chars) for r in dict(P.STAGES)["suffix_array_dedup"](spark, docs, str(tmp_path)).collect()}
+    seen = set()
+    for d, t, *_ in rows:
+        b = t.encode()
+        starts = [s for s in range(len(b) - 99) if b[s:s + 100] in seen or b[s:s + 100] in {b[k:k + 100] for k in range(s)}]
+        seen |= {b[s:s + 100] for s in range(len(b) - 99)}
+        gone = {k for s in starts for k in range(s, s + 100)}
+        ends = [len(t[:k].encode()) for k in range(len(t) + 1)]
+        kept = "".join(c for c, x, y in zip(t, ends, ends[1:], strict=False) if not gone.issuperset(range(x, y)))
+        assert got[d] == (kept, len(kept))
+    assert got[1][0][:1] == "\u0169" and got[3][0][-1:] == "\u00e8" and got[5][0][-1:] == "\u65e6"
+
+
 def test_library_does_not_import_this_package():
     code = ("import sys; import laborlens.plans.registry, laborlens.session; "
             "assert not [m for m in sys.modules if m.startswith('laborlens.llm')]")
