@@ -74,12 +74,14 @@ def build_index(docs: DataFrame, anchor: DataFrame, id_col: str = "doc_id", text
     the empty term per row, at the position after its last word."""
     spark = docs.sparkSession
     terms = anchor.select("term").distinct().union(spark.range(1).select(F.lit(END).alias("term")))
-    if small(anchor, ["term"], broadcast_bytes):
-        terms = F.broadcast(terms)
     first = F.greatest(F.col("pos") - reach, F.lit(0))
     around = F.when(F.col("term") != END, F.slice("words", first + 1, F.col("pos") - first + 1 + reach))
-    posts = _tokens(docs, id_col, text_col).join(terms, "term").select("row", "id", "term", "pos", first.alias("first"), around.alias("around"))
-    return written(posts, "postings")
+    tokens, cut = _tokens(docs, id_col, text_col), ["row", "id", "term", "pos", first.alias("first"), around.alias("around")]
+    if small(anchor, ["term"], broadcast_bytes):  # no shuffle: only the words that join are cut
+        posts = tokens.join(F.broadcast(terms), "term").select(*cut)
+    else:  # a shuffled row must not hold the whole document
+        posts = tokens.select(*cut).join(terms, "term")
+    return written(posts.select("row", "id", "term", "pos", "first", "around"), "postings")
 
 
 def phrase_matches(index: DataFrame, anchor: DataFrame, slop: int = 0, broadcast_bytes: int = 32 << 20) -> DataFrame:

@@ -78,6 +78,27 @@ def test_decontamination(spark, docs, corpus, same):
     same(decontaminate.contamination(docs.unionAll(docs), bench), want + want)
 
 
+def test_decontamination_shuffles_neighbours_only(spark, monkeypatch):
+    """Where the anchors aren't broadcast, no row of the join holds a
+    document's words."""
+    plans, keep = {}, decontaminate.written
+    monkeypatch.setattr(decontaminate, "written", lambda df, name: plans.setdefault(name, df) and keep(df, name))
+    docs = spark.createDataFrame([(1, " ".join(f"w{i % 50}" for i in range(5000)))], "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(12)))], "item_id bigint, text string")
+    assert decontaminate.contamination(docs, items, broadcast_bytes=0).first().n_hit == 1200
+
+    def sides(node):
+        below = [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName() == "Join":
+            yield from below
+        for b in below:
+            yield from sides(b)
+
+    outs = [{s.output().apply(i).name() for i in range(s.output().size())}
+            for s in sides(plans["postings"]._jdf.queryExecution().optimizedPlan())]
+    assert any("around" in o for o in outs) and not any("words" in o for o in outs)
+
+
 def test_decontamination_query(spark, table, same):
     same(queries.op5_decontaminate(spark, SF), brute.contamination(table("documents", "doc_id", "text"), table("benchmark", "item_id", "text")))
 
