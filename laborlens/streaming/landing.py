@@ -3,7 +3,8 @@
 Files arriving in ``in_dir`` are read as a stream.  Each micro-batch keeps
 one row per id, drops the ids that earlier batches have landed, and is
 written as a folder of its own, so an id is kept however late it comes: no
-event-time bound discards it.  A batch that is run again after a failure
+event-time bound discards it.  Rows without an id can't be told to be
+repeats and are all kept.  A batch that is run again after a failure
 overwrites its own folder and looks only at earlier ones, so it lands the
 same rows; the stream's checkpoint makes a restart resume with the next
 batch.  ``availableNow`` processes what is there and stops.
@@ -32,7 +33,7 @@ def land_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str,
                 key: str, event_time: str, fmt: str = "json", max_files_per_trigger: int | None = None,
                 buckets: int = 16) -> None:
     """Run the landing over the files that are there.  Rows without a key
-    are landed once per batch, as one key of their own."""
+    are landed as they are, every one of them."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -42,12 +43,13 @@ def land_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str,
 
     def land(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession
-        rows = _first_per_key(batch, key, event_time).withColumn(
-            "_bucket", F.coalesce(F.pmod(F.xxhash64(key), F.lit(buckets)), F.lit(0)).cast("int"))
+        bucket = F.coalesce(F.pmod(F.xxhash64(key), F.lit(buckets)), F.lit(0)).cast("int")
+        rows = _first_per_key(batch.where(F.col(key).isNotNull()), key, event_time).withColumn("_bucket", bucket)
         if batch_id:
-            before = (s.read.schema(landed_schema).parquet(out_dir).where(F.col("_batch") < batch_id)
+            before = (s.read.schema(landed_schema).parquet(out_dir).where((F.col("_batch") < batch_id) & F.col(key).isNotNull())
                       .select(F.col(key).alias("_key"), F.col("_bucket").alias("_b")))
-            rows = rows.join(before, F.col("_bucket").eqNullSafe(F.col("_b")) & F.col(key).eqNullSafe(F.col("_key")), "left_anti")
+            rows = rows.join(before, (F.col("_bucket") == F.col("_b")) & (F.col(key) == F.col("_key")), "left_anti")
+        rows = rows.unionByName(batch.where(F.col(key).isNull()).withColumn("_bucket", bucket))
         rows.write.mode("overwrite").partitionBy("_bucket").parquet(f"{out_dir}/_batch={batch_id}")
 
     (stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)

@@ -97,3 +97,18 @@ def test_streaming_loses_no_late_id(spark, tmp_path):
         land_stream(spark, in_dir, out_dir, ck, schema, "id", "ts", buckets=3)
     got = {(r.id, r.v) for r in read_landed(spark, out_dir).collect()}
     assert got == {(1, "a"), (9, "b"), (3, "c"), (5, "d"), (None, "n")}
+
+
+def test_streaming_lands_every_row_without_a_key(spark, tmp_path):
+    """In one batch and in later ones, beside keys that are landed once."""
+    from pyspark.sql import types as T
+
+    from laborlens.streaming.landing import land_stream, read_landed
+
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("ts", T.StringType()), T.StructField("v", T.StringType())])
+    in_dir, out_dir, ck = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck")
+    for batch in ([(None, None, "a"), (None, "2024-01-01T00:00:00", "b"), (1, None, "c")], [(None, None, "d"), (None, None, "e"), (1, None, "again")]):
+        spark.createDataFrame(batch, schema).write.mode("append").json(in_dir)
+        land_stream(spark, in_dir, out_dir, ck, schema, "id", "ts", buckets=3)
+    got = sorted((r.id or 0, r.v) for r in read_landed(spark, out_dir).collect())
+    assert got == [(0, "a"), (0, "b"), (0, "d"), (0, "e"), (1, "c")]
