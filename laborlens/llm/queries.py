@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import bit_planes, bpe_tree, chat_format, decontaminate, language_id, simhash, suffix_dedup, token_counts, vectors, warc
+from . import bit_planes, bpe_tree, chat_format, decontaminate, hard_negatives, language_id, simhash, suffix_dedup, token_counts, vectors, warc
 from .common import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,6 +90,35 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.records(warc.read_archives(spark, folder, with_data=False))
 
 
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings")
+    seventh = F.col("vec_id") % 7 == 0
+    label = F.when(seventh, (F.col("label").cast("bigint") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows, anchor=F.col("vec_id") % 50 == 0, label=label)
+
+
+#: All rows against the anchors; doubles hold these inner products exactly.
+ORACLES["op13_hard_negatives"] = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.r AS anchor, a.vec_id AS anchor_id, c.r AS other, c.vec_id AS other_id, a.label = c.label AS same,
+         CAST(list_inner_product(a.q, c.q) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.r <> c.r AND len(a.q) = len(c.q) WHERE a.vec_id % 50 = 0
+), p AS (
+  SELECT anchor, anchor_id, other_id AS positive_id, score AS positive_score, other AS positive
+  FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other_id, other) <= 5
+)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER w AS INT) AS rank, s.other_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor = p.anchor AND NOT s.same AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+WINDOW w AS (PARTITION BY p.anchor, p.positive ORDER BY s.score DESC, s.other_id, s.other)
+QUALIFY row_number() OVER w <= 3"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
