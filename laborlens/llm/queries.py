@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import bit_planes, bpe_tree, chat_format, decontaminate, hard_negatives, language_id, simhash, suffix_dedup, token_counts, vectors, warc
+from . import bit_planes, bpe_tree, chat_format, decontaminate, hard_negatives, language_id, merkle, mixing, simhash, suffix_dedup, token_counts, vectors, warc
 from .common import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,6 +90,118 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.records(warc.read_archives(spark, folder, with_data=False))
 
 
+@query
+def op11_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    mixed = mixing.mix_sources(docs, F.array("source"), mixing.word_count("text"), weights=(1, 2, 3), most=3)
+    own = F.col("shares")[0]
+    return mixed.select("doc_id", "size", own["source_size"].alias("source_size"), own["target"].alias("target"), "taken")
+
+
+#: Targets by rounds; whole documents in seeded order, then what still fits, then the nearest.
+ORACLES["op11_mix_sources"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(source, '') AS name, source IS NULL AS none, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         substr(md5(coalesce(CAST(doc_id AS VARCHAR), '-') || ':17'), 1, 18) AS key
+  FROM documents
+), s AS (
+  SELECT name, none, CAST(sum(size) AS BIGINT) AS size, 1 + (row_number() OVER (ORDER BY none, encode(name)) - 1) % 3 AS weight FROM d GROUP BY name, none
+), share AS (
+  SELECT 0 AS round, CAST(-1 AS BIGINT) AS n, CAST(0 AS DOUBLE) AS level
+  UNION ALL
+  SELECT round + 1, n2, (words - held) / w FROM (
+    SELECT p.round, p.n, count(*) FILTER (3 * s.size < p.level * s.weight) AS n2,
+           CAST(sum(s.size) AS DOUBLE) AS words, CAST(coalesce(sum(3 * s.size) FILTER (3 * s.size < p.level * s.weight), 0) AS DOUBLE) AS held,
+           sum(s.weight) FILTER (3 * s.size >= p.level * s.weight) AS w
+    FROM share p CROSS JOIN s GROUP BY p.round, p.n)
+  WHERE n2 <> n AND w > 0
+), t AS (
+  SELECT name, none, size AS source_size,
+         CASE WHEN 3 * size < level * weight THEN CAST(3 * size AS DOUBLE) ELSE level * weight END AS target
+  FROM s CROSS JOIN (SELECT level FROM share ORDER BY round DESC LIMIT 1)
+), q AS (
+  SELECT *, CAST(round(target) AS BIGINT) AS quota, CASE WHEN source_size = 0 THEN 0 ELSE CAST(round(target) AS BIGINT) // source_size END AS copies,
+         CASE WHEN source_size = 0 THEN 0 ELSE CAST(round(target) AS BIGINT) % source_size END AS need FROM t
+), a AS (
+  SELECT d.*, source_size, target, copies, need,
+         sum(d.size) OVER (PARTITION BY d.name, d.none ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING) <= need AS first
+  FROM d JOIN q USING (name, none)
+), b AS (
+  SELECT *, need - coalesce(sum(size) FILTER (first) OVER (PARTITION BY name, none), 0) AS left1 FROM a
+), c AS (
+  SELECT *, NOT first AND size <= left1 AND sum(CASE WHEN NOT first AND size <= left1 THEN size ELSE 0 END)
+              OVER (PARTITION BY name, none ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING) <= left1 AS second FROM b
+), e AS (
+  SELECT *, left1 - coalesce(sum(size) FILTER (second) OVER (PARTITION BY name, none), 0) AS left2 FROM c
+), f AS (
+  SELECT *, row_number() OVER (PARTITION BY name, none ORDER BY first OR second OR size = 0, abs(size - left2), key, doc_id) = 1
+            AND NOT first AND NOT second AND size > 0 AND abs(size - left2) < left2 AS extra FROM e
+)
+SELECT doc_id, size, source_size, target, CAST(size * (copies + CAST(first OR second OR extra AS INT)) AS BIGINT) AS taken FROM f"""
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    cut = merkle.row_digest(["doc_id", "source", "lang", "n_chars", F.replace("text", F.lit("\n"), F.lit(""))])
+    return merkle.manifest(docs, merkle.row_digest(["doc_id", "source", "lang", "n_chars", "text"]), F.when(tampered, cut))
+
+
+def _part(c: str) -> str:
+    return f"coalesce(strlen({c}) || ':' || {c}, '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(_part(c) for c in ('CAST(doc_id AS VARCHAR)', 'source', 'lang', 'CAST(n_chars AS VARCHAR)', text))})"
+
+
+#: CRC-32 by its bits; trees by rounds of runs of three; a row per document and level of its proof.
+ORACLES["op12_merkle_manifest"] = f"""
+WITH RECURSIVE rows AS (
+  SELECT *, coalesce('=' || source, '') AS tree, {_leaf('text')} AS leaf, {_leaf("replace(text, chr(10), '')")} AS cut,
+         list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+                     lambda c, b: list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]),
+                                              lambda x, y: xor(x >> 1, (x & 1) * 3988292384))) AS crc
+  FROM documents
+), leaves AS (
+  SELECT *, row_number() OVER () AS r, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY tree) AS n,
+         CASE WHEN xor(crc, 4294967295) % 2 = 0 THEN cut ELSE leaf END AS folded FROM rows
+), nodes AS (
+  SELECT tree, 0 AS level, pos, leaf AS d, n FROM leaves
+  UNION ALL
+  SELECT tree, level + 1, pos // 3, sha256(string_agg(d, '' ORDER BY pos)), (n + 2) // 3 FROM nodes WHERE n > 1
+  GROUP BY tree, level, pos // 3, n
+), subroots AS (
+  SELECT tree, level AS height, d, row_number() OVER (ORDER BY encode(tree)) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1
+), tops AS (
+  SELECT 0 AS level, pos, d, n FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 3, sha256(string_agg(d, '' ORDER BY pos)), (n + 2) // 3 FROM tops WHERE n > 1 GROUP BY level, pos // 3, n
+), steps AS (
+  SELECT r, s.level, s.d, s.pos, l.pos // CAST(pow(3, s.level) AS BIGINT) AS own
+  FROM leaves l JOIN nodes s ON s.tree = l.tree AND s.n > 1 AND s.pos // 3 = l.pos // CAST(pow(3, s.level + 1) AS BIGINT)
+  UNION ALL
+  SELECT r, height + s.level, s.d, s.pos, g.pos // CAST(pow(3, s.level) AS BIGINT)
+  FROM leaves l JOIN subroots g USING (tree) JOIN tops s ON s.n > 1 AND s.pos // 3 = g.pos // CAST(pow(3, s.level + 1) AS BIGINT)
+), path AS (
+  SELECT r, level, coalesce(string_agg(d, '' ORDER BY pos) FILTER (pos < own), '') AS before,
+         coalesce(string_agg(d, '' ORDER BY pos) FILTER (pos > own), '') AS after FROM steps GROUP BY r, level
+), folds AS (
+  SELECT r, 0 AS level, folded AS d FROM leaves
+  UNION ALL
+  SELECT r, f.level + 1, sha256(before || d || after) FROM folds f JOIN path USING (r, level)
+), ends AS (
+  SELECT r, arg_max(d, level) AS folded_root FROM folds GROUP BY r
+), proofs AS (
+  SELECT r, sha256(string_agg(before || after, '' ORDER BY level)) AS proof FROM path GROUP BY r
+)
+SELECT doc_id, leaf, g.d AS subroot, t.d AS root, coalesce(proof, sha256('')) AS proof_sha256, folded_root, folded_root = t.d AS verified
+FROM leaves l JOIN subroots g USING (tree) JOIN (SELECT d FROM tops WHERE n = 1) t ON true
+JOIN ends USING (r) LEFT JOIN proofs USING (r)"""
+
+
 @query
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "embeddings")
