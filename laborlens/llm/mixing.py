@@ -196,7 +196,7 @@ def last_fitting(rows: DataFrame, need: DataFrame) -> DataFrame:
         step = sums.groupBy("pattern").agg(
             F.max(F.when(fits, F.col("run"))).alias("more"), F.max(F.when(fits, F.col("top"))).alias("last"),
             F.min(F.when(~fits, F.concat("prefix", "digit"))).alias("cut"), F.min_by("n", F.when(~fits, F.col("digit"))).alias("n"))
-        state = written(state.join(step, "pattern", "left").select(
+        state = written(state.drop("n").join(step, "pattern", "left").select(
             "pattern", "need", (F.lit(None).cast("string") if whole else F.col("cut")).alias("prefix"),
             (F.col("got") + F.coalesce("more", F.lit(0))).alias("got"), F.coalesce("last", "upto").alias("upto"), "n"), "cut")
         inside = 0 if whole else state.where(F.col("prefix").isNotNull()).agg(F.max("n")).first()[0] or 0
