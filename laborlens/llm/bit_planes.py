@@ -19,6 +19,7 @@ speculative task leaves at most a stray file that nothing reads.
 from __future__ import annotations
 
 import json
+import re
 import struct
 import zlib
 from array import array
@@ -164,6 +165,12 @@ def _fs(uri: str):
 
 
 # --------------------------------------------------------------- encoding
+LONG = 1 << 20  # characters
+CONTROL = "\x1c\x1d\x1e\x1f"
+GAP = re.compile(f"[^\\S{CONTROL}]")
+WORDS = re.compile(f"[\\S{CONTROL}]+")
+
+
 class WordIds:
     """Ids of the lower-casing word tokenizer as little-endian bytes.
 
@@ -172,7 +179,7 @@ class WordIds:
     Words of Latin letters, marks after them or not, have their pre-tokens encoded by the
     library's model, which is faster, all others by the whole library.
     Python counts four control characters as white space that the library
-    does not; texts that hold one are encoded whole.
+    does not; where a text holds one, words are cut without them.
     """
 
     def __init__(self, path: str):
@@ -192,8 +199,20 @@ class WordIds:
         return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        get = self.words.__getitem__
-        return [b"".join(map(get, [t] if any(c in t for c in "\x1c\x1d\x1e\x1f") else t.split())) for t in texts]
+        return [b"".join(self.pieces(t)) if len(t) > LONG else self._piece(t) for t in texts]
+
+    def pieces(self, text: str) -> Iterator[bytes]:
+        """The ids of a long text, some words at a time."""
+        at = 0
+        while at < len(text):
+            m = GAP.search(text, at + LONG)
+            end = m.start() if m else len(text)
+            yield self._piece(text[at:end])
+            at = end
+
+    def _piece(self, text: str) -> bytes:
+        words = WORDS.findall(text) if any(c in text for c in CONTROL) else text.split()
+        return b"".join(map(self.words.__getitem__, words))
 
 
 @lru_cache(maxsize=4)
@@ -210,8 +229,10 @@ def write_ids(docs: DataFrame, out_dir: str, id_col: str = "doc_id", text_col: s
     order; returns the manifest.
 
     A null text is empty (its only id is ``end_id``); rows with the same id
-    are documents of their own, in order of their text; rows with a null id
-    come before all others.  Other columns are ignored.
+    are documents of their own, in order of a hash of their text; rows with a null id
+    come before all others.  Rows of one id spread over shards by their text
+    and a number per row.  Of a long text its ids and some words are held.
+    Other columns are ignored.
     """
     spark = docs.sparkSession
     importable(spark)
@@ -241,7 +262,8 @@ def write_ids(docs: DataFrame, out_dir: str, id_col: str = "doc_id", text_col: s
 
     src = (docs.select(F.col(id_col).cast("bigint").alias("id"), whole_text(text_col).alias("text"))
            .withColumn("id", F.coalesce("id", F.lit(NO_ID)))
-           .repartitionByRange(shards, "id").sortWithinPartitions("id", "text"))
+           .withColumn("tie", F.xxhash64("text")).withColumn("nth", F.monotonically_increasing_id())
+           .repartitionByRange(shards, "id", "tie", "nth").sortWithinPartitions("id", "tie", "text", "nth").drop("tie", "nth"))
     src.mapInArrow(lean(write), MANIFEST).write.parquet(f"{out_dir}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{out_dir}/manifest")
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from .common import by_bytes, importable, lean, whole_text, written
 
 UNDETERMINED = "und"
+STRIP = 1 << 20  # characters; a longer text is counted strip by strip
 ORDERS = (3, 4)
 
 
@@ -59,10 +60,7 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         m = len(code) - n + 1
         if m <= 0:
             continue
-        h = np.full(m, n, np.uint64)
-        for k in range(n):
-            h = (h ^ code[k:k + m]) * np.uint64(0x9E3779B97F4A7C15)
-            h ^= h >> np.uint64(29)
+        h = _hashes(code, n, m)
         inside = owner[:m] == owner[n - 1:n - 1 + m]
         out.append(h[inside])
         whose.append(owner[:m][inside])
@@ -72,6 +70,44 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(out)[order], np.concatenate(whose)[order]
 
 
+def strip_grams(text: str, size: int = 1 << 20) -> Iterator[np.ndarray]:
+    """:func:`grams` of one long text, strip by strip: besides the text and
+    its lower case only a strip's arrays are held.  A strip starts from the
+    characters that the last one kept, so no n-gram is lost or counted twice."""
+    low = " " + text.lower() + " "
+    held, most = np.empty(0, np.uint64), max(ORDERS) - 1
+    for at in range(0, len(low), size):
+        lo, hi = max(at - 1, 0), min(at + size + 1, len(low))
+        code = np.frombuffer(low[lo:hi].encode("utf-32-le", "surrogatepass"), "<u4")
+        letter = _letters()[code]
+        keep = letter.copy()
+        keep[1:] |= letter[:-1] & ~letter[1:]
+        keep[:-1] |= letter[1:] & ~letter[:-1]
+        own = slice(at - lo, at - lo + size)
+        code = np.where(letter, code, 32)[own][keep[own]].astype(np.uint64)
+        code = np.concatenate([held, code])
+        again = np.zeros(len(code), bool)
+        again[1:] = (code[1:] == 32) & (code[:-1] == 32)
+        code = code[~again]
+        out = []
+        for n in ORDERS:
+            new = code[max(0, len(held) - n + 1):]       # windows that end behind what was held
+            m = len(new) - n + 1
+            if m > 0:
+                out.append(_hashes(new, n, m))
+        if out:
+            yield np.concatenate(out)
+        held = code[-most:]
+
+
+def _hashes(code: np.ndarray, n: int, m: int) -> np.ndarray:
+    h = np.full(m, n, np.uint64)
+    for k in range(n):
+        h = (h ^ code[k:k + m]) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return h
+
+
 def _slot(h: np.ndarray, k: int, size: int) -> np.ndarray:
     x = (h ^ np.uint64(0xD6E8FEB86659FD93 * (k + 1) & 0xFFFFFFFFFFFFFFFF)) * np.uint64(0xC2B2AE3D27D4EB4F)
     return ((x ^ (x >> np.uint64(32))) & np.uint64(size - 1)).astype(np.int64)
@@ -85,8 +121,9 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", o
           per_language: int = 1000, min_share: float = 2e-5, near_best: float = 0.3,
           slots: int = 1 << 20, hashes: int = 2) -> Model:
     """Fit the filters on about ``per_language`` texts of each language,
-    chosen by a hash of ``order_col`` (a documented bound of the sample; all
-    texts of a language that has fewer).
+    chosen by a hash of ``order_col`` and the text, so that null or repeated
+    ids are drawn one by one (a documented bound of the sample; all texts of
+    a language that has fewer).
 
     An n-gram belongs to a language if it makes up at least ``min_share`` of
     its n-grams and at least ``near_best`` of its share in the language where
@@ -97,7 +134,7 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", o
     importable(spark)
     src = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"),
-        F.pmod(F.xxhash64(order_col), F.lit(1_000_000)).alias("draw"))
+        F.pmod(F.xxhash64(order_col, text_col), F.lit(1_000_000)).alias("draw"))
     count = {r["lang"]: r["n"] for r in src.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     langs = sorted(count, key=lambda x: (-count[x], x))
     words = max(1, -(-len(langs) // 64))
@@ -109,10 +146,14 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", o
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in by_bytes(batch, "text", 1 << 22):
-                names = np.array(part.column("lang").to_pylist(), object)
-                h, whose = grams(part.column("text").to_pylist())
-                for name in dict.fromkeys(names):
-                    g, n = np.unique(h[(names == name)[whose]] if len(h) else h, return_counts=True)
+                names, texts = np.array(part.column("lang").to_pylist(), object), part.column("text").to_pylist()
+                if len(texts) == 1 and len(texts[0]) > STRIP:
+                    found = ((names[0], h) for h in strip_grams(texts[0]))
+                else:
+                    h, whose = grams(texts)
+                    found = ((name, h[(names == name)[whose]] if len(h) else h) for name in dict.fromkeys(names))
+                for name, own in found:
+                    g, n = np.unique(own, return_counts=True)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([name] * len(g), pa.string()), pa.array(g.view(np.int64)), pa.array(n.astype(np.int64))],
                         names=["lang", "gram", "n"])
@@ -137,23 +178,43 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", o
     return Model(langs, table, full ** hashes, hashes)
 
 
-def decide(model: Model, texts: list[str]) -> tuple[list[str], list[float]]:
-    """Language and score per text.  The score is the winner's share of all
-    languages' corrected counts; ties go to the language with more texts."""
-    pred, score = [UNDETERMINED] * len(texts), [0.0] * len(texts)
-    if not model.langs or not texts:
-        return pred, score
-    h, whose = grams(texts)
-    ends = np.searchsorted(whose, np.arange(len(texts) + 1))
+def _claims(model: Model, h: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Per language how many of each run of n-grams its filter claims."""
     hit = model.slots[_slot(h, 0, len(model.slots))]
     for k in range(1, model.hashes):
         hit = hit & model.slots[_slot(h, k, len(model.slots))]
-    n = np.diff(ends)
-    counts = np.empty((len(model.langs), len(texts)))
+    counts = np.empty((len(model.langs), len(ends) - 1))
     for i in range(len(model.langs)):
         bits = ((hit[:, i // 64] >> np.uint64(i % 64)) & np.uint64(1)).astype(np.uint8)
         run = np.concatenate([[0], np.cumsum(bits, dtype=np.int64)])
         counts[i] = run[ends[1:]] - run[ends[:-1]]
+    return counts
+
+
+def evidence(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Per text its number of n-grams, and per language and text how many
+    the language's filter claims.  A long text is added up over strips."""
+    n, counts = np.zeros(len(texts), np.int64), np.zeros((len(model.langs), len(texts)))
+    long = [j for j, t in enumerate(texts) if len(t) > STRIP]
+    for j in long:
+        for h in strip_grams(texts[j]):
+            n[j] += len(h)
+            counts[:, j] += _claims(model, h, np.array([0, len(h)]))[:, 0]
+    short = [j for j, t in enumerate(texts) if len(t) <= STRIP]
+    if short:
+        h, whose = grams([texts[j] for j in short])
+        ends = np.searchsorted(whose, np.arange(len(short) + 1))
+        n[short], counts[:, short] = np.diff(ends), _claims(model, h, ends)
+    return n, counts
+
+
+def decide(model: Model, texts: list[str]) -> tuple[list[str], list[float]]:
+    """Language and score per text.  The score is the winner's share of all
+    languages' corrected counts; ties go to the language with more texts."""
+    pred, score = [UNDETERMINED] * len(texts), [0.0] * len(texts)
+    if not model.langs or not texts:
+        return pred, score
+    n, counts = evidence(model, texts)
     fp = model.false_rate[:, None]
     counts = np.maximum(0.0, (counts - n * fp) / np.maximum(1e-12, 1 - fp))
     best, all_ = counts.argmax(0), counts.sum(0)
@@ -171,7 +232,8 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
     Null texts and texts without a letter are ``und`` with score 0; so is
     everything if no language was learned.  Repeated rows get equal results.
-    The model is broadcast; its size is its ``slots`` parameter.
+    The model is broadcast; its size is its ``slots`` parameter.  Of a text
+    of any length the text, its lower case and a strip's n-grams are held.
     """
     spark = docs.sparkSession
     importable(spark)

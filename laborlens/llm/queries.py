@@ -51,11 +51,56 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.parse(output, "conv_id"), "conv_id")
 
 
+#: Turns in order; a turn's frame is 13 characters, an escaped character two.
+ORACLES["op4_chat_format"] = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), e AS (
+  SELECT *, replace(replace(replace(role, '\', '\b'), '<', '\l'), '#', '\h') AS r,
+         replace(replace(replace(text, '\', '\b'), '<', '\l'), '#', '\h') AS x FROM t
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, r, x)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, r, x) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(13 + length(replace(r, chr(10), '\n')) + length(x)) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id"""
+
+
 @query
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+#: Every run of words of the documents that is as long as some window, matched as a string.
+ORACLES["op5_decontaminate"] = r"""
+WITH RECURSIVE src AS (
+  SELECT 'd' AS kind, CAST(doc_id AS VARCHAR) AS id, text FROM documents UNION ALL SELECT 'b', CAST(item_id AS VARCHAR), text FROM benchmark
+), w AS (
+  SELECT kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM src
+), phrase AS (
+  SELECT DISTINCT id, least(len(words), 10) AS n, array_to_string(words[i:i + least(len(words), 10) - 1], ' ') AS phrase
+  FROM (SELECT id, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS i FROM w WHERE kind = 'b' AND len(words) > 0)
+), runs AS (
+  SELECT id, n, i, array_to_string(words[i:i + n - 1], ' ') AS phrase
+  FROM (SELECT id, words, n, unnest(range(1, len(words) - n + 2)) AS i
+        FROM (SELECT * FROM w WHERE kind = 'd') CROSS JOIN (SELECT DISTINCT n FROM phrase) WHERE len(words) >= n)
+), hits AS (
+  SELECT r.id, r.i, r.n, p.id AS item FROM runs r JOIN phrase p ON p.n = r.n AND p.phrase = r.phrase
+), found AS (
+  SELECT id, count(DISTINCT place) AS n_hit FROM (SELECT id, unnest(range(i, i + n)) AS place FROM hits) GROUP BY id
+), items AS (
+  SELECT id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list FROM (SELECT DISTINCT id, item FROM hits WHERE item IS NOT NULL) GROUP BY id
+)
+SELECT doc_id, CAST(len(w.words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM documents d JOIN w ON w.kind = 'd' AND w.id = CAST(d.doc_id AS VARCHAR)
+LEFT JOIN found f ON f.id = w.id LEFT JOIN items i ON i.id = w.id"""
+
+
 @query
 def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_tree.encode_decode(read_table(spark, sf_dir, "documents"))
@@ -66,6 +111,26 @@ def op7_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.link_vectors(read_table(spark, sf_dir, "embeddings"), threshold=0.95)
 
 
+#: All pairs, and what links reach by rounds.
+ORACLES["op7_vector_links"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+), reach AS (
+  SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+), least AS (
+  SELECT a, min(b) AS m FROM reach GROUP BY a
+), n AS (
+  SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(m, vec_id)) AS component_id, vec_id <= coalesce(m, vec_id) AS kept
+FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN least ON least.a = vec_id"""
+
+
 def language_model(docs: DataFrame) -> language_id.Model:
     """Fitted on documents that aren't held out and whose language is known."""
     return language_id.learn(docs.where(~language_id.held_out()))
@@ -83,6 +148,36 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), length=100)
 
 
+#: Every 100-byte string as hexadecimal text; what one that starts earlier covers, in runs.
+ORACLES["op9_suffix_dedup"] = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), pieces AS (
+  SELECT doc_id, c, substr(h, 400 * c + 1, 598) AS piece FROM (SELECT doc_id, h, unnest(range(0, CAST(len(h) // 400 + 1 AS BIGINT))) AS c FROM d)
+), s AS (
+  SELECT doc_id, 200 * c + k AS i, substr(piece, 2 * k + 1, 200) AS w
+  FROM (SELECT *, unnest(range(0, CAST(least(len(piece) // 2 - 99, 200) AS BIGINT))) AS k FROM pieces WHERE len(piece) >= 200)
+), first AS (
+  SELECT w, min((doc_id, i)) AS f FROM s GROUP BY w HAVING count(*) > 1
+), again AS (
+  SELECT doc_id, i FROM s JOIN first USING (w) WHERE (doc_id, i) <> f
+), marked AS (
+  SELECT doc_id, i, i > coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), -1000) + 100 AS opens FROM again
+), runs AS (
+  SELECT doc_id, run, min(i) AS lo, max(i) + 100 AS hi
+  FROM (SELECT *, sum(CAST(opens AS INT)) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked) GROUP BY doc_id, run
+), cut AS (
+  SELECT doc_id, lo, hi, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS before FROM runs
+), kept AS (
+  SELECT doc_id, sum(hi - lo) AS n_removed, count(*) AS n_spans, max(hi) AS last,
+         string_agg(substr(h, 2 * before + 1, 2 * (lo - before)), '' ORDER BY lo) AS head
+  FROM cut JOIN d USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
+
 @query
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = warc.fresh_folder(spark)
@@ -90,6 +185,13 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.records(warc.read_archives(spark, folder, with_data=False))
 
 
+ORACLES["op10_warc"] = """
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest,
+       CASE WHEN strlen(h) >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN strlen(h) >= 1000 AND page_id <> top THEN top END AS refers_to
+FROM (SELECT page_id, coalesce(html, '') AS h, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS top FROM pages)"""
+
+
 @query
 def op11_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")

@@ -9,6 +9,7 @@ are within 2r bits of each other.
 """
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import combinations, islice, repeat
 
@@ -21,25 +22,44 @@ from .common import by_bytes, importable, lean, whole_text, written
 from .components import components
 
 STRIP = 1 << 16  # shingles whose bits are counted at once
-
-
-def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
+PIECE = 1 << 20  # bytes of a text that are split into words at once
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def _word_pieces(text: bytes | memoryview) -> Iterator[list[bytes]]:
+    """The lower-cased words of a text, piece by piece; pieces end at white
+    space, so a long text's words are never held together."""
+    at = 0
+    while True:
+        end = at + PIECE
+        if end < len(text):
+            m = SPACE.search(text, end)
+            end = m.start() if m else len(text)
+        yield bytes(text[at:end]).lower().split()
+        if end >= len(text):
+            return
+        at = end
+
+
+def fingerprint(text: bytes | memoryview, shingle: int = 3, seed: int = 42) -> int:
     """Unsigned 64-bit SimHash: A-Z lower-cased, words between ASCII white
     space, every run of ``shingle`` words (repeats included, fewer words: all
     of them) hashed; a bit is set if over half of the hashes have it.  No
     words: zero."""
     from xxhash import xxh64_intdigest
 
-    words = text.lower().split()
-    if not words:
-        return 0
-    if len(words) < shingle:
-        return xxh64_intdigest(b" ".join(words), seed)
-    hashes = map(xxh64_intdigest, map(b" ".join, zip(*(words[i:] for i in range(shingle)))), repeat(seed))
-    ones, n = np.zeros(64, np.int64), len(words) - shingle + 1
-    while (h := np.fromiter(islice(hashes, STRIP), np.uint64)).size:
-        ones += np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, np.int64)
-    return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
+    ones, n, held = np.zeros(64, np.int64), 0, []
+    for new in _word_pieces(text):
+        words = held + new
+        hashes = map(xxh64_intdigest, map(b" ".join, zip(*(words[i:] for i in range(shingle)))), repeat(seed))
+        while (h := np.fromiter(islice(hashes, STRIP), np.uint64)).size:
+            n += h.size
+            ones += np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, np.int64)
+        held = words[-(shingle - 1):] if shingle > 1 else []
+        few = words
+    if n:
+        return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
+    return xxh64_intdigest(b" ".join(few), seed) if few else 0
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
@@ -49,7 +69,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in by_bytes(batch, "text", 1 << 22):
-                fp = [fingerprint(t.as_buffer().to_pybytes(), shingle) for t in part.column("text")]
+                fp = [fingerprint(memoryview(t.as_buffer()), shingle) for t in part.column("text")]
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(np.array(fp, np.uint64).view(np.int64))],
                                                  names=["id", "fp"])
 
@@ -77,7 +97,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``component_id`` (the smallest id reachable over links).
 
     A null or empty text has no words: fingerprint zero, linked like any
-    other.  Equal fingerprints, copies above all, are one node; so a group
+    other.  A long text is read piece by piece.  Rows with a null id get a
+    fingerprint and their component like any other; a null id is never the
+    smallest while another is there.  Equal fingerprints, copies above all, are one node; so a group
     of copies costs one row beyond the fingerprinting.  Repeated rows get
     the same component; other columns are ignored.
     """

@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -19,6 +20,7 @@ from .common import SegmentCache, by_bytes, importable, lean, text_bytes, token_
 
 SPACE = "▁"  # fixed value: how the sentencepiece library writes a space
 # from one run of spaces to before the next: the model treats both characters alike
+LONG = 1 << 20  # characters
 UNIT = re.compile(f"[ {SPACE}]+[^ {SPACE}]*")
 
 
@@ -53,10 +55,19 @@ class PieceLengths:
     def counts(self, texts: list[str]) -> list[int]:
         if not self.safe:
             return [len(x) for x in self.model.encode(texts, num_threads=1)]
+        if len(texts) == 1 and len(texts[0]) > LONG:
+            return [self._long(texts[0])]
         units = [[u[1:] for u in UNIT.findall(" " + t)] if t else [] for t in texts]
         known = self.cache.lookup([u for us in units for u in us])
         return [sum(map(known.__getitem__, us)) for us in units]
 
+    def _long(self, text: str) -> int:
+        """The units of a long text are taken some at a time."""
+        units, total = (m[0][1:] for m in UNIT.finditer(" " + text)), 0
+        while some := list(islice(units, 1 << 16)):
+            total += sum(map(self.cache.lookup(some).__getitem__, some))
+        return total
+
 
 @lru_cache(maxsize=4)
 def piece_lengths(path: str) -> PieceLengths:
@@ -70,7 +81,9 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Whole texts, without begin, end or added tokens.  A null text is empty
     and has no tokens; repeated rows give repeated results; other columns of
-    ``docs`` are neither read nor returned; an empty table gives none.
+    ``docs`` are neither read nor returned; an empty table gives none.  A
+    long text is held with some of its units at a time, a unit between
+    spaces as a whole.
     """
     importable(docs.sparkSession)
 
