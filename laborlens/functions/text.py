@@ -86,7 +86,7 @@ def parse_list_text(col) -> Column:
 
 def merge_arrays(a, b) -> Column:
     """Distinct union of two arrays, sorted for a stable order."""
-    return F.array_sort(F.array_union(F.coalesce(a, F.array().cast("array<string>")),
+    return F.sort_array(F.array_union(F.coalesce(a, F.array().cast("array<string>")),
                                       F.coalesce(b, F.array().cast("array<string>"))))
 
 

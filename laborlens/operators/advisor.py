@@ -76,22 +76,40 @@ def total_premium(prof: DataFrame, market: DataFrame) -> DataFrame:
                     F.aggregate(held, F.lit(0.0), lambda a, x: a + x["premium"]).alias("total_premium"))
 
 
-def career_path(prof: DataFrame, paths=K.CAREER_PATHS, default: str = K.CAREER_PATH_DEFAULT) -> DataFrame:
+def path_table(spark, paths=K.CAREER_PATHS) -> DataFrame:
+    """(path, needs): a row per path with its distinct skills."""
+    return spark.createDataFrame([(n, list(dict.fromkeys(ls))) for n, ls in paths], "path string, needs array<string>")
+
+
+def career_path(prof: DataFrame, paths: DataFrame | None = None, default: str = K.CAREER_PATH_DEFAULT, broadcast_rows: int = 100_000) -> DataFrame:
     """Share of each path's list held, for any number of paths; a path
     wins only when its share is strictly greater than every other's, else
-    the default; with have / to-master lists (B7)."""
-    names = [n for n, _ in paths]
-    base = names.index(default)
-    each = F.array(*[F.struct((F.size(F.array_intersect("skills", T.str_array(ls))) / len(ls) * 100.0).alias("share"),
-                              F.lit(n).alias("path"), T.str_array(ls).alias("needs")) for n, ls in paths])
-    p = prof.select("user_id", "skills", each.alias("_p"))
-    best = F.array_max(F.transform("_p", lambda x: x["share"]))
-    top = F.filter("_p", lambda x: x["share"] == best)
-    p = p.withColumn("_w", F.when(F.size(top) == 1, top[0]).otherwise(F.col("_p")[base]))
-    return p.select(
-        "user_id", F.col("_w.path").alias("path"), F.col("_w.share").alias("match_pct"),
-        F.array_join(F.filter("skills", lambda s: F.array_contains("_w.needs", s)), "|").alias("have"),
-        F.array_join(F.filter("_w.needs", lambda s: ~F.array_contains("skills", s)), "|").alias("to_master"))
+    the default; with have / to-master lists (B7).
+
+    The paths' skills are an inverted index, skill -> paths; a profile meets
+    only the paths that need one of its skills, and its counts are summed
+    per path.  A profile that meets none has share 0 for all.  The index is
+    broadcast if it is counted to be small.  Profiles are rows of their own;
+    a path's list holds each skill once."""
+    if paths is None:
+        paths = path_table(prof.sparkSession)
+    index = paths.select("path", F.size("needs").alias("size"), F.explode(F.array_distinct("needs")).alias("skill"))
+    few = index.limit(broadcast_rows + 1).count() <= broadcast_rows
+    p = prof.select("user_id", "skills").withColumn("_row", F.monotonically_increasing_id())
+    met = p.select("_row", F.explode(F.array_distinct("skills")).alias("skill")).join(F.broadcast(index) if few else index, "skill")
+    share = met.groupBy("_row", "path", "size").agg((F.count(F.lit(1)) / F.col("size") * 100.0).alias("share"))
+    # the best share is one path's if its first and its last path by name are the same
+    best = share.groupBy("_row").agg(F.max_by("path", F.struct("share", "path")).alias("_last"),
+                                     F.min_by("path", F.struct(-F.col("share"), F.col("path"))).alias("_first"))
+    best = best.select("_row", F.when(F.col("_last") == F.col("_first"), F.col("_last")).alias("_won"))
+    named = p.join(best, "_row", "left").withColumn("path", F.coalesce("_won", F.lit(default))).drop("_won")
+    full = paths.select("path", "needs")
+    w = named.join(F.broadcast(full) if few else full, "path", "left")
+    held = F.size(F.array_intersect("skills", "needs"))
+    return w.select(
+        "user_id", "path", (held / F.size("needs") * 100.0).alias("match_pct"),
+        F.array_join(F.filter("skills", lambda s: F.array_contains("needs", s)), "|").alias("have"),
+        F.array_join(F.filter("needs", lambda s: ~F.array_contains("skills", s)), "|").alias("to_master"))
 
 
 def recommend_skills(prof: DataFrame, market: DataFrame, k: int = 15) -> DataFrame:

@@ -26,11 +26,9 @@ def _nn(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def distribution_stats(df: DataFrame, y: str, approx: bool = False) -> DataFrame:
     """Count, mean, median, sd (sample), min, q25, q50, q75, max."""
-    d = _nn(df, [y])
-    base = d.agg(F.count(y).alias("count"), F.avg(y).alias("mean"), F.stddev_samp(y).alias("std"),
-                 F.min(y).alias("min"), F.max(y).alias("max"))
-    q = quantiles(d, [], y, {"q25": 0.25, "median": 0.5, "q75": 0.75}, approx=approx)
-    return base.crossJoin(q).select("count", "mean", "median", "std", "min", "q25", "q75", "max")
+    x = {"count": F.count(y), "mean": F.avg(y), "std": F.stddev_samp(y), "min": F.min(y), "max": F.max(y)}
+    q = quantiles(df, [], y, {"q25": 0.25, "median": 0.5, "q75": 0.75}, approx=approx, extra=x)
+    return q.select(F.coalesce("count", F.lit(0)).cast("bigint").alias("count"), "mean", "median", "std", "min", "q25", "q75", "max")
 
 
 def shape_stats(df: DataFrame, y: str) -> DataFrame:
@@ -48,12 +46,9 @@ def group_stats(df: DataFrame, by: str, y: str, measures: Sequence[str] = _MEASU
     Null keys and null measures are dropped first."""
     d = _nn(df.select(by, y), [by, y])
     aggs = {"count": F.count(y), "mean": F.avg(y), "std": F.stddev_samp(y), "min": F.min(y), "max": F.max(y)}
-    base = d.groupBy(by).agg(*[aggs[m].alias(m) for m in measures if m in aggs])
-    qs = dict(quantile_cols or {})
-    if "median" in measures:
-        qs = {"median": 0.5, **qs}
-    if qs:
-        base = base.join(quantiles(d, [by], y, qs, approx=approx), by)
+    aggs = {m: aggs[m] for m in measures if m in aggs}
+    qs = {**({"median": 0.5} if "median" in measures else {}), **(quantile_cols or {})}
+    base = quantiles(d, [by], y, qs, approx=approx, extra=aggs) if qs else d.groupBy(by).agg(*[c.alias(m) for m, c in aggs.items()])
     order = [m for m in measures] + [q for q in (quantile_cols or {}) if q not in measures]
     out = base.select(by, *[(F.col(m) if (digits is None or m == "count") else F.bround(m, digits)).alias(m) for m in order])
     return out.orderBy(F.desc("mean"), F.asc(by)) if sort and "mean" in measures else out
@@ -78,10 +73,9 @@ def gap_to_best(stats: DataFrame, by: str, value: str = "mean") -> DataFrame:
 
 def market_stats(df: DataFrame, y: str, approx: bool = False) -> DataFrame:
     """Min, q25, median, q75, max, mean."""
-    d = _nn(df, [y])
-    base = d.agg(F.min(y).alias("min"), F.max(y).alias("max"), F.avg(y).alias("mean"))
-    q = quantiles(d, [], y, {"q25": 0.25, "median": 0.5, "q75": 0.75}, approx=approx)
-    return base.crossJoin(q).select("min", "q25", "median", "q75", "max", "mean")
+    x = {"min": F.min(y), "max": F.max(y), "mean": F.avg(y)}
+    q = quantiles(df, [], y, {"q25": 0.25, "median": 0.5, "q75": 0.75}, approx=approx, extra=x)
+    return q.select("min", "q25", "median", "q75", "max", "mean")
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:

@@ -2,6 +2,8 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import mul
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,23 +55,45 @@ def qq_points(df: DataFrame, y: str) -> DataFrame:
     return pts.crossJoin(F.broadcast(fit))
 
 
-def density_curve(df: DataFrame, by: str, y: str, grid: int = 50) -> DataFrame:
+def density_curve(df: DataFrame, by: str, y: str, grid: int = 50, cells: int = 64, exact: bool = False) -> DataFrame:
     """V4: Gaussian kernel density per group on ``grid`` points between the
-    group's min and max, bandwidth by Scott's rule (sd * n^(-1/5)).  One
-    aggregate holds a kernel sum per grid point; its single row per group is
-    unpivoted, rows are not multiplied."""
-    d = df.where(F.col(by).isNotNull() & F.col(y).isNotNull()).select(by, y)
-    s = d.groupBy(by).agg(F.count(F.lit(1)).alias("_n"), F.stddev_samp(y).alias("_sd"),
-                          F.min(y).alias("_lo"), F.max(y).alias("_hi"))
+    group's min and max, bandwidth h by Scott's rule (sd * n^(-1/5)).
+
+    Values fall into cells of h / ``cells``; a cell keeps the sums of the
+    first powers of its values' distances from its middle, and the kernel of
+    a value is expanded about the middle (Hermite polynomials up to the
+    fourth).  What is left out is below 0.02 of the kernel's peak times
+    (1 / 2 ``cells``)^5, some 1e-12.  So rows are read by one aggregate of
+    five sums, and exponentials are taken per cell: their number grows with
+    the fifth root of the rows.  ``exact=True`` sums a kernel per row."""
+    d = df.where(F.col(by).isNotNull() & F.col(y).isNotNull()).select(by, F.col(y).cast("double").alias("_y"))
+    s = d.groupBy(by).agg(F.count(F.lit(1)).alias("_n"), F.stddev_samp("_y").alias("_sd"),
+                          F.min("_y").alias("_lo"), F.max("_y").alias("_hi"))
     s = s.withColumn("_h", F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2)))
-    j = d.join(s.where(F.col("_h") > 0), by)
+    s = s.where(F.col("_h") > 0).select(by, "_n", "_h", "_lo", "_hi")
+    j = d.join(s, by)
+    if exact:
+        j = j.withColumns({"_at": F.col("_y"), **{f"_m{k}": F.lit(float(k == 0)) for k in range(5)}})
+    else:
+        width = F.col("_h") / cells
+        cell = F.floor((F.col("_y") - F.col("_lo")) / width)
+        middle = F.col("_lo") + (F.col("_cell") + 0.5) * width
+        u = (F.col("_y") - middle) / F.col("_h")
+        j = j.withColumn("_cell", cell).withColumn("_u", u)
+        j = j.groupBy(by, "_n", "_h", "_lo", "_hi", "_cell").agg(
+            F.count(F.lit(1)).cast("double").alias("_m0"), *[F.sum(reduce(mul, [F.col("_u")] * k)).alias(f"_m{k}") for k in range(1, 5)])
+        j = j.withColumn("_at", middle)
 
     def x(g: int):
         return F.col("_lo") + g * (F.col("_hi") - F.col("_lo")) / (grid - 1)
 
     def kernel(g: int):
-        z = (x(g) - F.col(y)) / F.col("_h")
-        return F.exp(-0.5 * z * z)
+        z = (x(g) - F.col("_at")) / F.col("_h")
+        z2 = z * z
+        if exact:
+            return F.exp(-0.5 * z2)
+        return F.exp(-0.5 * z2) * (F.col("_m0") + z * F.col("_m1") + (z2 - 1) / 2 * F.col("_m2") + z * (z2 - 3) / 6 * F.col("_m3")
+                                   + (z2 * z2 - 6 * z2 + 3) / 24 * F.col("_m4"))
 
     agg = j.groupBy(by, "_n", "_h", "_lo", "_hi").agg(*[F.sum(kernel(g)).alias(f"_k{g}") for g in range(grid)])
     points = F.array(*[F.struct(F.lit(g).alias("g"), x(g).alias("x"), F.col(f"_k{g}").alias("k")) for g in range(grid)])

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import tails
+from .gram import gram
 from .quantiles import quantiles, value_counts
 
 
@@ -136,30 +137,25 @@ def correlation_pairs(vec: DataFrame, arr: str, k: int, names: DataFrame) -> Dat
     """Pairwise-complete Pearson r for every pair (i < j) of the ``k``
     positions of a numeric array column, any of which may be null.
 
-    A row becomes the vector of its centred values (0 where null), their
+    A row becomes the array of its shifted values (0 where null), their
     squares and the 0/1 marks of presence.  The products of all these columns
-    hold, for each pair, the sums over the rows where both are present; they
-    come from MLlib's covariance (a tree-aggregated Gram matrix), so only
-    3k x 3k summaries reach the driver.  A pair with a constant side, or with
-    fewer than two complete rows, has r null.  ``names`` (pos, name) labels
-    positions (1-based)."""
+    hold, for each pair, the sums over the rows where both are present: one
+    pass gives them all, and only the 3k x 3k sums reach the driver.  Values
+    are shifted by those of the first complete row, which takes a common
+    offset out of the sums.  A pair with a constant side, or with fewer than
+    two complete rows, has r null.  ``names`` (pos, name) labels positions
+    (1-based)."""
     import numpy as np
-    from pyspark.ml.functions import array_to_vector
-    from pyspark.ml.stat import Correlation, Summarizer
 
     spark = vec.sparkSession
     x = [F.col(arr)[i].cast("double") for i in range(k)]
-    at = vec.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(x)]).first() if k else ()
-    d = [c - F.lit(float(m or 0.0)) for c, m in zip(x, at)]
+    full = vec.where(F.col(arr).isNotNull() & ~F.exists(arr, lambda c: c.isNull())).select(arr).first() if k else None
+    d = [c - F.lit(float(full[0][i] if full else 0.0)) for i, c in enumerate(x)]
     wide = F.array(*[F.coalesce(c, F.lit(0.0)) for c in d], *[F.coalesce(c * c, F.lit(0.0)) for c in d],
                    *[c.isNotNull().cast("double") for c in x])
-    v = vec.select(array_to_vector(wide).alias("v")).persist()
-    total = v.select(Summarizer.metrics("mean", "std", "count").summary(F.col("v")).alias("s")).first()["s"]
-    n, r = total["count"], np.full((k, k), np.nan)
-    if n > 1:
-        mean, sd = total["mean"].toArray(), total["std"].toArray()
-        cov = np.nan_to_num(Correlation.corr(v, "v").first()[0].toArray()) * np.outer(sd, sd)
-        s = cov * (n - 1) + n * np.outer(mean, mean)                 # sums of products
+    r = np.full((k, k), np.nan)
+    if k:
+        s = gram(vec.select(wide.alias("v")), "v", 3 * k)[None]
         val, sq, has = (slice(b * k, (b + 1) * k) for b in range(3))
         both = s[has, has]
         sx, sxx = s[val, has], s[sq, has]                            # of i, where j is present
@@ -167,7 +163,6 @@ def correlation_pairs(vec: DataFrame, arr: str, k: int, names: DataFrame) -> Dat
         vx[vx <= 1e-10 * both * sxx] = 0.0                           # constant but for rounding
         with np.errstate(all="ignore"):
             r = (both * s[val, val] - sx * sx.T) / np.sqrt(vx * vx.T)
-    v.unpersist()
     rows = [(i + 1, j + 1, float(r[i, j]) if np.isfinite(r[i, j]) else None) for i in range(k) for j in range(i + 1, k)]
     long = spark.createDataFrame(rows, "p1 int, p2 int, r double")
     n1 = names.select(F.col("pos").alias("p1"), F.col("name").alias("var_1"))

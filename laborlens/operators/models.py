@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from . import gram as G
 
 
 def in_parallel(fn, items: Sequence, threads: int = 8) -> list:
@@ -58,6 +59,28 @@ def assemble(df: DataFrame, arrays: Sequence, out: str = "features") -> DataFram
     return df.withColumn(out, array_to_vector(F.concat(*arrays)))
 
 
+def sparse_features(rows: DataFrame, items: Sequence[str], arr: str, level: str, category: str, levels: Sequence[str],
+                    out: str = "features") -> DataFrame:
+    """``rows`` with the feature vector of M2-M5: marks of ``items`` (a
+    counting vectorizer over the given list), the number ``level`` and the
+    one-hot ``category`` without its base level.  A vector is stored sparse
+    where that takes less: a posting has a few of the items."""
+    from pyspark.ml.feature import CountVectorizerModel, VectorAssembler, VectorSizeHint
+    from pyspark.ml.functions import array_to_vector
+
+    none = F.array().cast("array<string>")
+    v = rows.withColumn("_items", F.coalesce(F.col(arr), none)).withColumn("_level", F.col(level).cast("double"))
+    parts = ["_level"]
+    if items:
+        marks = CountVectorizerModel.from_vocabulary(list(items), inputCol="_items", outputCol="_marks", minTF=1.0)
+        v, parts = marks.setBinary(True).transform(v), ["_marks", "_level"]
+    if len(levels) > 1:
+        v, parts = encode_onehot(v, category, levels, "_area").withColumn("_area", array_to_vector("_area")), [*parts, "_area"]
+        v = VectorSizeHint(inputCol="_area", size=len(levels) - 1).transform(v)
+    v = VectorAssembler(inputCols=parts, outputCol=out, handleInvalid="keep").transform(v)
+    return v.drop("_items", "_marks", "_level", "_area")
+
+
 def label_scale(train: DataFrame, label: str, ddof: int = 0):
     """(n, sd) of the label on the training rows: a one-row summary."""
     sd = F.stddev_pop(label) if ddof == 0 else F.stddev_samp(label)
@@ -138,20 +161,65 @@ def contiguous_folds(df: DataFrame, key: str, k: int = K.CV_FOLDS) -> DataFrame:
     return r.withColumn("fold", fold.cast("int")).drop("_rank", "_n")
 
 
-def cross_validate(df: DataFrame, label: str, fits: dict, k: int = K.CV_FOLDS, key: str = "vacancy_id") -> DataFrame:
-    """M7: per model (``fits``: name -> function) the R^2 of each fold,
-    trained on the other folds: their mean, population sd and number.  The
-    folds are cut once for all models."""
-    folded = contiguous_folds(df, key, k).persist()
-    folded.count()
+def linear_fold_scores(folded: DataFrame, label: str, k: int, names: Sequence[str] = ("ridge", "lasso"),
+                       features: str = "features") -> list[tuple]:
+    """(model, fold, r2) of the linear models without a fit per fold: one
+    pass gives each fold's sums of products; a fold's training rows are the
+    total minus its own, and its R^2 follows from its own sums."""
+    import numpy as np
+    from pyspark.ml.functions import vector_to_array
+
+    first = folded.select(features).first()
+    if first is None:
+        return [(name, f, None) for name in names for f in range(k)]
+    p = first[0].size
+    row = F.concat(F.array(F.lit(1.0)), vector_to_array(features), F.array(F.col(label).cast("double")))
+    by = G.gram(folded.where(F.col(label).isNotNull()).select("fold", row.alias("x")), "x", p + 2, by="fold")
+    total = sum(by.values(), np.zeros((p + 2, p + 2)))
+    solve = {"ridge": lambda g: G.ridge(g, K.RIDGE_ALPHA), "lasso": lambda g: G.lasso(g, K.LASSO_ALPHA)}
+    rows = []
+    for f in range(k):
+        own = by.get(f, np.zeros_like(total))
+        train = total - own
+        rows += [(name, f, G.r2(own, *solve[name](train)) if train[0, 0] > 0 else None) for name in names]
+    return rows
+
+
+def fold_score(folded: DataFrame, label: str, fold: int, fit) -> float | None:
+    """R^2 on one fold of a model fitted on the others."""
+    model = fit(folded.where(F.col("fold") != fold), label)
+    r2 = regression_metrics(model.transform(folded.where(F.col("fold") == fold)), label).first()["r2"]
+    return None if r2 is None else float(r2)
+
+
+def sized(df: DataFrame, rows_per_task: int = 25_000) -> DataFrame:
+    """``df`` in as many partitions as its rows fill.  A tree is grown by a
+    job per level over all partitions, so a small table in many of them waits
+    for its tasks."""
+    n = max(1, -(-df.count() // rows_per_task))
+    now = df.rdd.getNumPartitions()
+    return df.coalesce(n) if n < now else df.repartition(n) if n > now else df
+
+
+def cross_validate(df: DataFrame, label: str, linear: Sequence[str] = ("ridge", "lasso"), trees: dict | None = None,
+                   k: int = K.CV_FOLDS, key: str = "vacancy_id", kept=None, threads: int = 8) -> DataFrame:
+    """M7: per model the R^2 of each fold, trained on the other folds: their
+    mean, population sd and number.
+
+    Linear models are solved from fold sums; ``trees`` (name -> fit) are
+    fitted several at a time on one frame.  ``kept(name, fold, score)`` may
+    keep a score under a name as soon as it is there and give it back later,
+    so a run that was stopped goes on where it was."""
+    folded = sized(contiguous_folds(df, key, k)).persist()
+    keep = kept or (lambda name, fold, score: score())
+    trees = trees or {}
 
     def score(job: tuple) -> tuple:
         name, f = job
-        model = fits[name](folded.where(F.col("fold") != f), label)
-        r2 = regression_metrics(model.transform(folded.where(F.col("fold") == f)), label).first()["r2"]
-        return name, f, None if r2 is None else float(r2)
+        return name, f, keep(name, f, lambda: fold_score(folded, label, f, trees[name]))
 
-    rows = in_parallel(score, [(name, f) for name in fits for f in range(k)])
+    rows = linear_fold_scores(folded, label, k, linear)
+    rows += in_parallel(score, [(name, f) for name in trees for f in range(k)], threads)
     folded.unpersist()
     r = df.sparkSession.createDataFrame(rows, "model string, fold int, r2 double")
     return r.groupBy("model").agg(F.avg("r2").alias("cv_mean"), F.stddev_pop("r2").alias("cv_std"), F.count("r2").alias("folds"))

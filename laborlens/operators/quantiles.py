@@ -2,21 +2,26 @@
 
 ``percentile``/``median`` aggregates keep every distinct value of a group in
 one buffer, and a window ordered over a whole group runs in one task; both
-break when one group holds a third of the rows.  Here rows are first counted
-per (group, value), which combines before the shuffle and dissolves ties, so
+break when one group holds a third of the rows.  Quantiles are selected
+instead: rows are counted in buckets, and only the buckets that can hold a
+wanted position are counted by value (``quantile_cont``: two positions,
+interpolated).
+
+Where every value's position is asked for, rows are first counted per
+(group, value), which combines before the shuffle and dissolves ties, so
 a value in 90 % of the rows is one row afterwards.  The distinct values are
 then range-partitioned on (group, value): no two of them are equal, so any
 group is spread evenly over many tasks.  Per (group, partition) the counts
 are summed; a running sum over that small table gives each block's offset,
-and the position of every value follows.  Quantiles pick two positions per
-group and interpolate linearly (the ``quantile_cont`` definition).
+and the position of every value follows.
 ``approx=True`` switches to ``percentile_approx`` with bounded memory.
 """
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_root, shuffle_partitions
@@ -90,39 +95,67 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], weight
 
 
 def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float],
-              approx: bool = False, accuracy: int = 10000) -> DataFrame:
-    """One row per group: ``keys`` + one column per name in ``probs``.
+              approx: bool = False, accuracy: int = 10000, extra: Mapping[str, Column] | None = None,
+              brackets: int = 50_000, few: int = 20_000) -> DataFrame:
+    """One row per group: ``keys`` + one column per name in ``probs`` (and
+    per aggregate in ``extra``, of the rows that count).  Rows with a null
+    key, a null value or NaN don't count.
 
     Exact: linear interpolation between the order statistics at
-    floor/ceil((n-1) q).  Approximate: ``percentile_approx``."""
-    keys = list(keys)
+    floor/ceil((n-1) q), found by selection in two passes.  The first
+    brackets every quantile by a mergeable sketch of relative error
+    1 / ``brackets`` (``percentile_approx``, four errors to either side).  The
+    second counts: rows between two brackets are one bucket of their group,
+    only rows inside a bracket are counted by value.  Counts combine before
+    their shuffle, and what a group's running sum orders is the brackets'
+    values, some 8 / ``brackets`` of its rows per quantile; rows are never
+    sorted.  The brackets are one broadcast row without keys; with keys they
+    are broadcast where at most ``few`` groups have them, otherwise joined.
+    Approximate: ``percentile_approx`` alone."""
+    keys, extra = list(keys), dict(extra or {})
+    cond = F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))
+    for k in keys:
+        cond = cond & F.col(k).isNotNull()
+    d = df.where(cond)
+    more = [c.alias(name) for name, c in extra.items()]
+    group = (lambda x: x.groupBy(*keys)) if keys else (lambda x: x)
     if approx:
-        aggs = [F.percentile_approx(value, q, accuracy).cast("double").alias(name) for name, q in probs.items()]
-        cond = F.col(value).isNotNull()
-        for k in keys:
-            cond = cond & F.col(k).isNotNull()
-        g = df.where(cond)
-        return g.groupBy(*keys).agg(*aggs) if keys else g.agg(*aggs)
-    v = value_counts(df, keys, value)
-    n1 = (F.col("_n") - 1).cast("double")
-
-    def holds(position):
+        return group(d).agg(*more, *[F.percentile_approx(value, q, accuracy).cast("double").alias(name) for name, q in probs.items()])
+
+    v = F.col(value).cast("double")
+    edges = [min(1.0, max(0.0, q + side * 4.0 / brackets)) for q in probs.values() for side in (-1, 1)]
+    first = group(d).agg(*more, F.count(F.lit(1)).alias("_n"), F.percentile_approx(v, edges, brackets).alias("_e"))
+    first = first.select(*keys, *extra, "_n", *[F.col("_e")[i].alias(f"_e{i}") for i in range(len(edges))])
+    small = True
+    if keys:
+        # one job here; the rows found stand in for it in the plan
+        got = first.limit(few + 1).collect()
+        small = len(got) <= few
+        if small:
+            first = df.sparkSession.createDataFrame(got, first.schema)
+    look = F.broadcast(first) if small else first
+    d = d.select(*keys, v.alias("_v"))
+    j = d.join(look, keys) if keys else d.crossJoin(look)
+    pairs = [(F.col(f"_e{i}"), F.col(f"_e{i + 1}")) for i in range(0, len(edges), 2)]
+    inside = reduce(lambda a, b: a | b, [(F.col("_v") >= lo) & (F.col("_v") <= hi) for lo, hi in pairs])
+    # a row outside all brackets stands right behind the last one that ends below it
+    behind = F.greatest(F.lit(float("-inf")), *[F.when(hi < F.col("_v"), hi) for _, hi in pairs])
+    own = [*keys, *extra, "_n"]
+    c = j.groupBy(*own, F.when(inside, F.col("_v")).otherwise(behind).alias("_at"), (~inside).alias("_gap")).agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy(*keys).orderBy("_at", "_gap") if keys else Window.orderBy("_at", "_gap")
+    c = c.withColumn("_cum", F.sum("_c").over(w))
+    h = {name: (F.col("_n") - 1).cast("double") * F.lit(float(q)) for name, q in probs.items()}
+
+    def holds(position: Column) -> Column:
         return (F.col("_cum") - F.col("_c") <= position) & (position < F.col("_cum"))
 
-    want, aggs = F.lit(False), [F.first("_n").alias("_n")]
-    for name, q in probs.items():
-        h = n1 * F.lit(float(q))
-        want = want | holds(F.floor(h)) | holds(F.ceil(h))
-        aggs.append(F.max(F.when(holds(F.floor(h)), F.col(value))).alias(f"_lo_{name}"))
-        aggs.append(F.max(F.when(holds(F.ceil(h)), F.col(value))).alias(f"_hi_{name}"))
-    picked = v.where(want)
-    g = picked.groupBy(*keys).agg(*aggs) if keys else picked.agg(*aggs)
-    cols = list(keys)
-    for name, q in probs.items():
-        h = (F.col("_n") - 1).cast("double") * F.lit(float(q))
-        lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        cols.append((lo + (h - F.floor(h)) * (hi - lo)).alias(name))
-    return g.select(*cols)
+    lost = F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")
+    value_at = F.when(F.col("_gap"), lost).otherwise(F.col("_at"))
+    picks = [F.max(F.when(holds(f(x)), value_at)).alias(f"_{end}_{name}") for name, x in h.items() for end, f in (("lo", F.floor), ("hi", F.ceil))]
+    kept = [F.first(x).alias(x) for x in [*extra, "_n"]]
+    g = group(c).agg(*kept, *picks)
+    between = [(F.col(f"_lo_{name}") + (x - F.floor(x)) * (F.col(f"_hi_{name}") - F.col(f"_lo_{name}"))).alias(name) for name, x in h.items()]
+    return g.select(*keys, *extra, *between)
 
 
 def positions(df: DataFrame, value: str, keys: Sequence[str] = (), chunk: int = 65_536) -> DataFrame:

@@ -1,11 +1,9 @@
 """Frequent itemsets and association rules.
 
 Itemsets come from MLlib FP-growth (parallel FP-growth, no candidate
-explosion).  Rules allow multi-item consequents: every frequent itemset is
-split into each non-empty proper antecedent by a bitmask over its items
-(``sequence(1, 2^k - 2)``), then antecedent and consequent supports are
-joined back by their sorted-item key.  The enumeration is per itemset (a
-bounded 2^k), never over pairs of rows.
+explosion).  Rules allow multi-item consequents, which grow level by level
+and only while they are confident; supports are joined by the sorted items'
+key.
 """
 from __future__ import annotations
 
@@ -32,22 +30,36 @@ def frequent_itemsets(baskets: DataFrame, arr: str, min_support: float) -> DataF
 
 
 def association_rules(itemsets: DataFrame, min_confidence: float) -> DataFrame:
-    """antecedents, consequents (sorted arrays), support, confidence, lift."""
+    """antecedents, consequents (sorted arrays), support, confidence, lift.
+
+    Consequents grow item by item.  Moving an item from a rule's antecedent
+    to its consequent never raises the confidence, so a rule that fails has
+    no successor, and only items that hold as a consequent of their own are
+    added, in sorted order, which makes each consequent once.  A level is one
+    join of its rules with the itemsets that are their antecedents."""
     keyed = itemsets.select(F.array_join("items", SEP).alias("_key"), "support")
-    multi = itemsets.where(F.size("items") >= 2).select("items", F.col("support").alias("support"))
-    masks = multi.withColumn("_mask", F.explode(F.sequence(F.lit(1), F.pow(F.lit(2), F.size("items")).cast("int") - 2)))
-    split = masks.select(
-        "items", "support",
-        F.filter("items", lambda x, i: F.col("_mask").bitwiseAND(F.pow(F.lit(2), i).cast("int")) != 0).alias("antecedents"),
-        F.filter("items", lambda x, i: F.col("_mask").bitwiseAND(F.pow(F.lit(2), i).cast("int")) == 0).alias("consequents"))
     a = keyed.select(F.col("_key").alias("_ak"), F.col("support").alias("_as"))
     c = keyed.select(F.col("_key").alias("_ck"), F.col("support").alias("_cs"))
-    j = (split.withColumn("_ak", F.array_join("antecedents", SEP)).withColumn("_ck", F.array_join("consequents", SEP))
-         .join(a, "_ak").join(c, "_ck"))
-    conf = F.col("support") / F.col("_as")
-    return (j.select("antecedents", "consequents", "support", conf.alias("confidence"),
-                     (conf / F.col("_cs")).alias("lift"))
-            .where(F.col("confidence") >= min_confidence))
+
+    def judged(rules: DataFrame) -> DataFrame:
+        r = rules.withColumn("antecedents", F.array_except("items", "consequents")).where(F.size("antecedents") > 0)
+        r = r.withColumn("_ak", F.array_join("antecedents", SEP)).join(a, "_ak")
+        r = r.withColumn("confidence", F.col("support") / F.col("_as")).where(F.col("confidence") >= min_confidence)
+        return stage(r.select("items", "support", "consequents", "antecedents", "confidence"), "rules")
+
+    multi = itemsets.where(F.size("items") >= 2).select("items", "support")
+    level = judged(multi.select("items", "support", F.explode("items").alias("_y")).withColumn("consequents", F.array("_y")).drop("_y"))
+    # an itemset's own items, so no longer than the itemset
+    single = level.groupBy("items").agg(F.sort_array(F.collect_set(F.col("consequents")[0])).alias("_single"))
+    rules = level
+    while not (longer := level.where(F.size("items") > F.size("consequents") + 1)).isEmpty():
+        last = F.element_at("consequents", -1)
+        grown = longer.join(single, "items").select(
+            "items", "support", "consequents", F.explode(F.filter("_single", lambda x: x > last)).alias("_y"))
+        level = judged(grown.select("items", "support", F.array_append("consequents", F.col("_y")).alias("consequents")))
+        rules = rules.unionByName(level)
+    return (rules.withColumn("_ck", F.array_join("consequents", SEP)).join(c, "_ck")
+            .select("antecedents", "consequents", "support", "confidence", (F.col("confidence") / F.col("_cs")).alias("lift")))
 
 
 def rules_summary(rules: DataFrame) -> DataFrame:

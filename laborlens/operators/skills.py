@@ -44,25 +44,40 @@ def item_frequency(long: DataFrame, n_rows: DataFrame, top: int | None = 20, ite
 
 
 def item_sums(rows: DataFrame, y: str, arr: str = ARR, item: str = "skill") -> DataFrame:
-    """Per item: n and sum of ``y`` over rows having the item, plus the
-    whole-table totals (one broadcast row)."""
-    r = rows.where(F.col(y).isNotNull()).select(F.col(y).cast("double").alias("_y"), arr)
-    tot = r.agg(F.count(F.lit(1)).alias("n_all"), F.sum("_y").alias("s_all"), F.var_pop("_y").alias("var_all"))
+    """Per item: rows that have it (``n_postings``), of those with a ``y``
+    their number and sum, plus the whole table's totals (one broadcast row)."""
+    r = rows.select(F.col(y).cast("double").alias("_y"), arr)
+    tot = r.agg(F.count(F.lit(1)).alias("n_rows"), F.count("_y").alias("n_all"), F.sum("_y").alias("s_all"), F.var_pop("_y").alias("var_all"))
     per = explode_items(r, "_y", arr=arr, item=item).groupBy(item).agg(
-        F.count(F.lit(1)).alias("n_with"), F.sum("_y").alias("s_with"))
+        F.count(F.lit(1)).alias("n_postings"), F.count("_y").alias("n_with"), F.sum("_y").alias("s_with"))
     return per.crossJoin(F.broadcast(tot))
 
 
+def top_of(sums: DataFrame, n: int, item: str = "skill") -> DataFrame:
+    """:func:`top_items` from sums that are there."""
+    top = sums.select(item, "n_postings").orderBy(F.desc("n_postings"), F.asc(item)).limit(n)
+    return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n_postings"), F.asc(item))))
+
+
+def demand_of(sums: DataFrame, item: str = "skill") -> DataFrame:
+    """Percent of rows having each item, from sums that are there."""
+    return sums.select(F.col(item).alias("slug"), S.pct("n_postings", "n_rows").alias("market_pct"))
+
+
 def item_premium_raw(rows: DataFrame, y: str, min_n: int = 10, top: int | None = 20, arr: str = ARR,
                      item: str = "skill") -> DataFrame:
-    """A9 + T7: mean with / without the item, premium, n with, the
-    point-biserial correlation r = (m1 - m0) / s_pop * sqrt(p q) (null on a
-    constant ``y``), its t, two-sided p and significance stars."""
-    s = item_sums(rows, y, arr, item)
+    """:func:`item_premium` of rows."""
+    return item_premium(item_sums(rows, y, arr, item), min_n, top, item)
+
+
+def item_premium(s: DataFrame, min_n: int = 10, top: int | None = 20, item: str = "skill") -> DataFrame:
+    """A9 + T7 from the sums per item: mean with / without the item, premium,
+    n with, the point-biserial correlation r = (m1 - m0) / s_pop * sqrt(p q)
+    (null on a constant ``y``), its t, two-sided p and significance stars."""
     n0 = F.col("n_all") - F.col("n_with")
-    m1 = F.col("s_with") / F.col("n_with")
+    m1 = F.try_divide("s_with", "n_with")
     m0 = F.try_divide(F.col("s_all") - F.col("s_with"), n0)
-    p = F.col("n_with") / F.col("n_all")
+    p = F.try_divide("n_with", "n_all")
     # var_pop is a shifted sum of squares: exactly 0 on a constant, never negative
     r = F.when(F.col("var_all") > 0, F.try_divide(m1 - m0, F.sqrt("var_all")) * F.sqrt(p * (F.lit(1.0) - p)))
     out = s.where((F.col("n_with") > min_n) & (n0 > min_n)).select(

@@ -11,32 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.adapter import POSTINGS_SQL
+from .build import building
 from .preprocess import PROCESSED_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-_BUILD: dict = {"active": False, "cache": {}}
-
-
-def build_cache() -> dict | None:
-    """Cache shared by the helpers while ONE registered query's DataFrame is
-    being built (None outside a build).  Nothing survives between queries."""
-    return _BUILD["cache"] if _BUILD["active"] else None
-
-
 def register(name: str, sql: str | None = None):
     def deco(fn):
         def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-            outer = not _BUILD["active"]
-            if outer:
-                _BUILD["active"], _BUILD["cache"] = True, {}
-            try:
+            with building():
                 return fn(spark, sf_dir)
-            finally:
-                if outer:
-                    _BUILD["active"], _BUILD["cache"] = False, {}
         query.__name__ = name
         query.__doc__ = fn.__doc__
         QUERIES[name] = query

@@ -15,7 +15,9 @@ from ..functions import scalar as S
 from ..functions import text as T
 from ..operators.quantiles import quantiles
 from ..sources.adapter import postings
+from ..session import stage
 from ..sources.tables import read_table
+from .build import build_cache
 
 
 def clean_salaries(df: DataFrame, rules=K.CURRENCY_RULES, out: str = "salary_monthly_kzt") -> DataFrame:
@@ -47,14 +49,17 @@ def extract_skills(df: DataFrame, text: str | None = "description", tags: DataFr
 
     ``tags``: a table (tag_key, skills_extracted) computed once per distinct
     text; postings join it instead of re-scanning a shared text."""
+    none = F.array().cast("array<string>")
     if tags is not None:
-        df = df.join(tags.select(tag_key, "skills_extracted"), tag_key, "left").withColumn(
-            "skills_extracted", F.coalesce("skills_extracted", F.array().cast("array<string>")))
+        tags = tags.select(tag_key, "skills_extracted", F.transform("skills_extracted", S.slug).alias("_slugs"))
+        df = df.join(tags, tag_key, "left").withColumns(
+            {c: F.coalesce(c, none) for c in ("skills_extracted", "_slugs")})
     else:
-        df = tag_texts(df, text, "skills_extracted", vocab, boundary)
+        df = tag_texts(df, text, "skills_extracted", vocab, boundary).withColumn("_slugs", F.transform("skills_extracted", S.slug))
     df = df.withColumn("skills_key_parsed", T.parse_list_text("key_skills"))
     df = df.withColumn("skills_all", T.merge_arrays(F.col("skills_extracted"), F.col("skills_key_parsed")))
-    return df.withColumn("skill_slugs", F.array_sort(F.array_distinct(F.transform("skills_all", S.slug))))
+    slugs = F.array_union("_slugs", F.transform("skills_key_parsed", S.slug))
+    return df.withColumn("skill_slugs", F.sort_array(slugs)).drop("_slugs")
 
 
 def skill_long(df: DataFrame, key: str = "vacancy_id", arr: str = "skill_slugs") -> DataFrame:
@@ -69,17 +74,31 @@ def iqr_bounds(df: DataFrame, col: str, k: float = K.IQR_K, approx: bool = False
     return q.select("q1", "q3", (F.col("q1") - k * iqr).alias("lower_bound"), (F.col("q3") + k * iqr).alias("upper_bound"))
 
 
-def winsorize(df: DataFrame, col: str, k: float = K.IQR_K, out: str | None = None, approx: bool = False,
-              values: DataFrame | None = None) -> DataFrame:
-    """Cap to the IQR fences; nulls stay null; no row dropped.
-    ``values``: where to read ``col`` for the fences, if a cheaper table than
-    ``df`` has it."""
-    b = iqr_bounds(df if values is None else values, col, k, approx).select("lower_bound", "upper_bound")
+def winsorize(df: DataFrame, col: str, k: float = K.IQR_K, out: str | None = None, approx: bool = False) -> DataFrame:
+    """Cap to the IQR fences; nulls stay null; no row dropped."""
+    b = iqr_bounds(df, col, k, approx).select("lower_bound", "upper_bound")
     return (df.crossJoin(F.broadcast(b))
             .withColumn(out or col, S.cap(col, "lower_bound", "upper_bound"))
             .drop("lower_bound", "upper_bound"))
 
 
+def salary_fences(spark: SparkSession, sf_dir: str, salaries: DataFrame | None = None):
+    """The two IQR fences of all salaries, as literals: one row, read once
+    per query build.  ``salaries``: a written table of all postings that has
+    the converted salary; without one, that column is written."""
+    cache = build_cache()
+    if cache is not None and ("fences", sf_dir) in cache:
+        return cache["fences", sf_dir]
+    if salaries is None:
+        p = postings(spark, sf_dir, with_description=False, with_key_skills=False)
+        salaries = stage(clean_salaries(p, out="salary_raw_kzt").select("salary_raw_kzt"), "salaries")
+    r = iqr_bounds(salaries, "salary_raw_kzt").first()
+    got = tuple(F.lit(r[c]).cast("double") for c in ("lower_bound", "upper_bound"))
+    if cache is not None:
+        cache["fences", sf_dir] = got
+    return got
+
+
 def document_tags(spark: SparkSession, sf_dir: str, vocab=K.TECH_TERMS, boundary: str = "token") -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return tag_texts(docs, "text", "skills_extracted", vocab, boundary).select("doc_id", "skills_extracted")
@@ -98,9 +117,7 @@ def processed_postings(spark: SparkSession, sf_dir: str, winsorise: bool = True,
     if skills:
         p = extract_skills(p, tags=document_tags(spark, sf_dir))
     if winsorise:
-        # the fences need the salary columns only, not the skills
-        salaries = clean_salaries(postings(spark, sf_dir, with_description=False, with_key_skills=False), out="salary_raw_kzt")
-        p = winsorize(p, "salary_raw_kzt", out="salary_monthly_kzt", values=salaries)
+        p = p.withColumn("salary_monthly_kzt", S.cap("salary_raw_kzt", *salary_fences(spark, sf_dir)))
     else:
         p = p.withColumn("salary_monthly_kzt", F.col("salary_raw_kzt"))
     return p

@@ -21,7 +21,7 @@ from .catalog import register, rnd, with_ctes
 from .q_models import _model, feature_frame
 from . import preprocess as PP
 from .q_more import _PREM_ALL_SQL, feature_skills, premiums_raw
-from .q_stats import Y, n_rows, proc, skill_rows
+from .q_stats import Y, n_rows, proc, skill_rows, skill_sums
 
 
 def _list(xs):
@@ -43,13 +43,13 @@ dem AS (SELECT skill AS slug, 100.0 * count(DISTINCT vacancy_id) / (SELECT count
 
 
 def _prof(spark, d):
-    return AD.with_valid_skills(AD.profiles_from_postings(skill_rows(spark, d)), feature_skills(spark, d))
+    # first, as the others need no more columns than these
+    p = AD.profiles_from_postings(skill_rows(spark, d, extra=("skills_all",)))
+    return AD.with_valid_skills(p, feature_skills(spark, d))
 
 
 def _market(spark, d):
-    p = skill_rows(spark, d)
-    demand = G.skill_demand(PP.skill_long(p), n_rows(p))
-    return AD.market_list(premiums_raw(spark, d), demand)
+    return AD.market_list(premiums_raw(spark, d), SK.demand_of(skill_sums(spark, d)))
 
 
 @register("b04_skill_breakdown", with_ctes(

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions import scalar as S
 from ..functions import text as T
+from ..operators import dictionary as DI
 from ..operators import profile as P
 from ..sources.adapter import postings
 from ..sources.tables import read_table
@@ -14,7 +15,7 @@ from .catalog import big, register, rnd, with_ctes
 
 
 def _proc(spark, d):
-    return PP.processed_postings(spark, d)
+    return PP.processed_postings(spark, d, skills=False)
 
 
 # ------------------------------------------------------------------ C-series
@@ -66,6 +67,18 @@ def c06(spark, d):
                     big(F.size("skills_extracted")).alias("n_terms"))
 
 
+@register("c06_tag_by_table", with_ctes(
+    "SELECT doc_id, array_to_string(list_sort(skills_extracted), '|') AS terms, CAST(len(skills_extracted) AS BIGINT) AS n_terms "
+    "FROM doc_tags"))
+def c06t(spark, d):
+    """The same terms from a table: one hash join instead of an expression
+    per term."""
+    docs = read_table(spark, d, "documents").select("doc_id", "text")
+    terms = spark.createDataFrame([(t,) for t in K.TECH_TERMS], "term string")
+    t = DI.tag_by_table(docs, terms)
+    return t.select("doc_id", F.array_join("skills_extracted", "|").alias("terms"), big(F.size("skills_extracted")).alias("n_terms"))
+
+
 @register("c07_parse_list_text", with_ctes(
     "SELECT vacancy_id, array_to_string(skills_key_parsed, '|') AS parsed, CAST(len(skills_key_parsed) AS BIGINT) AS n_parsed "
     "FROM processed0"))

@@ -17,8 +17,9 @@ from ..operators import models as M
 from ..operators import skills as SK
 from ..session import checkpoint_root, stage
 from . import preprocess as PP
-from .catalog import build_cache, register, rnd, with_ctes
-from .q_stats import Y, skill_rows
+from .build import build_cache
+from .catalog import register, rnd, with_ctes
+from .q_stats import Y, skill_rows, skill_sums
 
 #: Part of the kept results' paths; another tag makes queries fit anew.
 KEEP_TAG = "kept"
@@ -37,7 +38,7 @@ def _once(key, build):
 
 
 def _top(spark, d):
-    return SK.top_items(PP.skill_long(skill_rows(spark, d)), K.TOP_N_SKILLS)
+    return SK.top_of(skill_sums(spark, d), K.TOP_N_SKILLS)
 
 
 def feature_names(top_skills, levels):
@@ -46,16 +47,17 @@ def feature_names(top_skills, levels):
 
 
 def features_of(rows, top, levels):
-    """``rows`` with the 0/1 skill array, the area array and ``features``."""
-    v = M.encode_onehot(SK.hot_array(rows, top, "skills_arr"), "area_normalized", levels)
-    return v.withColumn("_level", F.array(F.col("experience_level").cast("double"))).transform(
-        lambda x: M.assemble(x, ["skills_arr", "_level", "area_vec"])).drop("_level")
+    """``rows`` with ``features``: the top skills' 0/1 marks, the level and
+    the area, as a sparse vector where that is the shorter one."""
+    names = [r["skill"] for r in top.orderBy("rank").collect()]
+    return M.sparse_features(rows, names, SK.ARR, "experience_level", "area_normalized", levels)
 
 
 def feature_frame(spark, d):
     """(rows with features and split, names (pos, name) of the positions)."""
     def build():
-        rows, top = skill_rows(spark, d), _top(spark, d)
+        rows = skill_rows(spark, d, extra=("name",))
+        top = _top(spark, d)
         levels = M.levels_of(rows, "area_normalized")
         f = features_of(rows.select("vacancy_id", "name", Y, "experience_level", "area_normalized", SK.ARR), top, levels)
         f = stage(M.hash_split(f.drop(SK.ARR), "vacancy_id"), "features")
@@ -100,7 +102,7 @@ def _model(spark, d, name):
 
     def build():
         f, _ = feature_frame(spark, d)
-        train = f.where(F.col("is_train") & F.col(Y).isNotNull()).select("vacancy_id", Y, "features")
+        train = M.sized(f.where(F.col("is_train") & F.col(Y).isNotNull()).select("vacancy_id", Y, "features"))
         return _fitted(spark, name, train, lambda t: FITS[name](t, Y), kind)
     return _once(("model", name, d), build)
 
@@ -164,6 +166,8 @@ def m05(spark, d):
 
 @register("m06_model_metrics")
 def m06(spark, d):
+    feature_frame(spark, d)
+    M.in_parallel(lambda name: _model(spark, d, name), list(FITS))
     out = None
     for name in FITS:
         m = _metrics(spark, d, name)
@@ -172,15 +176,21 @@ def m06(spark, d):
 
 
 def _cross_validated(spark, d):
-    """Twenty fits; their small result is kept by the digest of the rows,
-    like a model."""
+    """Ridge and lasso from fold sums, ten tree fits; the score of each model
+    and fold is kept by the digest of the rows as soon as it is there, like a
+    model."""
     def build():
         f, _ = feature_frame(spark, d)
         rows = f.where(F.col(Y).isNotNull()).select("vacancy_id", Y, "features")
-        path = _kept(spark, "cv", rows)
-        if not _exists(spark, path):
-            M.cross_validate(rows, Y, FITS).coalesce(1).write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        base = _kept(spark, "cv", rows)
+
+        def kept(name, fold, score):
+            path = f"{base}/{name}-{fold}"
+            if not _exists(spark, path):
+                spark.createDataFrame([(score(),)], "r2 double").coalesce(1).write.mode("overwrite").parquet(path)
+            return spark.read.schema("r2 double").parquet(path).first()[0]
+
+        return M.cross_validate(rows, Y, ("ridge", "lasso"), {n: FITS[n] for n in ("forest", "gbt")}, kept=kept)
     return _once(("cv", d), build)
 
 
@@ -194,7 +204,9 @@ def m07(spark, d):
 def m08(spark, d):
     """Models by test R^2 with the overfit gap and the cross-validated R^2;
     the first row is the best."""
-    m = m06(spark, d).join(_cross_validated(spark, d).select("model", "cv_mean", "cv_std"), "model")
+    feature_frame(spark, d)
+    metrics, crossed = M.in_parallel(lambda f: f(spark, d), [m06, _cross_validated])   # their fits share the cluster
+    m = metrics.join(crossed.select("model", "cv_mean", "cv_std"), "model")
     return m.select("model", "test_r2", "train_r2", (F.col("train_r2") - F.col("test_r2")).alias("overfit_gap"),
                     "test_rmse", "test_mae", "cv_mean", "cv_std").orderBy(F.desc("test_r2"), "model")
 

@@ -14,7 +14,7 @@ from ..operators.quantiles import ecdf, running_sum
 from ..sources.tables import read_table
 from . import preprocess as PP
 from .catalog import register, rnd, with_ctes
-from .q_stats import MAJOR_SQL, Y, n_rows, proc, skill_rows
+from .q_stats import MAJOR_SQL, Y, n_rows, proc, skill_rows, skill_sums
 from .q_tests import _PAIR_P_SQL
 
 _FREQ_SQL = "(SELECT skill, count(*) AS frequency FROM posting_skill GROUP BY skill)"
@@ -146,12 +146,12 @@ prem AS (
 
 def feature_skills(spark, d):
     """The top list that is the models' feature list: at most 50 skills."""
-    return SK.top_items(PP.skill_long(skill_rows(spark, d)), K.TOP_N_SKILLS).select("skill")
+    return SK.top_of(skill_sums(spark, d), K.TOP_N_SKILLS).select("skill")
 
 
 def premiums_raw(spark, d):
     """Premium per feature skill: at most as many rows as the top list has."""
-    prem = SK.item_premium_raw(skill_rows(spark, d), Y, top=None).select("skill", "premium")
+    prem = SK.item_premium(skill_sums(spark, d), top=None).select("skill", "premium")
     return prem.join(F.broadcast(feature_skills(spark, d)), "skill")
 
 
@@ -187,8 +187,8 @@ def j02(spark, d):
     "ON f.skill = t.term"))
 def j03(spark, d):
     p = skill_rows(spark, d, salary=False)
-    demand = G.skill_demand(PP.skill_long(p), n_rows(p))
     terms = spark.createDataFrame([(t,) for t in K.TECH_TERMS], "t string").select(S.slug("t").alias("term")).distinct()
+    demand = G.skill_demand(p, n_rows(p), terms.select(F.col("term").alias("slug")))
     j = terms.join(demand.withColumnRenamed("slug", "term"), "term", "left")
     return j.select("term", rnd(F.coalesce("market_pct", F.lit(0.0)), 6).alias("pct"))
 
@@ -249,7 +249,7 @@ _GAP_SQL = (
     "WHEN gap < 20 THEN 'MEDIUM' ELSE 'HIGH' END AS status FROM g ORDER BY gap"))
 def a15(spark, d):
     p = skill_rows(spark, d, salary=False)
-    g = G.category_gap(G.category_table(spark), PP.skill_long(p), n_rows(p))
+    g = G.category_gap(G.category_table(spark), p, n_rows(p))
     return g.select("category", *[rnd(c, 6).alias(c) for c in ["gap", "coverage", "market", "market_pct_any"]],
                     "taught", "total", "status")
 
@@ -259,7 +259,7 @@ def a15(spark, d):
     "arg_min(category, (gap, category)) AS top_strength, round(min(gap), 6) AS top_gap FROM g"))
 def a16(spark, d):
     p = skill_rows(spark, d, salary=False)
-    g = G.category_gap(G.category_table(spark), PP.skill_long(p), n_rows(p))
+    g = G.category_gap(G.category_table(spark), p, n_rows(p))
     s = G.gap_summary(g)
     return s.select("n_categories", "n_excellent", "n_good", "top_strength", rnd("top_gap", 6).alias("top_gap"))
 
@@ -270,8 +270,8 @@ def a16(spark, d):
     "FROM cats LEFT JOIN dem USING (slug)"))
 def j05(spark, d):
     p = skill_rows(spark, d, salary=False)
-    dem = G.skill_demand(PP.skill_long(p), n_rows(p))
-    j = G.category_demand(G.category_table(spark), dem)
+    cats = G.category_table(spark)
+    j = G.category_demand(cats, G.skill_demand(p, n_rows(p), cats))
     return j.select("category", "skill", rnd("market_pct", 6).alias("market_pct"))
 
 
@@ -371,7 +371,7 @@ _SALARY_COLS = ["salary_from", "salary_to", "salary_currency", "salary_raw_kzt",
 @register("c27_columns_with_prefix", with_ctes("SELECT vacancy_id, " + ", ".join(_SALARY_COLS) + " FROM processed"))
 def c27(spark, d):
     """Columns chosen by name prefix at plan time (here ``salary_``)."""
-    p = proc(spark, d)
+    p = PP.processed_postings(spark, d, skills=False)
     return p.select("vacancy_id", *[c for c in p.columns if c.startswith("salary_")])
 
 

@@ -9,7 +9,8 @@ from ..operators import aggregates as A
 from ..operators import skills as SK
 from . import preprocess as PP
 from ..session import stage
-from .catalog import build_cache, register, rnd, with_ctes
+from .build import build_cache
+from .catalog import register, rnd, with_ctes
 
 Y = "salary_monthly_kzt"
 MAJOR_SQL = "(" + ", ".join(f"'{c}'" for c in K.MAJOR_CITIES) + ")"
@@ -19,8 +20,25 @@ REMOTE_SQL = f"regexp_matches(coalesce(schedule, ''), '(?i){K.REMOTE_PATTERN}')"
 
 
 def proc(spark, d):
-    """Processed postings for salary statistics: without the skill columns."""
-    return PP.processed_postings(spark, d, skills=False)
+    """Processed postings for salary statistics: without the skill columns.
+    Inside a query build they are written once as a slim table: the passes of
+    the statistics, those for the fences too, read it and repeat no join."""
+    cols = ["vacancy_id", "area_normalized", "experience_level", "schedule", "salary_raw_kzt"]
+    cache = build_cache()
+    if cache is not None and ("proc", d) in cache:
+        return cache["proc", d]
+    p = PP.processed_postings(spark, d, skills=False, winsorise=False).select(*cols)
+    if cache is not None:
+        p = stage(p, "salary-rows")
+    p = capped(spark, d, p)
+    if cache is not None:
+        cache["proc", d] = p
+    return p
+
+
+def capped(spark, d, p):
+    """``p`` with the winsorised salary; the fences are of its raw one."""
+    return p.withColumn(Y, S.cap("salary_raw_kzt", *PP.salary_fences(spark, d, p)))
 
 
 def major(spark, d):
@@ -110,22 +128,38 @@ def a07(spark, d):
     return r.select("area_normalized", "mean", "diff", rnd("diff_pct", 6).alias("diff_pct"))
 
 
-def skill_rows(spark, d, salary=True):
-    """Processed postings with the columns that skill statistics need.  The
-    winsorised salary is computed only if asked for.  Inside a query build
-    the rows are written once as a slim stage table and shared by all its
-    branches (top list, demand, premiums, profiles)."""
-    cols = ["vacancy_id", "name", "area_normalized", "experience_level", "schedule", "skills_all", "skill_slugs"]
+def skill_rows(spark, d, salary=True, extra=()):
+    """Processed postings with the columns that skill statistics need: id,
+    area, level, slugs, the winsorised salary if asked for, and ``extra``
+    columns.  Inside a query build the rows are written once as a slim stage
+    table and shared by all its branches; a branch that needs more columns
+    than the table has comes first."""
+    cols = ["vacancy_id", "area_normalized", "experience_level", "skill_slugs", *["salary_raw_kzt"] * salary, *extra]
     cache = build_cache()
-    for wanted in ({salary, True}):
-        if cache is not None and ("rows", wanted, d) in cache:
-            return cache["rows", wanted, d]
-    p = PP.processed_postings(spark, d, winsorise=salary).select(*cols, *[Y] * salary)
+    for key, rows in (cache or {}).items():
+        if key[:2] == ("rows", d) and set(cols) <= set(key[2]):
+            return rows
+    p = PP.processed_postings(spark, d, winsorise=False).select(*cols)
+    if cache is not None:
+        p = stage(p, "skill-rows")
+    if salary:
+        p = capped(spark, d, p)
     if cache is not None:
-        p = cache["rows", salary, d] = stage(p, "skill-rows")
+        cache["rows", d, tuple(cols)] = p
     return p
 
 
+def skill_sums(spark, d):
+    """Per skill the counts and salary sums that the top list, the demand and
+    the premiums are made of: one explode, written once per query build."""
+    cache = build_cache()
+    if cache is None:
+        return SK.item_sums(skill_rows(spark, d), Y)
+    if ("sums", d) not in cache:
+        cache["sums", d] = stage(SK.item_sums(skill_rows(spark, d), Y), "skill-sums")
+    return cache["sums", d]
+
+
 def n_rows(p):
     return p.agg(F.count(F.lit(1)).alias("_n"))
 
@@ -153,7 +187,7 @@ FROM x ORDER BY m1 - m0 DESC, skill LIMIT 20"""
 
 @register("a09_item_premium", with_ctes(_PREMIUM_SQL))
 def a09(spark, d):
-    r = SK.item_premium_raw(skill_rows(spark, d), Y)
+    r = SK.item_premium(skill_sums(spark, d))
     return r.select("skill", *[rnd(c).alias(c) for c in ["mean_with", "mean_without", "premium"]], "count_with",
                     rnd("correlation", 6).alias("correlation"))
 
@@ -173,7 +207,7 @@ g AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY skill) AS n_groups FR
 def _item_group(spark, d):
     p = skill_rows(spark, d)
     rows = p.where(F.col("area_normalized").isin(K.MAJOR_CITIES))
-    return SK.item_by_group(rows, "area_normalized", Y, SK.top_items(PP.skill_long(p), 10))
+    return SK.item_by_group(rows, "area_normalized", Y, SK.top_of(skill_sums(spark, d), 10))
 
 
 @register("a10_item_by_group", with_ctes(_ITEM_GROUP_SQL + "SELECT skill, area_normalized, round(mean, 2) AS mean, count FROM g"))

@@ -9,7 +9,7 @@ from ..operators import inference as I
 from ..operators import skills as SK
 from . import preprocess as PP
 from .catalog import register, rnd, with_ctes
-from .q_stats import MAJOR_SQL, REMOTE_SQL, Y, major, proc, skill_rows
+from .q_stats import MAJOR_SQL, REMOTE_SQL, Y, major, proc, skill_rows, skill_sums
 
 _Y = "(SELECT area_normalized AS g, salary_monthly_kzt AS y, * FROM processed WHERE salary_monthly_kzt IS NOT NULL)"
 
@@ -35,10 +35,12 @@ def f_p_sql(f, d1, d2):
     return f"({beta_sql(f'({d2} / ({d2} + {d1} * {f}))', f'({d2} / 2.0)', f'({d1} / 2.0)')})"
 
 
-def _anova_sql(src):
+def _anova_sql(src, digits=6):
+    """``digits=None`` leaves F as it is, for what is computed from it."""
+    shown = (lambda x: x) if digits is None else (lambda x: f"round({x}, {digits})")
     return (f"WITH m AS (SELECT g, count(*) AS n, avg(y) AS mean, var_samp(y) AS var FROM {src} WHERE g IS NOT NULL GROUP BY g), "
             "a AS (SELECT sum(n) AS nn, count(*) AS k, sum(n * mean) / sum(n) AS grand FROM m) "
-            "SELECT round((sum(n * (mean - grand) * (mean - grand)) / (k - 1)) / (sum((n - 1) * coalesce(var, 0)) / (nn - k)), 6) AS f_stat, "
+            f"SELECT {shown('(sum(n * (mean - grand) * (mean - grand)) / (k - 1)) / (sum((n - 1) * coalesce(var, 0)) / (nn - k))')} AS f_stat, "
             "CAST(k - 1 AS BIGINT) AS df_between, CAST(nn - k AS BIGINT) AS df_within FROM m CROSS JOIN a GROUP BY k, nn")
 
 
@@ -90,19 +92,20 @@ WITH m AS (SELECT g, count(*) AS n, avg(y) AS mean, var_samp(y) AS var,
     list_position([{', '.join("'" + c + "'" for c in K.MAJOR_CITIES)}], g) AS pos
   FROM {_Y} WHERE g IN {MAJOR_SQL} GROUP BY g)
 SELECT a.g AS group_1, b.g AS group_2, round(a.mean - b.mean, 2) AS mean_diff,
-  round((a.mean - b.mean) / sqrt(((a.n - 1) * a.var + (b.n - 1) * b.var) / (a.n + b.n - 2) * (1.0 / a.n + 1.0 / b.n)), 6) AS t_stat,
+  (a.mean - b.mean) / sqrt(((a.n - 1) * a.var + (b.n - 1) * b.var) / (a.n + b.n - 2) * (1.0 / a.n + 1.0 / b.n)) AS t,
   CAST(a.n + b.n - 2 AS DOUBLE) AS df
 FROM m a JOIN m b ON a.pos < b.pos"""
+_PAIR_SUB = "(" + _PAIR_SQL.replace("\nWITH m AS", "WITH m AS") + ")"
 
 
-@register("t04_pairwise_ttests", with_ctes(_PAIR_SQL))
+@register("t04_pairwise_ttests", with_ctes("SELECT * EXCLUDE (t), round(t, 6) AS t_stat FROM " + _PAIR_SUB))
 def t04(spark, d):
     r = I.pairwise_ttests(proc(spark, d), "area_normalized", Y, K.MAJOR_CITIES)
     return r.select("group_1", "group_2", rnd("mean_diff").alias("mean_diff"), rnd("t_stat", 6).alias("t_stat"), "df")
 
 
-_PAIR_P_SQL = (f"SELECT *, round({t_p_sql('t_stat', 'df')}, 6) AS p_value, {t_p_sql('t_stat', 'df')} < 0.05 / 6 AS significant FROM ("
-               + _PAIR_SQL.replace("\nWITH m AS", "WITH m AS") + ")")
+_PAIR_P_SQL = (f"SELECT * EXCLUDE (t), round(t, 6) AS t_stat, round({t_p_sql('t', 'df')}, 6) AS p_value, "
+               f"{t_p_sql('t', 'df')} < 0.05 / 6 AS significant FROM " + _PAIR_SUB)
 
 
 @register("t04_pairwise_pvalues", with_ctes(_PAIR_P_SQL))
@@ -154,7 +157,7 @@ SELECT skill, round(r, 6) AS correlation, round(t, 6) AS t_stat, round(p, 6) AS
 
 @register("t07_item_correlation", with_ctes(_ITEMCORR_SQL))
 def t07(spark, d):
-    r = SK.item_premium_raw(skill_rows(spark, d), Y, top=None)
+    r = SK.item_premium(skill_sums(spark, d), top=None)
     return r.select("skill", rnd("correlation", 6).alias("correlation"), rnd("t_stat", 6).alias("t_stat"),
                     rnd("p_value", 6).alias("p_value"), "stars")
 
@@ -164,7 +167,7 @@ def _corr_vectors(spark, d, k_items=20):
     its positions and their number, which is smaller if there are fewer
     skills."""
     p = skill_rows(spark, d)
-    top = SK.top_items(PP.skill_long(p), K.TOP_N_SKILLS).where(F.col("rank") <= k_items)
+    top = SK.top_of(skill_sums(spark, d), k_items)
     labels = [f"skill_{r['skill']}" for r in top.orderBy("rank").collect()]
     vec = SK.hot_array(p, top, "_hot").select(
         F.concat(F.array(F.col(Y).cast("double"), F.col("experience_level").cast("double")), "_hot").alias("v"))
@@ -214,7 +217,7 @@ def t09(spark, d):
 _LEVENE_SRC = (f"(SELECT s.g, abs(s.y - m.med) AS y FROM {_Y} s JOIN (SELECT g, quantile_cont(y, 0.5) AS med FROM {_Y} GROUP BY g) m "
                f"USING (g) WHERE s.g IN {MAJOR_SQL})")
 _T10_SQL = (
-    "WITH an AS (" + _anova_sql(_Y) + "), lv AS (" + _anova_sql(_LEVENE_SRC) + "), "
+    "WITH an AS (" + _anova_sql(_Y, None) + "), lv AS (" + _anova_sql(_LEVENE_SRC, None) + "), "
     f"rm AS (SELECT {REMOTE_SQL} AS f, count(*) AS n, avg(salary_monthly_kzt) AS mean, var_samp(salary_monthly_kzt) AS var FROM processed "
     f"WHERE salary_monthly_kzt IS NOT NULL AND area_normalized IN {MAJOR_SQL} GROUP BY 1), "
     "rt AS (SELECT (a.mean - b.mean) / sqrt(((a.n - 1) * a.var + (b.n - 1) * b.var) / (a.n + b.n - 2) * (1.0 / a.n + 1.0 / b.n)) AS t, "

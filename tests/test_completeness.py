@@ -146,7 +146,7 @@ def test_hot_value_does_not_fill_a_task(spark):
 def test_career_path_over_any_number_of_paths(spark):
     prof = spark.createDataFrame([(1, ["a", "b"]), (2, ["c"]), (3, []), (4, ["a", "b", "c", "d"])], "user_id int, skills array<string>")
     paths = [("X", ["a", "b"]), ("Y", ["c", "d"]), ("Z", ["e"])]
-    got = {r.user_id: (r.path, r.match_pct, r.to_master) for r in AD.career_path(prof, paths, "Z").collect()}
+    got = {r.user_id: (r.path, r.match_pct, r.to_master) for r in AD.career_path(prof, AD.path_table(spark, paths), "Z").collect()}
     assert got == {1: ("X", 100.0, ""), 2: ("Y", 50.0, "d"), 3: ("Z", 0.0, "e"), 4: ("Z", 0.0, "e")}
 
 
@@ -178,7 +178,7 @@ def test_kmeans_takes_the_best_of_its_starts(spark):
 def test_cross_validation_against_a_hand_loop(spark):
     rows = rows_with_skills(spark, n=103)
     f = q_models.features_of(rows, SK.top_items(PP.skill_long(rows), 50), ["Other", "Astana", "Almaty"])
-    got = {r.model: r for r in M.cross_validate(f, "y", {"ridge": M.fit_ridge, "lasso": M.fit_lasso}, key="vacancy_id").collect()}
+    got = {r.model: r for r in M.cross_validate(f, "y", key="vacancy_id").collect()}
     assert got.keys() == {"ridge", "lasso"} and got["ridge"].folds == 5
     data = sorted((r.vacancy_id, r.y, r.features.toArray()) for r in f.collect())
     x, y = np.array([d[2] for d in data]), np.array([d[1] for d in data])
