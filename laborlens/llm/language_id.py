@@ -211,10 +211,14 @@ def evidence(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def decide(model: Model, texts: list[str]) -> tuple[list[str], list[float]]:
     """Language and score per text.  The score is the winner's share of all
     languages' corrected counts; ties go to the language with more texts."""
+    return decide_from(model, texts, *evidence(model, texts))
+
+
+def decide_from(model: Model, texts: list[str], n: np.ndarray, counts: np.ndarray) -> tuple[list[str], list[float]]:
+    """:func:`decide` from the texts' evidence."""
     pred, score = [UNDETERMINED] * len(texts), [0.0] * len(texts)
     if not model.langs or not texts:
         return pred, score
-    n, counts = evidence(model, texts)
     fp = model.false_rate[:, None]
     counts = np.maximum(0.0, (counts - n * fp) / np.maximum(1e-12, 1 - fp))
     best, all_ = counts.argmax(0), counts.sum(0)
@@ -227,8 +231,9 @@ def decide(model: Model, texts: list[str]) -> tuple[list[str], list[float]]:
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
              keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` (default: ``id_col``) with ``lang_pred`` and
-    ``score`` (0 to 1) per row, from the text alone.
+    """The columns ``keep`` (default: ``id_col``) with ``lang_pred``,
+    ``score`` (0 to 1) and ``n_grams`` (the text's n-grams) per row, from the
+    text alone.  Score 0 over many n-grams: no language claims any of them.
 
     Null texts and texts without a letter are ``und`` with score 0; so is
     everything if no language was learned.  Repeated rows get equal results.
@@ -244,12 +249,14 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
         m = shared.value
         for batch in batches:
             for part in by_bytes(batch, "_text", 1 << 20):
-                pred, score = decide(m, part.column("_text").to_pylist())
+                texts = part.column("_text").to_pylist()
+                n, counts = evidence(m, texts)
+                pred, score = decide_from(m, texts, n, counts)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], pa.array(pred, pa.string()), pa.array(score, pa.float64())],
-                    names=[*part.schema.names[:-1], "lang_pred", "score"])
+                    [*part.columns[:-1], pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(n, pa.int64())],
+                    names=[*part.schema.names[:-1], "lang_pred", "score", "n_grams"])
 
     src = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)], whole_text(text_col).alias("_text"))
     kinds = [f"c{i} {src.schema[f'c{i}'].dataType.simpleString()}" for i in range(len(keep))]
-    out = src.mapInArrow(lean(run), ", ".join([*kinds, "lang_pred string", "score double"]))
-    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], "lang_pred", "score")
+    out = src.mapInArrow(lean(run), ", ".join([*kinds, "lang_pred string", "score double", "n_grams bigint"]))
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], "lang_pred", "score", "n_grams")

@@ -1,5 +1,6 @@
 import subprocess
 import sys
+import zlib
 
 import corpus_pipeline as P
 
@@ -110,3 +111,14 @@ def test_library_does_not_import_this_package():
     code = ("import sys; import laborlens.plans.registry, laborlens.session; "
             "assert not [m for m in sys.modules if m.startswith('laborlens.llm')]")
     subprocess.run([sys.executable, "-c", code], check=True)
+
+
+def test_language_stage_rejects_what_no_language_claims(spark):
+    prose = "the quick brown fox jumps over the lazy dog and runs away into the green wood "
+    held_out = next(i for i in range(200, 300) if zlib.crc32(str(i).encode()) % 3 == 1)      # not learned from
+    rows = [(i, prose * 3 + str(i), "en", "s", 9) for i in range(30)]
+    rows += [(100, "Two words", "en", "s", 9), (held_out, "ҡҙҫғһ " * 40, "en", "s", 9), (102, "ҡҙҫғһ ҡҙ", None, "s", 9),
+             (103, None, "en", "s", 9), (104, "42 !", "en", "s", 9)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = {r.doc_id for r in dict(P.STAGES)["language_id"](spark, docs, "").collect()}
+    assert kept == {*range(30), 100, 102}
