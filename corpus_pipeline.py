@@ -13,12 +13,20 @@ from laborlens.llm.common import written
 from laborlens.sources.tables import read_table
 
 
+#: So many n-grams of which no language claims any are no language's text;
+#: fewer, as of a name or a heading, are no evidence.
+ENOUGH_GRAMS = 50
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents whose language can be told: a text with no letter, a
-    null one among them, is rejected."""
+    """Keep documents whose language can be told.  A text with no letter, a
+    null one among them, is rejected, and so is one of ``ENOUGH_GRAMS`` or
+    more n-grams for which no learned language has evidence: none claims more
+    of them than its filter claims of anything."""
     model = language_id.learn(docs.where(~language_id.held_out()))
     found = language_id.identify(docs, model, keep=docs.columns, text_col="text")
-    return found.where(F.col("lang_pred") != language_id.UNDETERMINED).select(*docs.columns)
+    foreign = (F.col("score") == 0) & (F.col("n_grams") >= ENOUGH_GRAMS)
+    return found.where((F.col("lang_pred") != language_id.UNDETERMINED) & ~foreign).select(*docs.columns)
 
 
 def with_row_key(docs: DataFrame, name: str) -> DataFrame:
