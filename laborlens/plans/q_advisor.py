@@ -156,10 +156,11 @@ def _banded(spark, d, s):
 
 
 def _scored(spark, d):
-    _, names = feature_frame(spark, d)
+    skill_rows(spark, d, extra=("skills_all", "name"))     # what both profiles and features need, written once
+    prof, (_, names) = _prof(spark, d), feature_frame(spark, d)
     ridge = _model(spark, d, "ridge")
     coef = M.coefficients(ridge, names, spark).select("name", "coefficient")
-    return _banded(spark, d, AD.linear_scores(_prof(spark, d), coef, ridge.intercept))
+    return AD.linear_scores(prof, coef, ridge.intercept)
 
 
 # A fixed coefficient table lets SQL recompute the scores.
@@ -168,10 +169,11 @@ _BASE_SQL, _STEP_SQL, _CITY_SQL, _SKILL_SQL = "2.5e5", "9e4", "4e4", "1e3"
 
 
 def _fixed_scores(spark, d):
-    top = SK.top_items(PP.skill_long(skill_rows(spark, d)), K.TOP_N_SKILLS)
+    prof = _prof(spark, d)
+    top = SK.top_of(skill_sums(spark, d), K.TOP_N_SKILLS)
     coef = top.select(F.concat(F.lit("skill_"), "skill").alias("name"), (F.col("rank") * _SKILL).alias("coefficient"))
     rest = spark.createDataFrame([("experience_level", _STEP), ("area_normalized_Almaty", _CITY)], "name string, coefficient double")
-    return _banded(spark, d, AD.linear_scores(_prof(spark, d), coef.unionByName(rest), _BASE))
+    return AD.linear_scores(prof, coef.unionByName(rest), _BASE)
 
 
 _FIXED_SQL = _PROF_SQL + f""",
@@ -198,7 +200,7 @@ def b01f(spark, d):
     + " ".join(f"WHEN 100.0 * k / n < {c} THEN '{x}'" for c, x in zip(*K.PERCENTILE_BANDS)) + f" ELSE '{K.PERCENTILE_BANDS[1][-1]}' END AS band "
     "FROM sc JOIN le USING (pred) CROSS JOIN mk"))
 def b02f(spark, d):
-    return _fixed_scores(spark, d).select("user_id", rnd("percentile", 6).alias("percentile"), "band")
+    return _banded(spark, d, _fixed_scores(spark, d)).select("user_id", rnd("percentile", 6).alias("percentile"), "band")
 
 
 @register("b12_targets_fixed_coefficients", with_ctes(
@@ -217,7 +219,7 @@ def b01(spark, d):
 @register("b02_percentile_band")
 def b02(spark, d):
     """B2: market percentile of each prediction and its band."""
-    return _scored(spark, d).select("user_id", "predicted_salary", "percentile", "band")
+    return _banded(spark, d, _scored(spark, d)).select("user_id", "predicted_salary", "percentile", "band")
 
 
 def _targets(spark, d, scored):
@@ -237,10 +239,30 @@ def b12(spark, d):
 def b13(spark, d):
     """One row per profile: recognised skills, prediction, percentile,
     path and the first recommendation."""
+    return _summary(spark, d, _scored(spark, d))
+
+
+def _summary(spark, d, scored):
     prof = _prof(spark, d)
-    s = _scored(spark, d).select("user_id", "predicted_salary", "percentile", "band")
+    s = _banded(spark, d, scored).select("user_id", "predicted_salary", "percentile", "band")
     path = AD.career_path(prof).select("user_id", "path")
     first = AD.recommend_skills(prof, _market(spark, d), k=1).select(
         "user_id", F.col("skill").alias("first_recommendation"))
-    return (prof.select("user_id", F.size("skills").alias("n_skills")).join(s, "user_id")
+    return (prof.select("user_id", F.size("skills").cast("bigint").alias("n_skills")).join(s, "user_id")
             .join(path, "user_id").join(first, "user_id", "left"))
+
+
+@register("b13_summary_fixed_coefficients", with_ctes(
+    _FIXED_SQL + ", rec AS (SELECT user_id, prem.skill, row_number() OVER (PARTITION BY user_id ORDER BY premium DESC, prem.skill) AS rank "
+    "FROM prof CROSS JOIN prem WHERE NOT list_contains(prof.skills, prem.skill) QUALIFY rank = 1), "
+    f"cp AS (SELECT user_id, CASE WHEN c1 > c2 THEN '{K.CAREER_PATHS[0][0]}' ELSE '{K.CAREER_PATH_DEFAULT}' END AS path, n_skills FROM ("
+    f"SELECT user_id, CAST(len(skills) AS BIGINT) AS n_skills, len(list_filter(skills, lambda x: list_contains({_list(_P1)}, x))) / {len(_P1)} * 100.0 AS c1, "
+    f"len(list_filter(skills, lambda x: list_contains({_list(_P2)}, x))) / {len(_P2)} * 100.0 AS c2 FROM prof)) "
+    "SELECT sc.user_id, n_skills, round(pred, 4) AS predicted_salary, round(100.0 * k / n, 6) AS percentile, CASE "
+    + " ".join(f"WHEN 100.0 * k / n < {c} THEN '{x}'" for c, x in zip(*K.PERCENTILE_BANDS)) + f" ELSE '{K.PERCENTILE_BANDS[1][-1]}' END AS band, "
+    "path, rec.skill AS first_recommendation FROM sc JOIN le USING (pred) CROSS JOIN mk JOIN cp USING (user_id) LEFT JOIN rec USING (user_id)"))
+def b13f(spark, d):
+    """B13 over the fixed coefficient table."""
+    r = _summary(spark, d, _fixed_scores(spark, d))
+    return r.select("user_id", "n_skills", rnd("predicted_salary", 4).alias("predicted_salary"), rnd("percentile", 6).alias("percentile"),
+                    "band", "path", "first_recommendation")
