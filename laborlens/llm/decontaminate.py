@@ -121,8 +121,9 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     of the empty text if there are none), ``contaminated``.
 
     Null and empty texts have no words; an empty ``items`` table contaminates
-    nothing; repeated rows, also of one id, are judged each on its own;
-    other columns of either table are ignored.
+    nothing; repeated rows, also of one id or a null one, are judged each on
+    its own.  An item with a null id contaminates like any other, but has no
+    id to be listed or counted by.  Other columns of either table are ignored.
     """
     of = written(test_windows(items, item_col, item_text, size), "windows")
     anchor = anchors(docs, of.select("phrase").distinct(), id_col, text_col, broadcast_bytes)

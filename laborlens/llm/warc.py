@@ -155,7 +155,8 @@ def write_archives(pages: DataFrame, out_dir: str, id_col: str = "page_id", url_
     Of records with equal payloads of at least ``least_shared`` bytes, the
     one with the largest id is a response and the others revisit it; smaller
     ones are all responses.  A null payload is empty, a null URL
-    ``about:blank``; rows that repeat the largest id are all responses.
+    ``about:blank``; rows that repeat the largest id are all responses.  A
+    null id is never the largest while another is there; its rows are records.
     Other columns are ignored.
     """
     spark = pages.sparkSession
