@@ -104,8 +104,8 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str
     Exact: linear interpolation between the order statistics at
     floor/ceil((n-1) q), found by selection in two passes.  The first
     brackets every quantile by a mergeable sketch of relative error
-    1 / ``brackets`` (``percentile_approx``, four errors to either side).  The
-    second counts: rows between two brackets are one bucket of their group,
+    1 / ``brackets`` (``percentile_approx``), four errors and at least four
+    rows to either side.  The second counts: rows between two brackets are one bucket of their group,
     only rows inside a bracket are counted by value.  Counts combine before
     their shuffle, and what a group's running sum orders is the brackets'
     values, some 8 / ``brackets`` of its rows per quantile; rows are never
@@ -123,9 +123,15 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str
         return group(d).agg(*more, *[F.percentile_approx(value, q, accuracy).cast("double").alias(name) for name, q in probs.items()])
 
     v = F.col(value).cast("double")
-    edges = [min(1.0, max(0.0, q + side * 4.0 / brackets)) for q in probs.values() for side in (-1, 1)]
+    # a bracket reaches four errors of the sketch to either side, and four rows where those are more
+    reach = [4.0 * 10 ** j / brackets for j in range(12) if 4.0 * 10 ** j < brackets] + [1.0]
+    edges = [min(1.0, max(0.0, q + side * m)) for q in probs.values() for side in (-1, 1) for m in reach]
     first = group(d).agg(*more, F.count(F.lit(1)).alias("_n"), F.percentile_approx(v, edges, brackets).alias("_e"))
-    first = first.select(*keys, *extra, "_n", *[F.col("_e")[i].alias(f"_e{i}") for i in range(len(edges))])
+    wide = F.lit(len(reach) - 1)
+    for j in range(len(reach) - 2, -1, -1):
+        wide = F.when(F.col("_n") * reach[j] >= 4.0, F.lit(j)).otherwise(wide)
+    ends = range(2 * len(probs))
+    first = first.select(*keys, *extra, "_n", *[F.get("_e", wide + i * len(reach)).alias(f"_e{i}") for i in ends])
     small = True
     if keys:
         # one job here; the rows found stand in for it in the plan
@@ -136,7 +142,7 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str
     look = F.broadcast(first) if small else first
     d = d.select(*keys, v.alias("_v"))
     j = d.join(look, keys) if keys else d.crossJoin(look)
-    pairs = [(F.col(f"_e{i}"), F.col(f"_e{i + 1}")) for i in range(0, len(edges), 2)]
+    pairs = [(F.col(f"_e{i}"), F.col(f"_e{i + 1}")) for i in range(0, len(ends), 2)]
     inside = reduce(lambda a, b: a | b, [(F.col("_v") >= lo) & (F.col("_v") <= hi) for lo, hi in pairs])
     # a row outside all brackets stands right behind the last one that ends below it
     behind = F.greatest(F.lit(float("-inf")), *[F.when(hi < F.col("_v"), hi) for _, hi in pairs])

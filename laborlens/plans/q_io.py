@@ -199,14 +199,14 @@ _QQ_SQL = with_ctes(
     "FROM processed WHERE salary_monthly_kzt IS NOT NULL), "
     "m AS (SELECT y, i, CASE WHEN i = n THEN pow(0.5, 1.0 / n) WHEN i = 1 THEN 1 - pow(0.5, 1.0 / n) ELSE (i - 0.3175) / (n + 0.365) END AS m FROM o), "
     f"p AS (SELECT y, i, {_ppf_sql('m')} AS x FROM m) "
-    "SELECT round(y, 2) AS ordered, round(x, 6) AS theoretical, CAST(i AS BIGINT) AS position, "
+    "SELECT round(y, 6) AS ordered, round(x, 6) AS theoretical, CAST(i AS BIGINT) AS position, "
     "round(regr_slope(y, x) OVER (), 2) AS slope, round(regr_intercept(y, x) OVER (), 2) AS intercept FROM p")
 
 
 @register("v03_qq_points", _QQ_SQL)
 def v03(spark, d):
     q = V.qq_points(proc(spark, d), Y)
-    return q.select(rnd("ordered").alias("ordered"), rnd("theoretical", 6).alias("theoretical"),
+    return q.select(rnd("ordered", 6).alias("ordered"), rnd("theoretical", 6).alias("theoretical"),
                     F.col("position").cast("bigint").alias("position"), rnd("slope").alias("slope"), rnd("intercept").alias("intercept"))
 
 

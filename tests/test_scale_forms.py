@@ -37,6 +37,10 @@ def test_quantiles_are_exact_by_selection(spark):
             assert got[g]["n"] == len(v)
             for name, q in probs.items():
                 assert got[g][name] == pytest.approx(np.quantile(v, q), rel=1e-12, abs=1e-300)
+    for n in (1, 2, 3, 5, 40, 1250, 1251):          # fewer rows than the sketch tells apart
+        x = rng.normal(size=n)
+        r = Q.quantiles(spark.createDataFrame([(float(v),) for v in x], "y double"), [], "y", probs).first()
+        assert [r[p] for p in probs] == pytest.approx(list(np.quantile(x, list(probs.values()))), rel=1e-9, abs=1e-12)
     every = np.concatenate([*groups.values(), [1.0]])
     one = Q.quantiles(df, [], "y", probs).first()
     assert [one[p] for p in probs] == pytest.approx(list(np.quantile(every, list(probs.values()))), rel=1e-12)
