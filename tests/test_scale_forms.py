@@ -249,3 +249,10 @@ def test_compaction_keeps_every_row(spark, tmp_path):
     compact_landed(spark, dirs[1], "id")
     compact_landed(spark, dirs[1], "id")
     assert sorted((r.id if r.id is not None else -1, r.v) for r in read_landed(spark, dirs[1]).collect()) == got
+
+
+def test_fits_in_threads_of_threads(spark):
+    def inner(i):
+        return spark.range(i).count()
+
+    assert M.in_parallel(lambda k: M.in_parallel(inner, [k, k + 1]), [1, 2]) == [[1, 2], [2, 3]]
