@@ -87,7 +87,9 @@ def postings(spark: SparkSession, sf_dir: str, with_description: bool = True,
         *[F.col("doc_id")] * with_doc_id,
     )
     if with_description:
-        out = out.join(docs.select("doc_id", F.col("text").alias("description")), "doc_id", "left")
+        # merged, not broadcast: rows of one text come one after another, and
+        # files of them compress, while only rows without text are shuffled
+        out = out.join(docs.select("doc_id", F.col("text").alias("description")).hint("merge"), "doc_id", "left")
     return out
 
 

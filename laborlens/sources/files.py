@@ -86,14 +86,16 @@ def _stringify(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Header, no index; nested values as JSON text."""
-    _stringify(df).write.mode(mode).option("header", True).option("escape", '"').csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "gzip") -> None:
+    """Header, no index; nested values as JSON text.  Texts make the
+    files many times the size of the tables, so they are compressed; readers
+    know it by the file name."""
+    _stringify(df).write.mode(mode).option("header", True).option("escape", '"').csv(path, compression=compression)
 
 
-def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """JSON lines."""
-    df.write.mode(mode).json(path)
+def write_json(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "gzip") -> None:
+    """JSON lines, compressed like the CSV."""
+    df.write.mode(mode).json(path, compression=compression)
 
 
 def write_stage(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -19,6 +19,7 @@ from laborlens.operators import gram as GR
 from laborlens.operators import models as M
 from laborlens.operators import quantiles as Q
 from laborlens.operators import rules as R
+from laborlens.sources import files as FS
 from laborlens.streaming.landing import _folders, compact_landed, land_stream, read_landed
 
 
@@ -256,3 +257,15 @@ def test_fits_in_threads_of_threads(spark):
         return spark.range(i).count()
 
     assert M.in_parallel(lambda k: M.in_parallel(inner, [k, k + 1]), [1, 2]) == [[1, 2], [2, 3]]
+
+
+def test_files_of_repeated_texts_stay_small(spark, tmp_path):
+    rng = random.Random(9)
+    text = "".join(rng.choice("abcdefghij \n\"") for _ in range(4000))
+    df = spark.range(300).select("id", F.lit(text).alias("description")).coalesce(1)
+    for write, read in ((FS.write_csv, lambda p: spark.read.csv(p, header=True, multiLine=True, escape='"')), (FS.write_json, spark.read.json)):
+        path = str(tmp_path / write.__name__)
+        write(df, path)
+        assert sum(f.stat().st_size for f in (tmp_path / write.__name__).glob("part-*")) * 10 < 300 * len(text)
+        back = read(path)
+        assert back.count() == 300 and {r.description for r in back.select("description").distinct().collect()} == {text}
