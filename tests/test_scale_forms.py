@@ -14,6 +14,7 @@ from laborlens.functions import text as TX
 from laborlens.operators import advisor as AD
 from laborlens.operators import charts as V
 from laborlens.operators import dictionary as DI
+from laborlens.operators import forest as FO
 from laborlens.operators import gap as G
 from laborlens.operators import gram as GR
 from laborlens.operators import models as M
@@ -269,3 +270,50 @@ def test_files_of_repeated_texts_stay_small(spark, tmp_path):
         assert sum(f.stat().st_size for f in (tmp_path / write.__name__).glob("part-*")) * 10 < 300 * len(text)
         back = read(path)
         assert back.count() == 300 and {r.description for r in back.select("description").distinct().collect()} == {text}
+
+
+def test_forest_by_parts_is_the_forest(spark):
+    rng = np.random.default_rng(8)
+    x = np.column_stack([rng.integers(0, 2, (600, 5)), rng.integers(0, 4, 600), rng.normal(size=600)]).astype(float)
+    y = x @ np.array([5.0, 3.0, 0.0, 1.0, -2.0, 4.0, 2.0]) + 3 * x[:, 0] * x[:, 1]
+    df = M.assemble(spark.createDataFrame([(i, list(map(float, a)), float(b)) for i, (a, b) in enumerate(zip(x, y, strict=True))],
+                                          "k int, a array<double>, y double"), ["a"]).cache()
+    train = df.where("k % 4 > 0")
+    whole, cut = (FO.fit(train, "y", df, trees=10, max_depth=30, seed=1, most=n) for n in (20_000, 40))
+    a, b = ({r.k: r.prediction for r in f.transform(df).collect()} for f in (whole, cut))
+    assert len(a) == 600 and all(a[k] == pytest.approx(b[k], rel=1e-9) for k in a)
+    assert np.allclose(whole.importances, cut.importances) and whole.importances.sum() == pytest.approx(1.0)
+    assert M.regression_metrics(cut.transform(df.where("k % 4 = 0")), "y").first()["r2"] > 0.85
+
+
+def test_subtree_against_plain_recursion():
+    rng = np.random.default_rng(12)
+    code = rng.integers(0, 3, (60, 4)).astype(np.uint8)
+    w, y = rng.poisson(1.0, 60).astype(float), rng.normal(size=60)
+
+    def plain(rows, depth):
+        tr = rows[w[rows] > 0]
+
+        def sse(i):
+            return (w[i] * (y[i] - np.average(y[i], weights=w[i])) ** 2).sum()
+
+        best = max(((sse(tr) - sse(tr[lo]) - sse(tr[~lo]), f, c) for f in range(4) for c in range(2)
+                    if (lo := code[tr, f] <= c).any() and not lo.all()), default=(0, 0, 0), key=lambda v: (v[0], -v[1], -v[2]))
+        if depth == 3 or best[0] < 1e-9:
+            return {int(r): np.average(y[tr], weights=w[tr]) for r in rows}
+        left = code[rows, best[1]] <= best[2]
+        return plain(rows[left], depth + 1) | plain(rows[~left], depth + 1)
+
+    got, _ = FO.grow(FO.Bins([np.array([0.5, 1.5])] * 4), code, w, w * y, 0, 3)
+    want = plain(np.arange(60), 0)
+    assert np.allclose(got, [want[i] for i in range(60)])
+
+
+def test_boosting_counts_a_vector_once(spark):
+    from pyspark.ml.regression import GBTRegressor
+
+    df = M.assemble(spark.createDataFrame([(i, [float(i % 2), float(i % 3)], float(i % 6 + i % 5)) for i in range(200)],
+                                          "k int, a array<double>, y double"), ["a"])
+    ours, rows = M.fit_gbt(df, "y", rounds=5), GBTRegressor(labelCol="y", maxIter=5, stepSize=0.1, maxDepth=3, seed=42).fit(df)
+    a, b = ({r.k: r.prediction for r in m.transform(df).collect()} for m in (ours, rows))
+    assert M.per_vector(df, "y").count() == 6 and all(a[k] == pytest.approx(b[k], rel=1e-9) for k in a)
