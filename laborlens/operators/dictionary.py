@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.text import WORD_CLASS
 
 LENGTHS = 64          # different numbers of tokens that terms may have
+FIRSTS = 10_000       # first tokens that are looked up in a row; more are left to the join
 
 
 def tokens(text: Column) -> Column:
@@ -28,10 +29,11 @@ def term_table(terms: DataFrame, term_col: str = "term") -> DataFrame:
     return d.select("term", F.lower("term").alias("gram"), F.size(tokens(F.col("term"))).alias("n"))
 
 
-def text_grams(rows: DataFrame, text_col: str, lengths: list[int]) -> DataFrame:
+def text_grams(rows: DataFrame, text_col: str, lengths: list[int], firsts: list[str] | None = None) -> DataFrame:
     """``_row`` and each distinct run of as many tokens as some term has, so
     far as the characters around it let it be a term: one that begins or ends
-    with another character must have no word next to it there."""
+    with another character must have no word next to it there.  ``firsts``:
+    the terms' first tokens, where they are few; no other run is made."""
     word = f"^[{WORD_CLASS}]"
 
     def runs(n: int) -> Column:
@@ -39,7 +41,7 @@ def text_grams(rows: DataFrame, text_col: str, lengths: list[int]) -> DataFrame:
             first, last = F.get("_t", i), F.get("_t", i + (n - 1))
             open_ = first.rlike(word) | ~F.coalesce(F.get("_t", i - 1).rlike(word), F.lit(False))
             shut = last.rlike(word) | ~F.coalesce(F.get("_t", i + n).rlike(word), F.lit(False))
-            return open_ & shut
+            return (first.isin(firsts) & open_ & shut) if firsts is not None else open_ & shut
         starts = F.when(F.size("_t") >= n, F.sequence(F.lit(0), F.size("_t") - n)).otherwise(F.array().cast("array<int>"))
         return F.array_distinct(F.transform(F.filter(starts, ok), lambda i: F.array_join(F.slice("_t", i + 1, n), "")))
 
@@ -65,7 +67,9 @@ def tag_by_table(docs: DataFrame, terms: DataFrame, text_col: str = "text", term
     rows = docs.withColumn("_row", F.monotonically_increasing_id())
     small = table.limit(broadcast_rows + 1).count() <= broadcast_rows
     look = table.select("gram", "term")
-    hits = text_grams(rows, text_col, lengths).join(F.broadcast(look) if small else look, "gram")
+    begin = table.select(F.get(tokens(F.col("term")), F.lit(0))).distinct().limit(FIRSTS + 1).collect() if small else []
+    firsts = [r[0] for r in begin] if small and len(begin) <= FIRSTS else None
+    hits = text_grams(rows, text_col, lengths, firsts).join(F.broadcast(look) if small else look, "gram")
     found = hits.groupBy("_row").agg(F.sort_array(F.collect_set("term")).alias(out))
     none = F.array().cast("array<string>")
     return rows.join(found, "_row", "left").withColumn(out, F.coalesce(out, none)).drop("_row")

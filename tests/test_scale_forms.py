@@ -317,3 +317,15 @@ def test_boosting_counts_a_vector_once(spark):
     ours, rows = M.fit_gbt(df, "y", rounds=5), GBTRegressor(labelCol="y", maxIter=5, stepSize=0.1, maxDepth=3, seed=42).fit(df)
     a, b = ({r.k: r.prediction for r in m.transform(df).collect()} for m in (ours, rows))
     assert M.per_vector(df, "y").count() == 6 and all(a[k] == pytest.approx(b[k], rel=1e-9) for k in a)
+
+
+def test_only_runs_that_begin_a_term_are_made(spark):
+    texts = ["Use C++ or Power BI, not bi.", "node.js and Node", ".net, c#", "", "bi power"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    terms = spark.createDataFrame([(t,) for t in ("C++", "Power BI", "node.js", ".NET", "C#")], "term string")
+    rows = docs.withColumn("_row", F.col("doc_id").cast("bigint"))
+    firsts = ["c", "power", "node", "."]
+    few, all_ = DI.text_grams(rows, "text", [1, 2, 3], firsts), DI.text_grams(rows, "text", [1, 2, 3])
+    assert {r.gram for r in few.collect()} <= {r.gram for r in all_.collect()} and few.count() * 2 < all_.count()
+    got = {r.doc_id: r.skills_extracted for r in DI.tag_by_table(docs, terms).collect()}
+    assert got == {0: ["C++", "Power BI"], 1: ["node.js"], 2: [".NET", "C#"], 3: [], 4: []}
