@@ -344,8 +344,10 @@ def _clusters(spark, d):
 
     def build():
         v = _cluster_input(spark, d)
-        km = _fitted(spark, f"kmeans{K.KMEANS_K}", v.select("features"), lambda t: M.kmeans_fit(t, K.KMEANS_K), KMeansModel)
-        return M.relabel_by_size(km.transform(v))
+        rows = v.select("features").persist()           # one copy that all starts read, not one of each
+        km = _fitted(spark, f"kmeans{K.KMEANS_K}", rows, lambda t: M.kmeans_fit(t, K.KMEANS_K), KMeansModel)
+        rows.unpersist()
+        return M.relabel_by_size(stage(km.transform(v).drop("features", "skills_arr"), "clustered"))
     return _once(("clusters", d), build)
 
 
