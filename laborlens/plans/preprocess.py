@@ -34,12 +34,21 @@ def encode_experience(df: DataFrame, mapping=K.EXPERIENCE_LEVELS, col: str = "ex
 
 def tag_texts(df: DataFrame, text: str, out: str = "skills_extracted", vocab=K.TECH_TERMS,
               boundary: str = "token") -> DataFrame:
-    """Tag whole texts; the word split is materialised once per row."""
+    """Tag whole texts; the word split is made once per row.  It is bound to a
+    variable, not a column: a filter on the tags that Spark moves below a
+    column would hold a copy of the split for every term."""
     if boundary != "token":
         return df.withColumn(out, T.tag_terms(text, vocab, boundary))
-    d = df.withColumn("_low", F.lower(F.col(text))).withColumn("_word_hits", T.word_hits("_low", vocab, lowered=True))
-    return d.withColumn(out, T.tag_terms("_low", vocab, boundary, hits=F.col("_word_hits"), lowered=True)) \
-        .drop("_word_hits", "_low")
+
+    def tags(low):
+        return _bound(T.word_hits(low, vocab, lowered=True),
+                      lambda hits: T.tag_terms(low, vocab, boundary, hits=hits, lowered=True))
+    return df.withColumn(out, F.coalesce(_bound(F.lower(F.col(text)), tags), F.array().cast("array<string>")))
+
+
+def _bound(value, body):
+    """``body`` of the value, which is evaluated once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def extract_skills(df: DataFrame, text: str | None = "description", tags: DataFrame | None = None,

@@ -121,9 +121,8 @@ def u03(spark, d):
     "SELECT unnest(skills_extracted) FROM processed)"))
 def u04(spark, d):
     p = PP.processed_postings(spark, d, winsorise=False)
-    a = p.select(F.explode("skills_key_parsed").alias("item"))
-    b = p.select(F.explode("skills_extracted").alias("item"))
-    return a.union(b).distinct()
+    # both lists of a posting in its own row: the postings are made once
+    return p.select(F.explode(F.array_union("skills_key_parsed", "skills_extracted")).alias("item")).distinct()
 
 
 # ------------------------------------------------------------------ J-series

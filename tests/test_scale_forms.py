@@ -329,3 +329,23 @@ def test_only_runs_that_begin_a_term_are_made(spark):
     assert {r.gram for r in few.collect()} <= {r.gram for r in all_.collect()} and few.count() * 2 < all_.count()
     got = {r.doc_id: r.skills_extracted for r in DI.tag_by_table(docs, terms).collect()}
     assert got == {0: ["C++", "Power BI"], 1: ["node.js"], 2: [".NET", "C#"], 3: [], 4: []}
+
+
+def test_a_filter_on_tags_holds_no_split_per_term(spark):
+    from laborlens.plans import preprocess as PP
+
+    texts = ["Python, C++ and vue.js", "c# go", "spring boot / Spring", "none here", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(2)
+    tagged = PP.tag_texts(df, "text")
+    found = tagged.select("doc_id", F.explode("skills_extracted").alias("item"))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("split(") <= 2      # one in the filter, one in the tags
+    plain = {r.doc_id: r.t for r in df.select("doc_id", TX.tag_terms("text").alias("t")).collect()}
+    assert {r.doc_id: r.skills_extracted for r in tagged.collect()} == plain
+    assert sorted((r.doc_id, r["item"]) for r in found.collect()) == sorted((i, x) for i, xs in plain.items() for x in xs)
+
+
+def test_set_union_makes_the_postings_once(spark):
+    from laborlens.plans import registry
+
+    df = registry.queries()["u04_set_union"](spark, "/root/testdata/sf0.001")
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation [o_orderkey") == 1
