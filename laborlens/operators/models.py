@@ -248,12 +248,23 @@ def importances(model, names: DataFrame, spark) -> DataFrame:
     return names.join(spark.createDataFrame(imp, "pos int, importance double"), "pos")
 
 
+def counted_vectors(df: DataFrame, features: str = "features") -> DataFrame:
+    """A row per feature vector with its number of rows, ``_rows``.  With
+    this weight the cost of any centres is that of the rows."""
+    return sized(stage(df.groupBy(features).agg(F.count(F.lit(1)).cast("double").alias("_rows")), "vectors"))
+
+
 def kmeans_fit(df: DataFrame, k: int, features: str = "features", seed: int = K.SPLIT_SEED,
-               n_init: int = K.KMEANS_STARTS):
-    """Best of ``n_init`` seeded k-means runs by training cost."""
+               n_init: int = K.KMEANS_STARTS, weight: str | None = None):
+    """Best of ``n_init`` seeded k-means runs by training cost.  The runs read
+    one kept copy of the counted vectors, or of ``df`` where it is counted:
+    ``weight`` is then the number of rows."""
     from pyspark.ml.clustering import KMeans
 
-    fits = in_parallel(lambda i: KMeans(k=k, seed=seed + i, featuresCol=features).fit(df), range(n_init))
+    vectors = (df if weight else counted_vectors(df, features)).persist()
+    fits = in_parallel(lambda i: KMeans(k=k, seed=seed + i, featuresCol=features, weightCol=weight or "_rows").fit(vectors), range(n_init))
+    if not weight:
+        vectors.unpersist()
     return min(fits, key=lambda m: m.summary.trainingCost)
 
 

@@ -329,12 +329,15 @@ def m13(spark, d):
     """Cost and silhouette (squared Euclidean) for k = 2..10."""
     from pyspark.ml.evaluation import ClusteringEvaluator
 
-    v = _cluster_input(spark, d).select("features").persist()
-    rows = []
-    ev = ClusteringEvaluator(featuresCol="features")
-    for k in K.KMEANS_SWEEP:
-        m = M.kmeans_fit(v, k)
-        rows.append((k, float(m.summary.trainingCost), float(ev.evaluate(m.transform(v)))))
+    v = _cluster_input(spark, d).select("features").persist()       # the silhouette is of the rows
+    vectors = M.counted_vectors(v).persist()
+
+    def one(k):
+        m = M.kmeans_fit(vectors, k, weight="_rows")
+        return k, float(m.summary.trainingCost), float(ClusteringEvaluator(featuresCol="features").evaluate(m.transform(v)))
+
+    rows = M.in_parallel(one, K.KMEANS_SWEEP, 3)
+    vectors.unpersist()
     v.unpersist()
     return spark.createDataFrame(rows, "k int, inertia double, silhouette double")
 
@@ -344,9 +347,7 @@ def _clusters(spark, d):
 
     def build():
         v = _cluster_input(spark, d)
-        rows = v.select("features").persist()           # one copy that all starts read, not one of each
-        km = _fitted(spark, f"kmeans{K.KMEANS_K}", rows, lambda t: M.kmeans_fit(t, K.KMEANS_K), KMeansModel)
-        rows.unpersist()
+        km = _fitted(spark, f"kmeans{K.KMEANS_K}", v.select("features"), lambda t: M.kmeans_fit(t, K.KMEANS_K), KMeansModel)
         return M.relabel_by_size(stage(km.transform(v).drop("features", "skills_arr"), "clustered"))
     return _once(("clusters", d), build)
 
