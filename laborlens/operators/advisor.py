@@ -117,7 +117,8 @@ def recommend_skills(prof: DataFrame, market: DataFrame, k: int = 15) -> DataFra
     with market frequency, tier and curriculum status."""
     j = prof.select("user_id", "skills").crossJoin(F.broadcast(market))
     lacking = F.slice(F.filter("_market", lambda x: ~_held(x)), 1, k)
-    e = j.select("user_id", F.posexplode(lacking).alias("pos", "m"))
+    # outer, as Spark makes the list twice for an inner one: once for its size
+    e = j.select("user_id", F.posexplode_outer(lacking).alias("pos", "m")).where(F.col("pos").isNotNull())
     return e.select("user_id", (F.col("pos") + 1).alias("rank"), "m.skill", "m.premium", "m.frequency", "m.tier", "m.status")
 
 

@@ -16,9 +16,10 @@ from ..operators import gap as G
 from ..operators import models as M
 from ..operators import skills as SK
 from ..operators.quantiles import percentile_of_score
+from ..session import stage
 from ..sources.tables import read_table
 from .catalog import register, rnd, with_ctes
-from .q_models import _model, feature_frame
+from .q_models import _model, _once, feature_frame
 from . import preprocess as PP
 from .q_more import _PREM_ALL_SQL, feature_skills, premiums_raw
 from .q_stats import Y, n_rows, proc, skill_rows, skill_sums
@@ -48,6 +49,11 @@ def _prof(spark, d):
     return AD.with_valid_skills(p, feature_skills(spark, d))
 
 
+def _prof_rows(spark, d):
+    """:func:`_prof`, written once for a query with several branches over it."""
+    return _once(("profiles", d), lambda: stage(_prof(spark, d).select("user_id", "skills", "experience_level", "city"), "profiles"))
+
+
 def _market(spark, d):
     return AD.market_list(premiums_raw(spark, d), SK.demand_of(skill_sums(spark, d)))
 
@@ -150,14 +156,15 @@ def a17(spark, d):
 # ----------------------------------------------------- model-based (rows-only)
 
 def _banded(spark, d, s):
+    s = stage(s.select("user_id", "predicted_salary"), "scores")    # read by the order of the values and by both joins
     pct = percentile_of_score(proc(spark, d), Y, s.select("user_id", "predicted_salary"), "predicted_salary", ["user_id"])
     return s.join(pct.select("user_id", "percentile"), "user_id", "left").withColumn(
         "band", S.band("percentile", *K.PERCENTILE_BANDS))
 
 
-def _scored(spark, d):
+def _scored(spark, d, prof=_prof):
     skill_rows(spark, d, extra=("skills_all", "name"))     # what both profiles and features need, written once
-    prof, (_, names) = _prof(spark, d), feature_frame(spark, d)
+    prof, (_, names) = prof(spark, d), feature_frame(spark, d)
     ridge = _model(spark, d, "ridge")
     coef = M.coefficients(ridge, names, spark).select("name", "coefficient")
     return AD.linear_scores(prof, coef, ridge.intercept)
@@ -168,8 +175,8 @@ _BASE, _STEP, _CITY, _SKILL = 250000.0, 90000.0, 40000.0, 1000.0
 _BASE_SQL, _STEP_SQL, _CITY_SQL, _SKILL_SQL = "2.5e5", "9e4", "4e4", "1e3"
 
 
-def _fixed_scores(spark, d):
-    prof = _prof(spark, d)
+def _fixed_scores(spark, d, prof=_prof):
+    prof = prof(spark, d)
     top = SK.top_of(skill_sums(spark, d), K.TOP_N_SKILLS)
     coef = top.select(F.concat(F.lit("skill_"), "skill").alias("name"), (F.col("rank") * _SKILL).alias("coefficient"))
     rest = spark.createDataFrame([("experience_level", _STEP), ("area_normalized_Almaty", _CITY)], "name string, coefficient double")
@@ -239,12 +246,12 @@ def b12(spark, d):
 def b13(spark, d):
     """One row per profile: recognised skills, prediction, percentile,
     path and the first recommendation."""
-    return _summary(spark, d, _scored(spark, d))
+    return _summary(spark, d, _scored(spark, d, _prof_rows))
 
 
 def _summary(spark, d, scored):
-    prof = _prof(spark, d)
-    s = _banded(spark, d, scored).select("user_id", "predicted_salary", "percentile", "band")
+    prof = _prof_rows(spark, d)
+    s = _banded(spark, d, scored)
     path = AD.career_path(prof).select("user_id", "path")
     first = AD.recommend_skills(prof, _market(spark, d), k=1).select(
         "user_id", F.col("skill").alias("first_recommendation"))
@@ -263,6 +270,6 @@ def _summary(spark, d, scored):
     "path, rec.skill AS first_recommendation FROM sc JOIN le USING (pred) CROSS JOIN mk JOIN cp USING (user_id) LEFT JOIN rec USING (user_id)"))
 def b13f(spark, d):
     """B13 over the fixed coefficient table."""
-    r = _summary(spark, d, _fixed_scores(spark, d))
+    r = _summary(spark, d, _fixed_scores(spark, d, _prof_rows))
     return r.select("user_id", "n_skills", rnd("predicted_salary", 4).alias("predicted_salary"), rnd("percentile", 6).alias("percentile"),
                     "band", "path", "first_recommendation")

@@ -34,7 +34,7 @@ def order_part_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name")
     return (li.join(part, li.l_partkey == part.p_partkey)
-            .groupBy("l_orderkey").agg(F.array_sort(F.collect_set("p_name")).alias("part_names")))
+            .groupBy("l_orderkey").agg(F.sort_array(F.collect_set("p_name")).alias("part_names")))
 
 
 def postings(spark: SparkSession, sf_dir: str, with_description: bool = True,

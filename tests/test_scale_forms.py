@@ -360,3 +360,24 @@ def test_kmeans_counts_a_vector_once(spark):
     for m in (M.kmeans_fit(df, 3, n_init=2), M.kmeans_fit(vectors, 3, n_init=2, weight="_rows")):
         near = [min(sum((a - b) ** 2 for a, b in zip(p, c)) for c in m.clusterCenters()) for p in points]
         assert m.summary.trainingCost == pytest.approx(sum(near)) and m.summary.predictions.count() == vectors.count()
+
+
+def test_summary_reads_written_profiles(spark):
+    from laborlens.plans import registry
+
+    df = registry.queries()["b13_summary_fixed_coefficients"](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" not in plan and "element_at(" not in plan       # no branch parses or scores the profiles again
+    assert plan.count("filter(_market") == 1                        # no second list for the explode's own filter
+
+
+def test_linear_fit_deals_out_no_rows(spark, monkeypatch):
+    from laborlens.plans import q_models as QM
+    from laborlens.plans.build import building
+
+    def sized(df, *_):
+        raise AssertionError("rows are dealt out before a fit of one pass")
+    monkeypatch.setattr(M, "sized", sized)
+    monkeypatch.setattr(QM, "KEEP_TAG", "test-linear")
+    with building():
+        assert len(QM._model(spark, "/root/testdata/sf0.001", "ridge").coefficients) > 1
