@@ -104,7 +104,9 @@ def _model(spark, d, name):
         f, _ = feature_frame(spark, d)
         if name == "forest":
             return _forest(spark, f.where(F.col("is_train") & F.col(Y).isNotNull()).select("vacancy_id", Y, "features"), f)
-        train = M.sized(f.where(F.col("is_train") & F.col(Y).isNotNull()).select("vacancy_id", Y, "features"))
+        train = f.where(F.col("is_train") & F.col(Y).isNotNull()).select("vacancy_id", Y, "features")
+        if name == "gbt":                               # a linear fit is one pass and reads the rows as they are
+            train = M.sized(train)
         return _fitted(spark, name, train, lambda t: FITS[name](t, Y), kind[name])
     return _once(("model", name, d), build)
 
