@@ -254,17 +254,21 @@ def counted_vectors(df: DataFrame, features: str = "features") -> DataFrame:
     return sized(stage(df.groupBy(features).agg(F.count(F.lit(1)).cast("double").alias("_rows")), "vectors"))
 
 
+def kmeans_points(df: DataFrame, features: str = "features") -> tuple[DataFrame, str | None]:
+    """What k-means reads for the rows ``df``, and its weight: the counted
+    vectors where they are at most half as many, else the rows (None)."""
+    vectors = counted_vectors(df, features)
+    return (vectors, "_rows") if 2 * vectors.count() <= df.count() else (df, None)
+
+
 def kmeans_fit(df: DataFrame, k: int, features: str = "features", seed: int = K.SPLIT_SEED,
                n_init: int = K.KMEANS_STARTS, weight: str | None = None):
-    """Best of ``n_init`` seeded k-means runs by training cost.  The runs read
-    one kept copy of the counted vectors, or of ``df`` where it is counted:
-    ``weight`` is then the number of rows."""
+    """Best of ``n_init`` seeded k-means runs by training cost; ``weight``:
+    the column with the number of rows that a vector stands for."""
     from pyspark.ml.clustering import KMeans
 
-    vectors = (df if weight else counted_vectors(df, features)).persist()
-    fits = in_parallel(lambda i: KMeans(k=k, seed=seed + i, featuresCol=features, weightCol=weight or "_rows").fit(vectors), range(n_init))
-    if not weight:
-        vectors.unpersist()
+    more = {"weightCol": weight} if weight else {}
+    fits = in_parallel(lambda i: KMeans(k=k, seed=seed + i, featuresCol=features, **more).fit(df), range(n_init))
     return min(fits, key=lambda m: m.summary.trainingCost)
 
 

@@ -332,14 +332,15 @@ def m13(spark, d):
     from pyspark.ml.evaluation import ClusteringEvaluator
 
     v = _cluster_input(spark, d).select("features").persist()       # the silhouette is of the rows
-    vectors = M.counted_vectors(v).persist()
+    points, weight = M.kmeans_points(v)
+    points = points.persist()
 
     def one(k):
-        m = M.kmeans_fit(vectors, k, weight="_rows")
+        m = M.kmeans_fit(points, k, weight=weight)
         return k, float(m.summary.trainingCost), float(ClusteringEvaluator(featuresCol="features").evaluate(m.transform(v)))
 
     rows = M.in_parallel(one, K.KMEANS_SWEEP, 3)
-    vectors.unpersist()
+    points.unpersist()
     v.unpersist()
     return spark.createDataFrame(rows, "k int, inertia double, silhouette double")
 
@@ -349,7 +350,15 @@ def _clusters(spark, d):
 
     def build():
         v = _cluster_input(spark, d)
-        km = _fitted(spark, f"kmeans{K.KMEANS_K}", v.select("features"), lambda t: M.kmeans_fit(t, K.KMEANS_K), KMeansModel)
+        rows = v.select("features").persist()           # one copy that all starts read, not one of each
+
+        def fit(t):
+            points, weight = M.kmeans_points(t)
+            best = M.kmeans_fit(points.persist(), K.KMEANS_K, weight=weight)
+            points.unpersist()
+            return best
+        km = _fitted(spark, f"kmeans{K.KMEANS_K}", rows, fit, KMeansModel)
+        rows.unpersist()
         return M.relabel_by_size(stage(km.transform(v).drop("features", "skills_arr"), "clustered"))
     return _once(("clusters", d), build)
 

@@ -355,11 +355,13 @@ def test_kmeans_counts_a_vector_once(spark):
     rng = np.random.default_rng(3)
     points = [[float(x), float(y)] for x, y in rng.integers(0, 4, (300, 2)).tolist()]
     df = M.assemble(spark.createDataFrame([(p,) for p in points], "p array<double>"), ["p"]).select("features")
-    vectors = M.counted_vectors(df)
-    assert vectors.count() == len({tuple(p) for p in points}) and vectors.agg(F.sum("_rows")).first()[0] == 300
-    for m in (M.kmeans_fit(df, 3, n_init=2), M.kmeans_fit(vectors, 3, n_init=2, weight="_rows")):
-        near = [min(sum((a - b) ** 2 for a, b in zip(p, c)) for c in m.clusterCenters()) for p in points]
-        assert m.summary.trainingCost == pytest.approx(sum(near)) and m.summary.predictions.count() == vectors.count()
+    vectors, weight = M.kmeans_points(df)
+    assert vectors.count() == len({tuple(p) for p in points}) and vectors.agg(F.sum(weight)).first()[0] == 300
+    m = M.kmeans_fit(vectors, 3, n_init=2, weight=weight)
+    near = [min(sum((a - b) ** 2 for a, b in zip(p, c)) for c in m.clusterCenters()) for p in points]
+    assert m.summary.trainingCost == pytest.approx(sum(near)) and m.summary.predictions.count() == vectors.count()
+    once = df.distinct()
+    assert M.kmeans_points(once)[0] is once and M.kmeans_points(once)[1] is None      # nothing to gain
 
 
 def test_summary_reads_written_profiles(spark):
