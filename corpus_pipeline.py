@@ -24,7 +24,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     more n-grams for which no learned language has evidence: none claims more
     of them than its filter claims of anything."""
     model = language_id.learn(docs.where(~language_id.held_out()))
-    found = language_id.identify(docs, model, keep=docs.columns, text_col="text")
+    found = language_id.identify(docs, model, keep=docs.columns, text_col="text", with_grams=True)
     foreign = (F.col("score") == 0) & (F.col("n_grams") >= ENOUGH_GRAMS)
     return found.where((F.col("lang_pred") != language_id.UNDETERMINED) & ~foreign).select(*docs.columns)
 

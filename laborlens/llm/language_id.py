@@ -230,10 +230,10 @@ def decide_from(model: Model, texts: list[str], n: np.ndarray, counts: np.ndarra
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
-             keep: list[str] | None = None) -> DataFrame:
+             keep: list[str] | None = None, with_grams: bool = False) -> DataFrame:
     """The columns ``keep`` (default: ``id_col``) with ``lang_pred``,
-    ``score`` (0 to 1) and ``n_grams`` (the text's n-grams) per row, from the
-    text alone.  Score 0 over many n-grams: no language claims any of them.
+    ``score`` (0 to 1) and, if asked for, ``n_grams`` (the text's n-grams) per
+    row, from the text alone.  Score 0 over many n-grams: no language claims any of them.
 
     Null texts and texts without a letter are ``und`` with score 0; so is
     everything if no language was learned.  Repeated rows get equal results.
@@ -259,4 +259,4 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     src = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)], whole_text(text_col).alias("_text"))
     kinds = [f"c{i} {src.schema[f'c{i}'].dataType.simpleString()}" for i in range(len(keep))]
     out = src.mapInArrow(lean(run), ", ".join([*kinds, "lang_pred string", "score double", "n_grams bigint"]))
-    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], "lang_pred", "score", "n_grams")
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], "lang_pred", "score", *["n_grams"] * with_grams)
