@@ -3,11 +3,13 @@
 Trees of depth 30 have about as many nodes as there are different feature
 vectors, so neither dense statistics per open node nor the forest itself fit
 one machine.  Rows are first counted per feature vector: a table of points
-with each tree's bootstrap weight and label sum.  The top of every tree is
-grown level by level from histograms that the partitions make and Spark adds;
-as soon as a node has at most ``most`` points they are shuffled by tree and
-node, and the subtree below is grown, and its points are scored, in one task.
-What stays is a prediction per point and the importances.
+with each tree's bootstrap weight and label sum.  Where there are more than
+``most`` points the top of every tree is grown level by level from histograms
+that the partitions make and Spark adds; as soon as a node has at most
+``most`` points they are shuffled by tree and node, and the subtree below is
+grown, and its points are scored, in one task.  Fewer points are shuffled by
+some trees at a time, which one task grows whole.  What stays is a prediction
+per point and the importances.
 """
 from __future__ import annotations
 
@@ -61,12 +63,69 @@ class Bins:
         self.feature = np.repeat(np.arange(len(cuts)), self.n)
         self.bin = np.arange(self.total) - self.first[self.feature]
         self.ends = np.flatnonzero(self.bin < self.n[self.feature] - 1)      # a split may come after these
+        self.many = np.flatnonzero(self.n > 2)
+        self.end_of = np.full(self.total, -1)                                # of the second of two bins: the only end
+        two = np.flatnonzero(self.n[self.feature[self.ends]] == 2)
+        self.end_of[self.ends[two] + 1] = two
 
     def entries(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Row and place of each code that is not 0."""
         row, f = np.nonzero(code)
         return row, self.first[f] + code[row, f]
 
+    def lists(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The number of codes that are not 0 per row, and their places."""
+        row, place = self.entries(code)
+        return np.bincount(row, minlength=len(code)), place.astype(np.int32)
+
+    def tally(self, node: np.ndarray, n: int, number: np.ndarray, place: np.ndarray, values, most: int = 1 << 18) -> list[np.ndarray]:
+        """Sums of each of ``values`` per node (``n`` of them) and place, but
+        nothing in bin 0.  ``number``, ``place``: :meth:`lists` of the rows,
+        of which ``most`` are unfolded at a time."""
+        out, ends = None, np.concatenate([[0], np.cumsum(number)])
+        for i in range(0, max(len(node), 1), most):
+            k = number[i:i + most]
+            at = np.repeat(node[i:i + most] * self.total, k) + place[ends[i]:ends[min(i + most, len(node))]]
+            got = [np.bincount(at, np.repeat(v[i:i + most], k), n * self.total) for v in values]
+            out = got if out is None else [a + b for a, b in zip(out, got, strict=True)]
+        return [h.reshape(n, self.total) for h in out]
+
+    def choose(self, w: np.ndarray, s: np.ndarray, wt: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place and gain of each node's best split, as :meth:`best`, from
+        its sums by :meth:`tally` and in all.  Of a feature with two bins only
+        those nodes are looked at that have weight in both."""
+        def filled(h, t, f):
+            own = h[:, self.first[f]:self.first[f] + self.n[f]].copy()
+            own[:, 0] = t - np.add.reduceat(own, [0], axis=1)[:, 0]
+            return own
+
+        n = len(wt)
+        if not len(self.ends):
+            return np.zeros(n, np.int64), np.zeros(n)
+        st = filled(s, total, 0).sum(1)
+        parts = np.full((n, len(self.ends)), -1.0)
+        node, place = np.nonzero(w)
+        wr, end = w[node, place], self.end_of[place]
+        ok = (end >= 0) & (wr < wt[node])
+        node, place, end, wr = node[ok], place[ok], end[ok], wr[ok]
+        sl = total[node] - s[node, place]
+        sr = st[node] - sl
+        parts[node, end] = sl * sl / (wt[node] - wr) + sr * sr / wr
+        for f in self.many:
+            wl, sl = (filled(h, t, f) for h, t in ((w, wt), (s, total)))
+            for j in range(1, self.n[f]):
+                wl[:, j] += wl[:, j - 1]
+                sl[:, j] += sl[:, j - 1]
+            wl, sl = wl[:, :-1], sl[:, :-1]
+            wr, sr = wt[:, None] - wl, st[:, None] - sl
+            ok = (wl > 0) & (wr > 0)
+            at = int(np.searchsorted(self.ends, self.first[f]))
+            parts[:, at:at + self.n[f] - 1] = np.where(ok, sl * sl / np.where(ok, wl, 1) + sr * sr / np.where(ok, wr, 1), -1.0)
+        k = parts.argmax(1)
+        most = parts[np.arange(n), k]
+        gain = most - st * st / wt
+        return self.ends[k], np.where((most >= 0) & (gain > 1e-12 * most), gain, 0.0)      # less is rounding
+
     def sums(self, node: np.ndarray, n: int, row: np.ndarray, place: np.ndarray, v: np.ndarray) -> np.ndarray:
         """Sums of ``v`` per node (``n`` of them) and place; bin 0 of a
         feature has what its other bins leave."""
@@ -97,33 +156,64 @@ class Bins:
         return wt, st, self.ends[k], gain, wl[at, k], sl[at, k]
 
 
-def grow(bins: Bins, code: np.ndarray, w: np.ndarray, s: np.ndarray, depth: int, max_depth: int) -> tuple[np.ndarray, np.ndarray]:
+def grow(bins: Bins, code: np.ndarray, w: np.ndarray, s: np.ndarray, depth: int, max_depth: int,
+         lists: tuple[np.ndarray, np.ndarray] | None = None, direct: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
     """The subtree of a node at ``depth``, all nodes of a level at once: the
     leaf mean of every row (rows of weight 0 are only scored) and the gain
-    per feature."""
+    per feature.  ``lists``: of ``code``, where they are there already.
+
+    Of two children the larger has what the smaller leaves of the parent's
+    sums, if it has more than ``direct`` rows; others are summed."""
     value, gains = np.zeros(len(code)), np.zeros(len(bins.n))
-    rows, node, n = np.arange(len(code)), np.zeros(len(code), np.int64), 1
-    row, place = bins.entries(code)
-    trained = w[row] > 0
-    row, place = row[trained], place[trained]
-    at = np.zeros(len(code), np.int64)                                       # a row's node; the last one: done
-    while len(rows):
-        wt, st, cut, gain, _, _ = bins.best(*(bins.sums(at, n + 1, row, place, np.where(at < n, v, 0.0)) for v in (w, s)))
-        split = (gain > 0) & (depth < max_depth)
-        split[n:] = False
-        mean = st / np.where(wt > 0, wt, 1)
-        done = ~split[node]
-        value[rows[done]] = mean[node[done]]
-        f = bins.feature[cut]
-        np.add.at(gains, f[split], gain[split])
-        rows, node = rows[~done], node[~done]
-        child = 2 * (np.cumsum(split) - 1)
-        node = child[node] + (code[rows, f[node]] > bins.bin[cut][node])
+    number, place = bins.lists(code) if lists is None else lists
+    live, idle = np.flatnonzero(w > 0), np.flatnonzero(w <= 0)
+    place, number, w, s = place[np.repeat(w > 0, number)], number[live], w[live].astype(float), s[live].astype(float)
+    node, below, n, held = np.zeros(len(live), np.int64), np.zeros(len(idle), np.int64), 1, None
+    while len(live):
+        rows = np.bincount(node, minlength=n)
+        wt, total = (np.bincount(node, v, n) for v in (w, s))
+        mean = total / np.where(wt > 0, wt, 1)
+        split, cut = np.zeros(n, bool), np.zeros(n, np.int64)
+        may = np.flatnonzero(rows > 1) if depth < max_depth else np.zeros(0, np.int64)
+        if len(may):
+            made, rest = np.zeros(n, bool), may[:0]
+            made[may] = True
+            if held is not None:
+                other = rows[may ^ 1]
+                rest = may[(rows[may] > direct) & ((rows[may] > other) | ((rows[may] == other) & (may % 2 == 0)))]
+                made[rest], made[rest ^ 1] = False, True
+            slot = np.cumsum(made) - 1
+            if made.all():
+                sums = bins.tally(node, n, number, place, (w, s))
+            else:
+                i = made[node]
+                sums = bins.tally(slot[node[i]], int(made.sum()), number[i], place[np.repeat(i, number)], (w[i], s[i]))
+            if len(rest):
+                own, at = made[may], np.searchsorted(may, rest)
+                every = [np.empty((len(may), bins.total)) for _ in sums]
+                for e, h, parent in zip(every, sums, held, strict=True):
+                    e[own], e[at] = h[slot[may[own]]], parent[rest // 2] - h[slot[rest ^ 1]]
+                sums = every
+            elif len(may) < n:
+                sums = [h[slot[may]] for h in sums]
+            cut[may], gain = bins.choose(*sums, wt[may], total[may])
+            split[may] = gain > 0
+            np.add.at(gains, bins.feature[cut[may[gain > 0]]], gain[gain > 0])
+            large = (rows[split] > direct).any()
+            held = [h[gain > 0] for h in sums] if large else None
+        f, bin_, child = bins.feature[cut], bins.bin[cut], 2 * (np.cumsum(split) - 1)
+        on = split[node]
+        if not on.all():
+            value[live[~on]] = mean[node[~on]]
+            place = place[np.repeat(on, number)]
+            live, node, number, w, s = live[on], node[on], number[on], w[on], s[on]
+        node = child[node] + (code[live, f[node]] > bin_[node])
+        on = split[below]
+        if not on.all():
+            value[idle[~on]] = mean[below[~on]]
+            idle, below = idle[on], below[on]
+        below = child[below] + (code[idle, f[below]] > bin_[below])
         n, depth = 2 * int(split.sum()), depth + 1
-        at = np.full(len(code), n)
-        at[rows] = node
-        live = at[row] < n
-        row, place = row[live], place[live]
     return value, gains
 
 
@@ -269,7 +359,7 @@ def crown(table: DataFrame, bins: Bins, trees: int, n_points: int, max_depth: in
 
 
 def fit(train: DataFrame, label: str, rows: DataFrame | None = None, trees: int = 100, max_depth: int = 30,
-        features: str = "features", seed: int = 0, most: int = 20_000) -> Forest:
+        features: str = "features", seed: int = 0, most: int = 1_000_000) -> Forest:
     """A forest over ``train`` (all features at each split, bootstrap per
     tree) with predictions for the vectors of ``train`` and ``rows``."""
     from pyspark.ml.functions import vector_to_array
@@ -300,30 +390,42 @@ def fit(train: DataFrame, label: str, rows: DataFrame | None = None, trees: int
     table = stage(coded.join(bag, "id", "left").repartition(parts, "id"), "forest-rows")
     tops, gains = crown(table, bins, trees, n, max_depth, most)
 
+    together = 1 if n > most else max(1, min(-(-trees // (4 * cores)), 4_000_000 // n))     # whole trees that a task grows
+
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
             code, ids = _matrix(b.column("code"), np.uint8, p), b.column("id").to_numpy()
             w, s = (_matrix(b.column(c), float, trees) for c in ("w", "s"))
-            for t in range(trees):
-                node = descend(code, tops[t])
-                order = np.argsort(node, kind="stable")
-                nodes, at = np.unique(node[order], return_index=True)
-                parts = [(k, i) for k, i in zip(nodes.tolist(), np.split(order, at[1:]), strict=True) if tops[t]["kind"][k] == LOCAL]
+            for t in range(0, trees, together):
+                if n > most:
+                    node = descend(code, tops[t])
+                    order = np.argsort(node, kind="stable")
+                    nodes, at = np.unique(node[order], return_index=True)
+                    parts = [(k, i) for k, i in zip(nodes.tolist(), np.split(order, at[1:]), strict=True) if tops[t]["kind"][k] == LOCAL]
+                else:
+                    parts = [(0, slice(None))]
                 if parts:
                     yield _batch({"tree": pa.array([t] * len(parts), pa.int32()), "node": pa.array([k for k, _ in parts], pa.int32()),
                                   **{c: pa.array([v[i].tobytes() for _, i in parts], pa.binary())
-                                     for c, v in (("ids", ids), ("code", code), ("w", w[:, t]), ("s", s[:, t]))}})
+                                     for c, v in (("ids", ids), ("code", code), ("w", w[:, t:t + together]), ("s", s[:, t:t + together]))}})
 
     def subtree(t: pa.Table) -> pa.Table:
         tree, node = t.column("tree")[0].as_py(), t.column("node")[0].as_py()
         ids, code, w, s = (np.frombuffer(b"".join(t.column(c).to_pylist()), d) for c, d in (("ids", np.int64), ("code", np.uint8), ("w", float), ("s", float)))
         order = np.argsort(ids)                         # sums do not depend on the order of arrival
-        value, own = grow(bins, code.reshape(-1, p)[order], w[order], s[order], int(tops[tree]["depth"][node]), max_depth)
-        return pa.table({"id": pa.array([*ids[order].tolist(), None], pa.int64()), "value": pa.array([*value.tolist(), None], pa.float64()),
-                         "tree": pa.array([None] * len(ids) + [tree], pa.int32()),
-                         "gains": pa.array([None] * len(ids) + [own.tolist()], pa.list_(pa.float64()))})
+        ids, code, w, s = ids[order], code.reshape(-1, p)[order], w.reshape(len(ids), -1)[order], s.reshape(len(ids), -1)[order]
+        lists, value, own = bins.lists(code), np.zeros(len(ids)), []
+        for k in range(w.shape[1]):
+            v, gain = grow(bins, code, w[:, k], s[:, k], int(tops[tree + k]["depth"][node]), max_depth, lists)
+            value += v
+            own.append(gain.tolist())
+        none = [None] * len(own)
+        return pa.table({"id": pa.concat_arrays([pa.array(ids), pa.array(none, pa.int64())]),
+                         "value": pa.concat_arrays([pa.array(value), pa.array(none, pa.float64())]),
+                         "tree": pa.array([None] * len(ids) + [tree + k for k in range(len(own))], pa.int32()),
+                         "gains": pa.array([None] * len(ids) + own, pa.list_(pa.float64()))})
 
     def leaf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

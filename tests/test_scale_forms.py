@@ -383,3 +383,23 @@ def test_linear_fit_deals_out_no_rows(spark, monkeypatch):
     monkeypatch.setattr(QM, "KEEP_TAG", "test-linear")
     with building():
         assert len(QM._model(spark, "/root/testdata/sf0.001", "ridge").coefficients) > 1
+
+
+def test_few_points_grow_without_a_pass_per_level(spark, monkeypatch):
+    made, crown = [], FO.crown
+    monkeypatch.setattr(FO, "crown", lambda *a: made.append(crown(*a)) or made[-1])
+    x = F.array((F.col("k") % 2).cast("double"), (F.col("k") / 7).cast("double"))
+    df = M.assemble(spark.range(21_000).toDF("k").withColumn("a", x), ["a"]).withColumn("y", (F.col("k") % 5).cast("double"))
+    forest = FO.fit(df, "y", trees=5, max_depth=4, seed=3)
+    assert all(t["kind"].tolist() == [FO.LOCAL] for t in made[0][0])        # no top that is grown by jobs
+    assert forest.scores.count() == 21_000 and forest.scores.where("prediction is null").count() == 0
+
+
+def test_a_child_by_difference_is_its_sum():
+    rng = np.random.default_rng(4)
+    code = (rng.random((3000, 12)) < 0.1).astype(np.uint8)
+    code[:, 0] = rng.integers(0, 4, 3000)
+    w = rng.poisson(1.0, 3000).astype(float)
+    s, bins = w * rng.normal(size=3000), FO.Bins([np.arange(3) + 0.5] + [np.array([0.5])] * 11)
+    (a, b), (c, d) = (FO.grow(bins, code, w, s, 0, 30, direct=n) for n in (10**9, 50))
+    assert np.allclose(a, c, rtol=1e-9) and np.allclose(b, d, rtol=1e-9)
