@@ -228,14 +228,17 @@ def descend(code: np.ndarray, top: dict) -> np.ndarray:
         node[i] = top["left"][at] + (code[i, top["feature"][at]] > top["bin"][at])
 
 
-def cut_points(points: DataFrame, features: str, p: int, most: int = 32) -> list[np.ndarray]:
+def cut_points(points: DataFrame, features: str, p: int, most: int = 32, exact: bool = False) -> list[np.ndarray] | None:
     """Per feature the values that a split may lie at: between all values
-    where there are at most ``most``, else at as many quantiles."""
+    where there are at most ``most``, else at as many quantiles (None if
+    ``exact``)."""
     from pyspark.ml.functions import vector_to_array
 
     long = points.select(F.posexplode(vector_to_array(features)).alias("f", "x"))
     values = long.distinct()
     few = [r["f"] for r in values.groupBy("f").count().where(F.col("count") <= most).collect()]
+    if exact and len(few) < p:
+        return None
     cuts = [np.zeros(0)] * p
     got: dict[int, list] = {}
     for r in values.where(F.col("f").isin(few)).collect() if few else []:
@@ -264,6 +267,29 @@ def _rows(m: np.ndarray) -> pa.Array:
     return pa.array([r.tobytes() for r in m], pa.binary())
 
 
+def asked(train: DataFrame, rows: DataFrame | None, features: str) -> DataFrame:
+    """The different feature vectors of both tables, with an id."""
+    both = train.select(features) if rows is None else train.select(features).union(rows.select(features))
+    return stage(both.distinct().withColumn("id", F.monotonically_increasing_id()), "forest-points")
+
+
+def encoded(points: DataFrame, features: str, bins: Bins) -> DataFrame:
+    """The codes of ``points``: per feature the number of cuts below."""
+    from pyspark.ml.functions import vector_to_array
+
+    p = len(bins.n)
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = b.column("x").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, p)
+            code = np.zeros(x.shape, np.uint8)
+            for f, c in enumerate(bins.cuts):
+                code[:, f] = np.searchsorted(c, x[:, f])
+            yield _batch({"id": b.column("id"), "code": _rows(code)})
+
+    return points.select("id", vector_to_array(features).alias("x")).mapInArrow(encode, "id bigint, code binary")
+
+
 def bagged(train: DataFrame, label: str, mean: float, trees: int, seed: int) -> DataFrame:
     """Per point the weight and the label sum in each tree's bootstrap: every
     row counts Poisson(1) times.  ``train``: id of the point, label."""
@@ -358,16 +384,58 @@ def crown(table: DataFrame, bins: Bins, trees: int, n_points: int, max_depth: in
     return [{k: np.array(v) for k, v in t.items()} for t in tops], gains
 
 
+def boost(train: DataFrame, label: str, weight: str, rows: DataFrame | None = None, rounds: int = 100, step: float = 0.1,
+          depth: int = 3, features: str = "features", most: int = 1_000_000, levels: int = 32) -> Forest | None:
+    """Gradient boosting of a squared loss over ``train``, a row per feature
+    vector, as MLlib defines it: the first tree fits the label, each other one
+    twice what is left of it and counts ``step`` times.  Trees of a few levels
+    over counted vectors are a short sequence of small steps, so one task
+    makes them all.  None where that does not hold: over ``most`` vectors, or
+    a feature with more than ``levels`` values, which MLlib cuts by a sample."""
+    points = asked(train, rows, features)
+    n, first, mean = points.count(), points.first(), train.agg(F.avg(label)).first()[0]
+    if n > most or mean is None:
+        return None
+    cuts = cut_points(train, features, first[features].size, levels, exact=True)
+    if cuts is None:
+        return None
+    bins = Bins(cuts)
+    p = len(bins.n)
+    known = points.join(train.select(features, F.col(label).cast("double").alias("y"), F.col(weight).cast("double").alias("w")), features)
+    table = encoded(points, features, bins).join(known.select("id", "y", "w"), "id", "left").coalesce(1)
+
+    def all_rounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [(b.column("id").to_numpy(), _matrix(b.column("code"), np.uint8, p), *(b.column(c).fill_null(0.0).to_numpy() for c in ("y", "w")))
+                for b in batches if b.num_rows]
+        if not held:
+            return
+        ids, code, y, w = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.argsort(ids)
+        ids, code, y, w = ids[order], code[order], y[order], w[order]
+        lists, y = bins.lists(code), np.where(w > 0, y - mean, 0.0)
+        total, left, gains = np.zeros(len(ids)), y, np.zeros(p)
+        for k in range(rounds):
+            value, own = grow(bins, code, w, w * left, 0, depth, lists)
+            total += (step if k else 1.0) * value
+            left = 2 * (y - total)
+            gains += own / (own.sum() or 1.0)
+        for i in range(0, len(ids), 10_000):
+            yield _batch({"id": ids[i:i + 10_000], "prediction": total[i:i + 10_000] + mean, "gains": pa.array(
+                [gains.tolist() if k == 0 else None for k in range(i, min(i + 10_000, len(ids)))], pa.list_(pa.float64()))})
+
+    done = stage(table.mapInArrow(all_rounds, "id bigint, prediction double, gains array<double>"), "boosted")
+    gains = np.array(done.where(F.col("gains").isNotNull()).first()["gains"])
+    scores = stage(points.join(done, "id").select(features, "prediction"), "forest-scores")
+    return Forest(scores, gains / gains.sum() if gains.sum() > 0 else gains, features)
+
+
 def fit(train: DataFrame, label: str, rows: DataFrame | None = None, trees: int = 100, max_depth: int = 30,
         features: str = "features", seed: int = 0, most: int = 1_000_000) -> Forest:
     """A forest over ``train`` (all features at each split, bootstrap per
     tree) with predictions for the vectors of ``train`` and ``rows``."""
-    from pyspark.ml.functions import vector_to_array
-
     spark = train.sparkSession
     train = train.where(F.col(label).isNotNull())
-    asked = train.select(features) if rows is None else train.select(features).union(rows.select(features))
-    points = stage(asked.distinct().withColumn("id", F.monotonically_increasing_id()), "forest-points")
+    points = asked(train, rows, features)
     n, first = points.count(), points.first()
     mean = train.agg(F.avg(label)).first()[0]
     if mean is None:
@@ -375,16 +443,8 @@ def fit(train: DataFrame, label: str, rows: DataFrame | None = None, trees: int
     p = first[features].size
     bins = Bins(cut_points(points, features, p))
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            x = b.column("x").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, p)
-            code = np.zeros(x.shape, np.uint8)
-            for f, c in enumerate(bins.cuts):
-                code[:, f] = np.searchsorted(c, x[:, f])
-            yield _batch({"id": b.column("id"), "code": _rows(code)})
-
     cores = spark.sparkContext.defaultParallelism
-    coded = points.select("id", vector_to_array(features).alias("x")).mapInArrow(encode, "id bigint, code binary")
+    coded = encoded(points, features, bins)
     bag = bagged(train.join(points, features).select("id", label), label, mean, trees, seed)
     parts = max(1, min(n // 1000, 3 * cores), n // 50_000)
     table = stage(coded.join(bag, "id", "left").repartition(parts, "id"), "forest-rows")

@@ -131,21 +131,35 @@ def per_vector(train: DataFrame, label: str, features: str = "features") -> Data
 
 
 def fit_gbt(train: DataFrame, label: str, rounds: int = K.GBT_ROUNDS, step: float = K.GBT_STEP,
-            depth: int = K.GBT_DEPTH, features: str = "features", seed: int = K.SPLIT_SEED):
-    """M5: gradient boosting, squared loss."""
+            depth: int = K.GBT_DEPTH, features: str = "features", seed: int = K.SPLIT_SEED, rows: DataFrame | None = None):
+    """M5: gradient boosting, squared loss.  It predicts the feature vectors
+    of ``train`` and ``rows``."""
     from pyspark.ml.regression import GBTRegressor
 
-    gbt = GBTRegressor(featuresCol=features, labelCol=label, weightCol="_rows", maxIter=rounds, stepSize=step, maxDepth=depth, seed=seed)
-    train = sized(stage(per_vector(train, label, features), "vectors"))
-    return gbt.fit(train)
+    from . import forest
+
+    vectors = stage(per_vector(train, label, features), "vectors")
+    model = forest.boost(vectors, label, "_rows", rows, rounds, step, depth, features)
+    if model is None:
+        gbt = GBTRegressor(featuresCol=features, labelCol=label, weightCol="_rows", maxIter=rounds, stepSize=step, maxDepth=depth, seed=seed)
+        fitted = gbt.fit(sized(vectors))
+        scores = stage(fitted.transform(forest.asked(vectors, rows, features)).select(features, "prediction"), "forest-scores")
+        model = forest.Forest(scores, fitted.featureImportances.toArray(), features)
+    return model
+
+
+def metric_columns(y: str, yhat: str, where=None) -> list:
+    """M6: the aggregates rmse, mae and r2 of the rows ``where`` (None: all)."""
+    y, e = F.col(y), F.col(y) - F.col(yhat)
+    if where is not None:
+        y, e = F.when(where, y), F.when(where, e)
+    return [F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"),
+            (F.lit(1.0) - F.try_divide(F.sum(e * e), F.var_pop(y) * F.count(y))).alias("r2")]
 
 
 def regression_metrics(pred: DataFrame, y: str, yhat: str = "prediction") -> DataFrame:
     """M6: RMSE, MAE, R^2 as one aggregate."""
-    e = F.col(y) - F.col(yhat)
-    s = pred.agg(F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"),
-                 F.sum(e * e).alias("_sse"), F.var_pop(y).alias("_v"), F.count(y).alias("_n"))
-    return s.select("rmse", "mae", (F.lit(1.0) - F.try_divide(F.col("_sse"), F.col("_v") * F.col("_n"))).alias("r2"))
+    return pred.agg(*metric_columns(y, yhat))
 
 
 def attach_predictions(rows: DataFrame, predictions: DataFrame, y: str, key: str = "vacancy_id") -> DataFrame:

@@ -98,25 +98,21 @@ def _fitted(spark, name, rows, fit, kind):
 def _model(spark, d, name):
     from pyspark.ml import regression as R
 
-    kind = {"ridge": R.LinearRegressionModel, "lasso": R.LinearRegressionModel, "gbt": R.GBTRegressionModel}
-
     def build():
         f, _ = feature_frame(spark, d)
-        if name == "forest":
-            return _forest(spark, f.where(F.col("is_train") & F.col(Y).isNotNull()).select("vacancy_id", Y, "features"), f)
         train = f.where(F.col("is_train") & F.col(Y).isNotNull()).select("vacancy_id", Y, "features")
-        if name == "gbt":                               # a linear fit is one pass and reads the rows as they are
-            train = M.sized(train)
-        return _fitted(spark, name, train, lambda t: FITS[name](t, Y), kind[name])
+        if name in ("forest", "gbt"):
+            return _scored(spark, d, name, train, f)
+        return _fitted(spark, name, train, lambda t: FITS[name](t, Y), R.LinearRegressionModel)
     return _once(("model", name, d), build)
 
 
-def _forest(spark, train, rows):
-    """The forest of ``train`` with predictions for ``rows``, or the saved one
+def _scored(spark, d, name, train, rows):
+    """The trees of ``train`` with predictions for ``rows``, or the saved ones
     of equal rows."""
-    path = f"{_kept(spark, 'forest', train)}-{_digest(rows.select('features'))}"
+    path = f"{_kept(spark, name, train)}-{_once(('asked', d), lambda: _digest(rows.select('features')))}"
     if not _exists(spark, path):
-        M.fit_forest(train, Y, rows=rows).save(path)
+        FITS[name](train, Y, rows=rows).save(path)
     return Forest.load(spark, path)
 
 
@@ -164,28 +160,29 @@ def m04(spark, d):
     return M.importances(_model(spark, d, "forest"), names, spark).orderBy(F.desc("importance"), "name")
 
 
-def _metrics(spark, d, name):
+def _metrics(spark, d, names):
+    """M6 of the models, from one pass over the rows with all predictions."""
     f, _ = feature_frame(spark, d)
-    pred = _model(spark, d, name).transform(f.where(F.col(Y).isNotNull()))
-    tr = M.regression_metrics(pred.where("is_train"), Y).select(*[F.col(c).alias(f"train_{c}") for c in ("rmse", "mae", "r2")])
-    te = M.regression_metrics(pred.where(~F.col("is_train")), Y).select(*[F.col(c).alias(f"test_{c}") for c in ("rmse", "mae", "r2")])
-    return tr.crossJoin(te).select(F.lit(name).alias("model"), "*")
+    pred = f.where(F.col(Y).isNotNull())
+    for name in names:
+        pred = _model(spark, d, name).transform(pred).withColumnRenamed("prediction", f"_{name}")
+    parts = {"train": F.col("is_train"), "test": ~F.col("is_train")}
+    one = pred.agg(*[F.struct(*[c.alias(f"{part}_{m}") for part, rows in parts.items()
+                                for m, c in zip(("rmse", "mae", "r2"), M.metric_columns(Y, f"_{name}", rows), strict=True)]).alias(f"_{name}")
+                     for name in names])
+    return one.select(F.inline(F.array(*[F.struct(F.lit(name).alias("model"), f"_{name}.*") for name in names])))
 
 
 @register("m05_gbt_metrics")
 def m05(spark, d):
-    return _metrics(spark, d, "gbt")
+    return _metrics(spark, d, ["gbt"])
 
 
 @register("m06_model_metrics")
 def m06(spark, d):
     feature_frame(spark, d)
     M.in_parallel(lambda name: _model(spark, d, name), list(FITS))
-    out = None
-    for name in FITS:
-        m = _metrics(spark, d, name)
-        out = m if out is None else out.unionByName(m)
-    return out
+    return _metrics(spark, d, list(FITS))
 
 
 def _cross_validated(spark, d):
@@ -203,7 +200,7 @@ def _cross_validated(spark, d):
                 spark.createDataFrame([(score(),)], "r2 double").coalesce(1).write.mode("overwrite").parquet(path)
             return spark.read.schema("r2 double").parquet(path).first()[0]
 
-        trees = {"forest": lambda t, y: M.fit_forest(t, y, rows=rows), "gbt": M.fit_gbt}
+        trees = {name: lambda t, y, fit=FITS[name]: fit(t, y, rows=rows) for name in ("forest", "gbt")}
         return M.cross_validate(rows, Y, ("ridge", "lasso"), trees, kept=kept)
     return _once(("cv", d), build)
 

@@ -403,3 +403,50 @@ def test_a_child_by_difference_is_its_sum():
     s, bins = w * rng.normal(size=3000), FO.Bins([np.arange(3) + 0.5] + [np.array([0.5])] * 11)
     (a, b), (c, d) = (FO.grow(bins, code, w, s, 0, 30, direct=n) for n in (10**9, 50))
     assert np.allclose(a, c, rtol=1e-9) and np.allclose(b, d, rtol=1e-9)
+
+
+def boosting_rows(spark, n=300):
+    rng = np.random.default_rng(7)
+    rows = [(i, [float(a), float(b), float(c)], float(2 * a + b + 3 * c * a + e))
+            for i, (a, b, c, e) in enumerate(zip(*(rng.integers(0, k, n) for k in (2, 3, 2)), rng.normal(size=n), strict=True))]
+    return M.assemble(spark.createDataFrame(rows, "k int, a array<double>, y double"), ["a"])
+
+
+def test_boosting_is_one_task(spark, monkeypatch):
+    from pyspark.ml.regression import GBTRegressor
+
+    df = boosting_rows(spark)
+    new = M.assemble(spark.createDataFrame([(-1, [5.0, 0.4, 1.0], None), (-2, [0.0, 9.0, 0.0], None)], "k int, a array<double>, y double"), ["a"])
+    train, rows = df.where("k % 4 > 0"), df.union(new)
+    own = GBTRegressor(labelCol="y", maxIter=20, stepSize=0.1, maxDepth=3, seed=42).fit(train)
+    want = {r.k: r.prediction for r in own.transform(rows).collect()}
+
+    def no_jobs(*_, **__):
+        raise AssertionError("boosting by a job per level")
+    monkeypatch.setattr("pyspark.ml.regression.GBTRegressor", no_jobs)
+    got = {r.k: r.prediction for r in M.fit_gbt(train, "y", rounds=20, rows=rows).transform(rows).collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], rel=1e-9) for k in want)
+
+
+def test_boosting_by_mllib_where_a_task_does_not_do(spark, monkeypatch):
+    df = boosting_rows(spark)
+    vectors = M.per_vector(df, "y")
+    assert FO.boost(vectors, "y", "_rows", most=5) is None and FO.boost(vectors, "y", "_rows", levels=2) is None
+    one = {r.k: r.prediction for r in M.fit_gbt(df, "y", rounds=5).transform(df).collect()}
+    monkeypatch.setattr(FO, "boost", lambda *a, **k: None)
+    assert {r.k: r.prediction for r in M.fit_gbt(df, "y", rounds=5).transform(df).collect()} == pytest.approx(one, rel=1e-9)
+
+
+def test_metrics_of_all_models_read_the_rows_once(spark):
+    from laborlens.plans import q_models as QM
+    from laborlens.plans.build import building
+
+    d = "/root/testdata/sf0.001"
+    with building():
+        got = QM._metrics(spark, d, ["ridge", "lasso"])
+        assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+        f, _ = QM.feature_frame(spark, d)
+        pred = QM._model(spark, d, "lasso").transform(f.where(F.col(QM.Y).isNotNull()))
+        test = M.regression_metrics(pred.where(~F.col("is_train")), QM.Y).first()
+    row = [r for r in got.collect() if r.model == "lasso"][0]
+    assert (row.test_rmse, row.test_mae, row.test_r2) == pytest.approx(tuple(test))
