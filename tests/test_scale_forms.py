@@ -450,3 +450,13 @@ def test_metrics_of_all_models_read_the_rows_once(spark):
         test = M.regression_metrics(pred.where(~F.col("is_train")), QM.Y).first()
     row = [r for r in got.collect() if r.model == "lasso"][0]
     assert (row.test_rmse, row.test_mae, row.test_r2) == pytest.approx(tuple(test))
+
+
+def test_folds_are_boosted_in_a_task_each(spark, monkeypatch):
+    def no_jobs(*_, **__):
+        raise AssertionError("boosting by a job per level")
+    monkeypatch.setattr("pyspark.ml.regression.GBTRegressor", no_jobs)
+    df = boosting_rows(spark)
+    fits = {"forest": lambda t, y: M.fit_forest(t, y, trees=5, rows=df), "gbt": lambda t, y: M.fit_gbt(t, y, rounds=10, rows=df)}
+    got = {r.model: r for r in M.cross_validate(df, "y", (), fits, key="k").collect()}
+    assert got.keys() == {"forest", "gbt"} and all(r.folds == 5 and r.cv_mean > 0 for r in got.values())
