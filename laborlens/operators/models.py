@@ -62,26 +62,33 @@ def assemble(df: DataFrame, arrays: Sequence, out: str = "features") -> DataFram
     return df.withColumn(out, array_to_vector(F.concat(*arrays)))
 
 
+def marks(rows: DataFrame, items: Sequence[str], arr: str, out: str = "features") -> DataFrame:
+    """``rows`` with the 0/1 marks of ``items`` as a sparse vector: a counting
+    vectorizer over the given list."""
+    from pyspark.ml.feature import CountVectorizerModel
+
+    v = rows.withColumn("_items", F.coalesce(F.col(arr), F.array().cast("array<string>")))
+    m = CountVectorizerModel.from_vocabulary(list(items), inputCol="_items", outputCol=out, minTF=1.0)
+    return m.setBinary(True).transform(v).drop("_items")
+
+
 def sparse_features(rows: DataFrame, items: Sequence[str], arr: str, level: str, category: str, levels: Sequence[str],
                     out: str = "features") -> DataFrame:
     """``rows`` with the feature vector of M2-M5: marks of ``items`` (a
     counting vectorizer over the given list), the number ``level`` and the
     one-hot ``category`` without its base level.  A vector is stored sparse
     where that takes less: a posting has a few of the items."""
-    from pyspark.ml.feature import CountVectorizerModel, VectorAssembler, VectorSizeHint
+    from pyspark.ml.feature import VectorAssembler, VectorSizeHint
     from pyspark.ml.functions import array_to_vector
 
-    none = F.array().cast("array<string>")
-    v = rows.withColumn("_items", F.coalesce(F.col(arr), none)).withColumn("_level", F.col(level).cast("double"))
-    parts = ["_level"]
+    v, parts = rows.withColumn("_level", F.col(level).cast("double")), ["_level"]
     if items:
-        marks = CountVectorizerModel.from_vocabulary(list(items), inputCol="_items", outputCol="_marks", minTF=1.0)
-        v, parts = marks.setBinary(True).transform(v), ["_marks", "_level"]
+        v, parts = marks(v, items, arr, "_marks"), ["_marks", "_level"]
     if len(levels) > 1:
         v, parts = encode_onehot(v, category, levels, "_area").withColumn("_area", array_to_vector("_area")), [*parts, "_area"]
         v = VectorSizeHint(inputCol="_area", size=len(levels) - 1).transform(v)
     v = VectorAssembler(inputCols=parts, outputCol=out, handleInvalid="keep").transform(v)
-    return v.drop("_items", "_marks", "_level", "_area")
+    return v.drop("_marks", "_level", "_area")
 
 
 def label_scale(train: DataFrame, label: str, ddof: int = 0):

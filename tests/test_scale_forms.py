@@ -460,3 +460,49 @@ def test_folds_are_boosted_in_a_task_each(spark, monkeypatch):
     fits = {"forest": lambda t, y: M.fit_forest(t, y, trees=5, rows=df), "gbt": lambda t, y: M.fit_gbt(t, y, rounds=10, rows=df)}
     got = {r.model: r for r in M.cross_validate(df, "y", (), fits, key="k").collect()}
     assert got.keys() == {"forest", "gbt"} and all(r.folds == 5 and r.cv_mean > 0 for r in got.values())
+
+
+def repeated_points(spark, copies=9):
+    rng = np.random.default_rng(6)
+    skills = [[f"s{j}" for j in np.flatnonzero(rng.random(8) < 0.3)] for _ in range(60)]
+    rows = [(i * copies + c, float(i), s) for i, s in enumerate(skills) for c in range(copies)]
+    df = spark.createDataFrame(rows, "vacancy_id int, y double, skill_slugs array<string>")
+    return M.marks(df, [f"s{j}" for j in range(8)], "skill_slugs")
+
+
+def test_all_starts_run_over_counted_points(spark, monkeypatch):
+    from pyspark.ml.evaluation import ClusteringEvaluator
+
+    from laborlens.operators import clusters as CL
+    from laborlens.plans import q_models as QM
+
+    df = repeated_points(spark).cache()
+    assert {type(r.features).__name__ for r in df.select("features").collect()} == {"SparseVector"}
+    points, weight = M.kmeans_points(df.select("features"))
+    best = CL.best_starts(points, [2, 5], 4, 1)
+    for k, (cost, silhouette, centres) in best.items():
+        m = CL.model_of(spark, centres)
+        near = [min(((r.features.toArray() - c) ** 2).sum() for c in centres) for r in df.collect()]
+        assert len(m.clusterCenters()) == k and cost == pytest.approx(sum(near))
+        assert silhouette == pytest.approx(ClusteringEvaluator().evaluate(m.transform(df)))
+    again = CL.best_starts(points.repartition(5), [2, 5], 4, 1)
+    assert all(again[k][:2] == pytest.approx(best[k][:2]) for k in best)    # whatever the layout
+
+    def no_jobs(*_, **__):
+        raise AssertionError("k-means by jobs")
+    monkeypatch.setattr(M, "kmeans_fit", no_jobs)
+    monkeypatch.setattr(QM, "_cluster_input", lambda *_: df)
+    got = {r.k: r for r in QM.m13(spark, "none").collect()}
+    assert sorted(got) == list(range(2, 11)) and got[2].inertia <= best[2][0] + 1e-9 and got[10].inertia < got[2].inertia
+
+
+def test_points_with_few_values(spark):
+    from laborlens.operators import clusters as CL
+
+    x = np.array([[0.0, 0.0], [1.0, 0.0], [0.0, 2.5]])
+    points = CL.Points(np.count_nonzero(x, axis=1), np.nonzero(x)[1], x[np.nonzero(x)], np.array([5.0, 1.0, 1.0]), 2)
+    for k in (3, 6):                                    # no more centres than there are vectors
+        cost, c = points.lloyd(points.start(k, np.random.default_rng(0)))
+        assert cost == 0 and len(c) == 3
+    assert points.silhouette(x[:1]) != points.silhouette(x[:1])             # one cluster: NaN
+    assert points.silhouette(x) == pytest.approx(5 / 7)                     # a row alone has 0
