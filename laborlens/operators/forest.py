@@ -385,7 +385,7 @@ def crown(table: DataFrame, bins: Bins, trees: int, n_points: int, max_depth: in
 
 
 def boost(train: DataFrame, label: str, weight: str, rows: DataFrame | None = None, rounds: int = 100, step: float = 0.1,
-          depth: int = 3, features: str = "features", most: int = 1_000_000, levels: int = 32) -> Forest | None:
+          depth: int = 3, features: str = "features", most: int = 600_000, levels: int = 32) -> Forest | None:
     """Gradient boosting of a squared loss over ``train``, a row per feature
     vector, as MLlib defines it: the first tree fits the label, each other one
     twice what is left of it and counts ``step`` times.  Trees of a few levels
@@ -410,6 +410,7 @@ def boost(train: DataFrame, label: str, weight: str, rows: DataFrame | None = No
         if not held:
             return
         ids, code, y, w = (np.concatenate(x) for x in zip(*held, strict=True))
+        held.clear()
         order = np.argsort(ids)
         ids, code, y, w = ids[order], code[order], y[order], w[order]
         lists, y = bins.lists(code), np.where(w > 0, y - mean, 0.0)
@@ -430,7 +431,7 @@ def boost(train: DataFrame, label: str, weight: str, rows: DataFrame | None = No
 
 
 def fit(train: DataFrame, label: str, rows: DataFrame | None = None, trees: int = 100, max_depth: int = 30,
-        features: str = "features", seed: int = 0, most: int = 1_000_000) -> Forest:
+        features: str = "features", seed: int = 0, most: int = 600_000) -> Forest:
     """A forest over ``train`` (all features at each split, bootstrap per
     tree) with predictions for the vectors of ``train`` and ``rows``."""
     spark = train.sparkSession
@@ -450,7 +451,7 @@ def fit(train: DataFrame, label: str, rows: DataFrame | None = None, trees: int
     table = stage(coded.join(bag, "id", "left").repartition(parts, "id"), "forest-rows")
     tops, gains = crown(table, bins, trees, n, max_depth, most)
 
-    together = 1 if n > most else max(1, min(-(-trees // (4 * cores)), 4_000_000 // n))     # whole trees that a task grows
+    together = 1 if n > most else max(1, min(-(-trees // (4 * cores)), 2_000_000 // n))     # whole trees that a task grows
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -473,9 +474,11 @@ def fit(train: DataFrame, label: str, rows: DataFrame | None = None, trees: int
 
     def subtree(t: pa.Table) -> pa.Table:
         tree, node = t.column("tree")[0].as_py(), t.column("node")[0].as_py()
-        ids, code, w, s = (np.frombuffer(b"".join(t.column(c).to_pylist()), d) for c, d in (("ids", np.int64), ("code", np.uint8), ("w", float), ("s", float)))
+        ids = np.frombuffer(b"".join(t.column("ids").to_pylist()), np.int64)
         order = np.argsort(ids)                         # sums do not depend on the order of arrival
-        ids, code, w, s = ids[order], code.reshape(-1, p)[order], w.reshape(len(ids), -1)[order], s.reshape(len(ids), -1)[order]
+        ids = ids[order]
+        code, w, s = (np.frombuffer(b"".join(t.column(c).to_pylist()), d).reshape(len(order), -1)[order]
+                      for c, d in (("code", np.uint8), ("w", float), ("s", float)))
         lists, value, own = bins.lists(code), np.zeros(len(ids)), []
         for k in range(w.shape[1]):
             v, gain = grow(bins, code, w[:, k], s[:, k], int(tops[tree + k]["depth"][node]), max_depth, lists)
